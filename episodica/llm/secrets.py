@@ -1,0 +1,153 @@
+"""Secret scan: fixed patterns and a token-efficiency test.
+
+Base spans are the matches of three fixed patterns (leftmost, non-overlapping per
+kind; matches that fail their test are dropped).  The token-efficiency test adds
+spans of kind `random`: a run of key letters, `min_chars` or longer, with digits and
+letters, whose characters per token of a byte-level vocabulary are at most `ratio`.
+Prose and identifiers made of words take few tokens; random strings take many.
+Known digests (hex after a digest name or of a digest's length in a URL or path),
+UUIDs, and runs of one character class are left out, as are runs inside base spans.
+
+Edge cases: null and empty texts have no spans; spans are code points with an
+exclusive end; equal starts keep the order assign, access, hex, random; repeated
+rows give repeated results; very long texts are scanned whole in linear time.
+"""
+
+from __future__ import annotations
+
+import base64
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import vec
+from .shared import table
+from .spans import SPAN, SPAN_SQL, digest, ordered
+
+VOCABULARY = "byte_bpe_50k.tiktoken"
+KINDS = ["assign", "access", "hex", "random"]
+MIN_CHARS = 20
+RATIO = 1.9
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
+ASSIGN_WORDS = re.compile(r"password|passwd|secret|token|api_?key", re.IGNORECASE | re.ASCII)
+ACCESS = re.compile(r"AKIA[A-Z0-9]+")
+HEX = re.compile(r"[0-9a-f]{16,}")
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_CHARS)
+UUID = re.compile(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", re.IGNORECASE)
+DIGEST_NAME = re.compile(r"(?:md5|sha-?(?:1|224|256|384|512)|digest|checksum|integrity|etag|commit|revision)\W{0,3}$", re.IGNORECASE)
+DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
+ALL_HEX = re.compile(r"[0-9a-fA-F]+")
+
+
+class Efficiency:
+    """Characters per token under a public vocabulary; one per Python worker."""
+
+    _cache: dict[str, Efficiency] = {}
+
+    def __init__(self, path: str):
+        import public_tokenizers
+        import tiktoken
+
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        self.enc = tiktoken.Encoding("secrets", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    @classmethod
+    def of(cls, path: str) -> Efficiency:
+        if path not in cls._cache:
+            cls._cache[path] = cls(path)
+        return cls._cache[path]
+
+    def ratio(self, run: str) -> float:
+        return len(run) / max(1, len(self.enc.encode_ordinary(run)))
+
+
+def base_spans(text: str) -> list[tuple[str, int, int, bool]]:
+    out = []
+    if ASSIGN_WORDS.search(text):
+        out += [("assign", m.start(), m.end(), True) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
+    if "AKIA" in text:
+        out += [("access", m.start(), m.end(), True) for m in ACCESS.finditer(text) if m.end() - m.start() >= 18]
+    out += [("hex", m.start(), m.end(), True) for m in HEX.finditer(text)]
+    return out
+
+
+def known_identifier(text: str, start: int, stop: int) -> bool:
+    """Digests and UUIDs that texts quote on purpose."""
+    run = text[start:stop]
+    if UUID.search(run):
+        return True
+    return ALL_HEX.fullmatch(run) is not None and (len(run) in DIGEST_LENGTHS or DIGEST_NAME.search(text[max(0, start - 16) : start]) is not None)
+
+
+def random_spans(text: str, taken: list[tuple[str, int, int, bool]], test: Efficiency, ratio: float) -> list[tuple[str, int, int, bool]]:
+    out = []
+    for m in RUN.finditer(text):
+        a, b = m.span()
+        run = m[0]
+        classes = (any(c.isdigit() for c in run), any(c.islower() for c in run), any(c.isupper() for c in run))
+        if not classes[0] or sum(classes) < 2 or any(s < b and a < e for _, s, e, _ in taken) or known_identifier(text, a, b):
+            continue
+        if test.ratio(run) <= ratio:
+            out.append(("random", a, b, False))
+    return out
+
+
+def find_secrets(docs: DataFrame, ratio: float = RATIO, path: str | None = None) -> DataFrame:
+    """Per row of `docs`: doc_id and spans (kind, start, stop, base)."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path(VOCABULARY)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = Efficiency.of(path)
+        for batch, _, _ in vec.pieces(batches, "text"):
+            spans = []
+            for text in batch.column("text").to_pylist():
+                base = base_spans(text) if text else []
+                spans.append(ordered(base + random_spans(text, base, test, ratio), KINDS) if text else [])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(spans, SPAN)], ["doc_id", "spans"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, f"doc_id long, spans {SPAN_SQL}")
+
+
+def redact(docs: DataFrame, ratio: float = RATIO, path: str | None = None, mask: str = "[SECRET]") -> DataFrame:
+    """`docs` with every secret in its text replaced by a mask and n_chars set anew where the text changed; rows, order of columns and types stay."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path(VOCABULARY)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        test = Efficiency.of(path)
+        for batch, _, _ in vec.pieces(batches, "text"):
+            texts = batch.column("text").to_pylist()
+            sizes = batch.column("n_chars").to_pylist() if "n_chars" in batch.schema.names else None
+            for i, text in enumerate(texts):
+                base = base_spans(text) if text else []
+                spans = sorted((a, b) for _, a, b, _ in base + random_spans(text, base, test, ratio)) if text else []
+                if spans:
+                    parts, at = [], 0
+                    for a, b in spans:
+                        if a >= at:
+                            parts += [text[at:a], mask]
+                        at = max(at, b)
+                    texts[i] = "".join(parts) + text[at:]
+                    if sizes is not None:
+                        sizes[i] = len(texts[i])
+            columns = [
+                pa.array(texts, f.type) if f.name == "text" else pa.array(sizes, f.type) if f.name == "n_chars" else batch.column(k)
+                for k, f in enumerate(batch.schema)
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(find_secrets(table(spark, sf_dir, "documents")), KINDS[:3])
