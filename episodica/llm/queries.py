@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import op3_decontaminate
+from .personal_data import op4_personal_data
+from .quality import op2_quality
+from .secrets import op6_secrets
 from .token_counts import op8_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
     "op3_decontaminate": op3_decontaminate,
+    "op4_personal_data": op4_personal_data,
+    "op6_secrets": op6_secrets,
     "op8_token_counts": op8_token_counts,
 }
 

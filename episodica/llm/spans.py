@@ -23,5 +23,9 @@ def joined(spans: Column) -> Column:
 def digest(found: DataFrame, kinds: list[str]) -> DataFrame:
     """doc_id, a count of base spans per kind, a digest of base spans, and all spans as text."""
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}") for k in kinds]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in kinds]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
