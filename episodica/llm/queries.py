@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import op3_decontaminate
+from .ngram_join import op5_ngram_join
 from .personal_data import op4_personal_data
 from .quality import op2_quality
 from .secrets import op6_secrets
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_decontaminate": op3_decontaminate,
     "op4_personal_data": op4_personal_data,
+    "op5_ngram_join": op5_ngram_join,
     "op6_secrets": op6_secrets,
     "op8_token_counts": op8_token_counts,
 }
