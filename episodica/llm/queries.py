@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontaminate import op3_decontaminate
+from .mixing import op9_mixing
 from .ngram_join import op5_ngram_join
 from .personal_data import op4_personal_data
 from .quality import op2_quality
+from .search import ORACLE as TOP_K_SQL
+from .search import op7_top_k
 from .secrets import op6_secrets
 from .token_counts import op8_token_counts
+from .url_lists import ORACLE as URL_LISTS_SQL
+from .url_lists import op10_url_lists
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
@@ -19,7 +24,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_personal_data": op4_personal_data,
     "op5_ngram_join": op5_ngram_join,
     "op6_secrets": op6_secrets,
+    "op7_top_k": op7_top_k,
     "op8_token_counts": op8_token_counts,
+    "op9_mixing": op9_mixing,
+    "op10_url_lists": op10_url_lists,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_top_k": TOP_K_SQL, "op10_url_lists": URL_LISTS_SQL}
