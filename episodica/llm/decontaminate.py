@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import vec
-from .shared import table, written
+from .shared import semi_anti, table, written
 
 WINDOW = 13
 #: Characters of items in one automaton. A longer benchmark is scanned in several shards.
@@ -167,6 +167,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     return hit.select("doc_id", "n_words", "n_hit", "items", "spans", ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
+def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Rows of `docs` that aren't contaminated, with all their columns; rows are told apart by id and text."""
+    key = F.xxhash64("doc_id", "text")
+    found = decontaminate(docs.select(key.alias("doc_id"), "text"), benchmark)
+    gone = written(found.filter("contaminated").select("doc_id").distinct(), "contaminated").withColumnRenamed("doc_id", "_key")
+    return semi_anti(docs.withColumn("_key", key), gone, "_key").select(*docs.columns)
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from . import vec
 from .near import link, one_of_equal, set_key
-from .shared import semi, small, table, written
+from .shared import semi, semi_anti, small, table, written
 
 SHINGLE = 3
 PERCENT = 90
@@ -171,7 +171,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) ->
     """Rows of `docs` that stay: of every component its smallest doc_id, once. Documents without words all stay, rows without a doc_id too."""
     found = jaccard_components(docs, shingle, percent)
     out = written(found.filter("n_shingles > 0 and component_id <> doc_id").select("doc_id").distinct(), "gone")
-    kept = docs.join(F.broadcast(out) if small(out, 500_000) else out, "doc_id", "left_anti")
+    kept = semi_anti(docs, out, "doc_id")
     again = docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id")
     again = written(again, "again")
     if not again.limit(1).count():

@@ -35,5 +35,10 @@ def semi(df: DataFrame, ids: DataFrame, on: str, rows: int = 500_000) -> DataFra
     return df.join(F.broadcast(ids) if small(ids, rows) else ids, on, "left_semi")
 
 
+def semi_anti(df: DataFrame, ids: DataFrame, on: str, rows: int = 500_000) -> DataFrame:
+    """Rows of df whose key is not in ids; as `semi`."""
+    return df.join(F.broadcast(ids) if small(ids, rows) else ids, on, "left_anti")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
