@@ -11,6 +11,7 @@ from .mixing import op9_mixing
 from .ngram_join import op5_ngram_join
 from .personal_data import op4_personal_data
 from .quality import op2_quality
+from .repeats import op1_repeats
 from .search import ORACLE as TOP_K_SQL
 from .search import op7_top_k
 from .secrets import op6_secrets
@@ -19,6 +20,7 @@ from .url_lists import ORACLE as URL_LISTS_SQL
 from .url_lists import op10_url_lists
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repeats": op1_repeats,
     "op2_quality": op2_quality,
     "op3_decontaminate": op3_decontaminate,
     "op4_personal_data": op4_personal_data,
