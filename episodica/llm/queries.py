@@ -14,7 +14,7 @@ from .quality import op2_quality
 from .repeats import op1_repeats
 from .search import ORACLE as TOP_K_SQL
 from .search import op7_top_k
-from .secrets import op6_secrets
+from .secret_scan import op6_secrets
 from .token_counts import op8_token_counts
 from .url_lists import ORACLE as URL_LISTS_SQL
 from .url_lists import op10_url_lists
