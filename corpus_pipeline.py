@@ -12,7 +12,7 @@ from episodica.llm.decontaminate import keep_clean
 from episodica.llm.mixing import mix
 from episodica.llm.ngram_join import keep_one
 from episodica.llm.quality import keep_good
-from episodica.llm.secrets import redact
+from episodica.llm.secret_scan import redact
 from episodica.llm.shared import table, written
 
 
