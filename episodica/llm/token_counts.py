@@ -2,10 +2,10 @@
 
 1. Every task cuts its texts into pre-tokens and keeps the distinct ones.
 2. Distinct pre-tokens of all tasks are split by the vocabulary, each once.
-3. A document's count is the sum over its pre-tokens of frequency x pieces. The
-   pieces of step 2 are broadcast while they are fewer than `BROADCAST_ROWS`
-   entries of 8 + 2 bytes; a larger table is joined to the
-   (document, pre-token, frequency) rows with a shuffle.
+3. A document's count is the sum over its pre-tokens of frequency x pieces. Pieces
+   of the pre-tokens that most tasks have seen, at most `BROADCAST_ROWS` entries of
+   12 bytes, are broadcast; the others are joined to (document, pre-token,
+   frequency) rows with a shuffle.
 
 Special strings in a text are found before it is normalised, as the library does
 by default, and count one token each. No ids are made: only lengths of the
@@ -29,11 +29,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import vec
-from .shared import small, table, written
+from .shared import table, written
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
-BROADCAST_ROWS = 4_000_000
+BROADCAST_ROWS = 3_000_000
 #: Distinct pre-tokens that a task holds before it hands them on.
 TASK_PIECES = 400_000
 
@@ -103,31 +103,55 @@ def key_of(token: str) -> int:
 
 
 def distinct_pretokens(docs: DataFrame, path: str) -> DataFrame:
+    """token, spread (in how many hand-overs of tasks it was) of every distinct pre-token."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, seen, chars = PreTokens.of(path), set(), 0
-        for batch, raw, _ in vec.pieces(batches, "text"):
+        cutter, seen = PreTokens.of(path), set()
+        for batch, _, _ in vec.pieces(batches, "text"):
             for text in batch.column("text").to_pylist():
                 if text:
                     seen.update(cutter.cut(text)[0])
-            chars += len(raw)
             if len(seen) > TASK_PIECES:
                 yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], ["token"])
                 seen = set()
         yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], ["token"])
 
-    return docs.select("text").mapInArrow(run, "token string").distinct()
+    return docs.select("text").mapInArrow(run, "token string").groupBy("token").agg(F.count("*").alias("spread"))
 
 
 def piece_counts(docs: DataFrame, path: str) -> DataFrame:
-    """key, pieces of every distinct pre-token of the corpus."""
+    """key, pieces, spread of every distinct pre-token of the corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = PreTokens.of(path)
         for batch in batches:
             tokens = batch.column("token").to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array([key_of(t) for t in tokens], pa.int64()), pa.array(cutter.pieces(tokens), pa.int32())], ["key", "pieces"])
+            yield pa.RecordBatch.from_arrays([pa.array([key_of(t) for t in tokens], pa.int64()), pa.array(cutter.pieces(tokens), pa.int32()), batch.column("spread")], ["key", "pieces", "spread"])
+
+    return distinct_pretokens(docs, path).mapInArrow(run, "key long, pieces int, spread long")
+
 
-    return distinct_pretokens(docs, path).mapInArrow(run, "key long, pieces int")
+def least_spread(known: DataFrame, rows: int) -> int:
+    """The least spread from which on at most so many pre-tokens are left."""
+    total = 0
+    for spread, n in sorted(((r[0], r[1]) for r in known.groupBy("spread").count().collect()), reverse=True):
+        total += n
+        if total > rows:
+            return spread + 1
+    return 0
+
+
+def packed(known: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys and their pieces; travels as bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.column(c).to_numpy(zero_copy_only=False).astype(t).tobytes()], pa.binary()) for c, t in (("key", np.int64), ("pieces", np.int32))], ["key", "pieces"])
+
+    parts = [(np.frombuffer(r[0], np.int64), np.frombuffer(r[1], np.int32)) for r in known.select("key", "pieces").mapInArrow(run, "key binary, pieces binary").toLocalIterator()]
+    keys = np.concatenate([np.zeros(0, np.int64), *(p[0] for p in parts)])
+    order = np.argsort(keys)
+    return keys[order], np.concatenate([np.zeros(0, np.int32), *(p[1] for p in parts)])[order]
 
 
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -136,57 +160,54 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT, b
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = written(piece_counts(docs, path), "pieces")
-    if small(known, broadcast_rows):
-        got = known.toPandas()
-        order = np.argsort(got["key"].to_numpy())
-        shipped = spark.sparkContext.broadcast((got["key"].to_numpy()[order], got["pieces"].to_numpy()[order].astype(np.uint16 if got["pieces"].max() < 1 << 16 else np.int32) if len(got) else np.zeros(0, np.uint16)))
-        counted = _by_broadcast(docs, shipped, path)
-    else:
-        counted = _by_join(docs, known, path)
-    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
-
+    least = least_spread(known, broadcast_rows)
+    shipped = spark.sparkContext.broadcast(packed(known.filter(F.col("spread") >= least)))
 
-def _by_broadcast(docs: DataFrame, shipped, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
         cutter = PreTokens.of(path)
         keys, pieces = shipped.value
         memo: dict[str, int] = {}
         for batch, _, offs in vec.pieces(batches, "text"):
-            totals = []
-            for text in batch.column("text").to_pylist():
-                tokens, total = cutter.cut(text) if text else ([], 0)
+            doc, text_key, size, total, key, count = [], [], [], [], [], []
+            for d, text, n in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), np.diff(offs).tolist(), strict=True):
+                tokens, own = cutter.cut(text) if text else ([], 0)
                 freq = Counter(tokens)
                 missing = [t for t in freq if t not in memo]
-                if missing:
-                    memo.update(zip(missing, pieces[np.searchsorted(keys, [key_of(t) for t in missing])].tolist(), strict=True))
-                totals.append(total + sum(n * memo[t] for t, n in freq.items()))
+                if missing and len(keys):
+                    wanted = np.array([key_of(t) for t in missing])
+                    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+                    memo.update((t, k) for t, k, hit in zip(missing, pieces[at].tolist(), (keys[at] == wanted).tolist(), strict=True) if hit)
+                h = xxhash.xxh3_64_intdigest((text or "").encode("utf-8", "surrogatepass")) - (1 << 63) if least else 0
+                rest = 0
+                for t, k in freq.items():
+                    if t in memo:
+                        own += k * memo[t]
+                    else:
+                        rest += 1
+                        key.append(key_of(t))
+                        count.append(k)
+                doc += [d] * (1 + rest)
+                text_key += [h] * (1 + rest)
+                size += [n] + [None] * rest
+                total += [own] + [None] * rest
+                key.insert(len(key) - rest, None)
+                count.insert(len(count) - rest, None)
                 if len(memo) > TASK_PIECES:
                     memo.clear()
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(offs), pa.int64()), pa.array(totals, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
-
-    return docs.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
-
-
-def _by_join(docs: DataFrame, known: DataFrame, path: str) -> DataFrame:
-    rows = written(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "rows")
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (doc, text_key, size, total, key, count)], ["doc_id", "text_key", "n_bytes", "own", "key", "n"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter = PreTokens.of(path)
-        for batch, _, _ in vec.pieces(batches, "text", vec.PIECE_BYTES // 4):
-            row, key, count, marks = [], [], [], []
-            for r, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                tokens, special = cutter.cut(text) if text else ([], 0)
-                freq = Counter(tokens)
-                row += [r] * len(freq)
-                key += map(key_of, freq)
-                count += freq.values()
-                if special:
-                    row.append(r), key.append(None), count.append(special)
-            yield pa.RecordBatch.from_arrays([pa.array(row, pa.int64()), pa.array(key, pa.int64()), pa.array(count, pa.int64())], ["row", "key", "n"])
-
-    freq = rows.mapInArrow(run, "row long, key long, n long")
-    sums = freq.join(known, "key", "left").groupBy("row").agg(F.sum(F.col("n") * F.coalesce("pieces", F.lit(1))).alias("n_tokens"))
-    return rows.join(sums, "row", "left").select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"))
+    rows = docs.mapInArrow(run, "doc_id long, text_key long, n_bytes long, own long, key long, n long")
+    if not least:
+        counted = rows.select("doc_id", "n_bytes", F.col("own").alias("n_tokens"))
+    else:
+        rows = written(rows, "rows")
+        per = rows.filter("key is not null").groupBy("doc_id", "text_key", "key").agg(F.max("n").alias("n")).join(known.filter(F.col("spread") < least).select("key", "pieces"), "key")
+        sums = per.groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("t")).agg(F.sum(F.col("n") * F.col("pieces")).alias("rest"))
+        own = rows.filter("n_bytes is not null")
+        counted = own.join(sums, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("t")), "left").select("doc_id", "n_bytes", (F.col("own") + F.coalesce("rest", F.lit(0))).alias("n_tokens"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
