@@ -1,10 +1,8 @@
-"""All queries of the library with their SQL, gathered from the operator modules."""
+"""All queries of the library with their SQL, gathered from the plan modules."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import segmentation, signals  # noqa: F401
+from .registry import ORACLES, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
