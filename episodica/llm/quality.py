@@ -7,7 +7,7 @@ coordinate descent; a sigmoid fit on rows kept aside turns margins into scores.
 
 Labels are read only from rows whose crc32(doc_id as text) mod 3 is not 1.  The
 log-count ratios count every such row, in the tasks; the hinge-loss model and the
-sigmoid see at most `SAMPLE_ROWS` of them, chosen by hash.  Labels, lang, source
+sigmoid see at most `SAMPLE_ROWS` of them, chosen by a hash of the id.  Labels, lang, source
 and doc_id never enter a score.
 
 Edge cases: null and empty texts have no n-grams and get the score of the bias
@@ -154,26 +154,25 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     """Fits on labelled rows outside the held-out fold."""
     known = labels.filter(F.col("quality").isin(0, 1) & ~held_out()).select("doc_id", "quality")
     rows = docs.filter(~held_out() & F.col("text").isNotNull()).select("doc_id", "text")
-    rows = rows.join(F.broadcast(known) if small(known, 1_000_000) else known, "doc_id").select("text", "quality", F.xxhash64("text").alias("h"))
+    rows = rows.join(F.broadcast(known) if small(known, 1_000_000) else known, "doc_id").select("text", "quality", F.xxhash64("doc_id").alias("h"))
     ratios = log_count_ratios(rows)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, raw, offs in vec.pieces(batches, "text"):
             row, ids = features(raw, offs)
             first = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("quality"), vec.list_column([ids[a:b].astype(np.int32) for a, b in zip(first, first[1:], strict=False)], pa.int32())], ["h", "quality", "ids"])
+            packed = pa.array([ids[a:b].astype(np.int32).tobytes() for a, b in zip(first, first[1:], strict=False)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("quality"), packed], ["h", "quality", "ids"])
 
     total = known.count()
-    some = rows
-    if total > 2 * sample_rows:
-        some = rows.filter(F.col("h") <= int(-(2**63) + 2**64 * min(1.0, 1.3 * sample_rows / total)))
-    got = some.mapInArrow(pick, "h long, quality int, ids array<int>").orderBy("h", "quality").limit(sample_rows).toPandas()
-    y = np.where(got["quality"].to_numpy() == 1, 1.0, -1.0) if len(got) else np.zeros(0)
+    some = rows if total <= sample_rows else rows.filter(F.col("h") <= int(-(2**63) + 2**64 * (sample_rows / total)))
+    got = sorted((r[0], r[1], bytes(r[2])) for r in some.mapInArrow(pick, "h long, quality int, ids binary").toLocalIterator())[:sample_rows]
+    y = np.array([1.0 if r[1] == 1 else -1.0 for r in got])
     if len(set(y.tolist())) < 2:
         share = (y > 0).mean() if len(y) else 0.5
         return Model(np.zeros(1 << BITS), ratios, 0.0, 0.0, float(np.log((share + 1e-3) / (1 - share + 1e-3))))
-    at = [np.asarray(x, np.int64) for x in got["ids"]]
-    val = [ratios[i] for i in at]
+    at = [np.frombuffer(r[2], np.int32) for r in got]
+    val = [ratios[i].astype(np.float32) for i in at]
     val = [v / max(1e-6, float(np.sqrt(v @ v))) for v in val]
     aside = np.arange(len(y)) % 4 == 0
     if len(set(y[aside].tolist())) < 2 or len(set(y[~aside].tolist())) < 2:
