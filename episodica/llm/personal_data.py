@@ -17,7 +17,8 @@ at once; a token whose belief in a label passes one half becomes an added span.
 Training.  Node weights are a softmax regression on the shapes of at most
 `SAMPLE_DOCS` documents that hold such tokens, chosen by hash, with base spans as
 labels; chain and skip weights are log odds of label agreement over the same
-edges.  Scanning and inference cover every document.
+edges.  Tokens outside base spans that repeat or resemble one inside are left out of
+both: whether they are personal data is what the field infers.  Scanning and inference cover every document.
 
 Edge cases: null and empty texts have no spans; offsets are code points with an
 exclusive end; repeated rows give repeated results; without any base span in the
@@ -165,13 +166,29 @@ class Graph:
                 last[form] = node
 
 
+def latent(graph: Graph) -> np.ndarray:
+    """Nodes outside base spans that repeat or resemble a node in one: their label is not known, so they teach nothing."""
+    held = np.array(graph.label, int) > 0
+    near = held.copy()
+    edges = np.array(graph.skip, int).reshape(-1, 2)
+    while len(edges):
+        more = near.copy()
+        more[edges[near[edges[:, 0]], 1]] = True
+        more[edges[near[edges[:, 1]], 0]] = True
+        if (more == near).all():
+            break
+        near = more
+    return near & ~held
+
+
 def fit(graph: Graph, rounds: int = 150) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Node weights (features x labels), chain and skip log potentials (labels x labels)."""
     n = len(KINDS) + 1
     weights = np.zeros((FEATURES, n))
     y = np.maximum(np.array(graph.label, int), 0)
+    hidden = latent(graph)
     if len(y) and y.any():
-        x = np.array(graph.ids)
+        x, y = np.array(graph.ids)[~hidden], y[~hidden]
         target = np.eye(n)[y]
         step = np.zeros_like(weights)
         for _ in range(rounds):
@@ -184,10 +201,13 @@ def fit(graph: Graph, rounds: int = 150) -> tuple[np.ndarray, np.ndarray, np.nda
             weights += 0.5 * g / (np.sqrt(step) + 1e-8)
             weights *= 0.9995
 
+    label = np.maximum(np.array(graph.label, int), 0)
+
     def pairs(edges: list[tuple[int, int]]) -> np.ndarray:
         counts = np.ones((n, n)) + np.eye(n)
         for a, b in edges:
-            counts[y[a], y[b]] += 1
+            if not (hidden[a] or hidden[b]):
+                counts[label[a], label[b]] += 1
         share = counts / counts.sum()
         lift = np.log(share / (share.sum(1, keepdims=True) * share.sum(0, keepdims=True)))
         return np.clip(lift, -3, 3)
