@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .windows import before, island, ordered, whole
+from .windows import before, island, ordered
 
 Keys = Sequence[str]
 WILD = ("none", "unknown")
@@ -34,34 +34,31 @@ def change_points(df: DataFrame, keys: Keys, order: str) -> DataFrame:
     return df.withColumn("change", change)
 
 
-def idle_boundaries(df: DataFrame, keys: Keys, order: str, time: str, idle_sec: float) -> DataFrame:
-    """Rows where a run without contact of `idle_sec` or longer begins or ends (its last row where the episode ends)."""
+def mark_idle(df: DataFrame, keys: Keys, order: str, time: str, idle_sec: float) -> DataFrame:
+    """Adds idle_edge: rows where a run without contact of `idle_sec` or longer begins or ends (its last row where the episode ends). Windows of one partitioning, no join."""
     w = ordered(keys, order)
-    df = island(df, F.col("contact"), w, "_run").withColumns({"_n": F.max(order).over(whole(w)), "_end": F.max(time).over(whole(w))})
-    runs = df.filter(~F.col("contact")).groupBy(*keys, "_run").agg(F.min(order).alias("lo"), F.max(order).alias("hi"), F.min(time).alias("t0"), F.max("_n").alias("n"), F.max("_end").alias("end"))
-    ends = df.select(*keys, (F.col(order) - 1).alias("hi"), F.col(time).alias("t1"))
-    runs = runs.join(ends, [*keys, "hi"], "left")
-    long = runs.filter(F.coalesce("t1", "end") - F.col("t0") >= idle_sec)
-    at = F.array("lo", F.when(F.col("hi") == F.col("n"), F.col("n")).otherwise(F.col("hi") + 1))
-    return long.select(*keys, F.explode(at).alias(order)).distinct()
+    df = island(df, F.col("contact"), w, "_run").withColumns({"_next": F.coalesce(F.lead(time).over(w), F.col(time)), "_is_last": F.lead(order).over(w).isNull()})
+    run = Window.partitionBy(*keys, "_run")
+    df = df.withColumns({"_long": ~F.col("contact") & (F.max("_next").over(run) - F.min(time).over(run) >= idle_sec), "_first": F.col(order) == F.min(order).over(run)})
+    after_long = F.coalesce(F.lag("_long").over(w), F.lit(False))
+    return df.withColumn("idle_edge", (F.col("_first") & (F.col("_long") | after_long)) | (F.col("_long") & F.col("_is_last"))).drop("_run", "_next", "_is_last", "_long", "_first")
+
+
+def idle_boundaries(df: DataFrame, keys: Keys, order: str, time: str, idle_sec: float) -> DataFrame:
+    return mark_idle(df, keys, order, time, idle_sec).filter("idle_edge").select(*keys, order)
 
 
 def segments(df: DataFrame, keys: Keys, order: str, time: str, idle_sec: float = 1.0) -> DataFrame:
-    """Half-open intervals between change points and idle boundaries: state and grasp of the middle row, the object most frequent in it (first seen on ties)."""
-    df = change_points(frame_states(df), keys, order)
-    idle = idle_boundaries(df, keys, order, time, idle_sec).withColumn("_idle", F.lit(True))
-    w = ordered(keys, order)
-    df = df.join(idle, [*keys, order], "left").withColumn("_type", F.coalesce("change", F.when(F.col("_idle"), "idle")))
-    df = df.withColumn("seg", F.sum(F.col("_type").isNotNull().cast("int")).over(before(w)))
-    objects = df.filter("contact").groupBy(*keys, "seg", "object_name").agg(F.count("*").alias("_c"), F.min(order).alias("_at")).groupBy(*keys, "seg").agg(F.max_by("object_name", F.struct("_c", -F.col("_at"))).alias("object_name"))
-    built = df.groupBy(*keys, "seg").agg(F.min(order).alias("start_frame"), (F.max(order) + 1).alias("end_frame"), F.min(time).alias("start_time"), F.max(time).alias("last_time"))
+    """Half-open intervals between change points and idle boundaries. Between two of them contact, grasp and object stay the same, so any row of a segment has them."""
+    df = mark_idle(change_points(frame_states(df), keys, order), keys, order, time, idle_sec)
+    df = df.withColumn("_type", F.coalesce("change", F.when(F.col("idle_edge"), "idle")))
+    df = df.withColumn("seg", F.sum(F.col("_type").isNotNull().cast("int")).over(before(ordered(keys, order))))
+    built = df.groupBy(*keys, "seg").agg(
+        F.min(order).alias("start_frame"), (F.max(order) + 1).alias("end_frame"), F.min(time).alias("start_time"), F.max(time).alias("last_time"), F.max("_type").alias("_type"),
+        F.when(F.first("contact"), "contact").otherwise("no_contact").alias("state"), F.first("grip").alias("grasp"), F.max(F.when(F.col("contact"), F.col("object_name"))).alias("object_name"),
+    )
     v = Window.partitionBy(*keys).orderBy("seg")
-    built = built.withColumn("end_time", F.coalesce(F.lead("start_time").over(v), "last_time"))
-    mid = built.select(*keys, "seg", F.floor((F.col("start_frame") + F.col("end_frame")) / 2).cast("int").alias("_mid"), F.max("end_frame").over(Window.partitionBy(*keys)).alias("_n"))
-    mid = mid.select(*keys, "seg", F.least(F.col("_mid"), F.col("_n") - 1).alias(order)).join(df.select(*keys, order, "contact", "grip"), [*keys, order]).drop(order)
-    ends = df.filter("_type is not null").select(*keys, F.col(order).alias("end_frame"), F.col("_type").alias("transition"))
-    out = built.join(mid, [*keys, "seg"]).join(objects, [*keys, "seg"], "left").join(ends, [*keys, "end_frame"], "left")
-    return out.select(*keys, "seg", "start_frame", "end_frame", "start_time", "end_time", F.coalesce("transition", F.lit("end")).alias("transition"), F.when(F.col("contact"), "contact").otherwise("no_contact").alias("state"), F.col("grip").alias("grasp"), "object_name")
+    return built.select(*keys, "seg", "start_frame", "end_frame", "start_time", F.coalesce(F.lead("start_time").over(v), "last_time").alias("end_time"), F.coalesce(F.lead("_type").over(v), F.lit("end")).alias("transition"), "state", "grasp", "object_name")
 
 
 _SEGMENT = ["start_frame", "end_frame", "start_time", "end_time", "transition", "state", "grasp", "object_name"]
