@@ -35,7 +35,9 @@ SCALE = 64
 LEVELS = (4, 16)
 #: Queries of a block, and rows that a task scores at a time.
 BLOCK = 4096
-CHUNK = 1024
+CHUNK = 256
+#: Pairs that are gathered at a time.
+PAIRS = 1 << 16
 
 
 def lists(column: pa.Array) -> list[np.ndarray | None]:
@@ -67,7 +69,10 @@ class Block:
         self.best: list[list[tuple[float, int]]] = [[] for _ in ids]
 
     def exact(self, q: np.ndarray, c: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Integer inner products of pairs: one product of the two sides where many pairs are left, else pair by pair."""
         if self.most * float(np.abs(x).max(initial=0)) * max(1, x.shape[1]) < 2**52:
+            if len(q) * 16 > len(self.x) * len(x):
+                return (self.x @ x.T)[q, c].astype(np.int64)
             return np.einsum("ij,ij->i", self.x[q], x[c]).astype(np.int64)
         return np.array([sum(int(a) * int(b) for a, b in zip(self.x[i], x[j], strict=True)) for i, j in zip(q, c, strict=True)], object)
 
@@ -75,22 +80,21 @@ class Block:
         """Takes candidates: bounds level by level, then exact scores of the survivors."""
         if not len(ids):
             return
-        q = c = None
-        norms = (self.x * self.x).sum(1), (x * x).sum(1)
-        slack = 1e-9 * (1 + norms[0].max(initial=0) + norms[1].max(initial=0))
+        slack = 1e-9 * (1 + (self.x * self.x).sum(1).max(initial=0) + (x * x).sum(1).max(initial=0))
+        left = self.ids[:, None] != ids[None, :]
         for level in self.levels:
             other = segment_stats(x, level.shape[1] // 2)
-            if q is None:
-                q, c = np.nonzero(level @ other.T + slack >= self.floor[:, None])
+            if left.mean() > 1 / 16:
+                left &= level @ other.T + slack >= self.floor[:, None]
             else:
-                ok = np.einsum("ij,ij->i", level[q], other[c]) + slack >= self.floor[q]
-                q, c = q[ok], c[ok]
-        if q is None:
-            q, c = (a.ravel() for a in np.meshgrid(np.arange(len(self.ids)), np.arange(len(ids)), indexing="ij"))
-        ok = self.ids[q] != ids[c]
-        q, c = q[ok], c[ok]
-        for at in range(0, len(q), 1 << 18):
-            qs, cs = q[at : at + (1 << 18)], c[at : at + (1 << 18)]
+                q, c = np.nonzero(left)
+                for at in range(0, len(q), PAIRS):
+                    qs, cs = q[at : at + PAIRS], c[at : at + PAIRS]
+                    left[qs, cs] = np.einsum("ij,ij->i", level[qs], other[cs]) + slack >= self.floor[qs]
+        q, c = np.nonzero(left)
+        step = PAIRS if len(q) * 16 <= left.size else max(1, len(q))
+        for at in range(0, len(q), step):
+            qs, cs = q[at : at + step], c[at : at + step]
             score = self.exact(qs, cs, x)
             ok = score >= self.floor[qs]
             qs, cs, score = qs[ok], cs[ok], score[ok]
