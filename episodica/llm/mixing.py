@@ -87,8 +87,8 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
 
 
 def _place(key: Column) -> Column:
-    """A place in 0 to 1 that grows with the key, so that bins hold alike many documents."""
-    return 1 - F.exp(-key)
+    """A place in 0 to 1 that grows with the key. Its bins stay fine for large keys too, those of documents of low weight."""
+    return key / (1 + key)
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = SEED, bins: int = BINS) -> DataFrame:
