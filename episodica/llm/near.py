@@ -1,17 +1,29 @@
-"""Links between shingle sets: blocks of candidates, exact verification, components.
+"""Links between shingle sets: blocks of candidates, pivots, exact verification, components.
 
 A *node* is one distinct shingle set, named by a 64-bit key of the set; copies share
-a node.  Callers bring *blocks* (sig, node, n): nodes that share a signature, n being
-the set's size.  `link` finds the components of all links between nodes of a block
-without listing all pairs of a block:
-
-1. Star rounds: one hub of every block is compared with the block's other nodes.
-   Blocks whose nodes are in one component by then are done.
-2. The rest is settled exactly: nodes outside a block's largest component are
-   compared with the block's nodes of other components.
-
-Pairs are verified on the whole texts; a hub with many partners is dealt over many
-tasks, each holding at most `PER_TASK` of its partners.
+a node.  Two nodes link if 100 * |intersection| >= percent * |union|.  Callers bring
+*blocks* (sig, node): nodes that share a signature, such that linked nodes meet in a
+block.  `link` finds the components of all links without listing the pairs of a block:
+
+1. Blocks whose nodes are in one component are done.
+2. Blocks of at most `SMALL` nodes: every node has a parity bitmap of its set.  The bits
+   in which two bitmaps differ are at most the shingles in which the sets differ, and
+   linked sets differ in at most T = (100 - percent) / (100 + percent) * (|x| + |y|), so
+   pairs with more such bits go.  Of the others a spanning forest of the closest is
+   compared on whole texts first; then all that its links have not brought together.
+3. In larger blocks one node is the pivot h, one with the fewest rare shingles, and all
+   nodes x are compared with it.  Let d(x) be the symmetric difference of x and h.  If x
+   and y link, the symmetric difference of d(x) and d(y) is that of x and y, at most T.
+   Either d(x) and d(y) are disjoint: then both link with h and need no comparison.  Or
+   they share a part; fewer than T + 1 parts of d(x) are missing in d(y), so the first
+   shared part is among the first T + 1 of both, in any order that depends on h only:
+   rare parts that x adds, then what it lacks, then what h itself lacks or adds.  If x
+   links with h and y does not, more than (1 - c) / 2 of d(x) is shared, c being
+   T / (|x| + |y|), so fewer parts do.  These parts, with h, are the next round's
+   signatures: rows in proportion to the sets, whatever a block's size.  The next
+   round's blocks lie within this one's and lack their pivots, so rounds end.
+
+A pivot with many nodes is dealt over many tasks, each with at most `PER_TASK`.
 """
 
 from __future__ import annotations
@@ -20,14 +32,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import vec
-from .shared import small, written
+from .shared import semi, small, written
 
 PER_TASK = 64
-STAR_ROUNDS = 3
+SMALL = 1024
 U64 = np.uint64
 
 
@@ -56,13 +68,94 @@ def components(edges: DataFrame) -> DataFrame:
         labels = labels.select("node", "label")
 
 
-def compare(pairs: DataFrame, texts: DataFrame, shingle: int, alike: Callable[[int, int, int], bool], table: np.ndarray = vec.SPACED, is_word: np.ndarray = vec.SPACED_WORD) -> DataFrame:
-    """Rows (a, b) of `pairs` whose sets are alike. texts: node, text. alike: of both sizes and the intersection's."""
+def difference_most(n: int, k: int, percent: int) -> int:
+    """How many shingles linked sets of n and k can differ in at most."""
+    return (100 - percent) * (n + k) // (100 + percent)
+
+
+def parts_of(own: np.ndarray, pivot: np.ndarray, percent: int, rare: Callable[[np.ndarray], np.ndarray] | None = None) -> tuple[bool, np.ndarray]:
+    """Whether the sets link, and the first parts of their symmetric difference."""
+    added, lacked = np.setdiff1d(own, pivot, assume_unique=True), np.setdiff1d(pivot, own, assume_unique=True)
+    s, n = len(added) + len(lacked), len(own)
+    linked = s <= difference_most(n, len(pivot), percent)
+    most = s - int(s * percent // (100 + percent)) if linked else difference_most(n, 100 * n // percent, percent) + 1
+    if rare is not None:
+        a, k = rare(added), rare(lacked)
+        return linked, np.concatenate([added[a], lacked[~k], added[~a], lacked[k]])[:most]
+    return linked, np.concatenate([added, lacked])[:most]
+
+
+def bitmap(own: np.ndarray) -> bytes:
+    """Parity bits of a set, as many as a power of two that is at least its size, 64 at least."""
+    size = max(64, 1 << (len(own) - 1).bit_length())
+    return np.packbits((np.bincount((own & U64(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _apart(block: pa.StructArray, percent: int) -> np.ndarray:
+    """Of all pairs of a block: how far their bitmaps differ beyond what linked sets may (scaled; over 0: not linked). Bitmaps of twice the size are folded: sets of linked sizes have no others."""
+    n = block.field("n").to_numpy(zero_copy_only=False).astype(np.int64)
+    raw = block.field("bits").to_pylist()
+    size = np.array([len(b) for b in raw])
+    out = np.ones((len(n), len(n)), np.int64)
+    for width in np.unique(size):
+        same, twice = np.flatnonzero(size == width), np.flatnonzero(size == 2 * width)
+        full = np.frombuffer(b"".join(raw[i] for i in same), U64).reshape(len(same), -1)
+        wide = np.frombuffer(b"".join(raw[i] for i in twice), U64).reshape(len(twice), 2 * full.shape[1])
+        other, bits = np.concatenate([same, twice]), np.concatenate([full, wide[:, : full.shape[1]] ^ wide[:, full.shape[1] :]])
+        step = max(1, (1 << 20) // max(1, bits.size))
+        for at in range(0, len(same), step):
+            own = same[at : at + step]
+            bits_apart = np.bitwise_count(full[at : at + step, None, :] ^ bits[None, :, :]).sum(2, dtype=np.int64)
+            beyond = (100 + percent) * bits_apart - (100 - percent) * (n[own][:, None] + n[other][None, :])
+            beyond[100 * np.minimum(n[own][:, None], n[other][None, :]) < percent * np.maximum(n[own][:, None], n[other][None, :])] = 1
+            out[np.ix_(own, other)] = beyond
+            out[np.ix_(other, own)] = beyond.T
+    return out
+
+
+def _forest(cost: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
+    """Edges of a spanning forest over pairs of cost 0 or less, cheapest first; nodes of one label are joined beforehand."""
+    far = 1 << 60
+    cost = np.where(label[:, None] == label[None, :], -far, np.where(cost <= 0, cost, far))
+    best, parent, done, edges = np.full(len(label), far), np.zeros(len(label), np.int64), np.zeros(len(label), bool), []
+    for _ in range(len(label)):
+        j = int(np.argmin(np.where(done, far + 1, best)))
+        if best[j] < far and label[parent[j]] != label[j]:
+            edges.append((int(parent[j]), j))
+        done[j] = True
+        nearer = cost[j] < best
+        best[nearer], parent[nearer] = cost[j][nearer], j
+    return edges
+
+
+def close_pairs(blocks: DataFrame, percent: int) -> DataFrame:
+    """a, b: pairs of a block, of different labels, that their bitmaps don't part. blocks: age, nodes (array of node, label, n, bits).
+
+    At age 0 only a forest of the closest pairs that joins the block's labels is asked
+    for; at age 1, when its links have merged labels, all pairs that are left.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: set[tuple[int, int]] = set()
+            for age, block in zip(batch.column("age").to_pylist(), batch.column("nodes"), strict=True):
+                node, label = (block.values.field(c).to_numpy(zero_copy_only=False) for c in ("node", "label"))
+                cost = _apart(block.values, percent)
+                pairs = _forest(cost, label) if age == 0 else np.argwhere((cost <= 0) & (label[:, None] < label[None, :])).tolist()
+                out.update((max(a, b), min(a, b)) for a, b in ((int(node[i]), int(node[k])) for i, k in pairs))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    return blocks.select("age", "nodes").mapInArrow(run, "a long, b long").distinct()
+
+
+def compare(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int, rare: Callable[[np.ndarray], np.ndarray] | None = None, table: np.ndarray = vec.SPACED, is_word: np.ndarray = vec.SPACED_WORD) -> DataFrame:
+    """a, b, linked, r (rare shingles of a), and of pairs with a pivot b the next round's signatures of a. pairs: a, b, pivot. texts: node, text."""
     hosts = pairs.groupBy("b").agg(F.ceil(F.count("*") / PER_TASK).cast("int").alias("parts"))
-    keyed = pairs.join(F.broadcast(hosts) if small(hosts, 500_000) else hosts, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"))
+    keyed = pairs.join(F.broadcast(hosts) if small(hosts, 500_000) else hosts, "b").select("a", "b", "pivot", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"))
     keyed = written(keyed, "pairs")
-    wanted = keyed.select("b", "part", F.lit(1).alias("role"), F.col("a").alias("node")).union(keyed.select("b", "part").distinct().select("b", "part", F.lit(0), F.col("b")))
-    dealt = wanted.join(texts.select("node", "text"), "node").repartition("b", "part").sortWithinPartitions("b", "part", "role", "node")
+    wanted = keyed.select("b", "part", F.when(F.col("pivot"), 2).otherwise(1).alias("role"), F.col("a").alias("node")).union(keyed.select("b", "part").distinct().select("b", "part", F.lit(0), F.col("b")))
+    wanted = wanted.join(texts.select("node", "text"), "node") if not small(wanted, 500_000) else texts.select("node", "text").join(F.broadcast(wanted), "node")
+    dealt = wanted.select("b", "part", "role", "node", "text").repartition("b", "part").sortWithinPartitions("b", "part", "role", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
@@ -70,17 +163,22 @@ def compare(pairs: DataFrame, texts: DataFrame, shingle: int, alike: Callable[[i
         kept = np.zeros(0, U64)
         for batch, raw, offs in vec.pieces(batches, "text"):
             sets = vec.shingle_sets(vec.find_words(raw, offs, table, is_word), shingle)
-            out = []
+            a, hub, linked, r, sigs = [], [], [], [], []
             for b, part, role, node, own in zip(*(batch.column(c).to_pylist() for c in ("b", "part", "role", "node")), sets, strict=True):
                 if set_key(own) != node:
                     continue  # another text under the same id
                 if role == 0:
                     host, kept = (b, part), own
-                elif host == (b, part) and alike(len(own), len(kept), len(np.intersect1d(own, kept, assume_unique=True))):
-                    out.append((node, b))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
+                elif host == (b, part):
+                    yes, parts = parts_of(own, kept, percent, rare)
+                    a.append(node)
+                    hub.append(b)
+                    linked.append(yes)
+                    r.append(0 if rare is None else int(rare(own).sum()))
+                    sigs.append(vec.mix(parts ^ vec.mix(np.array([b], np.int64).view(U64))) if role == 2 else parts[:0])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(hub, pa.int64()), pa.array(linked, pa.bool_()), pa.array(r, pa.int32()), vec.list_column(sigs, pa.int64())], ["a", "b", "linked", "r", "sigs"])
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(run, "a long, b long, linked boolean, r int, sigs array<long>")
 
 
 def one_of_equal(postings: DataFrame) -> DataFrame:
@@ -89,45 +187,31 @@ def one_of_equal(postings: DataFrame) -> DataFrame:
     return prints.filter("lo < hi").groupBy("k", "x", "y").agg(F.min("sig").alias("sig")).select("sig")
 
 
-def link(blocks: DataFrame, texts: DataFrame, shingle: int, alike: Callable[[int, int, int], bool], fits: Callable[[Column, Column], Column], rounds: int = STAR_ROUNDS) -> DataFrame:
-    """node, label of every node that is linked with another. blocks: sig, node, n."""
-    blocks = written(blocks.select("sig", "node", "n"), "blocks")
-    links = compared = labels = None
+def link(blocks: DataFrame, marks: DataFrame, texts: DataFrame, shingle: int, percent: int, rare: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
+    """node, label of every node that is linked with another.
 
-    def labelled() -> DataFrame:
-        """Blocks that still hold several components, with their nodes' labels."""
-        state = blocks.withColumn("label", F.col("node")) if labels is None else blocks.join(labels, "node", "left").select("sig", "node", "n", F.coalesce("label", "node").alias("label"))
+    blocks: sig, node, r (how many rare shingles). marks: node, n, bits. texts: node, text. rare: which shingles are."""
+    blocks = written(blocks.select("sig", "node", "r", F.lit(0).alias("age")), "blocks")
+    links = labels = None
+    while True:
+        state = blocks.withColumn("label", F.col("node"))
         if labels is not None:
-            state = written(state, "state")
-        wide = state.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("sig")
-        return state.join(wide, "sig", "left_semi") if labels is not None else state
-
-    def check(found: DataFrame) -> None:
-        nonlocal links, compared, labels
-        pairs = found.distinct()
-        if compared is not None:
-            pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        pairs = written(pairs, "asked")
-        new = written(compare(pairs, texts, shingle, alike), "links")
-        compared = pairs if compared is None else compared.union(pairs)
+            state = written(blocks.join(labels, "node", "left").select("sig", "node", "r", "age", F.coalesce("label", "node").alias("label")), "state")
+        info = state.groupBy("sig").agg(F.count("*").alias("k"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by("node", F.struct("r", "node")).alias("b")).filter("lo < hi")
+        info = written(info.select("sig", "k", "b"), "sizes")
+        small_blocks = state.join(info.filter(F.col("k") <= SMALL).select("sig"), "sig")
+        marked = small_blocks.join(marks.select("node", "n", "bits"), "node")
+        near = close_pairs(marked.groupBy("sig").agg(F.first("age").alias("age"), F.collect_list(F.struct("node", "label", "n", "bits")).alias("nodes")), percent)
+        far = state.join(info.filter(F.col("k") > SMALL).select("sig", "b"), "sig").filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
+        asked = written(near.withColumn("pivot", F.lit(False)).unionByName(far.withColumn("pivot", F.lit(True))), "asked")
+        if labels is not None and not asked.limit(1).count():
+            return labels
+        found = written(compare(asked, texts, shingle, percent, rare), "compared")
+        new = found.filter("linked").select("a", "b")
         if links is None or new.limit(1).count():
             links = new if links is None else links.union(new)
             labels = components(links)
-
-    for r in range(rounds):
-        now = labelled()
-        if r:
-            now = written(now, "open")
-            if not now.limit(1).count():
-                return labels
-        by = F.struct((F.xxhash64("node", F.lit(r)) if r else F.col("node")).alias("order"), "node", "n", "label")
-        hubs = now.groupBy("sig").agg(F.min(by).alias("hub"))
-        pairs = now.join(hubs, "sig").filter((F.col("node") != F.col("hub.node")) & (F.col("label") != F.col("hub.label")) & fits(F.col("n"), F.col("hub.n")))
-        check(pairs.select(F.greatest("node", "hub.node").alias("a"), F.least("node", "hub.node").alias("b")))
-    now = written(labelled(), "open")
-    if now.limit(1).count():
-        most = now.groupBy("sig", "label").agg(F.count("*").alias("k")).groupBy("sig").agg(F.max(F.struct("k", "label")).alias("m")).select("sig", F.col("m.label").alias("most"))
-        few = now.join(most, "sig").filter("label <> most").select("sig", F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("label").alias("label2"))
-        pairs = now.join(few, "sig").filter((F.col("label") != F.col("label2")) & fits(F.col("n"), F.col("n2")))
-        check(pairs.select(F.greatest("node", "node2").alias("a"), F.least("node", "node2").alias("b")))
-    return labels
+        flat = found.select(F.explode("sigs").alias("sig"), F.col("a").alias("node"), "r")
+        split = semi(flat, written(one_of_equal(flat), "shared"), "sig").withColumn("age", F.lit(0))
+        again = small_blocks.filter("age = 0").select("sig", "node", "r", F.lit(1).alias("age"))
+        blocks = written(split.select("sig", "node", "r", "age").unionByName(again), "blocks")

@@ -30,19 +30,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import vec
-from .near import link, one_of_equal, set_key
+from .near import bitmap, link, one_of_equal, set_key
 from .shared import semi, semi_anti, small, table, written
 
 SHINGLE = 3
 PERCENT = 90
 #: Counters of the sketch (2 ** SKETCH_BITS), and the count from which a shingle is frequent, beside twice the mean load.
-SKETCH_BITS = 22
+SKETCH_BITS = 24
 FREQUENT = 64
-_PART = 1 << 14
+_PART = 1 << 16
 _FREQUENT_CLASS = 64
 U64 = np.uint64
 
@@ -70,6 +70,22 @@ def signatures(own: np.ndarray, classes: np.ndarray, percent: int = PERCENT) ->
     return np.concatenate([single, pairs])
 
 
+def _pack(part: np.ndarray) -> bytes:
+    """Counters as bytes: places and counts where few are set, else compressed."""
+    at = np.flatnonzero(part)
+    if len(at) * 24 < len(part):
+        return b"s" + at.astype(np.uint16).tobytes() + part[at].tobytes()
+    return b"z" + zlib.compress(part.tobytes(), 1)
+
+
+def _add(total: np.ndarray, packed: bytes) -> None:
+    if packed[:1] == b"z":
+        total += np.frombuffer(zlib.decompress(packed[1:]), np.uint32)
+    else:
+        n = (len(packed) - 1) // 6
+        total[np.frombuffer(packed, np.uint16, n, 1)] += np.frombuffer(packed, np.uint32, n, 1 + 2 * n)
+
+
 def _first_pass(docs: DataFrame, shingle: int) -> DataFrame:
     """Rows doc_id, node, n of every document, and the tasks' parts of the sketch."""
 
@@ -84,7 +100,7 @@ def _first_pass(docs: DataFrame, shingle: int) -> DataFrame:
         def row(ids, nodes, n, part, counts):
             k = len(n) if n is not None else len(part)
             none = lambda t: pa.nulls(k, t)
-            salt = pa.array([TaskContext.get().partitionId() % 32] * k, pa.int32())
+            salt = pa.array([TaskContext.get().partitionId() % 4] * k, pa.int32())
             return pa.RecordBatch.from_arrays(
                 [none(pa.int64()) if ids is None else ids, none(pa.int64()) if nodes is None else pa.array(nodes, pa.int64()), none(pa.int32()) if n is None else pa.array(n, pa.int32()),
                  none(pa.int32()) if part is None else pa.array(part, pa.int32()), salt, none(pa.binary()) if counts is None else pa.array(counts, pa.binary())], names)
@@ -99,13 +115,14 @@ def _first_pass(docs: DataFrame, shingle: int) -> DataFrame:
                     seen.add(key)
                     new.append(own)
             if new:
-                counts += np.bincount((np.concatenate(new) >> U64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS).astype(np.uint32)
+                at, times = np.unique(np.concatenate(new) >> U64(64 - SKETCH_BITS), return_counts=True)
+                counts[at.astype(np.int64)] += times.astype(np.uint32)
             if len(seen) > 1_000_000:
                 seen.clear()
             yield row(batch.column("doc_id"), nodes, n, None, None)
         parts = counts.reshape(-1, _PART)
         some = np.flatnonzero(parts.any(1))
-        yield row(None, None, None, some, [zlib.compress(parts[i].tobytes(), 1) for i in some])
+        yield row(None, None, None, some, [_pack(parts[i]) for i in some])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, node long, n int, part int, salt int, counts binary")
 
@@ -116,15 +133,17 @@ def _classes(first: DataFrame, frequent: int) -> np.ndarray:
     def add(got: pa.Table) -> pa.Table:
         total = np.zeros(_PART, np.uint32)
         for b in got.column("counts").to_pylist():
-            total += np.frombuffer(zlib.decompress(b), np.uint32)
-        return pa.table({"part": got.column("part")[:1], "salt": got.column("salt")[:1], "counts": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
+            _add(total, b)
+        return pa.table({"part": got.column("part")[:1], "salt": got.column("salt")[:1], "counts": pa.array([_pack(total)], pa.binary())})
 
     kind = "part int, salt int, counts binary"
     parts = first.filter("part is not null").select("part", "salt", "counts").groupBy("part", "salt").applyInArrow(add, kind).groupBy("part").applyInArrow(add, kind)
-    counts = np.zeros(1 << SKETCH_BITS, np.int64)
+    counts = np.zeros(1 << SKETCH_BITS, np.uint32)
     for r in parts.toLocalIterator():
-        counts[r[0] * _PART : (r[0] + 1) * _PART] = np.frombuffer(zlib.decompress(r[2]), np.uint32)
-    classes = np.minimum(np.log2(np.maximum(counts, 1)).astype(np.uint8), _FREQUENT_CLASS - 1)
+        _add(counts[r[0] * _PART : (r[0] + 1) * _PART], r[2])
+    classes = np.zeros(len(counts), np.uint8)
+    for k in range(1, 32):
+        classes += counts >= 1 << k
     classes[counts >= frequent + 2 * counts.mean()] = _FREQUENT_CLASS
     return classes
 
@@ -135,32 +154,32 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     first = written(_first_pass(docs, shingle), "sets")
     rows = first.filter("n is not null").select("doc_id", "node", "n")
     classes = spark.sparkContext.broadcast(_classes(first, frequent))
+
+    def rare(shingles: np.ndarray) -> np.ndarray:
+        return classes.value[(shingles >> U64(64 - SKETCH_BITS)).astype(np.int64)] < _FREQUENT_CLASS
+
     reps = written(rows.filter("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "reps")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
         for batch, raw, offs in vec.pieces(batches, "text"):
-            keep, n, sigs = [], [], []
+            keep, n, r, sigs, bits = [], [], [], [], []
             for node, own in zip(batch.column("node").to_pylist(), vec.shingle_sets(vec.find_words(raw, offs, vec.SPACED, vec.SPACED_WORD), shingle), strict=True):
                 if len(own) and set_key(own) == node:
                     keep.append(node)
                     n.append(len(own))
                     sigs.append(signatures(own, classes.value, percent))
-            yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int64()), pa.array(n, pa.int32()), vec.list_column(sigs, pa.int64())], ["node", "n", "sigs"])
+                    bits.append(bitmap(own))
+                    r.append(int(rare(own).sum()))
+            yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int64()), pa.array(n, pa.int32()), pa.array(r, pa.int32()), vec.list_column(sigs, pa.int64()), pa.array(bits, pa.binary())], ["node", "n", "r", "sigs", "bits"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(reps) if small(reps, 500_000) else reps, "doc_id").select("node", "text")
-    postings = written(texts.mapInArrow(run, "node long, n int, sigs array<long>"), "postings")
-    flat = postings.select("node", "n", F.explode("sigs").alias("sig"))
+    postings = written(texts.mapInArrow(run, "node long, n int, r int, sigs array<long>, bits binary"), "postings")
+    flat = postings.select("node", "r", F.explode("sigs").alias("sig"))
     shared = written(one_of_equal(flat), "shared")
     blocks = semi(flat, shared, "sig")
 
-    def alike(n: int, k: int, both: int) -> bool:
-        return 100 * both >= percent * (n + k - both)
-
-    def fits(n: Column, k: Column) -> Column:
-        return 100 * F.least(n, k) >= percent * F.greatest(n, k)
-
-    labels = link(blocks, texts, shingle, alike, fits)
+    labels = link(blocks, postings.groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), texts, shingle, percent, rare)
     least = reps.join(labels, "node").groupBy("label").agg(F.min("doc_id").alias("least"))
     of = reps.join(labels.join(least, "label").select("node", "least"), "node", "left").select("node", F.coalesce("least", "doc_id").alias("component_id"))
     found = rows.join(of, "node", "left")
