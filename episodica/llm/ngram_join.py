@@ -128,7 +128,7 @@ def _first_pass(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def _classes(first: DataFrame, frequent: int) -> np.ndarray:
-    """A frequency class for each counter: the rounded logarithm, or _FREQUENT_CLASS. A table of fixed size comes to the driver."""
+    """A frequency class for each counter: its count while it is small, or _FREQUENT_CLASS. A table of fixed size comes to the driver."""
 
     def add(got: pa.Table) -> pa.Table:
         total = np.zeros(_PART, np.uint32)
@@ -141,9 +141,7 @@ def _classes(first: DataFrame, frequent: int) -> np.ndarray:
     counts = np.zeros(1 << SKETCH_BITS, np.uint32)
     for r in parts.toLocalIterator():
         _add(counts[r[0] * _PART : (r[0] + 1) * _PART], r[2])
-    classes = np.zeros(len(counts), np.uint8)
-    for k in range(1, 32):
-        classes += counts >= 1 << k
+    classes = np.minimum(counts, _FREQUENT_CLASS - 1).astype(np.uint8)
     classes[counts >= frequent + 2 * counts.mean()] = _FREQUENT_CLASS
     return classes
 
