@@ -86,8 +86,8 @@ def parts_of(own: np.ndarray, pivot: np.ndarray, percent: int, rare: Callable[[n
 
 
 def bitmap(own: np.ndarray) -> bytes:
-    """Parity bits of a set, as many as a power of two that is at least its size, 64 at least."""
-    size = max(64, 1 << (len(own) - 1).bit_length())
+    """Parity bits of a set, as many as a power of two that is at least twice its size, 256 at least."""
+    size = max(256, 1 << (2 * len(own) - 1).bit_length())
     return np.packbits((np.bincount((own & U64(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
