@@ -160,13 +160,15 @@ def compare(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int, rare
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
         host: tuple = ()
+        last: tuple = ()
         kept = np.zeros(0, U64)
         for batch, raw, offs in vec.pieces(batches, "text"):
             sets = vec.shingle_sets(vec.find_words(raw, offs, table, is_word), shingle)
             a, hub, linked, r, sigs = [], [], [], [], []
             for b, part, role, node, own in zip(*(batch.column(c).to_pylist() for c in ("b", "part", "role", "node")), sets, strict=True):
-                if set_key(own) != node:
-                    continue  # another text under the same id
+                if (b, part, role, node) == last or set_key(own) != node:
+                    continue  # a repeated row, or another text under the same id
+                last = (b, part, role, node)
                 if role == 0:
                     host, kept = (b, part), own
                 elif host == (b, part):
@@ -182,9 +184,12 @@ def compare(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int, rare
 
 
 def one_of_equal(postings: DataFrame) -> DataFrame:
-    """sig of blocks of two nodes or more, one of those with the same nodes. postings: sig, node."""
-    prints = postings.groupBy("sig").agg(F.count("*").alias("k"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"), F.min("node").alias("lo"), F.max("node").alias("hi"))
-    return prints.filter("lo < hi").groupBy("k", "x", "y").agg(F.min("sig").alias("sig")).select("sig")
+    """sig of blocks of two nodes or more, one of those with the same nodes. postings: sig, node.
+
+    Blocks are told apart by count, least and largest node and sums of hashes; in a sum, unlike a parity, a node that stands twice doesn't vanish."""
+    h = F.xxhash64("node")
+    prints = postings.groupBy("sig").agg(F.count("*").alias("k"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("x"), F.sum(F.shiftrightunsigned(h, 32)).alias("y"), F.min("node").alias("lo"), F.max("node").alias("hi"))
+    return prints.filter("lo < hi").groupBy("k", "x", "y", "lo", "hi").agg(F.min("sig").alias("sig")).select("sig")
 
 
 def link(blocks: DataFrame, marks: DataFrame, texts: DataFrame, shingle: int, percent: int, rare: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:

@@ -173,6 +173,10 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(reps) if small(reps, 500_000) else reps, "doc_id").select("node", "text")
     postings = written(texts.mapInArrow(run, "node long, n int, r int, sigs array<long>, bits binary"), "postings")
+    again = written(postings.groupBy("node").count().filter("count > 1").select("node"), "again")
+    if again.limit(1).count():  # rows that stand more than once: one posting and one text of each
+        postings = semi_anti(postings, again, "node").unionByName(written(semi(postings, again, "node").dropDuplicates(["node"]), "once"))
+        texts = semi_anti(texts, again, "node").unionByName(written(semi(texts, again, "node").dropDuplicates(["node", "text"]), "texts"))
     flat = postings.select("node", "r", F.explode("sigs").alias("sig"))
     shared = written(one_of_equal(flat), "shared")
     blocks = semi(flat, shared, "sig")

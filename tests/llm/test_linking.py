@@ -44,6 +44,20 @@ def test_rows_without_id_repeated_rows_and_no_rows(spark):
     assert kept.columns == more.columns and sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, 0] or sorted(str(r["doc_id"]) for r in kept.collect()) == ["0", "None"]
 
 
+def test_repeated_rows_lose_no_link(spark):
+    rng = random.Random(5)
+    texts = [t for base in [prose(rng, 60) for _ in range(8)] for t in (base, f"{base} end")]  # blocks of one size
+    docs, want = documents(spark, texts), expected(texts)[0]
+    rows = ngram_join.jaccard_components(docs.union(docs)).collect()
+    assert len(rows) == 2 * len(texts) and all(r["component_id"] == want[r["doc_id"]] for r in rows)
+
+
+def test_blocks_are_equal_only_with_equal_nodes(spark):
+    blocks = {1: [7, 7, 9], 2: [9, 8, 8], 3: [7, 9], 4: [9, 7], 5: [7, 7, 9, 9], 6: [8, 8, 9, 9], 7: [5, 5]}
+    got = {r["sig"] for r in near.one_of_equal(spark.createDataFrame([(s, n) for s, nodes in blocks.items() for n in nodes], "sig long, node long")).collect()}
+    assert got == {1, 2, 3, 5, 6}
+
+
 def test_components_of_long_chains(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     assert {r["node"]: r["label"] for r in near.components(edges).collect()} == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
