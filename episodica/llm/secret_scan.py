@@ -2,11 +2,15 @@
 
 Base spans are the matches of three fixed patterns (leftmost, non-overlapping per
 kind; matches that fail their test are dropped).  The token-efficiency test adds
-spans of kind `random`: a run of key letters, `min_chars` or longer, with digits and
-letters, whose characters per token of a byte-level vocabulary are at most `ratio`.
+spans of kind `random`: key letters, `min_chars` or more, with digits and letters,
+whose characters per token of a byte-level vocabulary are at most `ratio`.
 Prose and identifiers made of words take few tokens; random strings take many.
-Known digests (hex after a digest name or of a digest's length in a URL or path),
-UUIDs, and runs of one character class are left out, as are runs inside base spans.
+A run of key letters is cut at `/`, `=`, `_` and `-` wherever a part beside them is
+a word by the same test, so names and paths about a key don't hide it; neighbouring
+parts that are no words stay together and are tested as one, and where none passes,
+the whole run is. UUIDs are cut out of runs. Known digests (hex after a digest name or
+of a digest's length in a URL or path) and parts of one character class are left out,
+as are parts inside base spans.
 
 Edge cases: null and empty texts have no spans; spans are code points with an
 exclusive end; equal starts keep the order assign, access, hex, random; repeated
@@ -39,6 +43,9 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_CHARS)
 UUID = re.compile(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", re.IGNORECASE)
 DIGEST_NAME = re.compile(r"(?:md5|sha-?(?:1|224|256|384|512)|digest|checksum|integrity|etag|commit|revision)\W{0,3}$", re.IGNORECASE)
+SEPARATORS = "/=_-"
+PART = re.compile(r"[^/=_-]+")
+IN_URL = re.compile(r"(?:://\S*|/)$")
 DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
 ALL_HEX = re.compile(r"[0-9a-fA-F]+")
 
@@ -77,23 +84,68 @@ def base_spans(text: str) -> list[tuple[str, int, int, bool]]:
 
 
 def known_identifier(text: str, start: int, stop: int) -> bool:
-    """Digests and UUIDs that texts quote on purpose."""
-    run = text[start:stop]
-    if UUID.search(run):
+    """Digests that texts quote on purpose."""
+    if not ALL_HEX.fullmatch(text, start, stop):
+        return False
+    if DIGEST_NAME.search(text[max(0, start - 16) : start]):
         return True
-    return ALL_HEX.fullmatch(run) is not None and (len(run) in DIGEST_LENGTHS or DIGEST_NAME.search(text[max(0, start - 16) : start]) is not None)
+    return stop - start in DIGEST_LENGTHS and (text[stop : stop + 1] == "/" or IN_URL.search(text[max(0, start - 2048) : start]) is not None)
+
+
+def without_uuids(text: str, start: int, stop: int) -> Iterator[tuple[int, int]]:
+    """What is left of a run beside its UUIDs and the separators next to them."""
+    at = start
+    for m in UUID.finditer(text, start, stop):
+        end = m.start()
+        while end > at and text[end - 1] in SEPARATORS:
+            end -= 1
+        yield at, end
+        at = m.end()
+        while at < stop and text[at] in SEPARATORS:
+            at += 1
+    yield at, stop
+
+
+def stretches(text: str, start: int, stop: int, test: Efficiency, ratio: float) -> list[tuple[int, int]]:
+    """Neighbouring parts of a run that are no words, joined; the run itself if none of its parts is one."""
+    out: list[tuple[int, int]] = []
+    words, joined = 0, False
+    for m in PART.finditer(text, start, stop):
+        if test.ratio(m[0]) > ratio:
+            words, joined = words + 1, False
+        elif joined:
+            out[-1] = (out[-1][0], m.end())
+        else:
+            out.append(m.span())
+            joined = True
+    if not words:
+        return [(start, stop)]
+    if out and not text[out[-1][1] : stop].strip("="):
+        out[-1] = (out[-1][0], stop)
+    return out
 
 
 def random_spans(text: str, taken: list[tuple[str, int, int, bool]], test: Efficiency, ratio: float) -> list[tuple[str, int, int, bool]]:
     out = []
+
+    def mixed(a: int, b: int) -> bool:
+        run = text[a:b]
+        digit = any(c.isdigit() for c in run)
+        return b - a >= MIN_CHARS and digit and (any(c.islower() for c in run) or any(c.isupper() for c in run))
+
+    def passes(a: int, b: int) -> bool:
+        return mixed(a, b) and not any(s < b and a < e for _, s, e, _ in taken) and test.ratio(text[a:b]) <= ratio
+
     for m in RUN.finditer(text):
-        a, b = m.span()
-        run = m[0]
-        classes = (any(c.isdigit() for c in run), any(c.islower() for c in run), any(c.isupper() for c in run))
-        if not classes[0] or sum(classes) < 2 or any(s < b and a < e for _, s, e, _ in taken) or known_identifier(text, a, b):
-            continue
-        if test.ratio(run) <= ratio:
-            out.append(("random", a, b, False))
+        for a, b in without_uuids(text, *m.span()):
+            if not mixed(a, b):
+                continue
+            parts = stretches(text, a, b, test, ratio)
+            known = [p for p in parts if known_identifier(text, *p)]
+            found = [p for p in parts if p not in known and passes(*p)]
+            if not found and not known and passes(a, b):
+                found = [(a, b)]
+            out += [("random", *p, False) for p in found]
     return out
 
 

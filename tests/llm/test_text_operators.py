@@ -156,6 +156,21 @@ def test_secrets_base_spans_and_random_strings(spark):
     assert masked[len(ODD) + 3]["text"] == "see [SECRET] here" and masked[len(ODD) + 3]["n_chars"] == 17 and masked[0]["text"] is None
 
 
+def test_secrets_beside_words_identifiers_and_digests(spark):
+    rng = random.Random(10)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choice(letters) for _ in range(24)) for _ in range(10)]
+    upper = ["".join(rng.choice("0123456789ABCDEF") for _ in range(n)) for n in (32, 40, 64)]
+    uuid = "123e4567-e89b-12d3-a456-426614174000"
+    texts = [f"{before}{k}{after}" for before, after in [("at example.com/services/T00000000/B00000000/", " x"), ("some_long_name_for_customers=", ""), (f"{uuid}/", "")] for k in keys] + [f"see {h} now" for h in upper]
+    want = keys * 3 + upper
+    plain = [f"http://example.org/files/{upper[1]}", f"checksum: {upper[0]}", f"id {uuid} only", "some_long_name_for_customers_and_services_2024"]
+    found = by_id(secret_scan.find_secrets(documents(spark, texts + plain)))
+    got = [[texts[i][s["start"] : s["stop"]] for s in found[i]["spans"] if not s["base"]] for i in range(len(texts))]
+    assert got == [[w] for w in want]
+    assert not any(found[len(texts) + i]["spans"] for i in range(len(plain)))
+
+
 @pytest.mark.parametrize("rows", [10**6, 5])
 def test_token_counts_equal_the_library(spark, rows):
     from tokenizers import Tokenizer
