@@ -3,9 +3,9 @@
 A list entry says that a host name, and every name under it, is blocked or allowed
 from a date on.  The entries of a name become intervals that end where its next entry
 begins.  A capture is judged by the entry of the most specific name that has one
-active at fetch time: its host is tried whole, then without its first labels.  Each
-try is one equi-join on the name with the fetch time inside the interval, so there is
-at most one match and no row is multiplied.
+active at fetch time: of each distinct host and fetch time all suffixes, from the
+whole name to its last label, are joined to the intervals by name with the fetch time
+inside, at most one match each, and the longest suffix with a match decides.
 
 Edge cases: null or malformed urls have no host and are kept; null fetch times match
 nothing; of entries of one name and date a block wins; entries without a name, date
@@ -15,14 +15,11 @@ keeps everything; host names are lower-cased, ports and user names cut off.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .shared import small, table, written
 
-DEPTH = 4
 BROADCAST_ENTRIES = 200_000
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
 
@@ -40,21 +37,16 @@ def intervals(entries: DataFrame) -> DataFrame:
     return once.select("name", "action", "since", later.alias("until"))
 
 
-def judge(captures: DataFrame, entries: DataFrame, depth: int = DEPTH) -> DataFrame:
+def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
     """`captures` (url, fetched_on, and any other columns) with host, rule (the name that decides), listed_on, action and kept."""
     spans = written(intervals(entries), "intervals")
-    near = small(spans, BROADCAST_ENTRIES)
     got = captures.withColumn("host", host_of(F.col("url")))
     labels = F.split("host", r"\.")
-    for d in range(depth):
-        name = F.when(F.size(labels) - d >= (1 if d == 0 else 2), F.array_join(F.slice(labels, d + 1, F.greatest(F.size(labels) - d, F.lit(1))), "."))
-        got = got.withColumn(f"_name{d}", name)
-    for d in range(depth):
-        s = spans.select(*(F.col(c).alias(f"_{c}{d}_") for c in ("name", "action", "since", "until")))
-        on = (F.col(f"_name{d}") == F.col(f"_name{d}_")) & (F.col("fetched_on") >= F.col(f"_since{d}_")) & (F.col(f"_until{d}_").isNull() | (F.col("fetched_on") < F.col(f"_until{d}_")))
-        got = got.join(F.broadcast(s) if near else s, on, "left")
-    first = reduce(lambda rest, d: F.when(F.col(f"_name{d}_").isNotNull(), F.struct(*(F.col(f"_{c}{d}_").alias(c) for c in ("name", "action", "since")))).otherwise(rest), reversed(range(depth)), F.lit(None))
-    got = got.withColumn("_rule", first)
+    tried = got.filter("host is not null and fetched_on is not null").select("host", "fetched_on").distinct().select("host", "fetched_on", F.explode(F.sequence(F.lit(1), F.size(labels))).alias("cut"))
+    tried = tried.withColumn("name", F.array_join(F.slice(labels, F.col("cut"), F.size(labels)), ".")).filter("name <> ''")
+    hits = tried.join(F.broadcast(spans) if small(spans, BROADCAST_ENTRIES) else spans, "name").filter("fetched_on >= since and (until is null or fetched_on < until)")
+    best = written(hits.groupBy("host", "fetched_on").agg(F.min_by(F.struct("name", "action", "since"), "cut").alias("_rule")), "judged")
+    got = got.join(F.broadcast(best) if small(best, BROADCAST_ENTRIES) else best, ["host", "fetched_on"], "left")
     return got.select(*captures.columns, "host", F.col("_rule.name").alias("rule"), F.col("_rule.since").alias("listed_on"), F.col("_rule.action").alias("action"), F.coalesce(F.col("_rule.action") != "block", F.lit(True)).alias("kept"))
 
 

@@ -85,6 +85,13 @@ def test_lists_as_of_the_fetch(spark):
     assert url_lists.judge(df, entries.limit(0)).filter("not kept").count() == 0 and url_lists.judge(df.limit(0), entries).count() == 0
 
 
+def test_lists_reach_every_name_under_an_entry(spark):
+    entries = spark.createDataFrame([("example.com", "block"), ("b.c.d.example.com", "allow"), ("zip", "block")], "name string, action string").selectExpr("*", "date '2024-01-01' as listed_on")
+    urls = {"http://w.x.y.z.example.com/": "example.com", "http://a.b.c.d.example.com/": "b.c.d.example.com", "http://u.v.w.x.b.c.d.example.com": "b.c.d.example.com", "http://some.zip": "zip", "http://a.b.c.d.e.f.zip": "zip", "http://zip.org": None}
+    rows = url_lists.judge(spark.createDataFrame([(u,) for u in urls], "url string").selectExpr("*", "date '2024-02-01' as fetched_on"), entries).collect()
+    assert {r["url"]: r["rule"] for r in rows} == urls and all(r["kept"] == (r["rule"] in (None, "b.c.d.example.com")) for r in rows)
+
+
 def test_queries_equal_sql(spark):
     import duckdb
 
