@@ -15,7 +15,8 @@ def spark(tmp_path_factory):
 
     s = (
         SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.driver.memory", "4g")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").config("spark.local.dir", str(tmp_path_factory.mktemp("local"))).getOrCreate()
+        .config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").config("spark.local.dir", str(tmp_path_factory.mktemp("local")))
+        .config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}").getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
     yield s
