@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import vec
-from .shared import small, table
+from .shared import lean, small, table
 
 BITS = 18
 SAMPLE_ROWS = 8000
@@ -152,6 +152,7 @@ def sigmoid_fit(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fits on labelled rows outside the held-out fold."""
+    lean(docs.sparkSession)
     known = labels.filter(F.col("quality").isin(0, 1) & ~held_out()).select("doc_id", "quality")
     rows = docs.filter(~held_out() & F.col("text").isNotNull()).select("doc_id", "text")
     rows = rows.join(F.broadcast(known) if small(known, 1_000_000) else known, "doc_id").select("text", "quality", F.xxhash64("doc_id").alias("h"))
@@ -181,6 +182,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     w, b = dual_coordinate_descent([at[i] for i in fit], [val[i] for i in fit], y[fit], 1 << BITS)
     check = np.flatnonzero(aside) if aside.any() else fit
     slope, shift = sigmoid_fit(np.array([w[at[i]] @ val[i] + b for i in check]), y[check])
+    del got, at, val
+    vec.hand_back()
     return Model(w * ratios, ratios, b, slope, shift)
 
 
@@ -197,7 +200,12 @@ def score_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """Rows of `docs` that the classifier accepts, with all their columns."""
+    """Rows of `docs` that the classifier accepts (score of 0.5 or more), with all their columns.
+
+    Null and empty texts stay or go by the bias alone; repeated rows stay or go together;
+    rows without a doc_id are scored like others; without usable labels all stay; an empty
+    table gives an empty table.
+    """
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, sample_rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

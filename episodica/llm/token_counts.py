@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import vec
-from .shared import table, written
+from .shared import lean, table, written
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
@@ -47,8 +47,6 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 class PreTokens:
     """Cuts text into pre-tokens as the vocabulary's own normaliser and splitter do."""
 
-    _cache: dict[str, PreTokens] = {}
-
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -68,9 +66,7 @@ class PreTokens:
 
     @classmethod
     def of(cls, path: str) -> PreTokens:
-        if path not in cls._cache:
-            cls._cache[path] = cls(path)
-        return cls._cache[path]
+        return vec.kept(("pre-tokens", path), lambda: cls(path))
 
     def cut(self, text: str) -> tuple[list[str], int]:
         """Pre-tokens (in byte-level letters where the slow way made them) and the number of special strings."""
@@ -157,7 +153,7 @@ def packed(known: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Per row of `docs`: doc_id, n_bytes, n_tokens, over_limit."""
     path = path or vocabulary_path()
-    spark = docs.sparkSession
+    spark = lean(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = written(piece_counts(docs, path), "pieces")
     least = least_spread(known, broadcast_rows)

@@ -8,14 +8,15 @@ taken as equal only if such hashes collide.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
-from typing import NamedTuple
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
+from typing import Any, NamedTuple
 
 import numpy as np
 import pyarrow as pa
 
-#: Bytes of text that one step works on; bounds the memory of the arrays.
-PIECE_BYTES = 1 << 21
+#: Bytes of text that one step works on; bounds the memory of the arrays, about a hundred bytes for each.
+PIECE_BYTES = 1 << 19
 
 U64 = np.uint64
 _ODD = U64(0x9E3779B97F4A7C15)
@@ -131,6 +132,26 @@ def shingle_sets(words: Words, n: int) -> Iterator[np.ndarray]:
             yield own
 
 
+_kept: list[tuple[Any, Any]] = []
+
+
+def kept(key: Any, make: Callable[[], Any]) -> Any:
+    """What `make` gives for the key, kept for the worker's next tasks. Only the last one is: a worker goes from one operator to the next."""
+    if not _kept or _kept[0][0] != key:
+        _kept[:] = []
+        _kept[:] = [(key, make())]
+    return _kept[0][1]
+
+
+def hand_back() -> None:
+    """Gives memory that is free again back to the machine, so that workers that wait for tasks are small."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def pieces(batches: Iterable[pa.RecordBatch], text: str, limit: int = PIECE_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Cuts batches into slices of about `limit` bytes of text: (slice, bytes, offsets). A longer text stands alone."""
     for batch in batches:
@@ -140,6 +161,7 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str, limit: int = PIECE_BYTE
             to = max(row + 1, int(np.searchsorted(offs, offs[row] + limit, "right")) - 1)
             yield batch.slice(row, to - row), raw[offs[row] : offs[to]], offs[row : to + 1] - offs[row]
             row = to
+    hand_back()
 
 
 def list_column(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
