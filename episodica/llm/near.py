@@ -10,7 +10,8 @@ block.  `link` finds the components of all links without listing the pairs of a
    in which two bitmaps differ are at most the shingles in which the sets differ, and
    linked sets differ in at most T = (100 - percent) / (100 + percent) * (|x| + |y|), so
    pairs with more such bits go.  Of the others a spanning forest of the closest is
-   compared on whole texts first; then all that its links have not brought together.
+   compared on whole texts first; where more are left than the forest has edges, and its
+   links haven't brought them together, all are compared in the next round.
 3. In larger blocks one node is the pivot h, one with the fewest rare shingles, and all
    nodes x are compared with it.  Let d(x) be the symmetric difference of x and h.  If x
    and y link, the symmetric difference of d(x) and d(y) is that of x and y, at most T.
@@ -23,7 +24,8 @@ block.  `link` finds the components of all links without listing the pairs of a
    signatures: rows in proportion to the sets, whatever a block's size.  The next
    round's blocks lie within this one's and lack their pivots, so rounds end.
 
-A pivot with many nodes is dealt over many tasks, each with at most `PER_TASK`.
+A pivot with many nodes is dealt over many tasks, each with at most `PER_TASK`.  Every
+round is written; tables that a round has superseded are deleted.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import vec
-from .shared import semi, small, written
+from .shared import discard, release, semi, small, written
 
 PER_TASK = 64
 SMALL = 1024
@@ -62,10 +64,13 @@ def components(edges: DataFrame) -> DataFrame:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
         hooked = labels.join(near, labels["node"] == near["a"]).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
-        labels = written(hooked.join(up, "label", "left").select("node", F.least("label", "up").alias("label"), (F.least("label", "up") < F.col("old")).alias("changed")), "labels")
-        if not labels.filter("changed").limit(1).count():
-            return labels.select("node", "label")
-        labels = labels.select("node", "label")
+        new = written(hooked.join(up, "label", "left").select("node", F.least("label", "up").alias("label"), (F.least("label", "up") < F.col("old")).alias("changed")), "labels")
+        done = not new.filter("changed").limit(1).count()
+        discard(labels)
+        labels = new
+        if done:
+            discard(both)
+            return labels
 
 
 def difference_most(n: int, k: int, percent: int) -> int:
@@ -85,9 +90,9 @@ def parts_of(own: np.ndarray, pivot: np.ndarray, percent: int, rare: Callable[[n
     return linked, np.concatenate([added, lacked])[:most]
 
 
-def bitmap(own: np.ndarray) -> bytes:
-    """Parity bits of a set, as many as a power of two that is at least twice its size, 256 at least."""
-    size = max(256, 1 << (2 * len(own) - 1).bit_length())
+def bitmap(own: np.ndarray, percent: int) -> bytes:
+    """Parity bits of a set, as many as a power of two that is at least ten times the shingles in which linked sets of its size can differ, 256 at least."""
+    size = max(256, 1 << (10 * difference_most(len(own), len(own), percent) - 1).bit_length()) if len(own) > 1 else 256
     return np.packbits((np.bincount((own & U64(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
@@ -129,7 +134,7 @@ def _forest(cost: np.ndarray, label: np.ndarray) -> list[tuple[int, int]]:
 
 
 def close_pairs(blocks: DataFrame, percent: int) -> DataFrame:
-    """a, b: pairs of a block, of different labels, that their bitmaps don't part. blocks: age, nodes (array of node, label, n, bits).
+    """a, b: pairs of a block, of different labels, that their bitmaps don't part; rows with sig alone: blocks with more of them. blocks: sig, age, nodes (array of node, label, n, bits).
 
     At age 0 only a forest of the closest pairs that joins the block's labels is asked
     for; at age 1, when its links have merged labels, all pairs that are left.
@@ -138,18 +143,24 @@ def close_pairs(blocks: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: set[tuple[int, int]] = set()
-            for age, block in zip(batch.column("age").to_pylist(), batch.column("nodes"), strict=True):
+            more: list[int] = []
+            for sig, age, block in zip(batch.column("sig").to_pylist(), batch.column("age").to_pylist(), batch.column("nodes"), strict=True):
                 node, label = (block.values.field(c).to_numpy(zero_copy_only=False) for c in ("node", "label"))
                 cost = _apart(block.values, percent)
-                pairs = _forest(cost, label) if age == 0 else np.argwhere((cost <= 0) & (label[:, None] < label[None, :])).tolist()
+                left = (cost <= 0) & (label[:, None] < label[None, :])
+                pairs = _forest(cost, label) if age == 0 else np.argwhere(left).tolist()
+                if int(left.sum()) > len(pairs):
+                    more.append(sig)
                 out.update((max(a, b), min(a, b)) for a, b in ((int(node[i]), int(node[k])) for i, k in pairs))
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
+            none = [None] * len(more)
+            yield pa.RecordBatch.from_arrays([pa.array([*(x[i] for x in out), *none], pa.int64()) for i in (0, 1)] + [pa.array([*([None] * len(out)), *more], pa.int64())], ["a", "b", "sig"])
+        vec.hand_back()
 
-    return blocks.select("age", "nodes").mapInArrow(run, "a long, b long").distinct()
+    return blocks.select("sig", "age", "nodes").mapInArrow(run, "a long, b long, sig long")
 
 
 def compare(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int, rare: Callable[[np.ndarray], np.ndarray] | None = None, table: np.ndarray = vec.SPACED, is_word: np.ndarray = vec.SPACED_WORD) -> DataFrame:
-    """a, b, linked, r (rare shingles of a), and of pairs with a pivot b the next round's signatures of a. pairs: a, b, pivot. texts: node, text."""
+    """Written: a, b, linked, r (rare shingles of a), and of pairs with a pivot b the next round's signatures of a. pairs: a, b, pivot. texts: node, text."""
     hosts = pairs.groupBy("b").agg(F.ceil(F.count("*") / PER_TASK).cast("int").alias("parts"))
     keyed = pairs.join(F.broadcast(hosts) if small(hosts, 500_000) else hosts, "b").select("a", "b", "pivot", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"))
     keyed = written(keyed, "pairs")
@@ -180,7 +191,9 @@ def compare(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int, rare
                     sigs.append(vec.mix(parts ^ vec.mix(np.array([b], np.int64).view(U64))) if role == 2 else parts[:0])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(hub, pa.int64()), pa.array(linked, pa.bool_()), pa.array(r, pa.int32()), vec.list_column(sigs, pa.int64())], ["a", "b", "linked", "r", "sigs"])
 
-    return dealt.mapInArrow(run, "a long, b long, linked boolean, r int, sigs array<long>")
+    found = written(dealt.mapInArrow(run, "a long, b long, linked boolean, r int, sigs array<long>"), "compared")
+    discard(keyed)
+    return found
 
 
 def one_of_equal(postings: DataFrame) -> DataFrame:
@@ -195,28 +208,40 @@ def one_of_equal(postings: DataFrame) -> DataFrame:
 def link(blocks: DataFrame, marks: DataFrame, texts: DataFrame, shingle: int, percent: int, rare: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
     """node, label of every node that is linked with another.
 
-    blocks: sig, node, r (how many rare shingles). marks: node, n, bits. texts: node, text. rare: which shingles are."""
-    blocks = written(blocks.select("sig", "node", "r", F.lit(0).alias("age")), "blocks")
-    links = labels = None
+    All of these are written tables, which stay. blocks: sig, node, r (how many rare shingles). marks: node, n, bits. texts: node, text. rare: which shingles are."""
+    given = blocks
+    blocks = blocks.select("sig", "node", "r", F.lit(0).alias("age"))
+    links = labels = state = None
     while True:
-        state = blocks.withColumn("label", F.col("node"))
-        if labels is not None:
-            state = written(blocks.join(labels, "node", "left").select("sig", "node", "r", "age", F.coalesce("label", "node").alias("label")), "state")
+        if labels is None:
+            state = blocks.withColumn("label", F.col("node"))
+        else:
+            state = written(blocks.join(labels.select("node", "label"), "node", "left").select("sig", "node", "r", "age", F.coalesce("label", "node").alias("label")), "state")
         info = state.groupBy("sig").agg(F.count("*").alias("k"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.min_by("node", F.struct("r", "node")).alias("b")).filter("lo < hi")
         info = written(info.select("sig", "k", "b"), "sizes")
         small_blocks = state.join(info.filter(F.col("k") <= SMALL).select("sig"), "sig")
         marked = small_blocks.join(marks.select("node", "n", "bits"), "node")
         near = close_pairs(marked.groupBy("sig").agg(F.first("age").alias("age"), F.collect_list(F.struct("node", "label", "n", "bits")).alias("nodes")), percent)
+        near = written(near, "near")
         far = state.join(info.filter(F.col("k") > SMALL).select("sig", "b"), "sig").filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
-        asked = written(near.withColumn("pivot", F.lit(False)).unionByName(far.withColumn("pivot", F.lit(True))), "asked")
+        asked = written(near.filter("a is not null").select("a", "b").distinct().withColumn("pivot", F.lit(False)).unionByName(far.withColumn("pivot", F.lit(True))), "asked")
         if labels is not None and not asked.limit(1).count():
+            discard(state, info, near, asked, blocks if blocks is not given else None, *links)
             return labels
-        found = written(compare(asked, texts, shingle, percent, rare), "compared")
-        new = found.filter("linked").select("a", "b")
+        found = compare(asked, texts, shingle, percent, rare)
+        new = written(found.filter("linked").select("a", "b"), "links")
         if links is None or new.limit(1).count():
-            links = new if links is None else links.union(new)
-            labels = components(links)
+            links = [*(links or []), new]
+            every = links[0]
+            for more in links[1:]:
+                every = every.union(more)
+            done, labels = labels, components(every)
+            discard(done)
         flat = found.select(F.explode("sigs").alias("sig"), F.col("a").alias("node"), "r")
-        split = semi(flat, written(one_of_equal(flat), "shared"), "sig").withColumn("age", F.lit(0))
-        again = small_blocks.filter("age = 0").select("sig", "node", "r", F.lit(1).alias("age"))
-        blocks = written(split.select("sig", "node", "r", "age").unionByName(again), "blocks")
+        shared = written(one_of_equal(flat), "shared")
+        split = semi(flat, shared, "sig").withColumn("age", F.lit(0))
+        again = semi(state.filter("age = 0"), near.filter("sig is not null").select("sig"), "sig").select("sig", "node", "r", F.lit(1).alias("age"))
+        old, blocks = blocks, written(split.select("sig", "node", "r", "age").unionByName(again), "blocks")
+        discard(old, state, info, near, asked, found, shared)
+        del state, info, small_blocks, marked, near, far, asked, found, flat, shared, split, again, old
+        release(given.sparkSession)

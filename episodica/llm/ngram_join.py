@@ -5,15 +5,20 @@ white space, A-Z lowered); two documents link if 100 * |intersection| >=
 `PERCENT` * |union|.
 
 1. Documents with equal sets are one node.  A count sketch over nodes' shingles
-   puts every shingle into a frequency class; it has a fixed size and errs upwards
-   only, which changes the order below but no result.
-2. Global order: rare classes first, within a class by hash.  Of a set of n, at most
-   e = n - ceil(t n) shingles are missing in a linked set.  If the first shingle that
-   two linked sets share is rare, it is among the first e + 1 of both: those single
-   shingles are indexed.  If it is frequent, so are all shared ones; then the prefix
-   is extended until it holds more shared shingles than both sets' missing ones can
-   part, so two neighbours of one set are neighbours of the other: these
-   two-shingle combinations are indexed, a linear number.
+   gives every shingle a class.  A quarter of all shingles, told by their hash, has
+   counters of its own, about one for two of them, up to 2 ** `FINE_BITS`; the others
+   share 2 ** `COARSE_BITS`, enough to tell the frequent ones.  Counts err upwards only;
+   that changes the order below but no result.
+2. Global order: finely counted shingles of few nodes by their counts, then those
+   without a count, then counted ones of more nodes, then frequent ones; within a class
+   by hash.  Of a set of n, at most e = n - ceil(t n)
+   shingles are missing in a linked set.  If the first shingle that two linked sets
+   share isn't frequent, it is among the first e + 1 of both: those single shingles are
+   indexed, but for those that no other node has (a count of 1 proves it).  If it is
+   frequent, so are all shared ones; then the prefix is extended until it holds more
+   shared shingles than both sets' missing ones can part, so two neighbours of one set
+   are neighbours of the other: these two-shingle combinations are indexed, a linear
+   number.
 3. Candidate blocks are verified on the whole sets and clustered (see `near`).
 
 Edge cases: null and wordless texts have empty sets, link with nothing and are their
@@ -35,15 +40,20 @@ from pyspark.sql import functions as F
 
 from . import vec
 from .near import bitmap, link, one_of_equal, set_key
-from .shared import semi, semi_anti, small, table, written
+from .shared import discard, lean, release, semi, semi_anti, small, table, unused, written
 
 SHINGLE = 3
 PERCENT = 90
-#: Counters of the sketch (2 ** SKETCH_BITS), and the count from which a shingle is frequent, beside twice the mean load.
-SKETCH_BITS = 24
+#: Counters of the sketch at most (powers of two), bytes of text for each, and the count from which a shingle is frequent, beside twice the mean load.
+FINE_BITS = 24
+COARSE_BITS = 18
+CELL_BYTES = 64
 FREQUENT = 64
+#: Classes: counts as they are up to `_EXACT`, then halves of a power of two; `_UNCOUNTED` and more for counts above the common load; frequent ones.
+_EXACT = 40
+_UNCOUNTED = 100
+_FREQUENT_CLASS = 255
 _PART = 1 << 16
-_FREQUENT_CLASS = 64
 U64 = np.uint64
 
 
@@ -52,15 +62,44 @@ def missing_most(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100)
 
 
+def fine_bits(total_bytes: int) -> int:
+    """Fine counters, as a power of two, for so many bytes of text."""
+    return min(FINE_BITS, max(16, (max(1, total_bytes) // CELL_BYTES).bit_length()))
+
+
+def cells(shingles: np.ndarray, size: int) -> np.ndarray:
+    """The counter of each shingle in a table of that size: a fine one if its first two bits are 0, else one of the coarse ones behind them."""
+    fine = size - (1 << COARSE_BITS)
+    own = (shingles >> U64(63 - fine.bit_length())) & U64(fine - 1)
+    return np.where(shingles >> U64(62) == 0, own, U64(fine) + (shingles >> U64(64 - COARSE_BITS))).astype(np.int64)
+
+
+def class_table(counts: np.ndarray, frequent: int = FREQUENT) -> np.ndarray:
+    """A class, 0 to 255, for each counter. Works on a part at a time."""
+    n = len(counts) - (1 << COARSE_BITS)
+    fine, coarse = counts[:n], counts[n:]
+    load, coarse_load = float(fine.mean()), float(coarse.mean()) * 4 / 3  # a quarter of the coarse ones stays empty
+    out = np.full(len(counts), _UNCOUNTED, np.uint8)
+    for at in range(0, n, _PART):
+        part = fine[at : at + _PART]
+        cls = np.minimum(part, _EXACT) + 2 * np.log2(np.maximum(part, _EXACT).astype(np.float32) / _EXACT)
+        cls[part > 8 + 2 * load] += _UNCOUNTED
+        cls[part >= frequent + 2 * load] = _FREQUENT_CLASS
+        out[at : at + _PART] = cls.astype(np.uint8)
+    out[n:][coarse >= frequent + 2 * coarse_load] = _FREQUENT_CLASS
+    return out
+
+
 def signatures(own: np.ndarray, classes: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Single rare shingles of the prefix, and pairs of neighbouring frequent ones of the extended prefix."""
+    """Single shingles of the prefix that may have another node, and pairs of neighbouring frequent ones of the extended prefix."""
     n = len(own)
     e = missing_most(n, percent)
     other = missing_most(100 * n // percent, percent)  # of the largest set that can be linked
-    cls = classes[(own >> U64(64 - SKETCH_BITS)).astype(np.int64)]
+    cls = classes[cells(own, len(classes))]
     order = np.lexsort((own, cls))
     rare = int((cls < _FREQUENT_CLASS).sum())
-    single = own[order[: min(rare, e + 1)]]
+    first = order[: min(rare, e + 1)]
+    single = own[first[cls[first] > 1]]
     if rare > e:
         return single
     tail = own[order[rare : 2 * e + other + 2]]
@@ -71,39 +110,37 @@ def signatures(own: np.ndarray, classes: np.ndarray, percent: int = PERCENT) ->
 
 
 def _pack(part: np.ndarray) -> bytes:
-    """Counters as bytes: places and counts where few are set, else compressed."""
+    """Counters as bytes: the gaps between those that are set and their counts, or all of them, compressed."""
     at = np.flatnonzero(part)
-    if len(at) * 24 < len(part):
-        return b"s" + at.astype(np.uint16).tobytes() + part[at].tobytes()
-    return b"z" + zlib.compress(part.tobytes(), 1)
+    if 2 * len(at) < len(part):
+        return b"s" + zlib.compress(np.diff(at, prepend=0).astype(np.uint16).tobytes() + part[at].astype(np.uint32).tobytes(), 1)
+    return b"z" + zlib.compress(part.astype(np.uint32).tobytes(), 1)
 
 
 def _add(total: np.ndarray, packed: bytes) -> None:
+    raw = zlib.decompress(packed[1:])
     if packed[:1] == b"z":
-        total += np.frombuffer(zlib.decompress(packed[1:]), np.uint32)
+        total += np.frombuffer(raw, np.uint32)
     else:
-        n = (len(packed) - 1) // 6
-        total[np.frombuffer(packed, np.uint16, n, 1)] += np.frombuffer(packed, np.uint32, n, 1 + 2 * n)
+        n = len(raw) // 6
+        total[np.cumsum(np.frombuffer(raw, np.uint16, n).astype(np.int64))] += np.frombuffer(raw, np.uint32, n, 2 * n)
 
 
-def _first_pass(docs: DataFrame, shingle: int) -> DataFrame:
-    """Rows doc_id, node, n of every document, and the tasks' parts of the sketch."""
+def _first_pass(docs: DataFrame, shingle: int, size: int) -> DataFrame:
+    """Rows doc_id, text_key, node, n of every document, and the tasks' parts of the sketch. docs: doc_id, text_key, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         np.seterr(over="ignore")
-        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
+        counts = np.zeros(size, np.uint16)
         seen: set[int] = set()
-        names = ["doc_id", "node", "n", "part", "salt", "counts"]
+        names = ["doc_id", "text_key", "node", "n", "part", "salt", "counts"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
 
-        def row(ids, nodes, n, part, counts):
-            k = len(n) if n is not None else len(part)
-            none = lambda t: pa.nulls(k, t)
-            salt = pa.array([TaskContext.get().partitionId() % 4] * k, pa.int32())
-            return pa.RecordBatch.from_arrays(
-                [none(pa.int64()) if ids is None else ids, none(pa.int64()) if nodes is None else pa.array(nodes, pa.int64()), none(pa.int32()) if n is None else pa.array(n, pa.int32()),
-                 none(pa.int32()) if part is None else pa.array(part, pa.int32()), salt, none(pa.binary()) if counts is None else pa.array(counts, pa.binary())], names)
+        def rows(k: int, **columns) -> pa.RecordBatch:
+            columns["salt"] = [TaskContext.get().partitionId() % 4] * k
+            return pa.RecordBatch.from_arrays([columns[c] if isinstance(columns.get(c), pa.Array) else pa.array(columns.get(c, [None] * k), t) for c, t in zip(names, kinds, strict=True)], names)
 
         for batch, raw, offs in vec.pieces(batches, "text"):
             nodes, n, new = [], [], []
@@ -115,20 +152,20 @@ def _first_pass(docs: DataFrame, shingle: int) -> DataFrame:
                     seen.add(key)
                     new.append(own)
             if new:
-                at, times = np.unique(np.concatenate(new) >> U64(64 - SKETCH_BITS), return_counts=True)
-                counts[at.astype(np.int64)] += times.astype(np.uint32)
-            if len(seen) > 1_000_000:
+                at, times = np.unique(cells(np.concatenate(new), size), return_counts=True)
+                counts[at] = np.minimum(counts[at].astype(np.int64) + times, 65535)
+            if len(seen) > 200_000:
                 seen.clear()
-            yield row(batch.column("doc_id"), nodes, n, None, None)
+            yield rows(len(n), doc_id=batch.column("doc_id"), text_key=batch.column("text_key"), node=nodes, n=n)
         parts = counts.reshape(-1, _PART)
         some = np.flatnonzero(parts.any(1))
-        yield row(None, None, None, some, [_pack(parts[i]) for i in some])
+        yield rows(len(some), part=some, counts=[_pack(parts[i]) for i in some])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, node long, n int, part int, salt int, counts binary")
+    return docs.select("doc_id", "text_key", "text").mapInArrow(run, "doc_id long, text_key long, node long, n int, part int, salt int, counts binary")
 
 
-def _classes(first: DataFrame, frequent: int) -> np.ndarray:
-    """A frequency class for each counter: its count while it is small, or _FREQUENT_CLASS. A table of fixed size comes to the driver."""
+def _classes(first: DataFrame, frequent: int, size: int) -> np.ndarray:
+    """The class of each counter. A table of fixed size comes to the driver."""
 
     def add(got: pa.Table) -> pa.Table:
         total = np.zeros(_PART, np.uint32)
@@ -138,25 +175,26 @@ def _classes(first: DataFrame, frequent: int) -> np.ndarray:
 
     kind = "part int, salt int, counts binary"
     parts = first.filter("part is not null").select("part", "salt", "counts").groupBy("part", "salt").applyInArrow(add, kind).groupBy("part").applyInArrow(add, kind)
-    counts = np.zeros(1 << SKETCH_BITS, np.uint32)
+    counts = np.zeros(size, np.uint32)
     for r in parts.toLocalIterator():
         _add(counts[r[0] * _PART : (r[0] + 1) * _PART], r[2])
-    classes = np.minimum(counts, _FREQUENT_CLASS - 1).astype(np.uint8)
-    classes[counts >= frequent + 2 * counts.mean()] = _FREQUENT_CLASS
-    return classes
+    return class_table(counts, frequent)
 
 
-def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
-    """Per row of `docs`: doc_id, n_shingles, component_id."""
-    spark = docs.sparkSession
-    first = written(_first_pass(docs, shingle), "sets")
-    rows = first.filter("n is not null").select("doc_id", "node", "n")
-    classes = spark.sparkContext.broadcast(_classes(first, frequent))
+def _linked(docs: DataFrame, shingle: int, percent: int, frequent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows doc_id, text_key, node, n of every document, and node, keep (least doc_id and its text_key of the component) of every node; both read written tables."""
+    spark = lean(docs.sparkSession)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+    size = (1 << fine_bits(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)) + (1 << COARSE_BITS)
+    first = written(_first_pass(docs, shingle, size), "sets")
+    rows = first.filter("n is not null").select("doc_id", "text_key", "node", "n")
+    classes = spark.sparkContext.broadcast(_classes(first, frequent, size))
+    vec.hand_back()
 
     def rare(shingles: np.ndarray) -> np.ndarray:
-        return classes.value[(shingles >> U64(64 - SKETCH_BITS)).astype(np.int64)] < _FREQUENT_CLASS
+        return classes.value[cells(shingles, len(classes.value))] < _FREQUENT_CLASS
 
-    reps = written(rows.filter("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "reps")
+    reps = written(rows.filter("node is not null and doc_id is not null").groupBy("node").agg(F.min(F.struct("doc_id", "text_key")).alias("keep")), "reps")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
@@ -167,38 +205,67 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
                     keep.append(node)
                     n.append(len(own))
                     sigs.append(signatures(own, classes.value, percent))
-                    bits.append(bitmap(own))
+                    bits.append(bitmap(own, percent))
                     r.append(int(rare(own).sum()))
             yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int64()), pa.array(n, pa.int32()), pa.array(r, pa.int32()), vec.list_column(sigs, pa.int64()), pa.array(bits, pa.binary())], ["node", "n", "r", "sigs", "bits"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(reps) if small(reps, 500_000) else reps, "doc_id").select("node", "text")
+    of = reps.select("keep.*", "node")
+    texts = docs.join(F.broadcast(of) if small(of, 500_000) else of, ["doc_id", "text_key"]).select("node", "text")
     postings = written(texts.mapInArrow(run, "node long, n int, r int, sigs array<long>, bits binary"), "postings")
     again = written(postings.groupBy("node").count().filter("count > 1").select("node"), "again")
-    if again.limit(1).count():  # rows that stand more than once: one posting and one text of each
-        postings = semi_anti(postings, again, "node").unionByName(written(semi(postings, again, "node").dropDuplicates(["node"]), "once"))
-        texts = semi_anti(texts, again, "node").unionByName(written(semi(texts, again, "node").dropDuplicates(["node", "text"]), "texts"))
-    flat = postings.select("node", "r", F.explode("sigs").alias("sig"))
+    repeated = again.limit(1).count() > 0
+
+    def once(df: DataFrame) -> DataFrame:
+        """One row of each node. Only those of repeated rows are shuffled with their other columns."""
+        return df if not repeated else semi_anti(df, again, "node").unionByName(semi(df, again, "node").dropDuplicates(["node"]))
+
+    flat = once(postings).select("node", "r", F.explode("sigs").alias("sig"))
     shared = written(one_of_equal(flat), "shared")
-    blocks = semi(flat, shared, "sig")
+    blocks = written(semi(flat, shared, "sig"), "meeting")
+    nodes = written(blocks.select("node").distinct(), "nodes")
+    marks = written(once(semi(postings.select("node", "n", "bits"), nodes, "node")), "marks")
+    bodies = written(once(semi(texts, nodes, "node")), "bodies")
+    discard(postings, again, shared, nodes)
+    del postings, again, flat, shared, nodes
+    release(spark)
+    labels = link(blocks, marks, bodies, shingle, percent, rare)
+    discard(blocks, marks, bodies)
+    classes.destroy()
+    keeps = reps.join(labels.select("node", "label"), "node").groupBy("label").agg(F.min("keep").alias("least"))
+    of = reps.join(labels.join(keeps, "label").select("node", "least"), "node", "left").select("node", F.coalesce("least", "keep").alias("keep"))
+    return rows, of
 
-    labels = link(blocks, postings.groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), texts, shingle, percent, rare)
-    least = reps.join(labels, "node").groupBy("label").agg(F.min("doc_id").alias("least"))
-    of = reps.join(labels.join(least, "label").select("node", "least"), "node", "left").select("node", F.coalesce("least", "doc_id").alias("component_id"))
-    found = rows.join(of, "node", "left")
+
+def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
+    """Per row of `docs`: doc_id, n_shingles, component_id."""
+    rows, of = _linked(docs, shingle, percent, frequent)
+    found = rows.join(of.select("node", F.col("keep.doc_id").alias("component_id")), "node", "left")
     return found.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Rows of `docs` that stay: of every component its smallest doc_id, once. Documents without words all stay, rows without a doc_id too."""
-    found = jaccard_components(docs, shingle, percent)
-    out = written(found.filter("n_shingles > 0 and component_id <> doc_id").select("doc_id").distinct(), "gone")
-    kept = semi_anti(docs, out, "doc_id")
-    again = docs.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id")
-    again = written(again, "again")
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, frequent: int = FREQUENT) -> DataFrame:
+    """Of every component one row of `docs`, with all its columns.
+
+    It is a row of the smallest doc_id, and where that id has several texts in the
+    component, of the text with the least hash.  Other texts under the same id are
+    documents of their own and stay or go with their own component.  Of rows that repeat
+    id and text the least one stays, compared column by column (columns can't be maps
+    then).  Documents without words, without text or without a doc_id all stay.
+    """
+    rows, of = _linked(docs, shingle, percent, frequent)
+    own = F.struct("doc_id", "text_key")
+    put = rows.filter("node is not null and doc_id is not null").join(of, "node").select("doc_id", "text_key", (own != F.col("keep")).alias("gone"))
+    per = written(put.groupBy("doc_id", "text_key").agg(F.max("gone").alias("gone"), F.count("*").alias("rows")), "decided")
+    id_name, key_name = unused(docs, "_id"), unused(docs, "_key")
+    keyed = docs.withColumns({id_name: F.col("doc_id").cast("long"), key_name: F.xxhash64("text")})
+    of = lambda cond: per.filter(cond).select(F.col("doc_id").alias(id_name), F.col("text_key").alias(key_name))
+    kept = semi_anti(keyed, of("gone"), [id_name, key_name])
+    again = of("not gone and rows > 1")
     if not again.limit(1).count():
-        return kept
-    rest = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(again, "doc_id", "left_anti").unionByName(rest)
+        return kept.select(*docs.columns)
+    columns = ["text", *(c for c in docs.columns if c != "text")]
+    least = semi(kept, again, [id_name, key_name]).groupBy(id_name, key_name).agg(F.min(F.struct(*columns)).alias(key_name + "_row"))
+    return semi_anti(kept, again, [id_name, key_name]).select(*docs.columns).unionByName(least.select(f"{key_name}_row.*").select(*docs.columns))
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

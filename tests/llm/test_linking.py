@@ -68,5 +68,5 @@ def test_bitmaps_never_part_linked_sets():
     for _ in range(50):
         base = rng.integers(0, 2**63, 300).astype(np.uint64)
         x, y = np.unique(base[: 300 - int(rng.integers(0, 8))]), np.unique(base[int(rng.integers(0, 8)) :])
-        a, b = (int.from_bytes(near.bitmap(s), "little") for s in (x, y))
+        a, b = (int.from_bytes(near.bitmap(s, 90), "little") for s in (x, y))
         assert (a ^ b).bit_count() <= len(np.setxor1d(x, y))
