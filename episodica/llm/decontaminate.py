@@ -2,18 +2,24 @@
 
 Words are runs of ASCII letters, digits and non-ASCII characters, A-Z lowered.  A
 window is `window` consecutive words of an item; an item with fewer words, but
-not none, is one window.  All windows form one automaton.  A text is scanned once;
-matches are mapped back to words and to offsets in the original text.
+not none, is one window.  The distinct windows form one automaton whose letters are
+words: every word of the windows has a number, all other words share one, so a node
+stands for a word and not for a character.  A text is scanned once; matches are mapped
+back to words and to offsets in the original text.  Texts in which none of the windows'
+marks stands have no match and are only counted: a window's mark is the one of its runs
+of three words with the least checksum, which neighbouring windows mostly share.
 
 Edge cases: null or wordless texts have no words and no hits; null or wordless
 items have no windows; items of equal text are counted each, items without an id
 mark words but are not listed; repeated document rows give repeated result rows;
-an empty benchmark leaves every document clean. Other columns are left alone.
+an empty benchmark leaves every document clean; very long texts are scanned whole.
+Other columns are left alone.
 """
 
 from __future__ import annotations
 
-import hashlib
+import uuid
+import zlib
 from collections.abc import Iterator
 
 import ahocorasick
@@ -23,11 +29,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import vec
-from .shared import semi_anti, table, written
+from .shared import lean, semi_anti, table, unused, written
 
 WINDOW = 13
-#: Characters of items in one automaton. A longer benchmark is scanned in several shards.
-SHARD_CHARS = 8_000_000
+#: Windows in one automaton, about 650 bytes each in every worker: 50 MB. A larger benchmark is scanned in several shards.
+SHARD_WINDOWS = 75_000
+#: Numbers of words, as characters of a string; behind them the one for all other words.
+_FIRST, _OTHER = 0x10000, 0x10FFFF
 
 _ALNUM_BYTES = bytes(b or 0x20 for b in vec.ALNUM.tolist())
 
@@ -36,50 +44,54 @@ def normalise(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_ALNUM_BYTES).split()
 
 
+def mark_of(words: list[bytes]) -> bytes:
+    """The three neighbouring words of a window with the least checksum, or all words of a shorter one."""
+    return min((b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))), key=lambda p: (zlib.crc32(p), p))
+
+
 class Automaton:
-    """Finds windows; made once per Python worker from the items of a shard."""
-
-    _last: tuple[str, Automaton] | None = None
-
-    def __init__(self, items: list[tuple[int | None, str]], window: int):
-        owners: dict[str, set[str]] = {}
-        lengths: dict[str, int] = {}
-        for item, text in items:
-            words = normalise(text)
-            for i in range(max(1, len(words) - window + 1) if words else 0):
-                part = words[i : i + window]
-                key = " " + b" ".join(part).decode("latin-1") + " "
-                owners.setdefault(key, set()).update([] if item is None else [str(item)])
-                lengths[key] = len(part)
+    """Finds windows; made once per Python worker from the windows of a shard: (words joined by blanks, items)."""
+
+    def __init__(self, windows: list[tuple[bytes, list[str]]]):
+        raw, offs = b"".join(k for k, _ in windows), np.cumsum([0, *(len(k) for k, _ in windows)])
+        words = vec.find_words(np.frombuffer(raw, np.uint8), offs, vec.ALNUM)
+        self.words = np.unique(words.hash)  # a word's number is its place here
+        letters = self.letters(words.hash)
         self.find = ahocorasick.Automaton()
-        for key, who in owners.items():
-            self.find.add_word(key, (lengths[key], frozenset(who)))
-        self.any = bool(owners)
-        if self.any:
+        for i, (_, who) in enumerate(windows):
+            a, b = words.first[i : i + 2]
+            self.find.add_word(letters[a:b].tobytes().decode("utf-32-le"), (int(b - a), tuple(who)))
+        self.marks = ahocorasick.Automaton()
+        for mark in {mark_of(k.split()) for k, _ in windows}:
+            self.marks.add_word(f" {mark.decode('latin-1')} ", True)
+        if windows:
             self.find.make_automaton()
-
-    @classmethod
-    def of(cls, key: str, items, window: int) -> Automaton:
-        if cls._last is None or cls._last[0] != key:
-            cls._last = (key, cls(items, window))
-        return cls._last[1]
-
-    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
-        """Word runs that are hit, merged and in order, and the items found."""
-        if not self.any or not words:
-            return [], set()
-        text = " " + b" ".join(words).decode("latin-1") + " "
-        found = list(self.find.iter(text))
-        if not found:
-            return [], set()
-        blanks = np.flatnonzero(np.frombuffer(text.encode("latin-1"), np.uint8) == 0x20)
-        last = np.searchsorted(blanks, [at for at, _ in found])  # the blank after the match's last word
-        items: set[str] = set()
-        spans = []
-        for to, (_, (n, who)) in zip(last.tolist(), found, strict=True):
-            items |= who
+            self.marks.make_automaton()
+
+    def may_match(self, words: list[bytes]) -> bool:
+        return bool(len(self.words)) and next(self.marks.iter(f" {b' '.join(words).decode('latin-1')} "), None) is not None
+
+    def letters(self, hashes: np.ndarray) -> np.ndarray:
+        """The number of each word as a code point, one for all that stand in no window."""
+        at = np.minimum(np.searchsorted(self.words, hashes), max(0, len(self.words) - 1))
+        return np.where(self.words[at] == hashes, at + _FIRST, _OTHER).astype("<u4") if len(self.words) else np.full(len(hashes), _OTHER, "<u4")
+
+    def scan(self, words: vec.Words) -> dict[int, tuple[list[tuple[int, int]], set[str]]]:
+        """Of each row with hits: runs of its words that are hit, merged and in order, and the items found. One pass over all rows' words."""
+        if not len(self.words) or not len(words.hash):
+            return {}
+        rows = len(words.first) - 1
+        text = np.full(len(words.hash) + rows, _OTHER, "<u4")  # a letter that no window has stands behind each row
+        text[np.arange(len(words.hash)) + words.doc] = self.letters(words.hash)
+        begin = words.first[:-1] + np.arange(rows)
+        found: dict[int, tuple[list[tuple[int, int]], set[str]]] = {}
+        for last, (n, who) in self.find.iter(text.tobytes().decode("utf-32-le")):
+            row = int(np.searchsorted(begin, last, "right")) - 1
+            to = last - int(begin[row]) + 1
+            spans, items = found.setdefault(row, ([], set()))
             spans.append((to - n, to))
-        return merged(spans), items
+            items.update(who)
+        return {row: (merged(spans), items) for row, (spans, items) in found.items()}
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -92,11 +104,21 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def char_offsets(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Code point offsets in the original text of runs of words."""
-    raw = text.encode("utf-8", "surrogatepass")
-    words = vec.find_words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), vec.ALNUM)
-    return [(len(raw[: words.start[a]].decode("utf-8", "surrogatepass")), len(raw[: words.end[b - 1]].decode("utf-8", "surrogatepass"))) for a, b in runs]
+def windows_of(benchmark: DataFrame, window: int) -> DataFrame:
+    """Written: key (words joined by blanks), items (ids as text) of every distinct window."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, names = [], []
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                words = normalise(text)
+                own = {b" ".join(words[i : i + window]) for i in range(max(1, len(words) - window + 1) if words else 0)}
+                keys += own
+                names += [item] * len(own)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(names, pa.string())], ["key", "item"])
+
+    found = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").filter("text is not null").mapInArrow(run, "key binary, item string")
+    return written(found.groupBy("key").agg(F.collect_set("item").alias("items")), "windows")
 
 
 _SCHEMA = "doc_id long, n_words long, runs array<struct<start:int,stop:int>>, items array<string>, spans array<struct<start:long,stop:long>>"
@@ -104,47 +126,47 @@ _RUN = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 _SPAN = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
 
 
-def scan(docs: DataFrame, items: list[tuple[int | None, str]], window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One scan of `docs` with one automaton: words, hit runs of words, items found and original offsets."""
-    key = hashlib.sha256(repr((window, items)).encode()).hexdigest()
-    shipped = docs.sparkSession.sparkContext.broadcast(items)
+def scan(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One scan of `docs` with one automaton: words, hit runs of words, items found and original offsets. windows: key, items; at most `SHARD_WINDOWS` rows."""
+    key = uuid.uuid4().hex
+    shipped = docs.sparkSession.sparkContext.broadcast(sorted((bytes(r[0]), sorted(r[1])) for r in windows.select("key", "items").collect()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = Automaton.of(key, shipped.value, window)
+        machine = vec.kept(("automaton", key), lambda: Automaton(shipped.value))
         for batch, _, _ in vec.pieces(batches, "text"):
-            counts, runs, names, spans = [], [], [], []
-            for text in batch.column("text").to_pylist():
-                words = normalise(text)
-                hit, who = machine.scan(words)
-                counts.append(len(words))
-                runs.append([{"start": a, "stop": b} for a, b in hit])
+            texts = [normalise(t) for t in batch.column("text").to_pylist()]
+            some = [row for row, words in enumerate(texts) if words and machine.may_match(words)]
+            raw, offs = vec.text_buffer(batch.column("text").take(pa.array(some, pa.int64())))
+            words = vec.find_words(raw, offs, vec.ALNUM)
+            hits = {some[i]: (i, *found) for i, found in machine.scan(words).items()}
+            chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+            runs, names, spans = [], [], []
+            for row in range(batch.num_rows):
+                i, hit, who = hits.get(row, (0, (), ()))
+                a, base = int(words.first[i]), chars[offs[i]]
+                runs.append([{"start": x, "stop": y} for x, y in hit])
                 names.append(sorted(who))
-                spans.append([{"start": a, "stop": b} for a, b in char_offsets(text, hit)] if hit else [])
+                spans.append([{"start": chars[words.start[a + x]] - base, "stop": chars[words.end[a + y - 1]] - base} for x, y in hit])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(runs, _RUN), pa.array(names, pa.list_(pa.string())), pa.array(spans, _SPAN)],
+                [batch.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()), pa.array(runs, _RUN), pa.array(names, pa.list_(pa.string())), pa.array(spans, _SPAN)],
                 ["doc_id", "n_words", "runs", "items", "spans"],
             )
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, _SCHEMA)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_chars: int = SHARD_CHARS) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_windows: int = SHARD_WINDOWS) -> DataFrame:
     """Per row of `docs`: doc_id, n_words, n_hit, items, spans (code points of hit runs), contaminated.
 
-    The benchmark's size is summed first. Up to `shard_chars` characters it is one
-    automaton and one scan; beyond, its items are dealt into shards that each stay
-    under the bound, every shard scans the texts, and runs are merged per row.
+    The benchmark's windows are counted first. Up to `shard_windows` they are one
+    automaton and one scan; beyond, they are dealt by hash into shards of about that
+    size, every shard scans the texts, and runs are merged per row.
     """
-    bench = benchmark.select("item_id", "text").filter(F.col("text").isNotNull())
-    total = bench.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    shards = -(-int(total) // shard_chars) or 1
-
-    def items(k: int) -> list[tuple[int | None, str]]:
-        part = bench if shards == 1 else bench.filter(F.pmod(F.xxhash64("text"), F.lit(shards)) == k)
-        return sorted(((r[0], r[1]) for r in part.collect()), key=repr)
-
+    lean(docs.sparkSession)
+    windows = windows_of(benchmark, window)
+    shards = -(-windows.count() // shard_windows) or 1
     if shards == 1:
-        found = scan(docs, items(0), window)
+        found = scan(docs, windows)
     else:  # each shard scans the distinct texts of a document; rows that repeat come back by their count
         keyed = docs.select("doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
         keyed = keyed.groupBy("doc_id", "text").agg(F.count("*").alias("rows"))
@@ -152,12 +174,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
         once = written(once, "shards")
         parts = None
         for k in range(shards):
-            part = scan(once, items(k), window, id_col="row")
+            part = scan(once, windows.filter(F.pmod(F.xxhash64("key"), F.lit(shards)) == k), id_col="row")
             parts = part if parts is None else parts.unionByName(part)
         by_row = parts.groupBy(F.col("doc_id").alias("row"), "n_words").agg(
             F.flatten(F.collect_list("runs")).alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans")
         )
-        found = once.select("row", "doc_id", "rows").join(by_row, "row").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int")))).drop("row", "rows", "copy")
+        copies = F.explode(F.sequence(F.lit(1), F.col("rows").cast("int")))
+        found = once.select("row", "doc_id", "rows").join(by_row, "row").withColumn("copy", copies).drop("row", "rows", "copy")
     step = F.aggregate(
         F.array_sort("runs"),
         F.struct(F.lit(0).alias("n"), F.lit(-1).alias("to")),
@@ -168,11 +191,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Rows of `docs` that aren't contaminated, with all their columns; rows are told apart by id and text."""
-    key = F.xxhash64("doc_id", "text")
+    """Rows of `docs` that aren't contaminated, with all their columns.
+
+    Rows are told apart by id and text, so rows that repeat both go together; rows without
+    an id are judged by their text; null and wordless texts stay; an empty benchmark keeps
+    all; an empty table gives an empty table.
+    """
+    key, name = F.xxhash64("doc_id", "text"), unused(docs, "_key")
     found = decontaminate(docs.select(key.alias("doc_id"), "text"), benchmark)
-    gone = written(found.filter("contaminated").select("doc_id").distinct(), "contaminated").withColumnRenamed("doc_id", "_key")
-    return semi_anti(docs.withColumn("_key", key), gone, "_key").select(*docs.columns)
+    gone = written(found.filter("contaminated").select("doc_id").distinct(), "contaminated").withColumnRenamed("doc_id", name)
+    return semi_anti(docs.withColumn(name, key), gone, name).select(*docs.columns)
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
