@@ -12,17 +12,24 @@ join a token to the previous one with the same normal form (letters and digits,
 lowered) anywhere in the document, and to the previous one that ends in the same
 seven digits: repeated or similar tokens, a linear number of edges.  Loopy
 sum-product messages run a fixed number of rounds over all documents of a slice
-at once; a token whose belief in a label passes one half becomes an added span.
-
-Training.  Node weights are a softmax regression on the shapes of at most
-`SAMPLE_DOCS` documents that hold such tokens, chosen by hash, with base spans as
-labels; chain and skip weights are log odds of label agreement over the same
-edges.  Tokens outside base spans that repeat or resemble one inside are left out of
-both: whether they are personal data is what the field infers.  Scanning and inference cover every document.
+at once; tokens whose belief in a label passes one half become added spans, parts of
+one number in one span.
+
+Training.  Node, chain and skip potentials are fitted together, by the gradient of the
+field's own log-likelihood: beliefs with the known labels held, less beliefs with
+none held, both by the same messages.  Known are tokens in base spans (their kind) and
+tokens outside (none), but for those whose label is what the field is to infer: tokens
+that repeat or resemble one in a base span, and tokens within a longer match that failed
+its test, such as a card number right behind a telephone number.  Those are summed out.
+Skip potentials lean to agreement where the sample says nothing.  The sample are at most
+`SAMPLE_DOCS` distinct texts that hold such tokens, those of least hash, and of each the
+`SAMPLE_TOKENS` tokens of least hash with three words about them, from the whole text.
+Scanning and inference cover every document.
 
 Edge cases: null and empty texts have no spans; offsets are code points with an
 exclusive end; repeated rows give repeated results; without any base span in the
-sample nothing is added; long texts are handled whole.
+sample nothing is added; an empty table gives an empty result; long texts are handled
+whole; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,13 +44,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import vec
-from .shared import table
+from .shared import lean, table, written
 from .spans import SPAN, SPAN_SQL, digest, ordered
 
 KINDS = ["email", "ip", "card", "phone"]
 SAMPLE_DOCS = 3000
+SAMPLE_TOKENS = 256
 FEATURES = 1 << 12
-ROUNDS = 8
+ROUNDS = 12
+#: Steps of the training, how strongly potentials are drawn to what they are without data, and what skip edges are then.
+STEPS = 60
+PULL = 1.0
+AGREE = 2.0
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -74,6 +86,13 @@ def octets(s: str) -> bool:
     return all(len(q := p.lstrip("0")) <= 3 and int(q or "0") <= 255 for p in s.split("."))
 
 
+def dropped_spans(text: str) -> list[tuple[int, int]]:
+    """Matches of the patterns for numbers that fail their tests."""
+    out = [m.span() for m in IP.finditer(text) if not octets(m[0])]
+    out += [m.span() for m in CARD.finditer(text) if len(d := digits_of(m[0])) >= 10 and not (14 <= len(d) <= 19 and luhn(d))]
+    return out + ([m.span() for m in PHONE.finditer(text) if len(digits_of(m[0])) > 15] if "+" in text else [])
+
+
 def base_spans(text: str) -> list[tuple[str, int, int, bool]]:
     out = []
     done, at = 0, text.find("@")
@@ -133,6 +152,7 @@ class Graph:
     def __init__(self):
         self.where: list[tuple[int, int, int]] = []  # row, start, stop
         self.label: list[int] = []  # held label, or -1
+        self.part: list[bool] = []  # within a longer match that failed
         self.ids: list[list[int]] = []
         self.chain: list[tuple[int, int]] = []
         self.skip: list[tuple[int, int]] = []
@@ -146,15 +166,19 @@ class Graph:
                 b -= 1
             tokens.append((a, b))
         spans = sorted((a, b, KINDS.index(k) + 1) for k, a, b, _ in base)
+        dropped = sorted(dropped_spans(text))
         last: dict[str, int] = {}
-        at = 0
+        at = out = 0
         for i, (a, b) in enumerate(tokens):
             node = len(self.where)
             while at < len(spans) and spans[at][1] <= a:
                 at += 1
+            while out < len(dropped) and dropped[out][1] <= a:
+                out += 1
             held = next((k for s, e, k in spans[at : at + 4] if s < b and a < e), -1)
             self.where.append((row, a, b))
             self.label.append(held)
+            self.part.append(any(s <= a + 1 and b - 1 <= e and e - s > b - a for s, e in dropped[out : out + 4]))
             self.ids.append(feature_ids(tokens, text, i))
             if i and a - tokens[i - 1][1] < 40 and text.count(" ", tokens[i - 1][1], a) <= 3:
                 self.chain.append((node - 1, node))
@@ -167,7 +191,7 @@ class Graph:
 
 
 def latent(graph: Graph) -> np.ndarray:
-    """Nodes outside base spans that repeat or resemble a node in one: their label is not known, so they teach nothing."""
+    """Nodes outside base spans whose label isn't known: they repeat or resemble a node in one, or are part of a longer match that failed."""
     held = np.array(graph.label, int) > 0
     near = held.copy()
     edges = np.array(graph.skip, int).reshape(-1, 2)
@@ -178,91 +202,141 @@ def latent(graph: Graph) -> np.ndarray:
         if (more == near).all():
             break
         near = more
-    return near & ~held
+    return (near | np.array(graph.part, bool)) & ~held
 
 
-def fit(graph: Graph, rounds: int = 150) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Node weights (features x labels), chain and skip log potentials (labels x labels)."""
-    n = len(KINDS) + 1
-    weights = np.zeros((FEATURES, n))
-    y = np.maximum(np.array(graph.label, int), 0)
-    hidden = latent(graph)
-    if len(y) and y.any():
-        x, y = np.array(graph.ids)[~hidden], y[~hidden]
-        target = np.eye(n)[y]
-        step = np.zeros_like(weights)
-        for _ in range(rounds):
-            z = weights[x].sum(1)
-            p = np.exp(z - z.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            g = np.zeros_like(weights)
-            np.add.at(g, x, ((target - p) / len(y))[:, None, :])
-            step += g * g
-            weights += 0.5 * g / (np.sqrt(step) + 1e-8)
-            weights *= 0.9995
-
-    label = np.maximum(np.array(graph.label, int), 0)
-
-    def pairs(edges: list[tuple[int, int]]) -> np.ndarray:
-        counts = np.ones((n, n)) + np.eye(n)
-        for a, b in edges:
-            if not (hidden[a] or hidden[b]):
-                counts[label[a], label[b]] += 1
-        share = counts / counts.sum()
-        lift = np.log(share / (share.sum(1, keepdims=True) * share.sum(0, keepdims=True)))
-        return np.clip(lift, -3, 3)
-
-    return weights, pairs(graph.chain), pairs(graph.skip)
-
-
-def beliefs(graph: Graph, model: tuple[np.ndarray, np.ndarray, np.ndarray], rounds: int = ROUNDS) -> np.ndarray:
-    """Loopy sum-product over all nodes at once; rows are nodes, columns labels."""
-    weights, chain, skip = model
-    node = weights[np.array(graph.ids)].sum(1)
-    held = np.array(graph.label)
-    node[held >= 0] = -20.0
-    node[np.flatnonzero(held >= 0), held[held >= 0]] = 20.0
-    edges = np.array([*graph.chain, *graph.skip], int).reshape(-1, 2)
-    if len(edges):
-        kind = np.repeat([0, 1], [len(graph.chain), len(graph.skip)])
-        table_of = np.stack([chain, skip])[kind]
-        source, target = np.concatenate([edges[:, 0], edges[:, 1]]), np.concatenate([edges[:, 1], edges[:, 0]])
-        pair = np.concatenate([table_of, table_of.transpose(0, 2, 1)])
-        back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
-        message = np.zeros((len(source), node.shape[1]))
+def _chances(z: np.ndarray, axes: tuple[int, ...]) -> np.ndarray:
+    p = np.exp(z - z.max(axes, keepdims=True))
+    return p / p.sum(axes, keepdims=True)
+
+
+class Messages:
+    """Loopy sum-product over all edges of a graph at once."""
+
+    def __init__(self, graph: Graph):
+        self.edges = np.array([*graph.chain, *graph.skip], int).reshape(-1, 2)
+        self.kind = np.repeat([0, 1], [len(graph.chain), len(graph.skip)])
+        self.source, self.target = np.concatenate([self.edges[:, 0], self.edges[:, 1]]), np.concatenate([self.edges[:, 1], self.edges[:, 0]])
+        n = len(self.edges)
+        self.back = np.concatenate([np.arange(n) + n, np.arange(n)])
+
+    def run(self, node: np.ndarray, tables: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+        """Beliefs of nodes and of edges. node: log potentials, nodes x labels; tables: of chain and skip edges, 2 x labels x labels."""
+        if not len(self.edges):
+            return _chances(node, (1,)), np.zeros((0, *tables.shape[1:]))
+        of = tables[self.kind]
+        pair = np.concatenate([of, of.transpose(0, 2, 1)])
+        message = np.zeros((len(self.source), node.shape[1]))
+        total = node
         for _ in range(rounds):
-            total = node.copy()
-            np.add.at(total, target, message)
-            out = (total[source] - message[back])[:, :, None] + pair
+            out = (total[self.source] - message[self.back])[:, :, None] + pair
             top = out.max(1, keepdims=True)
             new = (top + np.log(np.exp(out - top).sum(1, keepdims=True)))[:, 0]
             message = 0.5 * message + 0.5 * (new - new.max(1, keepdims=True))
-        np.add.at(node, target, message)
-    p = np.exp(node - node.max(1, keepdims=True))
-    return p / p.sum(1, keepdims=True)
+            total = np.stack([node[:, k] + np.bincount(self.target, message[:, k], len(node)) for k in range(node.shape[1])], 1)
+        n = len(self.edges)
+        left, right = total[self.edges[:, 0]] - message[n:], total[self.edges[:, 1]] - message[:n]
+        return _chances(total, (1,)), _chances(left[:, :, None] + right[:, None, :] + of, (1, 2))
+
+
+def held(node: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Potentials with known labels (0 or more) held."""
+    out = node.copy()
+    out[label >= 0] = -30.0
+    out[np.flatnonzero(label >= 0), label[label >= 0]] = 0.0
+    return out
+
+
+def fit(graph: Graph, steps: int = STEPS) -> tuple[np.ndarray, np.ndarray]:
+    """Node weights (features x labels) and log potentials of chain and skip edges (2 x labels x labels), fitted together."""
+    n = len(KINDS) + 1
+    weights, tables = np.zeros((FEATURES, n)), np.stack([np.zeros((n, n)), AGREE * np.eye(n)])
+    label = np.array(graph.label, int)
+    if not len(label) or label.max() <= 0:
+        return weights, tables
+    label = np.where(label > 0, label, np.where(latent(graph), -1, 0))
+    ids, messages, prior = np.array(graph.ids), Messages(graph), tables.copy()
+    flat, size = ids.ravel(), len(label)
+    grown = [np.full_like(weights, 1e-8), np.full_like(tables, 1e-8)]
+    for _ in range(steps):
+        node = weights[ids].sum(1)
+        (clamped, with_known), (free, without) = messages.run(held(node, label), tables), messages.run(node, tables)
+        off = np.repeat(clamped - free, ids.shape[1], axis=0)
+        slope = np.stack([np.bincount(flat, off[:, k], FEATURES) for k in range(n)], 1)
+        edge = np.stack([(with_known - without)[messages.kind == k].sum(0) for k in (0, 1)])
+        for value, g, sum_, rest in ((weights, slope, grown[0], 0.0), (tables, edge, grown[1], prior)):
+            g = (g - PULL * (value - rest) * 0.05) / size
+            sum_ += g * g
+            value += 0.5 * g / np.sqrt(sum_)
+    return weights, tables
+
+
+def beliefs(graph: Graph, model: tuple[np.ndarray, np.ndarray], rounds: int = ROUNDS) -> np.ndarray:
+    """Beliefs in labels, nodes x labels; tokens in base spans are held."""
+    weights, tables = model
+    return Messages(graph).run(held(weights[np.array(graph.ids)].sum(1), np.array(graph.label)), tables, rounds)[0]
+
+
+def complete(kind: str, token: str) -> bool:
+    """Whether a token is a whole span of its kind and not a part of one."""
+    n = len(digits_of(token))
+    return {"email": "@" in token, "ip": token.count(".") == 3, "card": n >= 14, "phone": n >= 10}[kind]
+
+
+def added_spans(text: str, tokens: list[tuple[str, int, int]]) -> list[tuple[str, int, int, bool]]:
+    """Spans of labelled tokens (kind, start, stop) in order; neighbouring parts of one number are joined."""
+    out: list[tuple[str, int, int, bool]] = []
+    for kind, a, b in tokens:
+        if out and out[-1][0] == kind and not complete(kind, text[a:b]) and not complete(kind, text[out[-1][1] : out[-1][2]]) and text[a] != "+" and a - out[-1][2] <= 3 and not text[out[-1][2] : a].strip(" ().-"):
+            out[-1] = (kind, out[-1][1], b, False)
+        else:
+            out.append((kind, a, b, False))
+    return out
+
+
+GAP = "\n" + "·" * 48 + "\n"
+
+
+def snippets(text: str, most: int = SAMPLE_TOKENS) -> str:
+    """At most so many number-like tokens of a text, those whose normal form has the least hash, with three words about them."""
+    tokens = list(marked_tokens(text))
+    if len(tokens) > most:
+        tokens.sort(key=lambda t: (zlib.crc32("".join(c for c in text[slice(*t)].lower() if c.isalnum()).encode("utf-8", "surrogatepass")), t))
+        tokens = sorted(tokens[:most])
+    out: list[list[int]] = []
+    for a, b in tokens:
+        before = [m.start() for m in re.finditer(r"\S+", text[max(0, a - 192) : a])][-3:]
+        after = [m.end() for m in re.finditer(r"\S+", text[b : b + 192])][:3]
+        lo, hi = max(0, a - 192) + before[0] if before else a, b + after[-1] if after else b
+        if out and lo <= out[-1][1] + 1:
+            out[-1][1] = max(out[-1][1], hi)
+        else:
+            out.append([lo, hi])
+    return GAP.join(text[a:b] for a, b in out)
 
 
-def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Fits the field on at most `sample_docs` documents with number-like tokens."""
+def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> tuple[np.ndarray, np.ndarray]:
+    """Fits the field on at most `sample_docs` distinct texts with number-like tokens."""
     some = docs.filter(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("h"))
-    total = docs.count()
-    if total > 20 * sample_docs:  # about ten times the bound goes into the sort, picked by the same hash
-        some = some.filter(F.col("h") <= int(-(2**63) + 2**64 * (10 * sample_docs / total)))
+    hashes = written(some.select("h").distinct(), "marked")
+    edge = hashes.orderBy("h").limit(sample_docs).agg(F.max("h")).first()[0]
+    if edge is None:
+        return fit(Graph())
 
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Keeps what training reads: the number-like tokens with three words about them."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [" ".join(m[0] for m in re.finditer(r"(?:\S{1,64}\s+){0,3}\S{0,64}[0-9@]\S{0,64}(?:\s+\S{1,64}){0,3}", t))[:4000] for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(keep, pa.string()), batch.column("h")], ["text", "h"])
+            yield pa.RecordBatch.from_arrays([pa.array([snippets(t) for t in batch.column("text").to_pylist()], pa.string()), batch.column("h")], ["text", "h"])
 
     graph = Graph()
-    for i, r in enumerate(some.mapInArrow(tokens, "text string, h long").orderBy("h", "text").limit(sample_docs).collect()):
+    picked = some.filter(F.col("h") <= edge).mapInArrow(cut, "text string, h long").groupBy("h").agg(F.min("text").alias("text"))
+    for i, r in enumerate(sorted(picked.collect(), key=lambda r: r["h"])):
         graph.add(i, r["text"], base_spans(r["text"]))
     return fit(graph)
 
 
 def find_personal_data(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """Per row of `docs`: doc_id and spans (kind, start, stop, base)."""
+    lean(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     model = docs.sparkSession.sparkContext.broadcast(train(docs, sample_docs))
 
@@ -270,7 +344,8 @@ def find_personal_data(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataF
         for batch, _, _ in vec.pieces(batches, "text"):
             spans: list[list] = []
             graph = Graph()
-            for row, text in enumerate(batch.column("text").to_pylist()):
+            texts = batch.column("text").to_pylist()
+            for row, text in enumerate(texts):
                 base = []
                 if text and MARK.search(text):
                     base = base_spans(text)
@@ -279,9 +354,13 @@ def find_personal_data(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataF
             if graph.where and model.value[0].any():
                 p = beliefs(graph, model.value)
                 best = p.argmax(1)
+                found: dict[int, list[tuple[str, int, int]]] = {}
                 for i in np.flatnonzero((best > 0) & (p.max(1) > 0.5) & (np.array(graph.label) < 0)):
                     row, a, b = graph.where[i]
-                    spans[row] = [*spans[row], (KINDS[best[i] - 1], a, b, False)]
+                    if a < b:
+                        found.setdefault(row, []).append((KINDS[best[i] - 1], a, b))
+                for row, tokens in found.items():
+                    spans[row] = [*spans[row], *added_spans(texts[row], tokens)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([ordered(s, KINDS) for s in spans], SPAN)], ["doc_id", "spans"])
 
     return docs.mapInArrow(run, f"doc_id long, spans {SPAN_SQL}")
