@@ -2,19 +2,21 @@
 
 Base spans are the matches of three fixed patterns (leftmost, non-overlapping per
 kind; matches that fail their test are dropped).  The token-efficiency test adds
-spans of kind `random`: key letters, `min_chars` or more, with digits and letters,
-whose characters per token of a byte-level vocabulary are at most `ratio`.
-Prose and identifiers made of words take few tokens; random strings take many.
+spans of kind `random`: runs of key letters whose characters per token of a byte-level
+vocabulary are at most a ratio that depends on their length: `ratio` from `min_chars`
+on, less for runs of letters alone and for shorter ones, since words of that length may
+come near it by chance.  Prose and identifiers made of words take few tokens; random
+strings take many.
 A run of key letters is cut at `/`, `=`, `_` and `-` wherever a part beside them is
 a word by the same test, so names and paths about a key don't hide it; neighbouring
 parts that are no words stay together and are tested as one, and where none passes,
 the whole run is. UUIDs are cut out of runs. Known digests (hex after a digest name or
-of a digest's length in a URL or path) and parts of one character class are left out,
-as are parts inside base spans.
+of a digest's length in a URL or path) are left out, as are parts inside base spans.
 
 Edge cases: null and empty texts have no spans; spans are code points with an
 exclusive end; equal starts keep the order assign, access, hex, random; repeated
-rows give repeated results; very long texts are scanned whole in linear time.
+rows give repeated results; an empty table gives an empty result; very long texts are
+scanned whole in linear time; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,19 +30,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import vec
-from .shared import table
+from .shared import lean, table
 from .spans import SPAN, SPAN_SQL, digest, ordered
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 KINDS = ["assign", "access", "hex", "random"]
+#: Runs from `MIN_CHARS` on are random at `RATIO` or less, letters alone at `LETTERS_RATIO`, shorter ones from `SHORT_CHARS` on at `SHORT_RATIO`.
 MIN_CHARS = 20
 RATIO = 1.9
+LETTERS_RATIO = 1.85
+SHORT_CHARS = 16
+SHORT_RATIO = 1.55
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ASSIGN_WORDS = re.compile(r"password|passwd|secret|token|api_?key", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_CHARS)
+RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % SHORT_CHARS)
 UUID = re.compile(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}", re.IGNORECASE)
 DIGEST_NAME = re.compile(r"(?:md5|sha-?(?:1|224|256|384|512)|digest|checksum|integrity|etag|commit|revision)\W{0,3}$", re.IGNORECASE)
 SEPARATORS = "/=_-"
@@ -51,9 +57,7 @@ ALL_HEX = re.compile(r"[0-9a-fA-F]+")
 
 
 class Efficiency:
-    """Characters per token under a public vocabulary; one per Python worker."""
-
-    _cache: dict[str, Efficiency] = {}
+    """Characters per token under a public vocabulary; made once per Python worker."""
 
     def __init__(self, path: str):
         import public_tokenizers
@@ -65,9 +69,7 @@ class Efficiency:
 
     @classmethod
     def of(cls, path: str) -> Efficiency:
-        if path not in cls._cache:
-            cls._cache[path] = cls(path)
-        return cls._cache[path]
+        return vec.kept(("efficiency", path), lambda: cls(path))
 
     def ratio(self, run: str) -> float:
         return len(run) / max(1, len(self.enc.encode_ordinary(run)))
@@ -128,17 +130,21 @@ def stretches(text: str, start: int, stop: int, test: Efficiency, ratio: float)
 def random_spans(text: str, taken: list[tuple[str, int, int, bool]], test: Efficiency, ratio: float) -> list[tuple[str, int, int, bool]]:
     out = []
 
-    def mixed(a: int, b: int) -> bool:
-        run = text[a:b]
-        digit = any(c.isdigit() for c in run)
-        return b - a >= MIN_CHARS and digit and (any(c.islower() for c in run) or any(c.isupper() for c in run))
+    def most(a: int, b: int) -> float:
+        """The ratio up to which a part is random; 0 for one that is too short."""
+        own = sum(c.isalnum() for c in text[a:b])
+        if own < SHORT_CHARS:
+            return 0.0
+        if own < MIN_CHARS:
+            return min(ratio, SHORT_RATIO)
+        return ratio if any(c.isdigit() for c in text[a:b]) else min(ratio, LETTERS_RATIO)
 
     def passes(a: int, b: int) -> bool:
-        return mixed(a, b) and not any(s < b and a < e for _, s, e, _ in taken) and test.ratio(text[a:b]) <= ratio
+        return (limit := most(a, b)) > 0 and not any(s < b and a < e for _, s, e, _ in taken) and test.ratio(text[a:b]) <= limit
 
     for m in RUN.finditer(text):
         for a, b in without_uuids(text, *m.span()):
-            if not mixed(a, b):
+            if not most(a, b):
                 continue
             parts = stretches(text, a, b, test, ratio)
             known = [p for p in parts if known_identifier(text, *p)]
@@ -151,6 +157,7 @@ def random_spans(text: str, taken: list[tuple[str, int, int, bool]], test: Effic
 
 def find_secrets(docs: DataFrame, ratio: float = RATIO, path: str | None = None) -> DataFrame:
     """Per row of `docs`: doc_id and spans (kind, start, stop, base)."""
+    lean(docs.sparkSession)
     if path is None:
         import public_tokenizers
 
@@ -169,7 +176,12 @@ def find_secrets(docs: DataFrame, ratio: float = RATIO, path: str | None = None)
 
 
 def redact(docs: DataFrame, ratio: float = RATIO, path: str | None = None, mask: str = "[SECRET]") -> DataFrame:
-    """`docs` with every secret in its text replaced by a mask and n_chars set anew where the text changed; rows, order of columns and types stay."""
+    """`docs` with every secret in its text replaced by a mask and n_chars set anew where the text changed; all rows, columns, their order and types stay.
+
+    Overlapping spans get one mask; null and empty texts stay as they are; repeated rows
+    change alike; a table without n_chars, or an empty one, is fine.
+    """
+    lean(docs.sparkSession)
     if path is None:
         import public_tokenizers
 
