@@ -1,22 +1,28 @@
 """Exact top-k search by inner product with multi-resolution segment statistics.
 
-Every component becomes floor(64 * x).  Queries are dealt into blocks of at most
-`BLOCK` vectors; every block meets all rows once, in the tasks that read them.
-For segments of a vector of length L with means m and deviations s,
+Every component becomes floor(64 * x).  For segments of a vector of length L with means
+m and deviations s,
 
     |q - x|^2 >= sum over segments of L * ((mq - mx)^2 + (sq - sx)^2),
 
 so with |q|^2 and |x|^2 known, each level bounds the inner product from above.
 Levels run coarse to fine; a candidate goes when its bound is under the query's
-k-th best score so far, and survivors get exact integer scores.  The first k-th
-best scores come from the block's own rows, in a pass of their own, so that tasks
-with few rows prune as well.
+k-th best score so far, and survivors get exact integer scores.  Before it is cut into
+segments a vector is turned by an orthogonal basis, which leaves inner products as they
+are and packs the rows' spread into the first segments; it comes from the second moments
+of at most `BASIS_ROWS` rows, chosen by hash, and its quality changes the work only.
+
+Rows are dealt into chunks of `CHUNK` to `CHUNK_MOST` rows, whose statistics are made
+once.  One job sends every query to its own chunk and gives a first k-th best score; a
+second one sends it to all chunks with that score.  A task holds the rows of a chunk and
+lets the queries pass in blocks of `BLOCK`; what it returns of a query is at most k rows.
 
 Edge cases: null vectors, and vectors with null or non-finite components, take no
-part; vectors of another length than the query are no candidates of it; rows that
-repeat the query's vec_id are the query's own; other repeated rows each count; ties
-go to the smaller vec_id; fewer than k candidates are all returned; rows without a
-vec_id take no part; an empty table gives an empty result.
+part; vectors of another length than the query are no candidates of it; where valid
+vectors repeat the vec_id of a query, the least of them is the query and all are its own;
+other repeated rows each count; ties go to the smaller vec_id; fewer than k candidates
+are all returned; rows without a vec_id take no part; scores beyond 64 bits are held at
+the ends of that range; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,16 +34,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import table, written
+from . import vec
+from .shared import discard, lean, table, written
 
 TOP = 20
 SCALE = 64
-LEVELS = (4, 16)
-#: Queries of a block, and rows that a task scores at a time.
-BLOCK = 4096
-CHUNK = 256
-#: Pairs that are gathered at a time.
+LEVELS = (4, 16, 32)
+#: Queries that pass at a time, rows of a chunk at least and at most, and chunks that a large table is dealt into.
+BLOCK = 1024
+CHUNK = 8192
+CHUNK_MOST = 1 << 17
+CHUNKS = 48
+#: Rows that the basis is made from.
+BASIS_ROWS = 4096
+#: Pairs that are gathered at a time, and the share of pairs above which a level is tried with all of them.
 PAIRS = 1 << 16
+DENSE = 1 / 16
 
 
 def lists(column: pa.Array) -> list[np.ndarray | None]:
@@ -58,109 +70,158 @@ def segment_stats(x: np.ndarray, segments: int) -> np.ndarray:
     return np.concatenate([mean, np.sqrt(np.maximum(square - mean * mean, 0))], axis=1)
 
 
-class Block:
-    """Queries of one length with their statistics and k-th best scores."""
+class Chunk:
+    """Rows of one length with their statistics, which queries are scored against."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, k: int):
-        self.ids, self.x, self.k = ids, x, k
-        self.levels = [segment_stats(x, n) for n in LEVELS if n < x.shape[1]] if x.shape[1] else []
+    def __init__(self, ids: np.ndarray, x: np.ndarray, basis: np.ndarray | None, k: int):
+        self.ids, self.x, self.k, self.basis = ids, x, k, basis if basis is not None and len(basis) == x.shape[1] else None
+        with np.errstate(all="ignore"):
+            turned = x if self.basis is None else x @ self.basis
+            self.levels = [segment_stats(turned, n) for n in LEVELS if n < x.shape[1]] if x.shape[1] else []
+            self.square = float((x * x).sum(1).max(initial=0))
         self.most = float(np.abs(x).max(initial=0))
-        self.floor = np.full(len(ids), -np.inf)
-        self.best: list[list[tuple[float, int]]] = [[] for _ in ids]
+        self.useful = [True] * len(self.levels)
+        self.tried, self.left = np.zeros(len(self.levels), np.int64), np.zeros(len(self.levels), np.int64)
 
-    def exact(self, q: np.ndarray, c: np.ndarray, x: np.ndarray) -> np.ndarray:
+    def exact(self, queries: np.ndarray, q: np.ndarray, c: np.ndarray) -> np.ndarray:
         """Integer inner products of pairs: one product of the two sides where many pairs are left, else pair by pair."""
-        if self.most * float(np.abs(x).max(initial=0)) * max(1, x.shape[1]) < 2**52:
-            if len(q) * 16 > len(self.x) * len(x):
-                return (self.x @ x.T)[q, c].astype(np.int64)
-            return np.einsum("ij,ij->i", self.x[q], x[c]).astype(np.int64)
-        return np.array([sum(int(a) * int(b) for a, b in zip(self.x[i], x[j], strict=True)) for i, j in zip(q, c, strict=True)], object)
-
-    def offer(self, ids: np.ndarray, x: np.ndarray) -> None:
-        """Takes candidates: bounds level by level, then exact scores of the survivors."""
-        if not len(ids):
-            return
-        slack = 1e-9 * (1 + (self.x * self.x).sum(1).max(initial=0) + (x * x).sum(1).max(initial=0))
-        left = self.ids[:, None] != ids[None, :]
-        for level in self.levels:
-            other = segment_stats(x, level.shape[1] // 2)
-            if left.mean() > 1 / 16:
-                left &= level @ other.T + slack >= self.floor[:, None]
-            else:
-                q, c = np.nonzero(left)
-                for at in range(0, len(q), PAIRS):
-                    qs, cs = q[at : at + PAIRS], c[at : at + PAIRS]
-                    left[qs, cs] = np.einsum("ij,ij->i", level[qs], other[cs]) + slack >= self.floor[qs]
-        q, c = np.nonzero(left)
-        step = PAIRS if len(q) * 16 <= left.size else max(1, len(q))
-        for at in range(0, len(q), step):
-            qs, cs = q[at : at + step], c[at : at + step]
-            score = self.exact(qs, cs, x)
-            ok = score >= self.floor[qs]
-            qs, cs, score = qs[ok], cs[ok], score[ok]
-            first = np.flatnonzero(np.diff(qs, prepend=-1))
-            for a, b in zip(first, [*first[1:], len(qs)], strict=True):
-                i = qs[a]
-                got = sorted([*self.best[i], *zip(score[a:b].tolist(), (-ids[cs[a:b]]).tolist(), strict=True)], reverse=True)[: self.k]
-                self.best[i] = got
-                if len(got) == self.k:
-                    self.floor[i] = max(self.floor[i], got[-1][0])
-
-
-def by_length(ids: list[int], vectors: list[np.ndarray | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    groups: dict[int, list[int]] = {}
-    for i, v in enumerate(vectors):
-        if v is not None and ids[i] is not None:
-            groups.setdefault(len(v), []).append(i)
-    for at in groups.values():
-        yield np.array([ids[i] for i in at], np.int64), np.stack([vectors[i] for i in at])
+        if self.most * float(np.abs(queries).max(initial=0)) * max(1, queries.shape[1]) < 2**52:
+            if len(q) > DENSE * len(queries) * len(self.x):
+                return (queries @ self.x.T)[q, c].astype(np.int64)
+            return np.concatenate([np.einsum("ij,ij->i", queries[q[a : a + PAIRS]], self.x[c[a : a + PAIRS]]) for a in range(0, len(q), PAIRS)] or [np.zeros(0)]).astype(np.int64)
+        return np.array([sum(int(a) * int(b) for a, b in zip(queries[i], self.x[j], strict=True)) for i, j in zip(q, c, strict=True)], object)
+
+    def survivors(self, ids: np.ndarray, queries: np.ndarray, floor: np.ndarray) -> np.ndarray:
+        """Pairs of queries and rows that no level's bound parts. A level that parts next to nothing is left out from then on."""
+        left = ids[:, None] != self.ids[None, :]
+        if not np.isfinite(floor).any():
+            return left
+        with np.errstate(all="ignore"):
+            turned = queries if self.basis is None else queries @ self.basis
+            slack = 1e-9 * (1 + self.square + float((queries * queries).sum(1).max(initial=0)))
+            for at, rows in enumerate(self.levels):
+                if not self.useful[at]:
+                    continue
+                own = segment_stats(turned, rows.shape[1] // 2)
+                before = int(left.sum())
+                if before > DENSE * left.size:
+                    left &= ~(own @ rows.T + slack < floor[:, None])
+                else:
+                    q, c = np.nonzero(left)
+                    for a in range(0, len(q), PAIRS):
+                        qs, cs = q[a : a + PAIRS], c[a : a + PAIRS]
+                        left[qs, cs] = ~(np.einsum("ij,ij->i", own[qs], rows[cs]) + slack < floor[qs])
+                after = int(left.sum())
+                self.tried[at] += before
+                self.left[at] += after
+                self.useful[at] = bool(np.isinf(floor).any()) or after < 0.95 * max(1, before)
+        return left
+
+    def best(self, ids: np.ndarray, queries: np.ndarray, floor: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """query, row, score: of each query the k best rows whose score reaches its floor."""
+        step = max(1, (1 << 21) // max(1, len(self.ids)))  # bounds the matrix of pairs
+        for at in range(0, len(ids), step):
+            some, of = ids[at : at + step], queries[at : at + step]
+            q, c = np.nonzero(self.survivors(some, of, floor[at : at + step]))
+            score = self.exact(of, q, c)
+            ok = score >= floor[at : at + step][q]
+            q, c, score = q[ok], c[ok], score[ok]
+            order = np.lexsort((self.ids[c], -score, q)) if score.dtype != object else np.array(sorted(range(len(q)), key=lambda i: (q[i], -score[i], self.ids[c[i]])), np.int64)
+            q, c, score = q[order], c[order], score[order]
+            place = np.arange(len(q)) - np.searchsorted(q, q, "left")
+            for i in np.flatnonzero(place < self.k):
+                yield int(some[q[i]]), int(self.ids[c[i]]), max(-(1 << 63), min((1 << 63) - 1, int(score[i])))
+
+
+def prepared(rows: DataFrame, chunks: int) -> DataFrame:
+    """Written: vec_id, x (whole numbers as doubles), chunk of every row that takes part. Rows come to chunks in runs, so equal rows don't meet in one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        seen, part = 0, TaskContext.get().partitionId()
+        for batch in batches:
+            ids, vectors = batch.column("vec_id").to_pylist(), lists(batch.column("embedding"))
+            ok = [i for i, v in enumerate(vectors) if v is not None and ids[i] is not None]
+            place = (seen + np.arange(len(ok))) // 256 + part * 7919
+            seen += len(ok)
+            yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in ok], pa.int64()), vec.list_column([vectors[i] for i in ok], pa.float64()), pa.array((vec.mix(place.astype(np.uint64)) % np.uint64(chunks)).astype(np.int32))], ["vec_id", "x", "chunk"])
 
+    return written(rows.mapInArrow(run, "vec_id long, x array<double>, chunk int"), "vectors")
 
-def _scores(rows: DataFrame, queries: list[tuple[np.ndarray, np.ndarray]], floors: dict[int, float], k: int) -> DataFrame:
-    """Each task's best rows of every query: query_id, vec_id, score."""
-    shipped = rows.sparkSession.sparkContext.broadcast((queries, floors))
+
+def basis_of(rows: DataFrame, sample: int = BASIS_ROWS) -> np.ndarray | None:
+    """Directions by falling second moment, of a sample of rows of the most common length; None where it can't be made."""
+    got = [np.array(r[0]) for r in rows.select("x").orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()]
+    sizes = [len(v) for v in got]
+    x = np.stack([v for v in got if len(v) == max(set(sizes), key=sizes.count)]) if got else np.zeros((0, 0))
+    if not x.size:
+        return None
+    with np.errstate(all="ignore"):
+        moments = x.T @ x
+    return np.ascontiguousarray(np.linalg.eigh(moments)[1][:, ::-1]) if np.isfinite(moments).all() else None
+
+
+def scored(rows: DataFrame, queries: DataFrame, basis: np.ndarray | None, k: int) -> DataFrame:
+    """query_id, vec_id, score: of each query and each chunk that it goes to the k best rows. rows: vec_id, x, chunk; queries: also floor."""
+    both = rows.select("chunk", F.lit(0).alias("role"), "vec_id", "x", F.lit(None).cast("double").alias("floor")).unionByName(queries.select("chunk", F.lit(1).alias("role"), "vec_id", "x", "floor"))
+    parts = max(1, rows.select("chunk").distinct().count())
+    dealt = both.repartition(parts, "chunk").sortWithinPartitions("chunk", "role", "vec_id", "x")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, known = shipped.value
-        blocks = {}
-        for ids, x in own:
-            blocks[x.shape[1]] = block = Block(ids, x, k)
-            block.floor = np.array([known.get(int(i), -np.inf) for i in ids])
+        now, held, ready = None, [], {}
         for batch in batches:
-            for at in range(0, batch.num_rows, CHUNK):
-                part = batch.slice(at, CHUNK)
-                for ids, x in by_length(part.column("vec_id").to_pylist(), lists(part.column("embedding"))):
-                    if x.shape[1] in blocks:
-                        blocks[x.shape[1]].offer(ids, x)
-        for block in blocks.values():
-            found = [(q, -v, s) for q, best in zip(block.ids.tolist(), block.best, strict=True) for s, v in best]
+            if not batch.num_rows:
+                continue
+            vectors = [v.values.to_numpy(zero_copy_only=False) for v in batch.column("x")]
+            chunk, role, ids = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("chunk", "role", "vec_id"))
+            floor = np.nan_to_num(batch.column("floor").to_numpy(zero_copy_only=False).astype(float), nan=-np.inf)
+            cuts = np.flatnonzero((np.diff(chunk, prepend=chunk[:1] - 1) != 0) | (np.diff(role, prepend=-1) != 0))
+            found: list[tuple[int, int, int]] = []
+            for a, b in zip(cuts, [*cuts[1:], len(ids)], strict=True):
+                if chunk[a] != now:
+                    now, held, ready = chunk[a], [], {}
+                if role[a] == 0:
+                    held += zip(ids[a:b].tolist(), vectors[a:b], strict=True)
+                    continue
+                if held:
+                    ready = {x.shape[1]: Chunk(own, x, basis, k) for own, x in by_length([h[0] for h in held], [h[1] for h in held])}
+                    held = []
+                for at in range(a, b, BLOCK):
+                    to = min(b, at + BLOCK)
+                    lengths = np.array([len(v) for v in vectors[at:to]])
+                    for size in set(lengths.tolist()) & set(ready):
+                        own = at + np.flatnonzero(lengths == size)
+                        found += ready[size].best(ids[own], np.stack([vectors[i] for i in own]), floor[own])
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], pa.int64()) for i in range(3)], ["query_id", "vec_id", "score"])
+        vec.hand_back()
+
+    return dealt.mapInArrow(run, "query_id long, vec_id long, score long")
+
 
-    return rows.mapInArrow(run, "query_id long, vec_id long, score long")
+def by_length(ids: list[int], vectors: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    groups: dict[int, list[int]] = {}
+    for i, v in enumerate(vectors):
+        groups.setdefault(len(v), []).append(i)
+    for at in groups.values():
+        yield np.array([ids[i] for i in at], np.int64), np.stack([vectors[i] for i in at])
 
 
-def top_k(rows: DataFrame, is_query: Column, k: int = TOP, block: int = BLOCK) -> DataFrame:
+def top_k(rows: DataFrame, is_query: Column, k: int = TOP, chunk: int = CHUNK) -> DataFrame:
     """query_id, rank, vec_id, score of the k best candidates of every row that `is_query` holds for. rows: vec_id, embedding."""
-    spark = rows.sparkSession
-    rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    queries = rows.filter(is_query & F.col("embedding").isNotNull())
-    blocks = -(-queries.count() // block)
-    found = None
-    for b in range(max(1, blocks)):
-        own = queries if blocks <= 1 else queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b)
-        got = own.dropDuplicates(["vec_id"]).toLocalIterator()
-        ids, vectors = [], []
-        for r in got:
-            ids.append(r[0])
-            vectors.append(None if any(v is None for v in r[1]) else np.array(r[1], np.float64))
-        vectors = [None if v is None or not np.isfinite(v).all() else np.floor(SCALE * v) for v in vectors]
-        held = list(by_length(ids, vectors))
-        near = _scores(own, held, {}, k)
-        w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        floors = {r[0]: float(r[1]) for r in near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") == k).select("query_id", "score").collect()}
-        part = written(_scores(rows, held, floors, k), "scores")
-        found = part if found is None else found.union(part)
+    lean(rows.sparkSession)
+    rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    total = rows.count()
+    chunks = max(1, total // min(max(chunk, total // CHUNKS), max(chunk, CHUNK_MOST)))
+    rows = prepared(rows, chunks)
+    basis = basis_of(rows)
+    queries = written(rows.filter(is_query).groupBy("vec_id").agg(F.min(F.struct("x", "chunk")).alias("q")).select("vec_id", "q.*"), "queries")
+    near = scored(rows, queries.withColumn("floor", F.lit(None).cast("double")), basis, k)
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    floors = near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("floor"))
+    sent = queries.drop("chunk").join(floors, "vec_id", "left").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    found = written(scored(rows, sent, basis, k), "scores")
+    discard(rows, queries)
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
