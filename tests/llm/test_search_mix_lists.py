@@ -21,8 +21,8 @@ def test_top_k_equals_all_pairs(spark):
     for q in (i for i in ok if i % 20 == 0):
         scores = sorted((-sum(a * b for a, b in zip(ok[q], ok[c], strict=True)), c) for c in ok if c != q and len(ok[c]) == len(ok[q]))
         want += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scores[:20])]
-    for block in (4096, 4):
-        got = [tuple(r[c] for c in ("query_id", "rank", "vec_id", "score")) for r in search.top_k(df, F.col("vec_id") % 20 == 0, block=block).collect()]
+    for chunk in (4096, 40):
+        got = [tuple(r[c] for c in ("query_id", "rank", "vec_id", "score")) for r in search.top_k(df, F.col("vec_id") % 20 == 0, chunk=chunk).collect()]
         assert sorted(got) == sorted(want)
     assert search.top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 

@@ -26,7 +26,7 @@ def test_repeats_catch_passages_and_spare_others(spark):
     base = len(ODD)
     rows = repeats.repeats(documents(spark, texts)).collect()
     found = {(r["doc_id"], r["kind"], r["keeper_id"]) for r in rows}
-    assert found == {(base + 1, "passage", base), (base + 5, "paragraph", base + 4), (len(texts) - 1, "document", 14)}
+    assert found == {(base + 1, "passage", base), (base + 5, "paragraph", base + 4), (len(texts) - 1, "document", 14), (4, "document", 3), (7, "document", 6)}
     p = next(r for r in rows if r["kind"] == "passage")
     assert words_of(texts[p["doc_id"]][p["start"] : p["stop"]]) == words_of(passage) and p["n_words"] == 55
     assert repeats.repeats(documents(spark, texts).limit(0)).count() == 0
@@ -83,8 +83,8 @@ def test_decontamination_equals_all_windows(spark):
     items += [(6, items[0][1].upper()), (None, prose(rng, 15))]
     texts = [*ODD, prose(rng, 30), f"x {items[0][1]} y", " ".join(items[1][1].split()[:12]), f"{prose(rng, 300)} {items[2][1]}", items[7][1], "-".join(items[1][1].split())]
     docs, bench = documents(spark, texts), spark.createDataFrame(items, "item_id long, text string")
-    for shard in (10**6, 150):
-        rows = by_id(decontaminate.decontaminate(docs, bench, shard_chars=shard))
+    for shard in (10**6, 9):
+        rows = by_id(decontaminate.decontaminate(docs, bench, shard_windows=shard))
         for i, t in enumerate(texts):
             w, hit, who = alnum(t), set(), set()
             for item, text in items:
