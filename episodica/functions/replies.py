@@ -45,18 +45,23 @@ def caption(text: Column, most_words: int = 50) -> Column:
 
 
 def boxes_of(text: Column) -> Column:
-    """Boxes of `<box> x0, y0, x1, y1 </box>` in thousandths: ordered and clipped to 0 to 1; other spans are left out."""
-    n = r"\s*(\d+)\s*"
-    pattern = F.lit(rf"<box>{n},{n},{n},{n}</box>")
-    parts = [F.transform(F.regexp_extract_all(text, pattern, k), lambda v: F.least(F.lit(1.0), v.cast("double") / 1000)) for k in (1, 2, 3, 4)]
-    zipped = F.arrays_zip(*(p.alias(c) for p, c in zip(parts, "abcd", strict=True)))
-    return F.transform(zipped, lambda b: F.struct(F.least(b["a"], b["c"]).alias("x0"), F.least(b["b"], b["d"]).alias("y0"), F.greatest(b["a"], b["c"]).alias("x1"), F.greatest(b["b"], b["d"]).alias("y1")))
+    """Boxes of `<box> x0, y0, x1, y1 </box>` in thousandths, four whole numbers with or without signs and commas: ordered and clipped to 0 to 1; other spans are left out."""
+    spans = F.regexp_extract_all(text, F.lit(r"(?s)<box>(.*?)</box>"), 1)
+    numbers = F.filter(F.transform(spans, lambda s: F.regexp_extract_all(s, F.lit(r"-?\d+"), 0)), lambda n: F.size(n) == 4)
+    share = lambda n, k: F.greatest(F.lit(0.0), F.least(F.lit(1.0), n[k].cast("double") / 1000))
+    return F.transform(numbers, lambda n: F.struct(*(pick(share(n, k), share(n, k + 2)).alias(c) for pick, k, c in ((F.least, 0, "x0"), (F.least, 1, "y0"), (F.greatest, 0, "x1"), (F.greatest, 1, "y1")))))
 
 
 def bullet(line: Column) -> Column:
-    """name, place, touched of a line like `- Knife: on board (touched: true)`."""
-    pattern = r"(?i)^\s*[-*]\s*([^:]+):\s*(.*?)\s*(?:\(touched:\s*(true|false)\))?\s*$"
-    return F.struct(F.lower(F.trim(F.regexp_extract(line, pattern, 1))).alias("name"), F.regexp_extract(line, pattern, 2).alias("place"), (F.lower(F.regexp_extract(line, pattern, 3)) == "true").alias("touched"))
+    """name, place, touched of a line like `- Knife: on board (touched: true)`; a line without a marker or a colon has empty ones."""
+    bare = F.trim(line)
+    name = F.substring_index(F.substr(bare, F.lit(2)), ":", 1)
+    rest = F.trim(F.substr(bare, F.length(name) + 3))
+    note = F.lower(F.translate(F.substring_index(rest, "(", -1), " ", ""))
+    noted = rest.contains("(") & note.isin("touched:true)", "touched:false)")
+    place = F.when(noted, F.rtrim(F.substr(rest, F.lit(1), F.length(rest) - F.length(F.substring_index(rest, "(", -1)) - 1))).otherwise(rest)
+    ok = (bare.startswith("-") | bare.startswith("*")) & bare.contains(":")
+    return F.struct(F.when(ok, F.lower(F.trim(name))).otherwise("").alias("name"), F.when(ok, place).otherwise("").alias("place"), (ok & noted & (note == "touched:true)")).alias("touched"))
 
 
 def time_range(line: Column) -> Column:
@@ -79,13 +84,13 @@ def canonical(name: Column, vocabulary: list[str]) -> Column:
     n = F.lower(F.trim(F.coalesce(name, F.lit(""))))
     out = F.lit("object")
     for v in reversed(vocabulary):
-        out = F.when(n.contains(v) | F.lit(v).contains(n), v).otherwise(out)
+        out = F.when((n != "") & (n.contains(v) | F.lit(v).contains(n)), v).otherwise(out)
     return out
 
 
 def fingerprint(*parts: Column) -> Column:
-    """A digest of the parts with a separator that texts don't hold."""
-    return F.sha2(F.concat_ws("\0", *parts), 256)
+    """A digest of the parts, with a separator and a mark for null that texts don't hold."""
+    return F.sha2(F.concat_ws("\0", *(F.coalesce(p.cast("string"), F.lit("\1")) for p in parts)), 256)
 
 
 def repair_prompt(reply: Column, most: int = 2000) -> Column:

@@ -15,10 +15,15 @@ Keys = Sequence[str]
 def interval_first(points: DataFrame, spans: DataFrame, keys: Keys, time: str, start: str, stop: str, value: str) -> DataFrame:
     """Left join of points to the first span (by start) that holds their time, both ends closed.
 
-    Spans of one key may touch but not nest, so the first that holds a time is either the
-    last span that started before it or the one that ended last: one union and one window
-    do instead of a range join.
+    Spans may overlap and nest: a span counts from where those that start before it have
+    all ended, and not at all where that is behind its own end.  What is left touches at
+    most, so the first span that holds a time is either the last one that begins before
+    it or the one that begins at it: one union and one window do instead of a range join.
+    Of spans with one start the one with the least `value` is first.
     """
+    earlier = Window.partitionBy(*keys).orderBy(start, value).rowsBetween(Window.unboundedPreceding, -1)
+    spans = spans.select(*keys, start, stop, value).withColumn("_upto", F.max(stop).over(earlier)).filter(F.col("_upto").isNull() | (F.col("_upto") < F.col(stop)))
+    spans = spans.withColumn(start, F.greatest(start, "_upto")).drop("_upto")
     cols = [c for c in points.columns if c not in (*keys, time)]
     lhs = points.select(*keys, F.col(time).alias("_t"), F.lit(1).alias("_side"), *cols, F.lit(None).cast(spans.schema[stop].dataType).alias("_stop"), F.lit(None).cast("string").alias("_value"))
     rhs = spans.select(*keys, F.col(start).alias("_t"), F.lit(2).alias("_side"), *(F.lit(None).cast(points.schema[c].dataType).alias(c) for c in cols), F.col(stop).alias("_stop"), F.col(value).alias("_value"))

@@ -63,17 +63,21 @@ def fill_both_ways(df: DataFrame, value: str, keys: Keys, order: str, out: str =
     return df.withColumn(out, F.coalesce(lerp, "_pv", "_nv")).drop("_pi", "_pv", "_ni", "_nv")
 
 
+def _there_and_back(x: np.ndarray, alpha: float, passes: int) -> np.ndarray:
+    """Exponential averages from the first row to the last and back to the first, `passes` times."""
+    for turn in range(2 * passes):
+        run = x[::-1] if turn % 2 else x
+        last = run[0] if len(run) else 0.0
+        for i, value in enumerate(run):
+            run[i] = last = value if i == 0 else alpha * value + (1 - alpha) * last
+    return x
+
+
 def zero_phase_ema(df: DataFrame, value: str, keys: Keys, order: str, alpha: float = 0.35, passes: int = 2, out: str = "smooth") -> DataFrame:
     """`passes` exponential averages, each forward and backward. No nulls are expected."""
 
     def step(pdf: pd.DataFrame) -> dict[str, np.ndarray]:
-        x = pdf[value].to_numpy(float).copy()
-        for _ in range(passes):
-            for at in (range(1, len(x)), range(len(x) - 2, -1, -1)):
-                d = -1 if at.step == 1 else 1
-                for i in at:
-                    x[i] = alpha * x[i] + (1 - alpha) * x[i + d]
-        return {out: x}
+        return {out: _there_and_back(pdf[value].to_numpy(float).copy(), alpha, passes)}
 
     return fold(df, keys, order, step, {out: T.DoubleType()})
 
@@ -250,21 +254,24 @@ def keyframes(df: DataFrame, value: str, keys: Keys, order: str, every: int = 15
 
 
 def sanitize(df: DataFrame, value: str, ok: str, keys: Keys, order: str, low: float, high: float, velocity: float, dt: float = 1 / 30, tolerance: float = 1e-3) -> DataFrame:
-    """Adds q, reachable, reason: rows beyond a limit hold the row before, too fast rows move at most the budget; later rows see the changed ones."""
-    budget = 0.9 * velocity * dt
+    """Adds q, reachable, reason.
+
+    Rows that aren't `ok` (input) or lie beyond a limit (joint_limit) hold the q before
+    them; at the start that is their own value, or 0 beyond a limit.  Others come as near
+    to their value as nine tenths of the velocity allow from the q before; where that
+    isn't all the way, the reason is joint_velocity.
+    """
+    most = 0.9 * velocity * dt
 
     def step(pdf: pd.DataFrame) -> dict[str, np.ndarray]:
-        q, good = pdf[value].to_numpy(float).copy(), pdf[ok].to_numpy(bool).copy()
-        why = np.where(good, "ok", "input").astype(object)
-        for i in range(len(q)):
-            out = not low - tolerance <= q[i] <= high + tolerance
-            if not good[i]:
-                q[i] = q[i - 1] if i else q[i]
-            elif out:
-                good[i], why[i], q[i] = False, "joint_limit", q[i - 1] if i else 0.0
-            elif i and abs(q[i] - q[i - 1]) > budget:
-                good[i], why[i], q[i] = False, "joint_velocity", q[i - 1] + np.clip(q[i] - q[i - 1], -budget, budget)
-        return {"q": q, "reachable": good, "reason": why}
+        x, good = pdf[value].to_numpy(float), pdf[ok].to_numpy(bool)
+        beyond = (x < low - tolerance) | (x > high + tolerance)
+        stays = ~good | beyond
+        q = np.where(good & beyond, 0.0, x)
+        for i in range(1, len(q)):
+            q[i] = q[i - 1] if stays[i] else np.clip(x[i], q[i - 1] - most, q[i - 1] + most)
+        late = ~stays & (q != x)
+        return {"q": q, "reachable": ~(stays | late), "reason": np.select([~good, beyond, late], ["input", "joint_limit", "joint_velocity"], "ok").astype(object)}
 
     return fold(df, keys, order, step, {"q": T.DoubleType(), "reachable": T.BooleanType(), "reason": T.StringType()})
 
@@ -287,34 +294,32 @@ def debounced_switch(df: DataFrame, value: str, keys: Keys, order: str, start: f
     return fold(df, keys, order, step, {out: T.DoubleType()})
 
 
-def rate_limit(df: DataFrame, value: str, keys: Keys, order: str, low: float, high: float, velocity: float, dt: float = 1 / 30, acc_scale: float = 5.0, alpha: float = 0.45, passes: int = 3) -> DataFrame:
-    """Adds smooth, limited: zero-phase averages, then velocity and acceleration limits row after row."""
-    v_max = 0.85 * velocity
-    a_max = v_max * acc_scale
+#: Shares of the velocity that a limited trajectory may use, and its acceleration as a multiple of that; fixed values.
+VELOCITY_SHARE, ACCELERATION_SCALE = 0.85, 5.0
+
+
+def rate_limit(df: DataFrame, value: str, keys: Keys, order: str, low: float, high: float, velocity: float, dt: float = 1 / 30, acc_scale: float = ACCELERATION_SCALE, alpha: float = 0.45, passes: int = 3) -> DataFrame:
+    """Adds smooth (zero-phase averages of the value within its limits) and limited.
+
+    `limited` follows `smooth` by a velocity for each row: the one that would reach it,
+    brought into three intervals, of which a later one wins where they don't meet: what
+    the velocity and acceleration limits allow, what keeps the position within low and
+    high, and, from the third row on, what the acceleration limit allows by itself.
+    """
+    v_most = VELOCITY_SHARE * velocity
+    change = v_most * acc_scale * dt
 
     def step(pdf: pd.DataFrame) -> dict[str, np.ndarray]:
-        q = np.clip(pdf[value].to_numpy(float), low, high)
-        n = len(q)
-        if n > 1:
-            for _ in range(passes):
-                for i in range(1, n):
-                    q[i] = alpha * q[i] + (1 - alpha) * q[i - 1]
-                for i in range(n - 2, -1, -1):
-                    q[i] = alpha * q[i] + (1 - alpha) * q[i + 1]
-        safe, prev = q.copy(), 0.0
-        for i in range(1, n):
-            want = np.clip((q[i] - safe[i - 1]) / dt, -v_max, v_max)
-            vel = np.clip(prev + np.clip(want - prev, -a_max * dt, a_max * dt), -v_max, v_max)
-            nxt = np.clip(safe[i - 1] + vel * dt, low, high)
-            got = (nxt - safe[i - 1]) / dt
-            if abs(got - prev) > a_max * dt * 1.02:
-                nxt = np.clip(safe[i - 1] + (prev + np.clip(got - prev, -a_max * dt, a_max * dt)) * dt, low, high)
-                got = (nxt - safe[i - 1]) / dt
-            if i >= 2 and abs(got - prev) / dt > a_max:
-                got = prev + np.clip((got - prev) / dt, -a_max, a_max) * dt
-                nxt = safe[i - 1] + got * dt
-            safe[i], prev = nxt, got
-        return {"smooth": q, "limited": safe}
+        smooth = _there_and_back(np.clip(pdf[value].to_numpy(float), low, high), alpha, passes)
+        at, v = smooth.copy(), 0.0
+        for i in range(1, len(at)):
+            here, near = at[i - 1], (v - change, v + change)
+            intervals = [(max(-v_most, near[0]), min(v_most, near[1])), ((low - here) / dt, (high - here) / dt), near]
+            v = (smooth[i] - here) / dt
+            for least, most in intervals if i > 1 else intervals[:2]:
+                v = min(max(v, least), most)
+            at[i] = here + v * dt
+        return {"smooth": smooth, "limited": at}
 
     return fold(df, keys, order, step, {"smooth": T.DoubleType(), "limited": T.DoubleType()})
 

@@ -171,19 +171,19 @@ def episode_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return off.join(s, "episode_id")
 
 
-@query(f"with {EPISODES}, {_OFFSETS}, q as (select event_id * 3 % 60000 as i from events) select q.i, max(o.episode_id) as episode_id, max(q.i - o.from_index)::bigint as local_index from q join off o on q.i >= o.from_index and q.i < o.to_index group by q.i")
+@query(f"with {EPISODES}, {_OFFSETS}, q as (select event_id, event_id * 7919 % (select sum(length) from episodes)::bigint as i from events) select q.event_id, q.i, o.episode_id, (q.i - o.from_index)::bigint as local_index from q join off o on q.i >= o.from_index and q.i < o.to_index")
 def offset_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Episodes of global indices: as-of join on the episodes' offsets, bucketed so that both sides shuffle by bucket."""
+    """Episodes of global indices, spread over the whole range: as-of join on the episodes' offsets, bucketed so that both sides shuffle by bucket."""
     from ..operators.windows import asof_pair
 
     size = 4096
     off = asm.running_offsets(episodes(spark, sf_dir), "episode_id").select("episode_id", "from_index", "to_index")
     spread = off.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("from_index") / size), F.floor((F.col("to_index") - 1) / size))))
     known = spread.select("bucket", F.greatest(F.col("from_index"), F.col("bucket") * size).alias("i"), "episode_id", "from_index")
-    wanted = table(spark, sf_dir, "events").select((F.col("event_id") * 3 % 60000).alias("i")).distinct().withColumn("bucket", F.floor(F.col("i") / size))
     top = off.agg(F.max("to_index").alias("top"))
-    found = asof_pair(wanted, known, ["bucket"], "i", ["episode_id", "from_index"]).crossJoin(F.broadcast(top)).filter("i < top")  # one row
-    return found.select("i", F.col("prev_episode_id").alias("episode_id"), (F.col("i") - F.col("prev_from_index")).alias("local_index"))
+    wanted = table(spark, sf_dir, "events").select("event_id").crossJoin(F.broadcast(top)).select("event_id", (F.col("event_id") * 7919 % F.col("top")).alias("i"))  # one row
+    found = asof_pair(wanted.withColumn("bucket", F.floor(F.col("i") / size)), known, ["bucket"], "i", ["episode_id", "from_index"])
+    return found.select("event_id", "i", F.col("prev_episode_id").alias("episode_id"), (F.col("i") - F.col("prev_from_index")).alias("local_index"))
 
 
 @query(f"with {EPISODES} select 'robot' as \"check\", count(distinct robot) as n_values, count(distinct robot) <= 1 as ok from episodes union all select 'task', count(distinct task), count(distinct task) <= 1 from episodes")

@@ -16,7 +16,7 @@ from .adapters import BOXES, FRAMES, HANDS, boxes, frames, hands, table
 from .registry import query
 from .segmentation import SEGMENTS, built
 from .shapes import BENDS, _NORMAL, _angle_sql
-from .signals import KEYS, ORDER, _UPTO, _W
+from .signals import KEYS, ORDER, _recursion, _UPTO, _W
 
 
 def _round(df: DataFrame, *ids: str, **cols) -> DataFrame:
@@ -84,11 +84,11 @@ def mask_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shift.unionByName(lead.select("episode_id", F.lit(0).alias("start"), F.lit(0).cast("long").alias("length"), F.lit(0).cast("long").alias("place")))
 
 
-@query("with v as (select doc_id, source as name, n_chars from documents), d as (select source as name, max_by(n_chars, doc_id) as last_chars, count(*) as detections from documents where doc_id % 3 = 0 group by 1) select v.doc_id, v.name, d.last_chars, d.detections from v left join d using (name)")
+@query("with v as (select doc_id, source as name, n_chars from documents), d as (select source as name, max_by(n_chars, doc_id) as last_chars, count(*) as detections from documents group by 1) select v.doc_id, v.name, d.last_chars, d.detections from v left join d using (name)")
 def detections_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Left join by name; of repeated detections the last counts."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("name"), "n_chars")
-    d = docs.filter("doc_id % 3 = 0").groupBy("name").agg(F.max_by("n_chars", "doc_id").alias("last_chars"), F.count("*").alias("detections"))
+    d = docs.groupBy("name").agg(F.max_by("n_chars", "doc_id").alias("last_chars"), F.count("*").alias("detections"))
     return docs.select("doc_id", "name").join(d, "name", "left")
 
 
@@ -144,7 +144,11 @@ def dominant_hand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hands(spark, sf_dir).select("vec_id", F.when(right, "right").when(left, "left").alias("hand"), F.round(F.when(right, F.col("x4")).when(left, F.col("x8")), 6).alias("x"))
 
 
-@query()
+_GUESS = "case when f.k % 2 = 1 then 'left' else 'right' end"
+_SIDE = f"case when least(abs(r.lw - f.value / 100), abs(r.rw - f.value / 100)) < 0.25 and r.lw is not null and r.rw is not null then case when abs(r.lw - f.value / 100) < abs(r.rw - f.value / 100) then 'left' else 'right' end else {_GUESS} end"
+
+
+@query(_recursion(f"{_GUESS} as side, case when f.k % 2 = 1 then f.value / 100 end as lw, case when f.k % 2 = 1 then null else f.value / 100 end as rw", f"{_SIDE}, case when {_SIDE} = 'left' then f.value / 100 else r.lw end, case when {_SIDE} = 'left' then r.rw else f.value / 100 end") + " select episode_id, frame_idx, side from run")
 def identity_continuity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The side of a single detection: that of the nearer last wrist, if nearer than a quarter; state runs along an episode."""
 
@@ -171,7 +175,7 @@ def missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.exceptAll(b).withColumn("side", F.lit("a")).union(b.exceptAll(a).withColumn("side", F.lit("b")))
 
 
-@query("select n_name as name, max_by(n_nationkey, n_nationkey) as last_key from nation where n_regionkey < 3 group by 1")
+@query("select n_name as name, max_by(n_nationkey, n_nationkey) as last_key from nation group by 1")
 def last_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = table(spark, sf_dir, "nation").filter("n_regionkey < 3").select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("last_key"))
+    n = table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("last_key"))
     return joins.last_of(n, ["name"], "last_key")

@@ -225,7 +225,21 @@ def debounced_gripper(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(ts.debounced_switch(df, "opening", KEYS, ORDER), switched="switched")
 
 
-@query()
+def _rate_limit_sql(v: float, change: float, low: float, high: float) -> str:
+    """Three averages there and back over the clipped value, then the limited steps."""
+    parts, source = [f"a0 as (select episode_id, frame_idx, greatest({low}, least({high}, value)) as y from frames)"], "a0"
+    for k in range(1, 7):
+        first, d = ("frame_idx = 0", 1) if k % 2 else (f"frame_idx = (select max(frame_idx) from {source} m where m.episode_id = s.episode_id)", -1)
+        parts.append(f"a{k} as (select episode_id, frame_idx, y from {source} s where {first} union all select s.episode_id, s.frame_idx, 0.45 * s.y + 0.55 * p.y from a{k} p join {source} s on s.episode_id = p.episode_id and s.frame_idx = p.frame_idx + {d})")
+        source = f"a{k}"
+    u = f"greatest(greatest({-v}, r.v - {change}), least(least({v}, r.v + {change}), (s.y - r.pos) * 30))"
+    u = f"greatest(({low} - r.pos) * 30, least(({high} - r.pos) * 30, {u}))"
+    u = f"case when s.frame_idx > 1 then greatest(r.v - {change}, least(r.v + {change}, {u})) else {u} end"
+    parts.append(f"lim as (select episode_id, frame_idx, y, y as pos, 0.0::double as v from a6 where frame_idx = 0 union all select s.episode_id, s.frame_idx, s.y, r.pos + ({u}) / 30, {u} from lim r join a6 s on s.episode_id = r.episode_id and s.frame_idx = r.frame_idx + 1)")
+    return f"with recursive {FRAMES}, {', '.join(parts)} select episode_id, frame_idx, round(y, 6) as smooth, round(pos, 6) as limited from lim"
+
+
+@query(_rate_limit_sql(v=255.0, change=42.5, low=0.0, high=100.0))
 def rate_limited_trajectory(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = ts.rate_limit(frames(spark, sf_dir), "value", KEYS, ORDER, low=0.0, high=100.0, velocity=300.0)
     return _out(df, smooth="smooth", limited="limited")

@@ -40,7 +40,8 @@ def dataset_info(stats: DataFrame, episodes: DataFrame, fps: float, chunk_size:
     return json.dumps({"total_episodes": total["episodes"], "total_frames": total["frames"], "total_tasks": total["tasks"], "fps": fps, "chunks_size": chunk_size, "features": features}, sort_keys=True)
 
 
-MAGIC = b"\x89MCAP0\r\n"
+#: Of this library's own framing; no public log format is meant.
+MAGIC = b"EPLOG1\r\n"
 
 
 def message_log(frames: DataFrame, key: str, order: str, time: str, payload: Column, topic: str = "/frames") -> DataFrame:

@@ -16,20 +16,19 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def stream_hysteresis(df: DataFrame, key: str, order: str, evidence: str, n: int = 3) -> DataFrame:
-    """key, order, state: on after n rows of evidence, off after n without. Rows of a key arrive in order."""
+    """key, order, state: on after n rows of evidence, off after n without. Rows of one trigger are put in order; a key's triggers follow each other in order."""
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         on, run, last = state.get if state.exists else (False, 0, False)
-        for pdf in batches:
-            pdf = pdf.sort_values(order)
-            out = []
-            for e in pdf[evidence].fillna(False).astype(bool):
-                run = run + 1 if e == last and run else 1
-                last = e
-                if run >= n:
-                    on = e
-                out.append(on)
-            yield pd.DataFrame({key: pdf[key], order: pdf[order], "state": out})
+        pdf = pd.concat(list(batches)).sort_values(order)  # a key's rows of a trigger come in several batches
+        out = []
+        for e in pdf[evidence].fillna(False).astype(bool):
+            run = run + 1 if e == last and run else 1
+            last = e
+            if run >= n:
+                on = e
+            out.append(on)
+        yield pd.DataFrame({key: pdf[key], order: pdf[order], "state": out})
         state.update((bool(on), int(run), bool(last)))
 
     kinds = dict(df.dtypes)
