@@ -89,8 +89,10 @@ def spread_join(rows: DataFrame, one: DataFrame, on: str, how: str = "inner") ->
     if not n:
         return rows.join(one, on, how)
     keys = hot.filter(F.col("_rows") > (total // MOST_HOT if n > MOST_HOT else 0)).select(on)
-    few = F.broadcast(one.join(F.broadcast(keys), on, "left_semi"))
-    return rows.join(F.broadcast(keys), on, "left_semi").join(few, on, how).unionByName(rows.join(F.broadcast(keys), on, "left_anti").join(one, on, how))
+    few = F.broadcast(keys.join(one.withColumn("_met", F.lit(True)), on, "left"))
+    own = rows.join(few, on)
+    own = own.filter("_met") if how == "inner" else own
+    return own.drop("_met").unionByName(rows.join(F.broadcast(keys), on, "left_anti").join(one, on, how))
 
 
 def unused(df: DataFrame, name: str) -> str:
