@@ -75,6 +75,28 @@ def joint_angle(a: int, b: int, c: int) -> Column:
     return F.when((nu < 1e-6) | (nv < 1e-6), 1.0).otherwise(1 - 2 * F.acos(clip(dot(u, v) / F.nullif(nu * nv, F.lit(0.0)), -1, 1)) / F.pi())
 
 
+#: Joints of the five fingers from the wrist to the tip.
+FINGERS = {"thumb": (0, 1, 2, 3, 4), "index": (0, 5, 6, 7, 8), "middle": (0, 9, 10, 11, 12), "ring": (0, 13, 14, 15, 16), "little": (0, 17, 18, 19, 20)}
+#: The 15 bends: three of every finger, each about the middle one of three joints that follow one another.
+BENDS = {f"{name}{k + 1}": chain[k : k + 3] for name, chain in FINGERS.items() for k in range(3)}
+
+
+def hand_pose() -> list[Column]:
+    return [joint_angle(*abc) for abc in BENDS.values()]
+
+
+def grasp_ordinal(grasp: Column) -> Column:
+    """The grasp's number; that of `unknown` for null and other names."""
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in GRASP_ORDINAL.items() for x in kv])[grasp], F.lit(GRASP_ORDINAL["unknown"]))
+
+
+def proprio(present: Column, left_contact: Column, right_contact: Column, left_grasp: Column, right_grasp: Column) -> list[Column]:
+    """Eight numbers: the wrist in half units (0 without a hand), openness (1 without a hand), contact and grasp of both sides."""
+    flag = lambda c: F.coalesce(c, F.lit(False)).cast("double")
+    wrist = [F.when(present, c * 0.5).otherwise(0.0) for c in p(0)]
+    return [*wrist, F.when(present, openness()).otherwise(1.0), flag(left_contact), flag(right_contact), grasp_ordinal(left_grasp).cast("double"), grasp_ordinal(right_grasp).cast("double")]
+
+
 def rot6d(z: Vec) -> list[Column]:
     """First two columns of a rotation whose third axis is z: Gram-Schmidt with x, or y where z is near x."""
     use_y = F.abs(z[0]) >= 0.9
@@ -114,6 +136,19 @@ def rotate(q: Sequence[Column], v: Vec) -> Vec:
     return [a + 2 * (w * b + d) for a, b, d in zip(v, c, cc, strict=True)]
 
 
+def slerp(a: Sequence[Column], b: Sequence[Column], t: Column) -> list[Column]:
+    """From the unit quaternion a (t = 0) to b (t = 1) by the shorter way; a straight line where they are nearly the same turn."""
+    d = dot(a, b)
+    angle = F.acos(F.least(F.abs(d), F.lit(1.0)))
+    s = F.sin(angle)
+    line = s < 1e-6
+    wa = F.when(line, 1 - t).otherwise(F.sin((1 - t) * angle) / F.nullif(s, F.lit(0.0)))
+    wb = F.when(line, t).otherwise(F.sin(t * angle) / F.nullif(s, F.lit(0.0))) * F.when(d < 0, -1.0).otherwise(1.0)
+    out = [wa * u + wb * v for u, v in zip(a, b, strict=True)]
+    n = norm(out)
+    return [c / n for c in out]
+
+
 def box_distance(x: Column, y: Column, box: Sequence[Column]) -> Column:
     """Distance of a point to a box, 0 inside."""
     dx, dy = F.greatest(box[0] - x, F.lit(0.0), x - box[2]), F.greatest(box[1] - y, F.lit(0.0), y - box[3])

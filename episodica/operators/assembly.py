@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import geometry as g
+from .windows import ordered
+
 Keys = Sequence[str]
 
 
@@ -64,10 +67,42 @@ def pack_chunks(episodes: DataFrame, order: str, length: str = "length", size: i
     return done.select(*group, F.col("r.o").alias(order), F.col("r.chunk").alias("chunk_index"), F.col("r.parts").alias("chunks"))
 
 
-def gate(episodes: DataFrame, columns: Keys) -> DataFrame:
-    """One row per column: how many values there are, and whether the merge may go on."""
-    counts = episodes.agg(*(F.count_distinct(c).alias(c) for c in columns))
-    return counts.unpivot([], list(columns), "check", "n_values").withColumn("ok", F.col("n_values") <= 1)
+def gate(episodes: DataFrame, columns: Keys, warned: Keys = ()) -> DataFrame:
+    """One row per column: check, n_values, ok, and level: more than one value of `columns` is an error, of `warned` a warning. A null is a value."""
+    names = [*columns, *warned]
+    value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\0"))
+    counts = episodes.agg(*(F.count_distinct(value(c)).alias(c) for c in names)).unpivot([], names, "check", "n_values")
+    bad = F.when(F.col("check").isin(*columns), "error").otherwise("warning")
+    return counts.withColumns({"ok": F.col("n_values") <= 1, "level": F.when(F.col("n_values") <= 1, "ok").otherwise(bad)})
+
+
+def require(checks: DataFrame) -> list[str]:
+    """Refuses checks of `gate` with errors by a ValueError that names them; else the names of those with warnings. A row per column comes to the driver."""
+    rows = checks.filter("level <> 'ok'").collect()
+    if wrong := sorted(r["check"] for r in rows if r["level"] == "error"):
+        raise ValueError(f"more than one value of {', '.join(wrong)}")
+    return sorted(r["check"] for r in rows)
+
+
+def human_rows(df: DataFrame, keys: Keys, order: str, present: str = "present") -> DataFrame:
+    """Adds s0 to s23 and a0 to a23 to frames with points x0, y0, z0 to x20, y20, z20.
+
+    State: the wrist in half units, the palm's turn in six numbers, openness, the first
+    14 bends. Action: the wrist's move since the frame before (tenfold, within -1 to 1;
+    0 unless both have a hand), the change of the six numbers (0 at first), all 15 bends.
+    A frame without a hand has wrist and bends 0, the identity turn and openness 1.
+    """
+    w, here = ordered(keys, order), F.col(present)
+    kept = df.columns
+    df = df.withColumns(dict(zip(("_nx", "_ny", "_nz"), g.palm_normal(), strict=True)))
+    state = [*(c * 0.5 for c in g.p(0)), *g.rot6d([F.col(c) for c in ("_nx", "_ny", "_nz")]), g.openness(), *g.hand_pose()]
+    rest = [0, 0, 0, 1, 0, 0, 0, 1, 0, 1] + [0] * 15
+    df = df.withColumns({f"_s{k}": F.when(here, c).otherwise(float(r)) for k, (c, r) in enumerate(zip(state, rest, strict=True))})
+    both = here & F.lag(here).over(w)
+    move = [F.when(both, g.clip((F.col(f"{a}0") - F.lag(f"{a}0").over(w)) * 10, -1, 1)).otherwise(0.0) for a in "xyz"]
+    turn = [F.coalesce(F.col(f"_s{k}") - F.lag(f"_s{k}").over(w), F.lit(0.0)) for k in range(3, 9)]
+    action = [*move, *turn, *(F.col(f"_s{k}") for k in range(10, 25))]
+    return df.select(*kept, *(F.col(f"_s{k}").alias(f"s{k}") for k in range(24)), *(c.alias(f"a{k}") for k, c in enumerate(action)))
 
 
 def validate_frames(frames: DataFrame, fps: float = 30.0, slack: float = 1e-3) -> DataFrame:

@@ -40,21 +40,24 @@ def landmark(i: int, axis: int) -> Column:
     return F.element_at("embedding", 3 * i + axis + 1).cast("double")
 
 
-#: Landmarks that the geometry reads: wrist, finger bases, middle joints and tips.
-POINTS = (0, 4, 5, 6, 8, 9, 10, 12, 14, 16, 17, 18, 20)
+#: Landmarks of a hand: the wrist, then four from base to tip of each finger.
+POINTS = tuple(range(21))
+#: Vectors of an episode of hands; a bound on the rows that windows by episode sort together.
+CLIP = 300
 
 
 def hands(spark: SparkSession, sf_dir: str, points: tuple[int, ...] = POINTS) -> DataFrame:
-    """Vectors as hands: the first 63 components are 21 points; scalar columns x4, y4, z4 ... keep expressions in generated code."""
+    """Vectors as hands, neighbouring ids as an episode: the first 63 components are 21 points; scalar columns x4, y4, z4 ... keep expressions in generated code."""
     e = table(spark, sf_dir, "embeddings")
-    w = Window.partitionBy("label").orderBy("vec_id")
+    episode = F.floor(F.col("vec_id") / CLIP)
+    w = Window.partitionBy(episode).orderBy("vec_id")
     coords = [landmark(i, a).alias(f"{'xyz'[a]}{i}") for i in points for a in range(3)]
-    return e.select(F.col("label").alias("episode_id"), (F.row_number().over(w) - 1).alias("frame_idx"), "vec_id", (F.col("vec_id") % 7 != 0).alias("present"), *coords)
+    return e.select(episode.alias("episode_id"), (F.row_number().over(w) - 1).alias("frame_idx"), "vec_id", (F.col("vec_id") % 7 != 0).alias("present"), *coords)
 
 
 HANDS = """hands as (
-  select label as episode_id, cast(row_number() over (partition by label order by vec_id) - 1 as integer) as frame_idx, vec_id, vec_id % 7 <> 0 as present, {0}
-  from embeddings)""".format(", ".join(f"embedding[{3 * i + a + 1}]::double as {'xyz'[a]}{i}" for i in POINTS for a in range(3)))  # noqa: UP030
+  select vec_id // {1} as episode_id, cast(row_number() over (partition by vec_id // {1} order by vec_id) - 1 as integer) as frame_idx, vec_id, vec_id % 7 <> 0 as present, {0}
+  from embeddings)""".format(", ".join(f"embedding[{3 * i + a + 1}]::double as {'xyz'[a]}{i}" for i in POINTS for a in range(3)), CLIP)  # noqa: UP030
 
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:

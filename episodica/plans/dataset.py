@@ -186,9 +186,9 @@ def offset_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("event_id", "i", F.col("prev_episode_id").alias("episode_id"), (F.col("i") - F.col("prev_from_index")).alias("local_index"))
 
 
-@query(f"with {EPISODES} select 'robot' as \"check\", count(distinct robot) as n_values, count(distinct robot) <= 1 as ok from episodes union all select 'task', count(distinct task), count(distinct task) <= 1 from episodes")
+@query(f"with {EPISODES} select 'robot' as \"check\", count(distinct robot) as n_values, count(distinct robot) <= 1 as ok, case when count(distinct robot) <= 1 then 'ok' else 'error' end as level from episodes union all select 'task', count(distinct task), count(distinct task) <= 1, case when count(distinct task) <= 1 then 'ok' else 'warning' end from episodes")
 def merge_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return asm.gate(episodes(spark, sf_dir), ["robot", "task"])
+    return asm.gate(episodes(spark, sf_dir), ["robot"], ["task"])
 
 
 @query(f"""with {FRAMES}, f as (select episode_id as episode_index, frame_idx as frame_index, t + case when k = 0 then 0.01 else 0 end as "timestamp", row_number() over (order by episode_id, frame_idx) - 1 as "index" from frames),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import geometry as g
+from ..operators import assembly as asm
 from ..operators import joins
 from ..operators import timeseries as ts
 from ..operators.windows import island, ordered
@@ -15,7 +16,7 @@ from ..sources import readers, writers
 from .adapters import BOXES, FRAMES, HANDS, boxes, frames, hands, table
 from .registry import query
 from .segmentation import SEGMENTS, built
-from .shapes import BENDS, _NORMAL, _angle_sql
+from .shapes import _ROT, _angle_sql, _d
 from .signals import KEYS, ORDER, _recursion, _UPTO, _W
 
 
@@ -32,12 +33,17 @@ def segment_instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("episode_id", "seg", "label", g.instruction(F.col("label"), F.col("object_name"), F.lit("right")).alias("instruction"))
 
 
-@query(f"with {HANDS}, {_NORMAL} select vec_id, round(x0 * 0.5, 6) as s0, round(y0 * 0.5, 6) as s1, round(z0 * 0.5, 6) as s2, round(nx, 6) as s3, round(ny, 6) as s4, round(nz, 6) as s5, {', '.join(f'{_angle_sql(*abc)} as a_{n}' for n, abc in BENDS.items())} from pn where present")
+_OPEN = f"greatest(0, least(1, (({_d(4, 20)} + {_d(8, 20)}) / 2 - 0.05) / 0.45))"
+_HAND = [f"{a}0 * 0.5" for a in "xyz"], [f"r{k}" for k in range(6)], [_OPEN], [_angle_sql(*abc) for abc in g.BENDS.values()]
+_STATE = ", ".join(f"case when present then {x} else {rest} end as s{i}" for i, (x, rest) in enumerate(zip(sum(_HAND, []), (0, 0, 0, 1, 0, 0, 0, 1, 0, 1, *[0] * 15), strict=True)))
+_MOVE = ", ".join(f"round(case when present and lag(present) over {_W} then greatest(-1, least(1, 10 * ({a}0 - lag({a}0) over {_W}))) else 0 end, 6) as a{i}" for i, a in enumerate("xyz"))
+
+
+@query(f"with {HANDS}, {_ROT}, st as (select episode_id, frame_idx, vec_id, present, x0, y0, z0, {_STATE} from ro) select vec_id, {', '.join(f'round(s{k}, 6) as s{k}' for k in range(24))}, {_MOVE}, {', '.join(f'round(coalesce(s{k} - lag(s{k}) over {_W}, 0), 6) as a{k}' for k in range(3, 9))}, {', '.join(f'round(s{k + 1}, 6) as a{k}' for k in range(9, 24))} from st")
 def human_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wrist, palm direction and bends of present hands as one training row."""
-    df = hands(spark, sf_dir).filter("present")
-    n = g.palm_normal()
-    return _round(df, "vec_id", s0=F.col("x0") * 0.5, s1=F.col("y0") * 0.5, s2=F.col("z0") * 0.5, s3=n[0], s4=n[1], s5=n[2], **{f"a_{k}": g.joint_angle(*abc) for k, abc in BENDS.items()})
+    """State and action of every frame, 24 numbers each."""
+    df = asm.human_rows(hands(spark, sf_dir), KEYS, ORDER)
+    return _round(df, "vec_id", **{f"{side}{k}": f"{side}{k}" for side in "sa" for k in range(24)})
 
 
 @query("""with e as (select vec_id, [embedding[i]::double for i in range(1, 5)] as r from embeddings), q as (select vec_id, [c / sqrt(list_sum([d * d for d in r])) for c in r] as q from e)

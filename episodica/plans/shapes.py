@@ -46,9 +46,11 @@ def palm_plane(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _r(df, "vec_id", nx=n[0], ny=n[1], nz=n[2], d=-g.dot(n, g.p(0)))
 
 
-@query(f"""with {HANDS}, {_NORMAL}, rf as (select *, case when abs(nx) >= 0.9 then 0 else 1 end as rx, case when abs(nx) >= 0.9 then 1 else 0 end as ry from pn), ax as (select *, rx - (rx * nx + ry * ny) * nx as ux, ry - (rx * nx + ry * ny) * ny as uy, -(rx * nx + ry * ny) * nz as uz from rf),
- un as (select vec_id, nx, ny, nz, ux / sqrt(ux * ux + uy * uy + uz * uz) as ax, uy / sqrt(ux * ux + uy * uy + uz * uz) as ay, uz / sqrt(ux * ux + uy * uy + uz * uz) as az from ax)
-select vec_id, round(ax, 6) as r0, round(ay, 6) as r1, round(az, 6) as r2, round(ny * az - nz * ay, 6) as r3, round(nz * ax - nx * az, 6) as r4, round(nx * ay - ny * ax, 6) as r5 from un""")
+_ROT = f"""{_NORMAL}, rf as (select *, case when abs(nx) >= 0.9 then 0 else 1 end as rx, case when abs(nx) >= 0.9 then 1 else 0 end as ry from pn), ax as (select *, rx - (rx * nx + ry * ny) * nx as ux, ry - (rx * nx + ry * ny) * ny as uy, -(rx * nx + ry * ny) * nz as uz from rf),
+ un as (select *, ux / sqrt(ux * ux + uy * uy + uz * uz) as ax, uy / sqrt(ux * ux + uy * uy + uz * uz) as ay, uz / sqrt(ux * ux + uy * uy + uz * uz) as az from ax), ro as (select *, ax as r0, ay as r1, az as r2, ny * az - nz * ay as r3, nz * ax - nx * az as r4, nx * ay - ny * ax as r5 from un)"""
+
+
+@query(f"with {HANDS}, {_ROT} select vec_id, {', '.join(f'round(r{k}, 6) as r{k}' for k in range(6))} from ro")
 def rot6d(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = hands(spark, sf_dir)
     df = df.withColumns(dict(zip(("nx", "ny", "nz"), g.palm_normal(), strict=True)))
@@ -60,13 +62,9 @@ def _angle_sql(a: int, b: int, c: int) -> str:
     return f"round(case when {_d(a, b)} < 1e-6 or {_d(b, c)} < 1e-6 then 1 else 1 - 2 * acos(greatest(-1, least(1, ({uv}) / ({_d(a, b)} * {_d(b, c)})))) / pi() end, 6)"
 
 
-#: Bends whose three points the landmark view carries.
-BENDS = {"thumb": (0, 5, 4), "index": (0, 6, 8), "middle": (0, 10, 12), "ring": (0, 14, 16), "little": (17, 18, 20)}
-
-
-@query(f"with {HANDS} select vec_id, {', '.join(f'{_angle_sql(*abc)} as {n}' for n, abc in BENDS.items())} from hands")
+@query(f"with {HANDS} select vec_id, {', '.join(f'{_angle_sql(*abc)} as {n}' for n, abc in g.BENDS.items())} from hands")
 def finger_angles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _r(hands(spark, sf_dir), "vec_id", **{n: g.joint_angle(*abc) for n, abc in BENDS.items()})
+    return _r(hands(spark, sf_dir), "vec_id", **dict(zip(g.BENDS, g.hand_pose(), strict=True)))
 
 
 @query(f"with {HANDS} select vec_id, round(greatest({_d(9, 0)}, 0.04), 6) as palm, {', '.join(f'round(greatest(0, least(1, (1.95 - {_d(t, 0)} / greatest({_d(9, 0)}, 0.04)) / 1.05)), 6) as curl{t}' for t in g.TIPS)}, round(greatest(0.2, least(1, (1.6 - {_d(4, 8)}) / 1.1)), 6) as opposition from hands")
@@ -216,12 +214,31 @@ def quaternion_rotate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _r(e, "vec_id", x=x, y=y, z=z)
 
 
-@query(f"with {HANDS}, {_NORMAL}, p as (select episode_id, frame_idx, vec_id, x0 * 0.5 as p0, y0 * 0.5 as p1, z0 * 0.5 as p2, greatest(0, least(1, (({_d(4, 20)} + {_d(8, 20)}) / 2 - 0.05) / 0.45)) as p3, case {_GRASP} when 'power_wrap' then 0 when 'precision_pinch' then 1 when 'hook' then 2 when 'lateral_pinch' then 3 when 'open' then 4 else 5 end as p4 from hands) select vec_id, round(p0, 6) as p0, round(p1, 6) as p1, round(p2, 6) as p2, round(p3, 6) as p3, p4 from p")
+_LEFT = "case vec_id % 4 when 0 then 'hook' when 1 then 'open' when 2 then 'lateral_pinch' end"
+_ORDINAL = "case {} when 'power_wrap' then 0 when 'precision_pinch' then 1 when 'hook' then 2 when 'lateral_pinch' then 3 when 'open' then 4 else 5 end"
+
+
+@query(f"with {HANDS}, p as (select vec_id, present, {', '.join(f'case when present then {a}0 * 0.5 else 0 end as p{i}' for i, a in enumerate('xyz'))}, case when present then greatest(0, least(1, (({_d(4, 20)} + {_d(8, 20)}) / 2 - 0.05) / 0.45)) else 1 end as p3, {_LEFT} as lg, case when present then {_GRASP} end as rg from hands) select vec_id, {', '.join(f'round(p{i}, 6) as p{i}' for i in range(4))}, (vec_id % 3 = 0)::int::double as p4, (present and vec_id % 2 = 0)::int::double as p5, ({_ORDINAL.format('lg')})::double as p6, ({_ORDINAL.format('rg')})::double as p7 from p")
 def proprio_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ordinal = F.create_map(*[F.lit(x) for kv in g.GRASP_ORDINAL.items() for x in kv])
-    grasp = g.grasp_type(g.distance(4, 8), g.curled())
-    df = hands(spark, sf_dir)
-    return df.select("vec_id", *(F.round(F.col(f"{a}0") * 0.5, 6).alias(f"p{i}") for i, a in enumerate("xyz")), F.round(g.openness(), 6).alias("p3"), F.coalesce(ordinal[grasp], F.lit(5)).alias("p4"))
+    """Wrist, openness, and contact and grasp of two sides; the left side's are made from the id."""
+    k, present = F.col("vec_id") % 4, F.col("present")
+    left = F.when(k == 0, "hook").when(k == 1, "open").when(k == 2, "lateral_pinch")
+    right = F.when(present, g.grasp_type(g.distance(4, 8), g.curled()))
+    row = g.proprio(present, F.col("vec_id") % 3 == 0, present & (F.col("vec_id") % 2 == 0), left, right)
+    return _r(hands(spark, sf_dir), "vec_id", **{f"p{i}": c for i, c in enumerate(row)})
+
+
+@query("""with e as (select vec_id, (vec_id % 11) / 10.0::double as t, [embedding[i]::double for i in range(1, 5)] as a, [embedding[i]::double for i in range(5, 9)] as b from embeddings), u as (select vec_id, t, [c / sqrt(list_sum([d * d for d in a])) for c in a] as a, [c / sqrt(list_sum([d * d for d in b])) for c in b] as b from e),
+ k as (select *, list_dot_product(a, b) as d from u), h as (select *, acos(least(abs(d), 1)) as th from k), w as (select *, sin((1 - t) * th) / sin(th) as wa, sin(t * th) / sin(th) * case when d < 0 then -1 else 1 end as wb from h)
+select vec_id, round(wa * a[1] + wb * b[1], 6) as x, round(wa * a[2] + wb * b[2], 6) as y, round(wa * a[3] + wb * b[3], 6) as z, round(wa * a[4] + wb * b[4], 6) as w from w""")
+def quaternion_slerp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A share of the turn between two unit quaternions."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", *(F.element_at("embedding", i + 1).cast("double").alias(f"c{i}") for i in range(8)))
+    sides = []
+    for at in (0, 4):
+        n = F.sqrt(sum((F.col(f"c{i}") ** 2 for i in range(at, at + 4)), F.lit(0.0)))
+        sides.append([F.col(f"c{i}") / n for i in range(at, at + 4)])
+    return _r(e, "vec_id", **dict(zip("xyzw", g.slerp(*sides, (F.col("vec_id") % 11) / 10), strict=True)))
 
 
 @query(f"with {HANDS}, m as (select *, ({' + '.join(_d(t, 0) for t in g.TIPS[1:])}) / 4 / greatest({_d(9, 0)}, 0.04) as s from hands where present), q as (select episode_id, quantile_cont(s, 0.3) as lo, quantile_cont(s, 0.7) as hi from m group by 1) select m.vec_id, case when s > hi then 'open' when s < lo then 'power_wrap' else 'precision_pinch' end as label from m join q using (episode_id)")
