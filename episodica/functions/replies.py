@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from difflib import SequenceMatcher
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Names that are no objects; fixed values.
@@ -32,10 +35,30 @@ def seconds(text: Column) -> Column:
 
 def numbered_lines(text: Column, word: str = "Segment") -> Column:
     """Array of (number, line) of lines like `Segment 2: ...`."""
-    pattern = F.lit(rf"(?im)^\s*{word}\s+(\d+)\s*:\s*(.+?)\s*$")
+    pattern = F.lit(rf"(?im)^[^\S\n]*{word}\s+(\d+)[^\S\n]*:[^\S\n]*(\S.*?)[^\S\n]*$")
     return F.transform(F.regexp_extract_all(text, pattern, 0), lambda x: F.struct(F.regexp_extract(x, r"(\d+)\s*:", 1).cast("int").alias("n"), F.regexp_extract(x, r"(?s):\s*(.+?)\s*$", 1).alias("line")))
 
 
+def described(text: Column, n: Column, word: str = "Segment") -> Column:
+    """Array of n lines, that of number i at place i, the last one where a number comes twice, null where it is missing. If nothing is numbered and one line is wanted, it is the first of the text."""
+    first = F.trim(F.regexp_extract(F.trim(text), r"^(.*)", 1))
+    numbered = numbered_lines(text, word)
+    lines = F.when((F.size(numbered) == 0) & (n == 1) & (first != ""), F.array(F.struct(F.lit(1).alias("n"), first.alias("line")))).otherwise(numbered)
+    own = lambda i: F.try_element_at(F.filter(lines, lambda x: x["n"] == i), F.lit(-1))["line"]
+    return F.when(n >= 1, F.transform(F.sequence(F.lit(1), n), own)).otherwise(F.array().cast("array<string>"))
+
+
+def missing(lines: Column) -> Column:
+    """Numbers without a line in an array of `described`."""
+    return F.filter(F.transform(lines, lambda x, i: F.when(x.isNull(), i + 1)), lambda i: i.isNotNull())
+
+
+def required(lines: Column) -> Column:
+    """The lines of `described`; the query fails, naming the numbers, where one is missing."""
+    absent = missing(lines)
+    return F.when(F.size(absent) > 0, F.raise_error(F.concat(F.lit("no line for "), F.array_join(absent.cast("array<string>"), ", ")))).otherwise(lines)
+
+
 def caption(text: Column, most_words: int = 50) -> Column:
     """A caption without quotes and stars, at most so many words; null if empty or a placeholder."""
     bare = F.trim(F.regexp_replace(F.regexp_replace(text, r"\*\*", ""), "^[\\s\"'`]+|[\\s\"'`]+$", ""))
@@ -61,7 +84,89 @@ def bullet(line: Column) -> Column:
     noted = rest.contains("(") & note.isin("touched:true)", "touched:false)")
     place = F.when(noted, F.rtrim(F.substr(rest, F.lit(1), F.length(rest) - F.length(F.substring_index(rest, "(", -1)) - 1))).otherwise(rest)
     ok = (bare.startswith("-") | bare.startswith("*")) & bare.contains(":")
-    return F.struct(F.when(ok, F.lower(F.trim(name))).otherwise("").alias("name"), F.when(ok, place).otherwise("").alias("place"), (ok & noted & (note == "touched:true)")).alias("touched"))
+    return F.struct(F.when(ok, F.trim(name)).otherwise("").alias("name"), F.when(ok, place).otherwise("").alias("place"), (ok & noted & (note == "touched:true)")).alias("touched"))
+
+
+def json_items(text: Column, item: str) -> Column:
+    """The list of a reply in JSON: a list itself, or the first value of an object that is one; null without either."""
+
+    def items(c: Column) -> Column:
+        inner = F.try_element_at(F.filter(F.map_values(F.from_json(c, "map<string,string>")), lambda v: F.ltrim(v).startswith("[")), F.lit(1))
+        return F.from_json(F.when(c.startswith("["), c).when(c.startswith("{"), inner), f"array<{item}>")
+
+    return F.try_element_at(F.filter(F.transform(json_candidates(text), items), lambda x: x.isNotNull()), F.lit(1))
+
+
+#: Names by which replies give an object's fields; fixed values.
+OBJECT_KEYS, PLACE_KEYS = ("name", "object", "label"), ("location", "location_description")
+
+
+def field(line: Column, names: tuple[str, ...]) -> Column:
+    """The value of `name: value` or `name = value` in a line, quotes or not, up to a comma, quote or brace; null without one."""
+    quote = "[\"']?"
+    pattern = f"(?:{'|'.join(names)}){quote}\\s*[:=]\\s*{quote}([^\"'\\r\\n,}}]+)"
+    return F.nullif(F.trim(F.regexp_extract(line, pattern, 1)), F.lit(""))
+
+
+def objects_of(text: Column) -> Column:
+    """Array of (name, place, touched) of a reply: from its JSON; if that has none, from lines that name a field; if there are none either, from lines with bullets."""
+    item = "struct<" + ",".join(f"{k}:string" for k in (*OBJECT_KEYS, *PLACE_KEYS, "touched")) + ">"
+    row = lambda name, place, touched: F.struct(F.coalesce(name, F.lit("unknown")).alias("name"), F.coalesce(place, F.lit("unknown")).alias("place"), F.coalesce(touched, F.lit(False)).alias("touched"))
+    true = lambda c: F.lower(c).isin("true", "1")
+    first = lambda x, names: F.coalesce(*(x[k] for k in names))
+    parsed = F.transform(F.filter(json_items(text, item), lambda x: x.isNotNull()), lambda x: row(first(x, OBJECT_KEYS), first(x, PLACE_KEYS), true(x["touched"])))
+    lines = F.split(text, "\n")
+    fields = F.transform(F.filter(lines, lambda x: field(x, OBJECT_KEYS).isNotNull()), lambda x: row(field(x, OBJECT_KEYS), field(x, PLACE_KEYS), true(field(x, ("touched",)))))
+    bullets = F.filter(F.transform(lines, bullet), lambda b: b["name"] != "")
+    some = lambda a: F.when(F.size(a) > 0, a)
+    return F.coalesce(some(parsed), some(fields), bullets, F.array().cast("array<struct<name:string,place:string,touched:boolean>>"))
+
+
+#: Words that tell an object in a segment's line; fixed values.
+ARTICLES = ("the", "a", "an")
+STOPS = ("the", "a", "an", "down", "up", "with", "using", "both", "left", "right", "hand", "hands", "of", "in", "on", "at", "to", "into", "for")
+PLACES = ("into", "in", "to", "on", "onto", "at")
+VERBS = ("pick", "picking", "place", "placing", "grasp", "grasping", "pour", "pouring", "hold", "holding", "manipulate", "manipulating", "reach", "reaching", "touch", "touching", "grab", "grabbing")
+
+
+def object_after(words: Column, leads: tuple[str, ...], particles: tuple[str, ...] = ()) -> Column:
+    """The object after the first of `leads` that has one: past a particle and an article, the second of two plain words, or the only one; null without."""
+    at = lambda i: F.try_element_at(words, i)
+    plain = lambda i: F.when(~at(i).isin(*STOPS) & at(i).rlike("^[a-z_]+"), at(i))
+
+    def after(i: Column) -> Column:
+        past = (lambda k, these: F.when(at(k).isin(*these), k + 1).otherwise(k)) if particles else (lambda k, these: k)
+        k = past(i + 1, particles or ("",))
+        k = F.when(at(k).isin(*ARTICLES), k + 1).otherwise(k)
+        two = at(k).rlike("^[a-z_]+$") & plain(k + 1).isNotNull()
+        return F.when(at(i).isin(*leads) & plain(k).isNotNull(), F.regexp_extract(F.when(two, at(k + 1)).otherwise(at(k)), "^([a-z_]+)", 1))
+
+    found = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words), F.lit(1))), after)
+    return F.try_element_at(F.filter(found, lambda x: x.isNotNull()), F.lit(1))
+
+
+def segments_of(text: Column) -> Column:
+    """Array of (verb, start, stop, object_name, hand, rest) of a reply: from its JSON, with defaults for what it lacks; if that has none, from times `0:02 - 0:05 : verb ...` in the text."""
+    item = "struct<name:string,start_time:string,end_time:string,object_name:string,hand_used:string,description:string>"
+    given = lambda c, rest: F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit(rest))
+    row = lambda *cols: F.struct(*(c.alias(n) for c, n in zip(cols, ("verb", "start", "stop", "object_name", "hand", "rest"), strict=True)))
+    parsed = F.transform(
+        F.filter(json_items(text, item), lambda x: x.isNotNull()),
+        lambda x: row(given(x["name"], "manipulate"), seconds(given(x["start_time"], "0.0")), seconds(given(x["end_time"], "10.0")), given(x["object_name"], "unknown"), F.lower(given(x["hand_used"], "right")), given(x["description"], "")),
+    )
+    time = r"\d+[:.]\d+(?:\.\d+)?"
+    span = rf"({time})\s*[-~]\s*({time})\s*[:-]?\s*(\w+)\s*(.*)"
+
+    def line(x: Column) -> Column:
+        got = [F.trim(F.regexp_extract(x, span, k)) for k in (1, 2, 3, 4)]
+        rest = F.lower(got[3])
+        words = F.split(rest, r"\s+")
+        name = F.coalesce(object_after(words, PLACES), object_after(words, VERBS, ("up", "for", "down")), F.lit("unknown"))
+        hand = F.when(rest.contains("left"), "left").when(rest.contains("both"), "both").otherwise("right")
+        return row(got[2], seconds(got[0]), seconds(got[1]), name, hand, got[3])
+
+    spoken = F.transform(F.regexp_extract_all(text, F.lit(span), 0), line)
+    return F.coalesce(F.when(F.size(parsed) > 0, parsed), spoken, F.array().cast("array<struct<verb:string,start:double,stop:double,object_name:string,hand:string,rest:string>>"))
 
 
 def time_range(line: Column) -> Column:
@@ -88,6 +193,26 @@ def canonical(name: Column, vocabulary: list[str]) -> Column:
     return out
 
 
+def nearest_name(df: DataFrame, name: str, vocabulary: list[str], least: float = 0.5, out: str = "canonical") -> DataFrame:
+    """Adds the vocabulary's word that equals the name but for case and outer blanks, else the first of those most similar (share of matching blocks above `least`), else the name; null stays null. Words are compared once per distinct name, in Arrow batches."""
+
+    @F.pandas_udf("string")
+    def match(names: pd.Series) -> pd.Series:
+        known = [(w, w.lower().strip()) for w in vocabulary]
+
+        def best(x: str) -> str:
+            bare = x.lower().strip()
+            exact = [w for w, v in known if v == bare]
+            scored = [(SequenceMatcher(None, bare, v).ratio(), w) for w, v in known]
+            top = max(scored, key=lambda s: s[0], default=(0.0, x))
+            return exact[0] if exact else top[1] if top[0] > least else x
+
+        return names.map(best)
+
+    codes = df.filter(F.col(name).isNotNull()).select(F.col(name).alias("_name")).distinct().withColumn(out, match("_name"))
+    return df.join(codes, F.col(name) == F.col("_name"), "left").drop("_name")
+
+
 def fingerprint(*parts: Column) -> Column:
     """A digest of the parts, with a separator and a mark for null that texts don't hold."""
     return F.sha2(F.concat_ws("\0", *(F.coalesce(p.cast("string"), F.lit("\1")) for p in parts)), 256)

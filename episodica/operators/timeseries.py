@@ -206,6 +206,21 @@ def savgol(df: DataFrame, value: str, keys: Keys, order: str, window: int = 9, d
     return df.withColumn(out, smooth.otherwise(F.col("_inner"))).drop("_i", "_n", "_inner", *head, *tail)
 
 
+def savgol_blocks(df: DataFrame, value: str, valid: str, keys: Keys, order: str, window: int = 9, degree: int = 2, out: str = "smooth") -> DataFrame:
+    """`savgol` within every run of valid rows; a shorter run has the largest odd window that fits. Rows that aren't valid (false or null) and runs that a window of more than `degree` + 1 rows doesn't fit keep their value."""
+    ok = F.coalesce(F.col(valid), F.lit(False))
+    df = island(df.withColumn("_ok", ok), F.col("_ok"), ordered(keys, order), "_block")
+    block = [*keys, "_block"]
+    df = df.withColumn("_size", F.count(F.lit(1)).over(whole(ordered(block, order))))
+    fitting = range(window, degree + 1, -2)
+    for k in fitting:
+        df = savgol(df, value, block, order, k, degree, f"_w{k}")
+    smooth = F.when(~F.col("_ok"), F.col(value))
+    for k in fitting:
+        smooth = smooth.when(F.col("_size") >= k, F.col(f"_w{k}"))
+    return df.withColumn(out, smooth.otherwise(F.col(value))).drop("_ok", "_block", "_size", *(f"_w{k}" for k in fitting))
+
+
 def mean_edge_padded(df: DataFrame, value: str, keys: Keys, order: str, reach: int = 2, out: str = "mean") -> DataFrame:
     """Mean over `reach` rows to both sides; beyond an end its value counts again."""
     w = ordered(keys, order)

@@ -14,7 +14,7 @@ def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
 
 
-_KIND = "doc_id % 4"
+_VOCAB = ["src1", "src2", "src3"]
 
 
 def _reply(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +57,7 @@ def box_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).select("doc_id", F.explode(r.boxes_of(text)).alias("b")).select("doc_id", "b.*")
 
 
-@query("select doc_id, lower(source) as name, 'on ' || lang as place, doc_id % 2 = 0 as touched from documents")
+@query("select doc_id, upper(source) as name, 'on ' || lang as place, doc_id % 2 = 0 as touched from documents")
 def object_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = F.concat(F.lit("- "), F.upper("source"), F.lit(": on "), "lang", F.when(F.col("doc_id") % 2 == 0, " (touched: true)").otherwise(""))
     return _docs(spark, sf_dir).select("doc_id", r.bullet(line).alias("o")).select("doc_id", "o.*")
@@ -70,15 +70,46 @@ def segment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).select("doc_id", r.time_range(line).alias("s")).filter("s is not null").select("doc_id", "s.*")
 
 
+@query("select doc_id, sha256(coalesce(text, 'unknown')) as name_sha256, coalesce(source, 'unknown') as place, doc_id % 2 = 0 as touched from documents")
+def object_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects of replies in JSON within prose, whole texts as names."""
+    d = table(spark, sf_dir, "documents")
+    item = F.struct(F.col("text").alias("label"), F.col("source").alias("location"), (F.col("doc_id") % 2 == 0).alias("touched"))
+    reply = F.concat(F.lit("Found these: "), F.to_json(F.array(item)), F.lit(" and no more."))
+    o = d.select("doc_id", F.explode(r.objects_of(reply)).alias("o"))
+    return o.select("doc_id", F.sha2("o.name", 256).alias("name_sha256"), "o.place", "o.touched")
+
+
+@query("select doc_id, 'place' as verb, 61.0::double as start, 65.5::double as stop, regexp_extract(lower(source), '^[a-z_]+') as object_name, case when doc_id % 2 = 0 then 'left' else 'right' end as hand from documents")
+def segment_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments of replies in prose: times, verb, object and hand."""
+    text = F.concat(F.lit("First 1:01 ~ 1:05.5: place it on the "), "source", F.when(F.col("doc_id") % 2 == 0, " with left hand").otherwise(""))
+    s = _docs(spark, sf_dir).select("doc_id", F.explode(r.segments_of(text)).alias("s"))
+    return s.select("doc_id", "s.verb", "s.start", "s.stop", "s.object_name", "s.hand")
+
+
+@query("select doc_id, case when doc_id % 3 = 0 then '' when doc_id % 3 = 1 then '2' else '2,3' end as missing, case when doc_id % 3 = 0 then lang end as second from documents")
+def numbered_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers that a reply of three numbered lines lacks; an empty line is none."""
+    k = F.col("doc_id") % 3
+    second = F.when(k == 0, F.concat(F.lit("Segment 2: "), "lang")).otherwise("Segment 2:")
+    third = F.when(k < 2, F.concat(F.lit("\nsegment 3: "), "source")).otherwise("")
+    lines = r.described(F.concat(F.lit("Segment 1: "), "source", F.lit("\n"), second, third), F.lit(3))
+    return _docs(spark, sf_dir).select("doc_id", F.array_join(r.missing(lines).cast("array<string>"), ",").alias("missing"), lines[1].alias("second"))
+
+
+@query()
+def name_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names brought to the most similar word of a vocabulary; tested on a small fixture, since SQL lacks the measure."""
+    return r.nearest_name(_docs(spark, sf_dir).select("doc_id", "source"), "source", _VOCAB)
+
+
 @query("select doc_id, lower(source) similar to '.*(person|human|arm|body|hand).*' as body, doc_id % 2 = 0 as tripwire from documents")
 def body_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(F.col("doc_id") % 2 == 0, "grips the HAND tightly").otherwise("a charm on the table")
     return _docs(spark, sf_dir).select("doc_id", r.is_body_term(F.col("source")).alias("body"), r.body_caption(text).alias("tripwire"))
 
 
-_VOCAB = ["src1", "src2", "src3"]
-
-
 @query("select doc_id, case when contains(source, 'src1') then 'src1' when contains(source, 'src2') then 'src2' when contains(source, 'src3') then 'src3' else 'object' end as name from documents")
 def name_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _docs(spark, sf_dir).select("doc_id", r.canonical(F.col("source"), _VOCAB).alias("name"))

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -175,6 +176,76 @@ def test_replies(spark):
     assert spark.range(1).select(replies.caption(F.lit(' "**Lifts** the cup" '))).first()[0] == "Lifts the cup"
 
 
+def test_objects_of_replies(spark):
+    texts = ['{"n": 1, "objects": [{"label": "Cup", "location_description": "left", "touched": true}, {"x": 1}]}', "name: 'mug', location: shelf, touched: True\nbroken {", "- Knife: on the board (touched: true)\n* Bowl: in the sink", "", None]
+    got = [[tuple(o) for o in r[0]] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(replies.objects_of(F.col("t"))).collect()]
+    assert got == [[("Cup", "left", True), ("unknown", "unknown", False)], [("mug", "shelf", True)], [("Knife", "on the board", True), ("Bowl", "in the sink", False)], [], []]
+
+
+def test_segments_of_replies(spark):
+    texts = ['[{"name": "pour", "start_time": "0:02", "hand_used": "Left"}, {}]', "0:01 ~ 0:03.5: pick up the red cup with left hand\n0:04 - 0:06 place it on the wooden table, gently", "none", None]
+    got = [[tuple(s)[:5] for s in r[0]] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(replies.segments_of(F.col("t"))).collect()]
+    assert got[0] == [("pour", 2.0, 10.0, "unknown", "left"), ("manipulate", 0.0, 10.0, "unknown", "right")]
+    assert got[1] == [("pick", 1.0, 3.5, "unknown", "left"), ("place", 4.0, 6.0, "table", "right")]
+    assert got[2:] == [[], []]
+
+
+def test_numbered_lines_are_all_wanted(spark):
+    df = spark.createDataFrame([("Segment 1: a\nsegment 3: c\nSegment 1: b", 3), ("only this", 1), ("Segment 1:\nSegment 2: x", 2), ("", 0)], "t string, n int")
+    lines = replies.described(F.col("t"), F.col("n"))
+    got = df.select(lines.alias("l"), replies.missing(lines).alias("m")).collect()
+    assert [(r["l"], r["m"]) for r in got] == [(["b", None, "c"], [2]), (["only this"], []), ([None, "x"], [1]), ([], [])]
+    assert df.filter("n = 1").select(replies.required(lines)).first()[0] == ["only this"]
+    with pytest.raises(Exception, match="no line for 2"):
+        df.filter("n = 3").select(replies.required(lines)).collect()
+
+
+def test_nearest_names(spark):
+    df = spark.createDataFrame([(" CUP ",), ("coffee mugs",), ("zzz",), (None,), ("cup",)], "x string")
+    got = sorted(((r["x"], r["canonical"]) for r in replies.nearest_name(df, "x", ["cup", "coffee mug"]).collect()), key=str)
+    assert got == sorted([(" CUP ", "cup"), ("coffee mugs", "coffee mug"), ("zzz", "zzz"), (None, None), ("cup", "cup")], key=str)
+
+
+def test_savgol_of_blocks_is_a_fit_of_each(spark):
+    rng = random.Random(7)
+    rows = [(rng.uniform(0, 9), i not in (2, 3, 9, 16, 17, 18)) for i in range(40)]
+    got = values(ts.savgol_blocks(episode(spark, rows, "v double, ok boolean"), "v", "ok", ["e"], "i"), "smooth")
+    want = [v for v, _ in rows]
+    for lo, hi in ((4, 9), (10, 16), (19, 40)):
+        size = min(9, (hi - lo) - (hi - lo + 1) % 2)
+        for i in range(lo, hi):
+            start = min(max(lo, i - size // 2), hi - size)
+            x = np.arange(start, start + size) - i
+            want[i] = np.polyfit(x, [rows[k][0] for k in range(start, start + size)], 2)[-1]
+    assert got == pytest.approx(want)
+
+
+def test_slerp_ends_and_middle(spark):
+    a, b = (0.0, 0.0, 0.0, 1.0), (0.0, 0.0, 1.0, 0.0)
+    cols = lambda q: [F.lit(v) for v in q]
+    at = lambda p, q, t: list(spark.range(1).select(*g.slerp(cols(p), cols(q), F.lit(t))).first())
+    assert at(a, b, 0.0) == pytest.approx(a) and at(a, b, 1.0) == pytest.approx(b)
+    assert at(a, b, 0.5) == pytest.approx([0, 0, 0.5**0.5, 0.5**0.5])
+    assert at(a, [-v for v in a], 0.5) == pytest.approx(a)
+
+
+def test_merge_refuses_and_warns(spark):
+    eps = spark.createDataFrame([("x", 30), ("x", 25)], "robot string, fps int")
+    assert asm.require(asm.gate(eps, ["robot"], ["fps"])) == ["fps"]
+    with pytest.raises(ValueError, match="fps"):
+        asm.require(asm.gate(eps, ["robot", "fps"]))
+
+
+def test_human_rows_without_a_hand(spark):
+    points = ", ".join(f"{a}{i} double" for i in range(21) for a in "xyz")
+    hand = [float(k % 7) / 10 for k in range(63)]
+    df = spark.createDataFrame([(1, 0, True, *hand), (1, 1, False, *hand), (1, 2, True, *hand)], f"e int, i int, present boolean, {points}")
+    rows = asm.human_rows(df, ["e"], "i").orderBy("i").collect()
+    assert [rows[1][f"s{k}"] for k in range(24)] == [0, 0, 0, 1, 0, 0, 0, 1, 0, 1] + [0] * 14
+    assert [rows[0][f"a{k}"] for k in range(9)] == [0] * 9 and [rows[2][f"a{k}"] for k in range(3)] == [0] * 3
+    assert [rows[2][f"a{k}"] for k in range(3, 9)] == pytest.approx([rows[2][f"s{k}"] - rows[1][f"s{k}"] for k in range(3, 9)])
+
+
 def test_checks_and_models(spark):
     c = spark.createDataFrame([("a", True), ("a", False), ("b", True)], "k string, passed boolean")
     assert {r["k"]: r["passed"] for r in stats.all_passed(c, ["k"]).collect()} == {"a": False, "b": True}
