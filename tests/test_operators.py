@@ -246,6 +246,17 @@ def test_human_rows_without_a_hand(spark):
     assert [rows[2][f"a{k}"] for k in range(3, 9)] == pytest.approx([rows[2][f"s{k}"] - rows[1][f"s{k}"] for k in range(3, 9)])
 
 
+def test_quantiles_are_exact(spark):
+    rng = random.Random(11)
+    cols = {"a": [rng.gauss(0, 1) for _ in range(500)] + [1e9], "b": [3.0] * 40, "c": [float(rng.randrange(5)) for _ in range(77)], "d": [2.5]}
+    rows = [(k, v) for k, vs in cols.items() for v in vs] + [("a", None), ("e", None)]
+    shares = {"low": 0.01, "mid": 0.5, "high": 0.99}
+    got = {r["f"]: [r[c] for c in shares] for r in stats.exact_quantiles(spark.createDataFrame(rows, "f string, v double"), "f", "v", shares, bins=16).collect()}
+    assert set(got) == set(cols)
+    for k, vs in cols.items():
+        assert got[k] == pytest.approx(list(np.quantile(vs, list(shares.values()))))
+
+
 def test_checks_and_models(spark):
     c = spark.createDataFrame([("a", True), ("a", False), ("b", True)], "k string, passed boolean")
     assert {r["k"]: r["passed"] for r in stats.all_passed(c, ["k"]).collect()} == {"a": False, "b": True}
