@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from itertools import groupby, islice
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -64,14 +66,26 @@ def segments(df: DataFrame, keys: Keys, order: str, time: str, idle_sec: float =
 _SEGMENT = ["start_frame", "end_frame", "start_time", "end_time", "transition", "state", "grasp", "object_name"]
 
 
-def _fold_segments(segs: DataFrame, keys: Keys, step) -> DataFrame:
+def _numbered(rows: Iterator[dict]) -> Iterator[tuple[int, dict]]:
+    """Rows with the number of their episode; one begins at place 1."""
+    n = 0
+    for r in rows:
+        n += r["_place"] == 1
+        yield n, r
+
+
+def _fold_segments(segs: DataFrame, keys: Keys, step: Callable[[Iterator[dict]], Iterator[dict]]) -> DataFrame:
+    """step: the segments of one episode in order to those that come of them. Both are read as they come, so an episode may have any number."""
     schema = T.StructType([segs.schema[c] for c in (*keys, *_SEGMENT)])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = step(pdf.sort_values("start_frame")[_SEGMENT].astype(object).where(lambda x: x.notna(), None).to_dict("records"))
-        return pd.DataFrame(rows, columns=_SEGMENT).assign(**{k: pdf[k].iloc[0] for k in keys})[schema.names]
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = (r for pdf in batches for r in pdf.astype(object).where(pdf.notna(), None).to_dict("records"))
+        made = (s for _, group in groupby(_numbered(rows), itemgetter(0)) for s in step(r for _, r in group))
+        while some := list(islice(made, 4096)):
+            yield pd.DataFrame(some, columns=schema.names)
 
-    return segs.select(*keys, *_SEGMENT).groupBy(*keys).applyInPandas(run, schema)
+    w = ordered(keys, "start_frame")
+    return segs.select(*keys, *_SEGMENT).withColumn("_place", F.row_number().over(w)).sortWithinPartitions(*keys, "_place").mapInPandas(run, schema)
 
 
 def _joined(a: dict, b: dict, grasp: str) -> dict:
@@ -81,22 +95,22 @@ def _joined(a: dict, b: dict, grasp: str) -> dict:
 def absorb_jitter(segs: DataFrame, keys: Keys, min_sec: float = 0.2) -> DataFrame:
     """A short segment joins an earlier one of its state; a short pulse between two of one state joins both; others stay."""
 
-    def step(rows: list[dict]) -> list[dict]:
-        out: list[dict] = []
-        i = 0
-        while i < len(rows):
-            s = rows[i]
-            if len(rows) == 1 or s["end_time"] - s["start_time"] >= min_sec or not out:
-                out.append(s)
-            elif out[-1]["state"] == s["state"]:
-                out[-1] = _joined(out[-1], s, out[-1]["grasp"] if out[-1]["grasp"] != "unknown" else s["grasp"])
-            elif i + 1 < len(rows) and out[-1]["state"] == rows[i + 1]["state"]:
-                i += 1
-                out[-1] = _joined(out[-1], rows[i], out[-1]["grasp"] if out[-1]["grasp"] != "unknown" else rows[i]["grasp"])
+    def step(rows: Iterator[dict]) -> Iterator[dict]:
+        last, s = None, next(rows, None)
+        while s is not None:
+            after = next(rows, None)
+            short = last is not None and s["end_time"] - s["start_time"] < min_sec
+            if short and last["state"] == s["state"]:
+                last = _joined(last, s, last["grasp"] if last["grasp"] != "unknown" else s["grasp"])
+            elif short and after is not None and last["state"] == after["state"]:
+                last = _joined(last, after, last["grasp"] if last["grasp"] != "unknown" else after["grasp"])
+                after = next(rows, None)
             else:
-                out.append(s)
-            i += 1
-        return out
+                if last is not None:
+                    yield last
+                last = s
+            s = after
+        yield last
 
     return _fold_segments(segs, keys, step)
 
@@ -104,16 +118,16 @@ def absorb_jitter(segs: DataFrame, keys: Keys, min_sec: float = 0.2) -> DataFram
 def merge_adjacent(segs: DataFrame, keys: Keys, gap_sec: float = 0.3) -> DataFrame:
     """Joins neighbours of one state and object whose grasps agree, none and unknown agreeing with any, if the gap is short."""
 
-    def step(rows: list[dict]) -> list[dict]:
-        out = rows[:1]
-        for s in rows[1:]:
-            last = out[-1]
+    def step(rows: Iterator[dict]) -> Iterator[dict]:
+        last = next(rows)
+        for s in rows:
             grasp = last["grasp"] == s["grasp"] or last["grasp"] in WILD or s["grasp"] in WILD
             if last["state"] == s["state"] and grasp and last["object_name"] == s["object_name"] and s["start_time"] - last["end_time"] <= gap_sec:
-                out[-1] = _joined(last, s, s["grasp"] if s["grasp"] not in WILD else last["grasp"])
+                last = _joined(last, s, s["grasp"] if s["grasp"] not in WILD else last["grasp"])
             else:
-                out.append(s)
-        return out
+                yield last
+                last = s
+        yield last
 
     return _fold_segments(segs, keys, step)
 

@@ -1,16 +1,18 @@
 """Ordered time-series operators: gap fill, hysteresis, votes, smoothing, gates, derivatives.
 
 Each is a DataFrame transformation in window functions; operators whose state feeds
-back into later rows fold an episode in one Arrow batch (`fold`), never row by row in
-a UDF.  Thresholds default to the values the engine's users have today.
+back into later rows pass over an episode in Arrow batches and carry the few numbers of
+their state from one to the next (`carry`), so an episode may have any length.
+Thresholds default to the values the engine's users have today.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,15 +22,37 @@ from .windows import after, before, between, bfill, ffill, island, neighbours, o
 Keys = Sequence[str]
 
 
-def fold(df: DataFrame, keys: Keys, order: str, step: Callable[[pd.DataFrame], dict[str, np.ndarray]], out: dict[str, T.DataType]) -> DataFrame:
-    """Adds columns that a sequential fold makes. step: one episode in order to its new columns."""
-    schema = T.StructType([*df.schema.fields, *(T.StructField(n, t) for n, t in out.items())])
+def placed(df: DataFrame, keys: Keys, order: str) -> DataFrame:
+    """Adds _place (from 1) and _left (down to 1) of every row of a key; what `carry` needs."""
+    w = ordered(keys, order)
+    return df.withColumns({"_place": F.row_number().over(w), "_left": F.count(F.lit(1)).over(whole(w))}).withColumn("_left", F.col("_left") - F.col("_place") + 1)
+
+
+def carry(df: DataFrame, keys: Keys, step: Callable[[object, pd.DataFrame], tuple[dict[str, np.ndarray], object]], out: dict[str, T.DataType], backward: bool = False) -> DataFrame:
+    """Adds columns that one pass over every key's rows makes, from the first to the last or `backward`.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable")
-        return pdf.assign(**step(pdf))[schema.names]
+    df: of `placed`, whose windows bring a key's rows into one task; here they are only
+    sorted there.  step: the state after the rows before (None at the start) and some
+    rows of one key to new columns and the next state.  A key's rows come in batches,
+    so what a task holds doesn't grow with them.
+    """
+    schema = T.StructType([*(f for f in df.schema.fields if f.name not in out), *(T.StructField(n, t) for n, t in out.items())])
+    kept, start = [n for n in schema.names if n not in out], "_left" if backward else "_place"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = None
+        for batch in batches:
+            pdf, parts = batch.to_pandas(), []
+            first = (pdf[start] == 1).to_numpy()
+            cuts = sorted({0, *np.flatnonzero(first).tolist(), len(pdf)})
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                made, state = step(None if first[lo] else state, pdf.iloc[lo:hi])
+                parts.append(made)
+            if parts:
+                new = [pa.array(np.concatenate([m[n] for m in parts]), from_pandas=True) for n in out]
+                yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), *new], schema.names)
 
-    return df.groupBy(*keys).applyInPandas(run, schema)
+    return df.sortWithinPartitions(*keys, F.desc("_place") if backward else "_place").mapInArrow(run, schema)
 
 
 def hysteresis(df: DataFrame, evidence: str, keys: Keys, order: str, n: int = 3, out: str = "state") -> DataFrame:
@@ -63,23 +87,24 @@ def fill_both_ways(df: DataFrame, value: str, keys: Keys, order: str, out: str =
     return df.withColumn(out, F.coalesce(lerp, "_pv", "_nv")).drop("_pi", "_pv", "_ni", "_nv")
 
 
-def _there_and_back(x: np.ndarray, alpha: float, passes: int) -> np.ndarray:
-    """Exponential averages from the first row to the last and back to the first, `passes` times."""
-    for turn in range(2 * passes):
-        run = x[::-1] if turn % 2 else x
-        last = run[0] if len(run) else 0.0
+def _there_and_back(df: DataFrame, keys: Keys, name: str, alpha: float, passes: int) -> DataFrame:
+    """Exponential averages of a column in its place, from the first row to the last and back to the first, `passes` times. df: of `placed`."""
+
+    def step(last: float | None, pdf: pd.DataFrame) -> tuple[dict[str, np.ndarray], float]:
+        run = pdf[name].to_numpy(float).copy()
         for i, value in enumerate(run):
-            run[i] = last = value if i == 0 else alpha * value + (1 - alpha) * last
-    return x
+            run[i] = last = value if last is None else alpha * value + (1 - alpha) * last
+        return {name: run}, last
+
+    for turn in range(2 * passes):
+        df = carry(df, keys, step, {name: T.DoubleType()}, backward=turn % 2 == 1)
+    return df
 
 
 def zero_phase_ema(df: DataFrame, value: str, keys: Keys, order: str, alpha: float = 0.35, passes: int = 2, out: str = "smooth") -> DataFrame:
     """`passes` exponential averages, each forward and backward. No nulls are expected."""
-
-    def step(pdf: pd.DataFrame) -> dict[str, np.ndarray]:
-        return {out: _there_and_back(pdf[value].to_numpy(float).copy(), alpha, passes)}
-
-    return fold(df, keys, order, step, {out: T.DoubleType()})
+    df = placed(df, keys, order).withColumn(out, F.col(value).cast("double"))
+    return _there_and_back(df, keys, out, alpha, passes).drop("_place", "_left")
 
 
 def trailing_mean(df: DataFrame, value: Column, keys: Keys, order: str, n: int = 3, out: str = "mean") -> DataFrame:
@@ -107,27 +132,25 @@ def majority_vote(df: DataFrame, label: str, present: str, keys: Keys, order: st
 def ema_with_reset(df: DataFrame, value: str, valid: str, keys: Keys, order: str, rest: float, alpha: float = 0.3, out: str = "ema") -> DataFrame:
     """y = (1 - alpha) x + alpha y'; rows that aren't valid give `rest` and start anew from it; values stay in 0 to rest."""
 
-    def step(pdf: pd.DataFrame) -> dict[str, np.ndarray]:
-        y, prev = np.empty(len(pdf)), None
+    def step(last: float | None, pdf: pd.DataFrame) -> tuple[dict[str, np.ndarray], float]:
+        y = np.empty(len(pdf))
         for i, (x, ok) in enumerate(zip(pdf[value].to_numpy(float), pdf[valid].to_numpy(bool), strict=True)):
-            prev = rest if not ok else min(max(x if prev is None else (1 - alpha) * x + alpha * prev, 0.0), rest)
-            y[i] = prev
-        return {out: y}
+            y[i] = last = rest if not ok else min(max(x if last is None else (1 - alpha) * x + alpha * last, 0.0), rest)
+        return {out: y}, last
 
-    return fold(df, keys, order, step, {out: T.DoubleType()})
+    return carry(placed(df, keys, order), keys, step, {out: T.DoubleType()}).drop("_place", "_left")
 
 
 def leaky_sum(df: DataFrame, value: str, keys: Keys, order: str, leak: float = 0.96, out: str = "leaky") -> DataFrame:
     """s = leak s' + d; null rows hold."""
 
-    def step(pdf: pd.DataFrame) -> dict[str, np.ndarray]:
-        y, s = np.empty(len(pdf)), 0.0
+    def step(total: float | None, pdf: pd.DataFrame) -> tuple[dict[str, np.ndarray], float]:
+        y, total = np.empty(len(pdf)), total or 0.0
         for i, d in enumerate(pdf[value].to_numpy(float)):
-            s = s if np.isnan(d) else leak * s + d
-            y[i] = s
-        return {out: y}
+            y[i] = total = total if np.isnan(d) else leak * total + d
+        return {out: y}, total
 
-    return fold(df, keys, order, step, {out: T.DoubleType()})
+    return carry(placed(df, keys, order), keys, step, {out: T.DoubleType()}).drop("_place", "_left")
 
 
 def velocity_gate(df: DataFrame, value: str, ok: str, keys: Keys, order: str, limit: float, dt: float = 1 / 30, out: str = "reachable") -> DataFrame:
@@ -278,24 +301,26 @@ def sanitize(df: DataFrame, value: str, ok: str, keys: Keys, order: str, low: fl
     """
     most = 0.9 * velocity * dt
 
-    def step(pdf: pd.DataFrame) -> dict[str, np.ndarray]:
+    def step(last: float | None, pdf: pd.DataFrame) -> tuple[dict[str, np.ndarray], float]:
         x, good = pdf[value].to_numpy(float), pdf[ok].to_numpy(bool)
         beyond = (x < low - tolerance) | (x > high + tolerance)
         stays = ~good | beyond
         q = np.where(good & beyond, 0.0, x)
-        for i in range(1, len(q)):
-            q[i] = q[i - 1] if stays[i] else np.clip(x[i], q[i - 1] - most, q[i - 1] + most)
+        for i in range(len(q)):
+            if last is not None:
+                q[i] = last if stays[i] else np.clip(x[i], last - most, last + most)
+            last = q[i]
         late = ~stays & (q != x)
-        return {"q": q, "reachable": ~(stays | late), "reason": np.select([~good, beyond, late], ["input", "joint_limit", "joint_velocity"], "ok").astype(object)}
+        return {"q": q, "reachable": ~(stays | late), "reason": np.select([~good, beyond, late], ["input", "joint_limit", "joint_velocity"], "ok").astype(object)}, last
 
-    return fold(df, keys, order, step, {"q": T.DoubleType(), "reachable": T.BooleanType(), "reason": T.StringType()})
+    return carry(placed(df, keys, order), keys, step, {"q": T.DoubleType(), "reachable": T.BooleanType(), "reason": T.StringType()}).drop("_place", "_left")
 
 
 def debounced_switch(df: DataFrame, value: str, keys: Keys, order: str, start: float = 0.08, threshold: float = 0.03, min_rows: int = 5, out: str = "switched") -> DataFrame:
     """Follows the value on its side of the threshold; changes sides only after `min_rows` rows there."""
 
-    def step(pdf: pd.DataFrame) -> dict[str, np.ndarray]:
-        y, state, held = np.empty(len(pdf)), start, 0
+    def step(side: tuple[float, int] | None, pdf: pd.DataFrame) -> tuple[dict[str, np.ndarray], tuple[float, int]]:
+        y, (state, held) = np.empty(len(pdf)), side or (start, 0)
         for i, x in enumerate(pdf[value].to_numpy(float)):
             if (x < threshold) == (state < threshold):
                 state, held = x, held + 1
@@ -304,9 +329,9 @@ def debounced_switch(df: DataFrame, value: str, keys: Keys, order: str, start: f
             else:
                 held += 1
             y[i] = state
-        return {out: y}
+        return {out: y}, (state, held)
 
-    return fold(df, keys, order, step, {out: T.DoubleType()})
+    return carry(placed(df, keys, order), keys, step, {out: T.DoubleType()}).drop("_place", "_left")
 
 
 #: Shares of the velocity that a limited trajectory may use, and its acceleration as a multiple of that; fixed values.
@@ -324,19 +349,22 @@ def rate_limit(df: DataFrame, value: str, keys: Keys, order: str, low: float, hi
     v_most = VELOCITY_SHARE * velocity
     change = v_most * acc_scale * dt
 
-    def step(pdf: pd.DataFrame) -> dict[str, np.ndarray]:
-        smooth = _there_and_back(np.clip(pdf[value].to_numpy(float), low, high), alpha, passes)
-        at, v = smooth.copy(), 0.0
-        for i in range(1, len(at)):
-            here, near = at[i - 1], (v - change, v + change)
-            intervals = [(max(-v_most, near[0]), min(v_most, near[1])), ((low - here) / dt, (high - here) / dt), near]
-            v = (smooth[i] - here) / dt
-            for least, most in intervals if i > 1 else intervals[:2]:
-                v = min(max(v, least), most)
-            at[i] = here + v * dt
-        return {"smooth": smooth, "limited": at}
-
-    return fold(df, keys, order, step, {"smooth": T.DoubleType(), "limited": T.DoubleType()})
+    def step(moving: tuple[float, float, int] | None, pdf: pd.DataFrame) -> tuple[dict[str, np.ndarray], tuple[float, float, int]]:
+        smooth = pdf["smooth"].to_numpy(float)
+        at, (here, v, done) = smooth.copy(), moving or (0.0, 0.0, 0)
+        for i in range(len(at)):
+            if done:
+                near = (v - change, v + change)
+                intervals = [(max(-v_most, near[0]), min(v_most, near[1])), ((low - here) / dt, (high - here) / dt), near]
+                v = (smooth[i] - here) / dt
+                for least, most in intervals if done > 1 else intervals[:2]:
+                    v = min(max(v, least), most)
+                at[i] = here + v * dt
+            here, done = at[i], min(done + 1, 2)
+        return {"limited": at}, (here, v, done)
+
+    df = placed(df, keys, order).withColumn("smooth", F.least(F.greatest(F.col(value).cast("double"), F.lit(float(low))), F.lit(float(high))))
+    return carry(_there_and_back(df, keys, "smooth", alpha, passes), keys, step, {"limited": T.DoubleType()}).drop("_place", "_left")
 
 
 def bfill_value(df: DataFrame, value: str, keys: Keys, order: str, out: str = "filled") -> DataFrame:

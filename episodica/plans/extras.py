@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -158,9 +159,8 @@ _SIDE = f"case when least(abs(r.lw - f.value / 100), abs(r.rw - f.value / 100))
 def identity_continuity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The side of a single detection: that of the nearer last wrist, if nearer than a quarter; state runs along an episode."""
 
-    def step(pdf: pd.DataFrame) -> dict:
-        last: dict[str, float] = {}
-        side = []
+    def step(last: dict[str, float] | None, pdf: pd.DataFrame) -> tuple[dict[str, np.ndarray], dict[str, float]]:
+        last, side = dict(last or {}), []
         for x, guess in zip(pdf["value"] / 100, pdf["k"] % 2, strict=True):
             name = "left" if guess else "right"
             if len(last) == 2:
@@ -168,9 +168,10 @@ def identity_continuity(spark: SparkSession, sf_dir: str) -> DataFrame:
                 name = near if abs(last[near] - x) < 0.25 else name
             last[name] = x
             side.append(name)
-        return {"side": side}
+        return {"side": np.array(side, object)}, last
 
-    return ts.fold(frames(spark, sf_dir), KEYS, ORDER, step, {"side": T.StringType()}).select("episode_id", "frame_idx", "side")
+    df = ts.placed(frames(spark, sf_dir).select("episode_id", "frame_idx", "value", "k"), KEYS, ORDER)
+    return ts.carry(df, KEYS, step, {"side": T.StringType()}).select("episode_id", "frame_idx", "side")
 
 
 @query("with a as (select distinct l_returnflag as name from lineitem), b as (select distinct l_linestatus as name from lineitem) select name, 'a' as side from a where name not in (select name from b) union all select name, 'b' from b where name not in (select name from a)")

@@ -59,14 +59,49 @@ def contact_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_state.join(main, "episode_id", "left")
 
 
-@query()
+_FIELDS = ("start_frame", "end_frame", "start_time", "end_time", "transition", "state", "grasp", "object_name")
+
+
+def _folded(name: str, source: str, does: str, taken: dict[str, str]) -> str:
+    """One pass over the segments of an episode: `does` says of s (this row, with the next one's columns as n_*) and r (the segment so far) whether it is new, joins or leaps, or is skipped after a leap; taken: columns of what joins."""
+    w = "over (partition by episode_id order by start_frame)"
+    ahead = ", ".join(f"lead({c}) {w} as n_{c}" for c in _FIELDS)
+
+    def of(c: str) -> str:
+        joined = taken.get(c, f"r_{c}")
+        return f"case act when 'new' then {c} when 'skip' then r_{c} when 'join' then {joined.format(at='')} else {joined.format(at='n_')} end as {c}"
+
+    return (
+        f"{name}_in as (select episode_id, {', '.join(_FIELDS)}, {ahead}, row_number() {w} as i from {source}), "
+        f"{name}_run as (select episode_id, i, 1 as g, 'new' as act, {', '.join(_FIELDS)} from {name}_in where i = 1 union all select episode_id, i, r_g + (act = 'new')::int, act, {', '.join(map(of, _FIELDS))} "
+        f"from (select s.*, {', '.join(f'r.{c} as r_{c}' for c in _FIELDS)}, r.g as r_g, {does} as act from {name}_run r join {name}_in s on s.episode_id = r.episode_id and s.i = r.i + 1)), "
+        f"{name} as (select episode_id, {', '.join(_FIELDS)} from {name}_run qualify row_number() over (partition by episode_id, g order by i desc) = 1)"
+    )
+
+
+_END = {"end_frame": "{at}end_frame", "end_time": "{at}end_time", "object_name": "coalesce(r_object_name, {at}object_name)"}
+_SHORT = "s.end_time - s.start_time < 0.05::double"
+_JITTER = _folded(
+    "calm", "segs", f"case when r.act = 'leap' then 'skip' when {_SHORT} and r.state = s.state then 'join' when {_SHORT} and r.state = s.n_state then 'leap' else 'new' end",
+    _END | {"grasp": "case when r_grasp <> 'unknown' then r_grasp else {at}grasp end"})
+_MERGE = _folded(
+    "merged", "calm", "case when r.state = s.state and (r.grasp = s.grasp or r.grasp in ('none', 'unknown') or s.grasp in ('none', 'unknown')) and r.object_name is not distinct from s.object_name and s.start_time - r.end_time <= 0.3::double then 'join' else 'new' end",
+    _END | {"grasp": "case when {at}grasp not in ('none', 'unknown') then {at}grasp else r_grasp end"})
+_FOLDED = "select episode_id, start_frame, end_frame, round(start_time, 6) as start_time, round(end_time, 6) as end_time, transition, state, grasp, object_name from "
+
+
+def _rounded(segs: DataFrame) -> DataFrame:
+    return segs.withColumns({c: F.round(c, 6) for c in ("start_time", "end_time")})
+
+
+@query(f"with recursive {SEGMENTS}, {_JITTER} {_FOLDED} calm")
 def jitter_absorb(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sg.absorb_jitter(built(spark, sf_dir), KEYS, min_sec=0.05)
+    return _rounded(sg.absorb_jitter(built(spark, sf_dir), KEYS, min_sec=0.05))
 
 
-@query()
+@query(f"with recursive {SEGMENTS}, {_JITTER}, {_MERGE} {_FOLDED} merged")
 def segment_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sg.merge_adjacent(sg.absorb_jitter(built(spark, sf_dir), KEYS, min_sec=0.05), KEYS)
+    return _rounded(sg.merge_adjacent(sg.absorb_jitter(built(spark, sf_dir), KEYS, min_sec=0.05), KEYS))
 
 
 @query(f"""with {SEGMENTS}, f as (select episode_id, sum((contact <> was)::int) as transitions from (select *, lag(contact) over {_W} as was from st) group by 1), c as (select episode_id, count(*) as segments from segs group by 1)

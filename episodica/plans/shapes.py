@@ -146,7 +146,17 @@ def box_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("scene", "vec_id", "match", F.round("iou", 6).alias("iou"))
 
 
-@query()
+def _iou(a: str, b: str) -> str:
+    inter = f"greatest(0, least({a}.x1, {b}.x1) - greatest({a}.x0, {b}.x0)) * greatest(0, least({a}.y1, {b}.y1) - greatest({a}.y0, {b}.y0))"
+    union = f"(({a}.x1 - {a}.x0) * ({a}.y1 - {a}.y0) + ({b}.x1 - {b}.x0) * ({b}.y1 - {b}.y0) - {inter})"
+    return f"case when {union} > 0 then {inter} / {union} else 0 end"
+
+
+@query(f"""with recursive {BOXES}, o as (select vec_id // 20 as scene, {{'id': vec_id * 2 + box, 'score': score, 'x0': x0, 'y0': y0, 'x1': x1, 'y1': y1}} as b, row_number() over (partition by vec_id // 20 order by score desc, vec_id * 2 + box) as i from boxes),
+ hit as (select a.scene, a.i, c.i as earlier from o a join o c on c.scene = a.scene and c.i < a.i where {_iou('a.b', 'c.b')} > 0.3::double), need as (select scene, i, list(earlier) as by from hit group by 1, 2),
+ run as (select scene, i, [i] as kept from o where i = 1 union all select o.scene, o.i, case when list_has_any(r.kept, coalesce(n.by, [])) then r.kept else list_append(r.kept, o.i) end from run r join o on o.scene = r.scene and o.i = r.i + 1 left join need n on n.scene = o.scene and n.i = o.i),
+ last as (select scene, unnest(kept) as i from run qualify row_number() over (partition by scene order by run.i desc) = 1)
+select o.scene, o.b.id as box_id, o.b.score as score from last join o using (scene, i)""")
 def nms(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = boxes(spark, sf_dir).withColumns({"scene": F.floor(F.col("vec_id") / 20), "box_id": F.col("vec_id") * 2 + F.col("box")})
     return joins.suppress(b, ["scene"], "box_id", most=0.3)

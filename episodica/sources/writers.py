@@ -7,7 +7,7 @@ import struct
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -44,18 +44,20 @@ def dataset_info(stats: DataFrame, episodes: DataFrame, fps: float, chunk_size:
 MAGIC = b"EPLOG1\r\n"
 
 
-def message_log(frames: DataFrame, key: str, order: str, time: str, payload: Column, topic: str = "/frames") -> DataFrame:
-    """Per episode one binary log: magic, then records of length, topic, nanoseconds and payload in order, and the magic again."""
+def message_log(frames: DataFrame, key: str, order: str, time: str, payload: Column, topic: str = "/frames", most: int = 10_000) -> DataFrame:
+    """Binary logs of an episode, each of at most `most` records (part, from 0): magic, then records of length, topic, nanoseconds and payload in order, and the magic again."""
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         name, parts = topic.encode(), [MAGIC]
-        for t, body in zip(pdf.sort_values(order)[time], pdf.sort_values(order)["_payload"], strict=True):
+        rows = pdf.sort_values("_place")
+        for t, body in zip(rows[time], rows["_payload"], strict=True):
             record = struct.pack("<H", len(name)) + name + struct.pack("<Q", round(t * 1e9)) + body.encode()
             parts.append(struct.pack("<I", len(record)) + record)
-        return pd.DataFrame({key: [pdf[key].iloc[0]], "content": [b"".join([*parts, MAGIC])], "messages": [len(pdf)]})
+        return pd.DataFrame({key: [pdf[key].iloc[0]], "part": [pdf["part"].iloc[0]], "content": [b"".join([*parts, MAGIC])], "messages": [len(pdf)]})
 
     kinds = dict(frames.dtypes)
-    return frames.select(key, order, time, payload.cast("string").alias("_payload")).groupBy(key).applyInPandas(pack, f"{key} {kinds[key]}, content binary, messages long")
+    df = frames.select(key, order, time, payload.cast("string").alias("_payload")).withColumn("_place", F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1)
+    return df.withColumn("part", F.floor(F.col("_place") / most)).groupBy(key, "part").applyInPandas(pack, f"{key} {kinds[key]}, part long, content binary, messages long")
 
 
 def read_message_log(logs: DataFrame, key: str) -> DataFrame:

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from episodica.plans import catalog
 from episodica.functions import geometry as g
 from episodica.functions import models, replies
 from episodica.operators import assembly as asm
@@ -257,6 +258,26 @@ def test_quantiles_are_exact(spark):
         assert got[k] == pytest.approx(list(np.quantile(vs, list(shares.values()))))
 
 
+@pytest.mark.parametrize("name", ["zero_phase_ema", "ema_reset", "leaky_cumulative_sum", "sanitize_trajectory", "debounced_gripper", "rate_limited_trajectory", "identity_continuity", "jitter_absorb", "segment_merge"])
+def test_state_is_carried_across_batches(spark, name):
+    """Batches of three rows, several to an episode, give what whole episodes give."""
+    rows = lambda: sorted(map(tuple, catalog.QUERIES[name](spark, "/root/testdata/sf0.001").collect()), key=str)
+    want = rows()
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert rows() == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_carry_keeps_episodes_apart(spark):
+    """Null keys and null values: an episode without a key is one of its own; a null value holds the sum."""
+    df = spark.createDataFrame([(None, 0, 1.0), (None, 1, None), (1, 0, 5.0), (1, 1, 1.0), (2, 0, None), (2, 1, 2.0)], "e int, i int, v double")
+    got = {(r["e"], r["i"]): r["s"] for r in ts.leaky_sum(df, "v", ["e"], "i", leak=0.5, out="s").collect()}
+    assert got == {(None, 0): 1.0, (None, 1): 1.0, (1, 0): 5.0, (1, 1): 3.5, (2, 0): 0.0, (2, 1): 2.0}
+    assert ts.leaky_sum(df.limit(0), "v", ["e"], "i").count() == 0
+
+
 def test_checks_and_models(spark):
     c = spark.createDataFrame([("a", True), ("a", False), ("b", True)], "k string, passed boolean")
     assert {r["k"]: r["passed"] for r in stats.all_passed(c, ["k"]).collect()} == {"a": False, "b": True}
