@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import geometry as g
+from .timeseries import carry, placed
 from .windows import ordered
 
 Keys = Sequence[str]
@@ -47,24 +51,25 @@ def renumber(frames: DataFrame, offsets: DataFrame, key: str, order: str) -> Dat
 def pack_chunks(episodes: DataFrame, order: str, length: str = "length", size: int = 1000, group: Sequence[str] = ()) -> DataFrame:
     """Greedy packing in order: a chunk takes episodes while they fit; a longer episode gets chunks of its own.
 
-    The fold runs per `group` (a source or a dataset) over the lengths as an array; each
-    episode gets its first chunk and how many it takes.
+    Each episode gets its first chunk (chunk_index) and how many it takes (chunks).
+    Where a chunk ends depends on all before it, so each `group` (a source or a data
+    set) is one pass, over its lengths alone and with two numbers carried along.
     """
-    one = F.struct(F.col(order).alias("o"), F.col(length).cast("long").alias("n"))
-    lists = episodes.groupBy(*group).agg(F.array_sort(F.collect_list(one)).alias("e"))
-    start = F.struct(F.lit(0).cast("long").alias("chunk"), F.lit(0).cast("long").alias("filled"), F.array().cast("array<struct<o:long,chunk:long,parts:long>>").alias("out"))
-
-    def step(acc, x):
-        big, full = x["n"] > size, (acc["filled"] > 0) & (acc["filled"] + x["n"] > size)
-        parts = F.when(big, F.ceil(x["n"] / size)).otherwise(1).cast("long")
-        at = F.when((big & (acc["filled"] > 0)) | (~big & full), acc["chunk"] + 1).otherwise(acc["chunk"])
-        return F.struct(
-            F.when(big, at + parts).otherwise(at).alias("chunk"), F.when(big, 0).when(full, x["n"]).otherwise(acc["filled"] + x["n"]).cast("long").alias("filled"),
-            F.concat(acc["out"], F.array(F.struct(x["o"].cast("long").alias("o"), at.alias("chunk"), parts.alias("parts")))).alias("out"),
-        )
-
-    done = lists.select(*group, F.explode(F.aggregate("e", start, step)["out"]).alias("r"))
-    return done.select(*group, F.col("r.o").alias(order), F.col("r.chunk").alias("chunk_index"), F.col("r.parts").alias("chunks"))
+
+    def step(state: tuple[int, int] | None, pdf: pd.DataFrame) -> tuple[dict[str, np.ndarray], tuple[int, int]]:
+        at, parts, (chunk, filled) = np.empty(len(pdf), np.int64), np.ones(len(pdf), np.int64), state or (0, 0)
+        for i, n in enumerate(pdf[length].to_numpy(np.int64).tolist()):
+            chunk += filled > 0 and filled + n > size
+            at[i] = chunk
+            if n > size:
+                parts[i] = -(-n // size)
+                chunk, filled = chunk + int(parts[i]), 0
+            else:
+                filled = n if filled + n > size else filled + n
+        return {"chunk_index": at, "chunks": parts}, (chunk, filled)
+
+    df = placed(episodes.select(*group, order, F.col(length).cast("long").alias(length)), group, order)
+    return carry(df, group, step, {"chunk_index": T.LongType(), "chunks": T.LongType()}).select(*group, order, "chunk_index", "chunks")
 
 
 def gate(episodes: DataFrame, columns: Keys, warned: Keys = ()) -> DataFrame:

@@ -11,11 +11,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users as episodes, their events in time order as frames."""
-    e = table(spark, sf_dir, "events")
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    """Users as episodes, their events in time order as frames. The window is by episode_id itself, so that later ones by it need no shuffle."""
+    e = table(spark, sf_dir, "events").withColumnRenamed("user_id", "episode_id")
+    w = Window.partitionBy("episode_id").orderBy("ts", "event_id")
     k = F.get_json_object("props", "$.k").cast("int")
-    e = e.select(F.col("user_id").alias("episode_id"), (F.row_number().over(w) - 1).alias("frame_idx"), "event_type", "value", k.alias("k"), "event_id")
+    e = e.select("episode_id", (F.row_number().over(w) - 1).alias("frame_idx"), "event_type", "value", k.alias("k"), "event_id")
     contact = F.col("event_type").isin("click", "purchase")
     grasp = F.create_map(*[F.lit(x) for x in ("purchase", "power_wrap", "click", "precision_pinch", "view", "open", "signup", "hook", "error", "unknown")])
     present = F.col("event_type") != "error"
