@@ -23,14 +23,19 @@ def first_seen_codes(df: DataFrame, value: str, order: str, out: str = "code") -
     return firsts.withColumn(out, F.row_number().over(Window.orderBy("first_seen", value)) - 1)
 
 
-def running_offsets(episodes: DataFrame, order: str, length: str = "length", buckets: int = 64) -> DataFrame:
+#: Episodes of a range of `running_offsets`, and the most ranges (rows of a broadcast).
+RANGE, MOST_RANGES = 10_000, 65_536
+
+
+def running_offsets(episodes: DataFrame, order: str, length: str = "length", buckets: int | None = None) -> DataFrame:
     """Adds episode_index and the global index range from_index, to_index of every episode.
 
     A prefix sum without one window over everything: episodes are cut into ranges of
-    `order`, sums of ranges are prefixed first, then each range runs its own window.
+    `order` of equal width, by default about one per `RANGE` episodes; sums of ranges are
+    prefixed first, then each range runs its own window.
     """
-    lo_hi = episodes.agg(F.min(order), F.max(order)).first()
-    lo, hi = lo_hi if lo_hi[0] is not None else (0, 0)
+    lo, hi, n = episodes.agg(F.coalesce(F.min(order), F.lit(0)), F.coalesce(F.max(order), F.lit(0)), F.count("*")).first()
+    buckets = buckets or min(MOST_RANGES, max(64, n // RANGE))
     width = max(1, -(-(hi - lo + 1) // buckets))
     cut = episodes.withColumn("_b", F.floor((F.col(order) - lo) / width).cast("int"))
     sums = cut.groupBy("_b").agg(F.count("*").alias("_n"), F.sum(length).alias("_s"))
