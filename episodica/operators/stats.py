@@ -55,11 +55,20 @@ def feature_stats(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def percentile_normalise(df: DataFrame, value: str, keys: Keys, low: float = 0.01, high: float = 0.99, out: str = "normalised") -> DataFrame:
-    """(x - centre) / half range of the percentiles of a key, clipped to -1 to 1; a range near 0 counts as 1."""
-    q = df.groupBy(*keys).agg(F.percentile(value, F.lit(low)).alias("_lo"), F.percentile(value, F.lit(high)).alias("_hi"))
+    """(x - centre) / half range of the percentiles of a key, clipped to -1 to 1; a range near 0 counts as 1. Null values count for nothing and stay null. Ranks come of the sorted rows of a key, which may spill, so no map of a key's values is held."""
+    w = Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_last())
+    all_ = whole(w)
+    df = df.withColumns({"_rank": F.row_number().over(w) - 1, "_known": F.count(value).over(all_)})
+
+    def at(share: float) -> Column:
+        place = (F.col("_known") - 1) * share
+        near = lambda rank: F.max(F.when(F.col("_rank") == rank, F.col(value))).over(all_)
+        return near(F.floor(place)) + (near(F.ceil(place)) - near(F.floor(place))) * (place - F.floor(place))
+
+    df = df.withColumns({"_lo": at(low), "_hi": at(high)})
     half = F.when((F.col("_hi") - F.col("_lo")) / 2 > 1e-6, (F.col("_hi") - F.col("_lo")) / 2).otherwise(1.0)
     x = (F.col(value) - (F.col("_hi") + F.col("_lo")) / 2) / half
-    return df.join(q, list(keys)).withColumn(out, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), x))).drop("_lo", "_hi")
+    return df.withColumn(out, F.when(x.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), x)))).drop("_rank", "_known", "_lo", "_hi")
 
 
 def normalise(df: DataFrame, stats: DataFrame, features: Sequence[str]) -> DataFrame:

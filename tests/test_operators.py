@@ -278,6 +278,18 @@ def test_carry_keeps_episodes_apart(spark):
     assert ts.leaky_sum(df.limit(0), "v", ["e"], "i").count() == 0
 
 
+def test_percentile_normalise_against_numpy(spark):
+    rng = random.Random(5)
+    sets = {1: [rng.gauss(0, 3) for _ in range(60)], 2: [4.0, 4.0], 3: [1.5], 4: [rng.gauss(9, 1) for _ in range(9)]}
+    rows = [(k, i, v) for k, vs in sets.items() for i, v in enumerate(vs)] + [(1, 99, None), (5, 0, None)]
+    got = {(r["e"], r["i"]): r["normalised"] for r in stats.percentile_normalise(spark.createDataFrame(rows, "e int, i int, v double"), "v", ["e"], 0.1, 0.9).collect()}
+    for k, vs in sets.items():
+        lo, hi = np.quantile(vs, [0.1, 0.9])
+        half = (hi - lo) / 2 if (hi - lo) / 2 > 1e-6 else 1.0
+        assert [got[k, i] for i in range(len(vs))] == pytest.approx([float(np.clip((v - (lo + hi) / 2) / half, -1, 1)) for v in vs])
+    assert got[1, 99] is None and got[5, 0] is None and len(got) == len(rows)
+
+
 def test_checks_and_models(spark):
     c = spark.createDataFrame([("a", True), ("a", False), ("b", True)], "k string, passed boolean")
     assert {r["k"]: r["passed"] for r in stats.all_passed(c, ["k"]).collect()} == {"a": False, "b": True}
