@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .cover_trees import ORACLE as NEAR_VECTORS_SQL
+from .cover_trees import op13_near_vectors
 from .decontaminate import op3_decontaminate
 from .mixing import op9_mixing
 from .ngram_join import op5_ngram_join
@@ -30,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_mixing": op9_mixing,
     "op10_url_lists": op10_url_lists,
+    "op13_near_vectors": op13_near_vectors,
 }
 
-ORACLES: dict[str, str] = {"op7_top_k": TOP_K_SQL, "op10_url_lists": URL_LISTS_SQL}
+ORACLES: dict[str, str] = {"op7_top_k": TOP_K_SQL, "op10_url_lists": URL_LISTS_SQL, "op13_near_vectors": NEAR_VECTORS_SQL}
