@@ -9,9 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from .cover_trees import ORACLE as NEAR_VECTORS_SQL
 from .cover_trees import op13_near_vectors
 from .decontaminate import op3_decontaminate
+from .lexical_search import ORACLE as RANKED_SQL
+from .lexical_search import op12_ranked_search
 from .mixing import op9_mixing
 from .ngram_join import op5_ngram_join
 from .personal_data import op4_personal_data
+from .prefix_trie import ORACLE as TRIE_SQL
+from .prefix_trie import op11_prefix_trie
 from .quality import op2_quality
 from .repeats import op1_repeats
 from .search import ORACLE as TOP_K_SQL
@@ -32,7 +36,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_mixing": op9_mixing,
     "op10_url_lists": op10_url_lists,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_ranked_search": op12_ranked_search,
     "op13_near_vectors": op13_near_vectors,
 }
 
-ORACLES: dict[str, str] = {"op7_top_k": TOP_K_SQL, "op10_url_lists": URL_LISTS_SQL, "op13_near_vectors": NEAR_VECTORS_SQL}
+ORACLES: dict[str, str] = {"op7_top_k": TOP_K_SQL, "op10_url_lists": URL_LISTS_SQL, "op11_prefix_trie": TRIE_SQL, "op12_ranked_search": RANKED_SQL, "op13_near_vectors": NEAR_VECTORS_SQL}
