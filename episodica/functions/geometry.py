@@ -123,6 +123,12 @@ def quaternion_of(m: Sequence[Vec]) -> list[Column]:
     return [F.when(cases[0][0], cases[0][1][k]).when(cases[1][0], cases[1][1][k]).when(cases[2][0], cases[2][1][k]).otherwise(last[k]) for k in range(4)]
 
 
+def matrix_of(q: Sequence[Column]) -> list[list[Column]]:
+    """Rows of the matrix of a unit quaternion."""
+    x, y, z, w = q
+    return [[1 - 2 * (y * y + z * z), 2 * (x * y - z * w), 2 * (x * z + y * w)], [2 * (x * y + z * w), 1 - 2 * (x * x + z * z), 2 * (y * z - x * w)], [2 * (x * z - y * w), 2 * (y * z + x * w), 1 - 2 * (x * x + y * y)]]
+
+
 def quaternion_product(a: Sequence[Column], b: Sequence[Column]) -> list[Column]:
     (ax, ay, az, aw), (bx, by, bz, bw) = a, b
     return [aw * bx + ax * bw + ay * bz - az * by, aw * by - ax * bz + ay * bw + az * bx, aw * bz + ax * by - ay * bx + az * bw, aw * bw - ax * bx - ay * by - az * bz]
@@ -149,6 +155,65 @@ def slerp(a: Sequence[Column], b: Sequence[Column], t: Column) -> list[Column]:
     return [c / n for c in out]
 
 
+def unit(q: Sequence[Column], least: float = 1e-9, otherwise: Sequence[float] = (0.0, 0.0, 0.0, 1.0)) -> list[Column]:
+    """The vector at length 1, `otherwise` where it has next to no length."""
+    n = norm(q)
+    return [F.when(n > least, c / F.nullif(n, F.lit(0.0))).otherwise(F.lit(o)) for c, o in zip(q, otherwise, strict=True)]
+
+
+def conjugate(q: Sequence[Column]) -> list[Column]:
+    return [-q[0], -q[1], -q[2], q[3]]
+
+
+def facing(q: Sequence[Column]) -> list[Column]:
+    """Of the two quaternions of a turn the one whose largest component is positive; so half turns have a sign too."""
+    most = F.greatest(*(F.abs(c) for c in q))
+    sign = F.lit(1.0)
+    for c in q:
+        sign = F.when(F.abs(c) == most, F.when(c < 0, -1.0).otherwise(1.0)).otherwise(sign)
+    return [c * sign for c in q]
+
+
+def rotation_vector(q: Sequence[Column], shortest: bool = True) -> list[Column]:
+    """Axis times angle of a unit quaternion; `shortest`: of the two turns the one of at most half a turn."""
+    sign = F.when((q[3] < 0) & F.lit(shortest), -1.0).otherwise(1.0)
+    v, w = [c * sign for c in q[:3]], q[3] * sign
+    n = norm(v)
+    scale = F.when(n > 1e-9, 2 * F.atan2(n, w) / F.nullif(n, F.lit(0.0))).otherwise(2.0)
+    return [c * scale for c in v]
+
+
+def turn_by(v: Vec) -> list[Column]:
+    """The unit quaternion that turns about the vector by its length."""
+    n = norm(v)
+    scale = F.when(n > 1e-9, F.sin(n / 2) / F.nullif(n, F.lit(0.0))).otherwise(0.5)
+    q = [*(c * scale for c in v), F.cos(n / 2)]
+    length = norm(q)
+    return [c / length for c in q]
+
+
+def blend_with_rest(q: Sequence[Column], share: Column) -> list[Column]:
+    """The rotation nearest to (1 - share) I + share R, R the turn of the unit quaternion q.
+
+    That sum leaves R's axis as it is; across it, it is a stretch and a turn by the
+    angle of (1 - share) + share e^(i a), a being R's angle.
+    """
+    sign = F.when(q[3] < 0, -1.0).otherwise(1.0)
+    v, w = [c * sign for c in q[:3]], q[3] * sign
+    n = norm(v)
+    angle = 2 * F.atan2(n, w)
+    half = F.atan2(share * F.sin(angle), (1 - share) + share * F.cos(angle)) / 2
+    return [*(F.when(n > 1e-12, c / F.nullif(n, F.lit(0.0)) * F.sin(half)).otherwise(0.0) for c in v), F.cos(half)]
+
+
+def quaternion_of_six(r: Sequence[Column]) -> list[Column]:
+    """The turn whose matrix has the six numbers as its first two columns and their cross product as the third; none where that is no frame."""
+    a, b = list(r[:3]), list(r[3:])
+    c = cross(a, b)
+    ok = dot(c, c) > 1e-6  # the determinant of such a matrix
+    return [F.when(ok, x).otherwise(F.lit(o)) for x, o in zip(unit(quaternion_of([[a[i], b[i], c[i]] for i in range(3)])), (0.0, 0.0, 0.0, 1.0), strict=True)]
+
+
 def box_distance(x: Column, y: Column, box: Sequence[Column]) -> Column:
     """Distance of a point to a box, 0 inside."""
     dx, dy = F.greatest(box[0] - x, F.lit(0.0), x - box[2]), F.greatest(box[1] - y, F.lit(0.0), y - box[3])

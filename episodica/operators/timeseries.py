@@ -212,36 +212,51 @@ def savgol_matrix(window: int = 9, degree: int = 2) -> np.ndarray:
     return a @ np.linalg.pinv(a)
 
 
+def _local_fits(df: DataFrame, values: Sequence[str], block: Keys, order: str, windows: Sequence[int], degree: int, out: Sequence[str], least: int) -> DataFrame:
+    """Fits every row's value within its block by the largest of `windows` that the block holds; blocks under `least` rows or any window keep their values.
+
+    A row's window never reaches further than the window less one to either side, so
+    the rows around it are read by one window, whatever the block's length.
+    """
+    w, reach = ordered(block, order), max(windows) - 1
+    near = {f"_near{k}_{o + reach}": F.lag(v, -o).over(w) if o < 0 else F.lead(v, o).over(w) for k, v in enumerate(values) for o in range(-reach, reach + 1)}
+    # one row of weights over all rows around for every window and place in it
+    rows, first = [], {}
+    for window in sorted(windows, reverse=True):
+        first[window] = len(rows) + 1
+        for p, m in enumerate(savgol_matrix(window, degree)):
+            rows.append([float(m[o + p]) if 0 <= o + p < window else 0.0 for o in range(-reach, reach + 1)])
+    df = df.withColumns({"_i": F.row_number().over(w), "_n": F.count(F.lit(1)).over(whole(w)), **near})
+    i, n = F.col("_i"), F.col("_n").cast("int")
+    at = F.when(n < least, 0)
+    for window, row in first.items():
+        half = window // 2
+        at = at.when(n >= window, F.when(i <= half, row + i - 1).when(n - i < half, row + window - 1 - n + i).otherwise(row + half))
+    df = df.withColumn("_at", at.otherwise(0)).withColumn("_weights", F.element_at(F.array(*(F.array(*map(F.lit, r)) for r in rows)), F.greatest("_at", F.lit(1))))
+    weight = [F.element_at("_weights", o + 1) for o in range(2 * reach + 1)]
+    for k, (v, name) in enumerate(zip(values, out, strict=True)):
+        fit = sum((F.when(x == 0, 0.0).otherwise(x * F.col(f"_near{k}_{o}")) for o, x in enumerate(weight)), F.lit(0.0))
+        df = df.withColumn(name, F.when(F.col("_at") == 0, F.col(v)).otherwise(fit))
+    return df.drop("_i", "_n", "_at", "_weights", *near)
+
+
 def savgol(df: DataFrame, value: str, keys: Keys, order: str, window: int = 9, degree: int = 2, out: str = "smooth") -> DataFrame:
     """Least-squares polynomial smoothing; the edges use the first and the last full window. Shorter episodes stay as they are."""
-    m, half, w = savgol_matrix(window, degree), window // 2, ordered(keys, order)
-    everything = whole(w)
-    back = Window.partitionBy(*keys).orderBy(F.desc(order))
-    df = df.withColumns({"_i": F.row_number().over(w), "_n": F.count(F.lit(1)).over(everything)})
-    inner = sum(float(m[half][k]) * (F.lag(value, half - k).over(w) if k < half else F.lead(value, k - half).over(w) if k > half else F.col(value)) for k in range(window))
-    head = {f"_h{k}": F.nth_value(value, k + 1).over(everything) for k in range(window)}
-    tail = {f"_t{k}": F.nth_value(value, window - k).over(back.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) for k in range(window)}
-    df = df.withColumns(head | tail).withColumn("_inner", inner)
-    smooth = F.when(F.col("_n") < window, F.col(value))
-    for i in range(half):
-        smooth = smooth.when(F.col("_i") == i + 1, sum(float(m[i][k]) * F.col(f"_h{k}") for k in range(window)))
-        smooth = smooth.when(F.col("_i") == F.col("_n") - i, sum(float(m[window - 1 - i][k]) * F.col(f"_t{k}") for k in range(window)))
-    return df.withColumn(out, smooth.otherwise(F.col("_inner"))).drop("_i", "_n", "_inner", *head, *tail)
+    return _local_fits(df, [value], keys, order, [window], degree, [out], window)
+
+
+def savgol_runs(df: DataFrame, values: Sequence[str], valid: Column, keys: Keys, order: str, window: int = 9, degree: int = 2, least: int = 3, out: Sequence[str] | None = None) -> DataFrame:
+    """`savgol` of several columns within every run of valid rows; a shorter run has the largest odd window that fits. Rows that aren't valid (false or null), runs under `least` rows and those that a window of more than `degree` + 1 rows doesn't fit keep their values."""
+    df = df.withColumn("_ok", F.coalesce(valid, F.lit(False)))
+    df = island(df, F.col("_ok"), ordered(keys, order), "_block")
+    names = [f"_fit{k}" for k in range(len(values))]
+    df = _local_fits(df, values, [*keys, "_block"], order, range(window, degree + 1, -2), degree, names, least)
+    chosen = {o: F.when(F.col("_ok"), F.col(n)).otherwise(F.col(v)) for o, n, v in zip(out or values, names, values, strict=True)}
+    return df.withColumns(chosen).drop("_ok", "_block", *names)
 
 
 def savgol_blocks(df: DataFrame, value: str, valid: str, keys: Keys, order: str, window: int = 9, degree: int = 2, out: str = "smooth") -> DataFrame:
-    """`savgol` within every run of valid rows; a shorter run has the largest odd window that fits. Rows that aren't valid (false or null) and runs that a window of more than `degree` + 1 rows doesn't fit keep their value."""
-    ok = F.coalesce(F.col(valid), F.lit(False))
-    df = island(df.withColumn("_ok", ok), F.col("_ok"), ordered(keys, order), "_block")
-    block = [*keys, "_block"]
-    df = df.withColumn("_size", F.count(F.lit(1)).over(whole(ordered(block, order))))
-    fitting = range(window, degree + 1, -2)
-    for k in fitting:
-        df = savgol(df, value, block, order, k, degree, f"_w{k}")
-    smooth = F.when(~F.col("_ok"), F.col(value))
-    for k in fitting:
-        smooth = smooth.when(F.col("_size") >= k, F.col(f"_w{k}"))
-    return df.withColumn(out, smooth.otherwise(F.col(value))).drop("_ok", "_block", "_size", *(f"_w{k}" for k in fitting))
+    return savgol_runs(df, [value], F.col(valid), keys, order, window, degree, out=[out])
 
 
 def mean_edge_padded(df: DataFrame, value: str, keys: Keys, order: str, reach: int = 2, out: str = "mean") -> DataFrame:

@@ -47,21 +47,6 @@ def human_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(df, "vec_id", **{f"{side}{k}": f"{side}{k}" for side in "sa" for k in range(24)})
 
 
-@query("""with e as (select vec_id, [embedding[i]::double for i in range(1, 5)] as r from embeddings), q as (select vec_id, [c / sqrt(list_sum([d * d for d in r])) for c in r] as q from e)
-select vec_id, round(q[1] * sign(q[4]), 5) as x, round(q[2] * sign(q[4]), 5) as y, round(q[3] * sign(q[4]), 5) as z, round(abs(q[4]), 5) as w from q where abs(q[4]) > 1e-3""")
-def palm_quaternion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A rotation made from a unit quaternion and read back by its four cases."""
-    e = table(spark, sf_dir, "embeddings").select("vec_id", *(F.element_at("embedding", i + 1).cast("double").alias(f"c{i}") for i in range(4)))
-    n = F.sqrt(sum((F.col(f"c{i}") ** 2 for i in range(4)), F.lit(0.0)))
-    e = e.select("vec_id", *((F.col(f"c{i}") / n).alias(f"c{i}") for i in range(4))).filter(F.abs("c3") > 1e-3)
-    x, y, z, w = (F.col(f"c{i}") for i in range(4))
-    m = [[1 - 2 * (y * y + z * z), 2 * (x * y - z * w), 2 * (x * z + y * w)], [2 * (x * y + z * w), 1 - 2 * (x * x + z * z), 2 * (y * z - x * w)], [2 * (x * z - y * w), 2 * (y * z + x * w), 1 - 2 * (x * x + y * y)]]
-    q = g.quaternion_of(m)
-    e = e.select("vec_id", *(c.alias(f"q{i}") for i, c in enumerate(q)))
-    sign = F.when(F.col("q3") < 0, -1.0).otherwise(1.0)
-    return e.select("vec_id", *(F.round(F.col(f"q{i}") * sign, 5).alias(n) for i, n in enumerate("xyzw")))
-
-
 @query(f"with {HANDS}, a as (select episode_id, quantile_cont(x0, 0.5) as ax from hands where present group by 1) select vec_id, round(greatest(-0.1, least(0.1, (x0 - ax) * 0.35)) + 0.5, 6) as aligned_x from hands join a using (episode_id)")
 def anchor_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = hands(spark, sf_dir, (0,))

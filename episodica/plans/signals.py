@@ -156,12 +156,6 @@ def savgol(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _out(ts.savgol(frames(spark, sf_dir), "value", KEYS, ORDER), smooth="smooth")
 
 
-@query()
-def savgol_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Smoothing within runs of present frames; tested against polynomial fits."""
-    return _out(ts.savgol_blocks(frames(spark, sf_dir), "value", "present", KEYS, ORDER), smooth="smooth")
-
-
 @query(f"""with {FRAMES}, l as (select *, row_number() over {_W} as i, count(*) over {_ALL} as n, first_value(value) over {_ALL} as a, last_value(value) over {_ALL} as z,
   sum(value) over (partition by episode_id order by frame_idx rows between 2 preceding and 2 following) as s from frames)
 select episode_id, frame_idx, round((s + greatest(0, 3 - i) * a + greatest(0, i + 2 - n) * z) / 5, 6) as mean from l""")
