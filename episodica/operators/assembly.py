@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,31 +18,41 @@ Keys = Sequence[str]
 
 
 def first_seen_codes(df: DataFrame, value: str, order: str, out: str = "code") -> DataFrame:
-    """Codes 0, 1, ... for values by first appearance. Values are a dimension: the window runs over the distinct ones."""
-    firsts = df.groupBy(value).agg(F.min(order).alias("first_seen"))
-    return firsts.withColumn(out, F.row_number().over(Window.orderBy("first_seen", value)) - 1)
+    """Codes 0, 1, ... for values by first appearance, of equals by value. Values may be many: they are numbered by ranges of their first appearance."""
+    firsts = df.groupBy(value).agg(F.min(order).alias("first_seen")).withColumn("_one", F.lit(1))
+    return running_offsets(firsts, "first_seen", "_one", ties=[value]).select(value, "first_seen", F.col("episode_index").cast("int").alias(out))
 
 
-#: Episodes of a range of `running_offsets`, and the most ranges (rows of a broadcast).
-RANGE, MOST_RANGES = 10_000, 65_536
+#: Rows of a range of `running_offsets`, and the most ranges (rows of a broadcast).
+RANGE, MOST_RANGES = 10_000, 4_096
 
 
-def running_offsets(episodes: DataFrame, order: str, length: str = "length", buckets: int | None = None) -> DataFrame:
+def ranges_of(df: DataFrame, order: str, ranges: int) -> Callable[[Column], Column]:
+    """A column that says which of about `ranges` ranges of a numeric column, with about as many rows each, a value lies in; ranges ascend."""
+    bounds = np.unique(np.array(df.approxQuantile(order, [k / ranges for k in range(1, ranges)], 1 / (4 * ranges)), float)) if ranges > 1 else np.zeros(0)
+
+    @F.pandas_udf("int")
+    def place(x: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds, x.to_numpy(float), "right").astype(np.int32))
+
+    return place if len(bounds) else (lambda _: F.lit(0))
+
+
+def running_offsets(episodes: DataFrame, order: str, length: str = "length", buckets: int | None = None, ties: Sequence[str] = ()) -> DataFrame:
     """Adds episode_index and the global index range from_index, to_index of every episode.
 
     A prefix sum without one window over everything: episodes are cut into ranges of
-    `order` of equal width, by default about one per `RANGE` episodes; sums of ranges are
-    prefixed first, then each range runs its own window.
+    `order` with about `RANGE` episodes each, whatever its values; sums of ranges are
+    prefixed first, then each range runs its own window. `order` is numeric; equal ones
+    are in order of `ties`.
     """
-    lo, hi, n = episodes.agg(F.coalesce(F.min(order), F.lit(0)), F.coalesce(F.max(order), F.lit(0)), F.count("*")).first()
-    buckets = buckets or min(MOST_RANGES, max(64, n // RANGE))
-    width = max(1, -(-(hi - lo + 1) // buckets))
-    cut = episodes.withColumn("_b", F.floor((F.col(order) - lo) / width).cast("int"))
+    n = episodes.count()
+    cut = episodes.withColumn("_b", ranges_of(episodes, order, buckets or max(1, min(MOST_RANGES, n // RANGE)))(F.col(order)))
     sums = cut.groupBy("_b").agg(F.count("*").alias("_n"), F.sum(length).alias("_s"))
     w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select("_b", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_n0"), F.coalesce(F.sum("_s").over(w), F.lit(0)).alias("_s0"))
-    v = Window.partitionBy("_b").orderBy(order)
-    done = cut.join(F.broadcast(base), "_b")  # at most `buckets` rows
+    v = Window.partitionBy("_b").orderBy(order, *ties)
+    done = cut.join(F.broadcast(base), "_b")  # a row per range
     upto = F.sum(length).over(v.rowsBetween(Window.unboundedPreceding, 0)) + F.col("_s0")
     return done.withColumns({"episode_index": F.row_number().over(v) - 1 + F.col("_n0"), "to_index": upto, "from_index": upto - F.col(length)}).drop("_b", "_n0", "_s0")
 

@@ -17,41 +17,47 @@ def share(part: Column, of: Column, scale: float = 1.0) -> Column:
     return F.coalesce(scale * part / F.nullif(of, F.lit(0)), F.lit(0.0))
 
 
-def exact_quantiles(df: DataFrame, name: str, value: str, shares: dict[str, float], bins: int = 4096) -> DataFrame:
+#: Names up to which tables of a row per name and rank are broadcast; more of them are joined by a shuffle.
+FEW_NAMES = 50_000
+
+
+def exact_quantiles(df: DataFrame, name: str, value: str, shares: dict[str, float], bins: int = 4096, weight: str | None = None) -> DataFrame:
     """Exact quantiles of finite values, linear between neighbours, for a few names (columns of a data set) with any number of rows each.
 
     Rows are counted per distinct value first.  Then a rank is looked for among `bins`
     equal parts of a name's range, among `bins` parts of that one, and among the values
     of that, so no task sees all values of a name.  What is broadcast are rows per name
-    and rank; names are the columns of a table.
+    and rank, where a count finds few names.  A row counts `weight` times, once without.
     """
-    rows = df.filter(F.col(value).isNotNull()).groupBy(name, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    rows = df.filter(F.col(value).isNotNull()).groupBy(name, F.col(value).alias("_v")).agg((F.count("*") if weight is None else F.sum(weight)).alias("_n"))
+    few = df.select(name).distinct().limit(FEW_NAMES + 1).count() <= FEW_NAMES
+    sent = F.broadcast if few else (lambda t: t)
     ends = rows.groupBy(name).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_all"))
     at = F.coalesce((F.col("_v") - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0)), F.lit(0.0)) * bins
     part = lambda x: F.least(F.floor(x), F.lit(bins - 1)).cast("int")
-    rows = rows.join(F.broadcast(ends), name).withColumn("_b", part(at)).withColumn("_f", part((at - F.col("_b")) * bins)).select(name, "_v", "_n", "_b", "_f")
+    rows = rows.join(sent(ends), name).withColumn("_b", part(at)).withColumn("_f", part((at - F.col("_b")) * bins)).select(name, "_v", "_n", "_b", "_f")
     places = {c: (F.col("_all") - 1) * q for c, q in shares.items()}
     ranks = F.array_distinct(F.array(*(f(x).cast("long") for x in places.values() for f in (F.floor, F.ceil))))
     wanted = ends.select(name, F.explode(ranks).alias("_rank")).withColumn("_base", F.lit(0).cast("long"))
     by = [name]
     for col in ("_b", "_f", "_v"):
-        near = rows if col == "_b" else rows.join(F.broadcast(wanted.select(*by).distinct()), by, "left_semi")
+        near = rows if col == "_b" else rows.join(sent(wanted.select(*by).distinct()), by, "left_semi")
         upto = near.groupBy(*by, col).agg(F.sum("_n").alias("_n")).withColumn("_to", F.sum("_n").over(ordered(by, col).rowsBetween(Window.unboundedPreceding, 0)))
         start = F.col("_base") + F.col("_to") - F.col("_n")
         hit = (F.col("_rank") >= start) & (F.col("_rank") < F.col("_base") + F.col("_to"))
-        wanted = upto.join(F.broadcast(wanted), by).filter(hit).select(*by, col, "_rank", start.alias("_base"))
+        wanted = upto.join(sent(wanted), by).filter(hit).select(*by, col, "_rank", start.alias("_base"))
         by = [*by, col]
     found = wanted.groupBy(name).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_m"))
     get = lambda x, f: F.element_at("_m", f(x).cast("long"))
     lerp = lambda x: get(x, F.floor) + (get(x, F.ceil) - get(x, F.floor)) * (x - F.floor(x))
-    return ends.join(F.broadcast(found), name).select(name, *(lerp(x).alias(c) for c, x in places.items()))
+    return ends.join(sent(found), name).select(name, *(lerp(x).alias(c) for c, x in places.items()))
 
 
 def feature_stats(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Per feature min, max, mean, population deviation, count, q01 and q99 over all rows, never averaged per episode; quantiles are null without values."""
     wide = df.unpivot([], [F.col(f).cast("double").alias(f) for f in features], "feature", "v")
     rest = wide.groupBy("feature").agg(F.min("v").alias("min"), F.max("v").alias("max"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), F.count("v").alias("count"))
-    return rest.join(F.broadcast(exact_quantiles(wide, "feature", "v", {"q01": 0.01, "q99": 0.99})), "feature", "left")
+    return rest.join(F.broadcast(exact_quantiles(wide, "feature", "v", {"q01": 0.01, "q99": 0.99})), "feature", "left")  # a row per column of the table
 
 
 def percentile_normalise(df: DataFrame, value: str, keys: Keys, low: float = 0.01, high: float = 0.99, out: str = "normalised") -> DataFrame:
