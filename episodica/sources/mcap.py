@@ -5,8 +5,8 @@
     spark.read.format("mcap").schema("topic string, log_time long").load(folder)  # payloads aren't kept
     rows.repartition("log").sortWithinPartitions("log", "log_time").write.format("mcap").mode("append").save(folder)
 
-Reading takes a file per partition and holds one record (or one chunk) at a time; equality
-and ranges on topic and log_time are applied before a row is made.  A log that ends before
+Reading takes a file per partition and holds one record (or one chunk) at a time; with the
+option `pushdown`, equality and ranges on topic and log_time are applied before a row is made.  A log that ends before
 its footer is refused.  Writing stages files beside the target; they take their names when
 all tasks are done, and go when one fails.  A log has to come from one task.  Paths are those
 of any file system that Arrow opens by its address.
@@ -127,19 +127,6 @@ class Reader(DataSourceReader):
         self.topics: set[str] | None = None
         self.low, self.high = -(1 << 63), (1 << 63) - 1
 
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802
-        for f in filters:
-            at = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else ""
-            if at == "topic" and isinstance(f, EqualTo | In):
-                own = {f.value} if isinstance(f, EqualTo) else set(f.value)
-                self.topics = own if self.topics is None else self.topics & own
-            elif at == "log_time" and isinstance(f, GreaterThan | GreaterThanOrEqual):
-                self.low = max(self.low, f.value + isinstance(f, GreaterThan))
-            elif at == "log_time" and isinstance(f, LessThan | LessThanOrEqual):
-                self.high = min(self.high, f.value - isinstance(f, LessThan))
-            else:
-                yield f
-
     def partitions(self) -> Sequence[InputPartition]:
         fs, path = opened(self.path)
         info = fs.get_file_info(path)
@@ -175,6 +162,23 @@ class Reader(DataSourceReader):
             yield batch()
 
 
+class FilteringReader(Reader):
+    """Takes filters from Spark, which allows it only where `spark.sql.python.filterPushdown.enabled` is set."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:  # noqa: N802
+        for f in filters:
+            at = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else ""
+            if at == "topic" and isinstance(f, EqualTo | In):
+                own = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.topics = own if self.topics is None else self.topics & own
+            elif at == "log_time" and isinstance(f, GreaterThan | GreaterThanOrEqual):
+                self.low = max(self.low, f.value + isinstance(f, GreaterThan))
+            elif at == "log_time" and isinstance(f, LessThan | LessThanOrEqual):
+                self.high = min(self.high, f.value - isinstance(f, LessThan))
+            else:
+                yield f
+
+
 @dataclass
 class Staged(WriterCommitMessage):
     files: list[tuple[str, str]]  # where it is, name that it gets
@@ -253,7 +257,7 @@ class McapSource(DataSource):
         return READ_SCHEMA
 
     def reader(self, schema: StructType) -> Reader:
-        return Reader(self.options, schema)
+        return (FilteringReader if self.options.get("pushdown") == "true" else Reader)(self.options, schema)
 
     def writer(self, schema: StructType, overwrite: bool) -> Writer:
         if overwrite:

@@ -26,6 +26,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 
 from ..operators import assembly as asm
 from ..operators import moments as mo
+from ..operators.checks import Rule, evaluate
 from .mcap import opened
 
 DATA_PATH = "data/chunk-{chunk_index:03d}/file-{file_index:03d}.parquet"
@@ -103,33 +104,34 @@ def _put(path: str, raw: bytes) -> None:
     fs.move(draft, at)
 
 
-def write_training_set(frames: DataFrame, episodes: DataFrame, tasks: DataFrame, counts: DataFrame, stats: DataFrame, path: str, fps: float, chunk_size: int, extra: dict | None = None) -> dict:
+def write_training_set(frames: DataFrame, episodes: DataFrame, tasks: DataFrame, counts: DataFrame, moments: DataFrame, path: str, fps: float, chunk_size: int, extra: dict | None = None) -> dict:
     """Writes a data set and returns its info document.
 
-    frames: chunk_index, index and more, features as columns; episodes: a row per episode
-    with episode_index, tasks, length; tasks: task_index, task; counts: feature, value, n,
-    from which a merge takes quantiles; stats: a row per feature.  Tasks and statistics
-    come to the driver: a row per task and feature.
+    frames: chunk_index, index and more, features as columns; episodes: a written table of a
+    row per episode with episode_index, tasks, length, data/chunk_index, chunks; tasks:
+    task_index, task; counts: feature, value, n, from which a merge takes quantiles;
+    moments: of parts, by feature.  Tasks and statistics come to the driver: a row per task
+    and feature.
     """
     spark = frames.sparkSession
     fs, at = opened(path)
     if fs.get_file_info(f"{at}/meta/info.json").type != pafs.FileType.NotFound:
         raise ValueError(f"{path} is a data set already")
     spark.dataSource.register(ChunkedParquet)
-    totals = frames.agg(F.count("*"), F.count_distinct("chunk_index"), F.max("chunk_index")).first()
-    frames.repartition(max(1, min(totals[1], 4096)), "chunk_index").sortWithinPartitions("chunk_index", "index").write.format("chunked_parquet").mode("append").option("place", "index").save(f"{path}/data")
-    rows = episodes.withColumn("chunk_index", F.lit(0)).orderBy("episode_index")
+    n, total, chunks = episodes.agg(F.count("*"), F.sum("length"), F.max(F.col("data/chunk_index") + F.col("chunks"))).first()
+    frames.repartition(max(1, min(chunks or 1, 4096)), "chunk_index").sortWithinPartitions("chunk_index", "index").write.format("chunked_parquet").mode("append").option("place", "index").save(f"{path}/data")
+    rows = episodes.drop("chunks").withColumn("chunk_index", F.lit(0)).orderBy("episode_index")
     rows.write.format("chunked_parquet").mode("append").option("place", "episode_index").save(f"{path}/meta/episodes")
     counts.write.parquet(f"{path}/meta/values")
+    stats = _stats_table(moments, spark.read.schema(counts.schema).parquet(f"{path}/meta/values"))
     known = tasks.orderBy("task_index").toArrow()
     with fs.open_output_stream(f"{at}/meta/tasks.parquet") as out:
         pq.write_table(known, out)
     features = {r["feature"]: {k: r[k] for k in stats.columns if k != "feature"} for r in stats.collect()}
     _put(f"{path}/meta/stats.json", json.dumps(features, sort_keys=True).encode())
-    n = episodes.count()
     kinds = {c: {"dtype": k, "shape": [1], "names": None} for c, k in frames.dtypes if c != "chunk_index"}
     info = {
-        "codebase_version": "v3.0", "fps": fps, "total_episodes": n, "total_frames": totals[0], "total_tasks": known.num_rows, "total_videos": 0, "total_chunks": totals[1], "chunks_size": chunk_size,
+        "codebase_version": "v3.0", "fps": fps, "total_episodes": n, "total_frames": total or 0, "total_tasks": known.num_rows, "total_videos": 0, "total_chunks": chunks or 0, "chunks_size": chunk_size,
         "splits": {"train": f"0:{n}"}, "data_path": DATA_PATH, "video_path": "videos/{video_key}/chunk-{chunk_index:03d}/file-{file_index:03d}.mp4", "features": kinds, **(extra or {}),
     }
     _put(f"{path}/meta/info.json", json.dumps(info, sort_keys=True).encode())
@@ -177,13 +179,24 @@ def read_training_sets(spark: SparkSession, root: str) -> tuple[DataFrame, DataF
     return sets, episodes, at("data")
 
 
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    """df as a table of the set's work folder: later steps read it instead of making it again."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _clear(path: str) -> None:
+    fs, at = opened(path)
+    fs.delete_dir(f"{at}/_work")
+
+
 AGGREGATES = ("min", "max", "mean", "std", "count")
 
 
 def _lookup(episodes: DataFrame, per_episode: DataFrame | None, chunk_size: int, length: str = "length") -> DataFrame:
     """Look-up rows: index range, first chunk and file, and the statistics of every feature. episodes: of `running_offsets`."""
     chunks = asm.pack_chunks(episodes, "episode_index", length, chunk_size).withColumnRenamed("chunk_index", "data/chunk_index")
-    rows = episodes.withColumnsRenamed({"from_index": "dataset_from_index", "to_index": "dataset_to_index"}).join(chunks.select("episode_index", "data/chunk_index"), "episode_index").withColumn("data/file_index", F.lit(0))
+    rows = episodes.withColumnsRenamed({"from_index": "dataset_from_index", "to_index": "dataset_to_index"}).join(chunks.select("episode_index", "data/chunk_index", "chunks"), "episode_index").withColumn("data/file_index", F.lit(0))
     return rows if per_episode is None else rows.join(per_episode, "episode_index")
 
 
@@ -192,6 +205,13 @@ def _stats_table(parts: DataFrame, counts: DataFrame) -> DataFrame:
     return pooled.join(mo.quantiles(counts, {"q01": 0.01, "q99": 0.99}), "feature", "left")
 
 
+def _finish(frames: DataFrame, rows: DataFrame, drop: list[str], counts: DataFrame, moments: DataFrame, path: str, fps: float, chunk_size: int, extra: dict | None) -> dict:
+    tasks = rows.select(F.col("task_index").cast("long").alias("task_index"), "task").distinct()
+    info = write_training_set(frames, rows.withColumn("tasks", F.array(F.array("task"))).drop("task", "task_index", *drop), tasks, counts, moments, path, fps, chunk_size, extra)
+    _clear(path)
+    return info
+
+
 def export_training_set(frames: DataFrame, episodes: DataFrame, features: list[str], key: str, order: str, path: str, fps: float = 30.0, chunk_size: int = 1000, extra: dict | None = None) -> dict:
     """Numbers, chunks and writes episodes as a data set, with statistics of the whole and of every episode.
 
@@ -200,17 +220,17 @@ def export_training_set(frames: DataFrame, episodes: DataFrame, features: list[s
     n = frames.groupBy(key).agg(F.count("*").alias("length"))
     ep = asm.running_offsets(episodes.join(n, key), key)
     codes = asm.first_seen_codes(ep, "task", "episode_index", "task_index")
-    moments = mo.deviations(mo.moments(frames, features, [key]))
+    moments = _kept(mo.deviations(mo.moments(frames, features, [key])), f"{path}/_work/moments")
     wide = moments.groupBy(key).pivot("feature", features).agg(*(F.first(a).alias(a) for a in AGGREGATES))
     wide = wide.select(key, *(F.col(f"`{f}_{a}`").alias(f"stats/{f}/{a}") for f in features for a in AGGREGATES))
     rows = _lookup(ep, ep.select(key, "episode_index").join(wide, key).drop(key), chunk_size).join(codes.select("task", "task_index"), "task")
+    rows = _kept(rows, f"{path}/_work/rows")
     place = F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1
     long = frames.withColumn("frame_index", place.cast("long")).join(rows.select(key, "episode_index", "dataset_from_index", "task_index", "length", F.col("data/chunk_index").alias("_c")), key)
     chunk = F.col("_c") + F.when(F.col("length") > chunk_size, F.floor(F.col("frame_index") / chunk_size)).otherwise(0)
     long = long.select((F.col("dataset_from_index") + F.col("frame_index")).alias("index"), "frame_index", "episode_index", F.col("task_index").cast("long").alias("task_index"), (F.col("frame_index") / fps).cast("float").alias("timestamp"), *features, chunk.cast("int").alias("chunk_index"))
     counts = mo.value_counts(frames, features)
-    out = rows.withColumn("tasks", F.array(F.array("task"))).drop("task", "task_index", key)
-    return write_training_set(long, out, codes.select(F.col("task_index").cast("long").alias("task_index"), "task"), counts, _stats_table(moments, counts), path, fps, chunk_size, extra)
+    return _finish(long, rows, [key], counts, moments, path, fps, chunk_size, extra)
 
 
 def merge_training_sets(spark: SparkSession, root: str, path: str, chunk_size: int = 1000, must_agree: tuple[str, ...] = ("robot_type",)) -> dict:
@@ -234,7 +254,7 @@ def merge_training_sets(spark: SparkSession, root: str, path: str, chunk_size: i
     episodes = episodes.withColumns({"from_index": F.col("dataset_from_index") + F.col("_index"), "to_index": F.col("dataset_to_index") + F.col("_index")}).drop("set", "_k", "_index", "_episode", "dataset_from_index", "dataset_to_index", "data/chunk_index", "data/file_index")
     rows = _lookup(episodes, None, chunk_size)
     codes = asm.first_seen_codes(rows, "task", "episode_index", "task_index")
-    rows = rows.join(codes.select("task", "task_index"), "task")
+    rows = _kept(rows.join(codes.select("task", "task_index"), "task"), f"{path}/_work/rows")
     per = rows.select("episode_index", F.col("task_index").cast("long").alias("_task"), "length", F.col("data/chunk_index").alias("_c"))
     long = frames.join(base, "set").withColumns({"index": F.col("index") + F.col("_index"), "episode_index": F.col("episode_index") + F.col("_episode")}).drop("set", "_k", "_index", "_episode").join(per, "episode_index")
     chunk = F.col("_c") + F.when(F.col("length") > chunk_size, F.floor(F.col("frame_index") / chunk_size)).otherwise(0)
@@ -244,4 +264,66 @@ def merge_training_sets(spark: SparkSession, root: str, path: str, chunk_size: i
     parts = parts.withColumn("m2", F.col("std") ** 2 * F.col("count"))
     counts = mo.added(spark.read.parquet(*(f"{i['set']}/meta/values" for i in known)))
     extra = {k: known[0].get(k) for k in must_agree}
-    return write_training_set(long, rows.withColumn("tasks", F.array(F.array("task"))).drop("task", "task_index"), codes.select(F.col("task_index").cast("long").alias("task_index"), "task"), counts, _stats_table(parts, counts), path, known[0]["fps"], chunk_size, extra)
+    return _finish(long, rows, [], counts, parts, path, known[0]["fps"], chunk_size, extra)
+
+
+#: What a data set's documents and tables must hold; fixed values of the format.
+REQUIRED_FILES = ("meta/info.json", "meta/stats.json", "meta/tasks.parquet", "meta/episodes/chunk-000/file-000.parquet")
+REQUIRED_COLUMNS = ("timestamp", "frame_index", "episode_index", "index", "task_index")
+REQUIRED_EPISODE_COLUMNS = ("episode_index", "tasks", "length", "data/chunk_index", "data/file_index", "dataset_from_index", "dataset_to_index")
+STATISTICS = ("min", "max", "mean", "std", "count", "q01", "q99")
+VIDEO_FACTS = ("video.fps", "video.codec", "video.pix_fmt", "video.height", "video.width", "video.channels", "video.is_depth_map")
+
+EXPORT_RULES = [
+    Rule("layout", "layout", "present", "name", "place"),
+    Rule("info_version", "info", "codebase_version = 'v3.0'", "codebase_version"),
+    Rule("info_data_path", "info", "contains(data_path, '{chunk_index:03d}')", "data_path"),
+    Rule("info_video_path", "info", "contains(video_path, '{video_key}')", "video_path"),
+    Rule("info_splits", "info", "splits like '{%}'", "splits"),
+    Rule("info_total_frames", "info", "total_frames = rows", "concat(total_frames, ' and ', rows, ' rows')"),
+    Rule("info_total_episodes", "info", "total_episodes = episodes", "concat(total_episodes, ' and ', episodes, ' rows')"),
+    Rule("info_total_chunks", "info", "total_chunks = chunks", "concat(total_chunks, ' and ', chunks, ' folders')"),
+    Rule("info_total_videos", "info", "(total_videos > 0) = (videos > 0)", "concat(total_videos, ' and ', videos, ' video features')"),
+    Rule("features", "features", "true", "feature", needs_rows=True),
+    Rule("stats_keys", "features", "is_video or (in_features and in_stats)", "concat(feature, if(in_stats, ' only in statistics', ' without statistics'))"),
+    Rule("stats_complete", "features", "is_video or not in_stats or stats_complete", "feature"),
+    Rule("video_facts", "features", "not is_video or video_complete", "feature"),
+    Rule("columns", "columns", "present", "name", "place"),
+    Rule("index_range", "info", "rows = 0 or (low = 0 and high = rows - 1 and places = rows)", "concat(low, ' to ', high, ', ', places, ' of ', rows)"),
+    Rule("timestamps", "frames", "abs(timestamp - frame_index / fps) <= 1e-3", "concat('index ', index, ': ', timestamp)", "index"),
+    Rule("frame_places", "frames", "frame_index = index - dataset_from_index and index < dataset_to_index", "concat('index ', index, ' of episode ', episode_index)", "index"),
+    Rule("episode_numbers", "episodes", "episode_index = expected_index", "episode_index", "episode_index"),
+    Rule("episode_starts", "episodes", "dataset_from_index = expected_from", "concat(episode_index, ': ', dataset_from_index, ' and not ', expected_from)", "episode_index"),
+    Rule("episode_ends", "episodes", "dataset_to_index = dataset_from_index + length", "concat(episode_index, ': ', dataset_to_index)", "episode_index"),
+]
+
+
+def export_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The tables that `EXPORT_RULES` are about, of the data set at a folder; what is missing gives rows that say so."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.regexp_extract(plain(F.col("path")), r"((?:meta|data)/.*)$", 1).alias("name"))
+    files = spark.createDataFrame([(k, n) for k, n in enumerate((*REQUIRED_FILES, "data/"))], "place int, name string")
+    there = listed.select(F.when(F.col("name").startswith("data/"), "data/").otherwise(F.col("name")).alias("name")).distinct().withColumn("_there", F.lit(True))
+    layout = files.join(there, "name", "left").select("place", "name", F.coalesce("_there", F.lit(False)).alias("present"))
+    text = lambda name: spark.read.text(f"{path}/meta/{name}", wholetext=True).first()[0]
+    info, stats = json.loads(text("info.json")), json.loads(text("stats.json"))
+    kinds = info.get("features", {})
+    facts = lambda f: set(kinds.get(f, {}).get("info", {})) >= set(VIDEO_FACTS)
+    rows = [(f, f in kinds, kinds.get(f, {}).get("dtype") == "video", f in stats, set(stats.get(f, {})) >= set(STATISTICS), facts(f)) for f in sorted({*kinds, *stats}) if f not in REQUIRED_COLUMNS or f in stats]
+    features = spark.createDataFrame(rows, "feature string, in_features boolean, is_video boolean, in_stats boolean, stats_complete boolean, video_complete boolean")
+    frames = spark.read.option("recursiveFileLookup", True).parquet(f"{path}/data")
+    episodes = spark.read.option("recursiveFileLookup", True).parquet(f"{path}/meta/episodes")
+    names = [(n, n in have) for have, need in ((frames.columns, REQUIRED_COLUMNS), (episodes.columns, (*REQUIRED_EPISODE_COLUMNS, *(f"stats/{f}/{a}" for f in stats for a in AGGREGATES)))) for n in need]
+    columns = spark.createDataFrame([(k, n, h) for k, (n, h) in enumerate(names)], "place int, name string, present boolean")
+    chunks = listed.filter("name like 'data/%'").select(F.regexp_extract("name", "^data/([^/]*)/", 1)).distinct().count()
+    total = frames.agg(F.count("*").alias("rows"), F.min("index").alias("low"), F.max("index").alias("high"), F.count_distinct("index").alias("places"))
+    own = ("codebase_version", "data_path", "video_path", "total_frames", "total_episodes", "total_chunks", "total_videos")
+    facts_row = total.select("*", F.lit(episodes.count()).alias("episodes"), F.lit(chunks).alias("chunks"), F.lit(sum(v.get("dtype") == "video" for v in kinds.values())).alias("videos"), F.lit(json.dumps(info["splits"]) if isinstance(info.get("splits"), dict) else None).cast("string").alias("splits"), *(F.lit(info.get(k)).alias(k) for k in own))
+    numbered = asm.running_offsets(episodes.withColumn("_n", F.col("episode_index")).drop("episode_index"), "_n").withColumnsRenamed({"episode_index": "expected_index", "from_index": "expected_from", "_n": "episode_index"}).drop("to_index")
+    fps = F.col("fps") if "fps" in episodes.columns else F.lit(float(info.get("fps", 30.0)))
+    placed = frames.join(episodes.select("episode_index", "dataset_from_index", "dataset_to_index", fps.alias("fps")), "episode_index", "left")
+    return {"layout": layout, "info": facts_row, "features": features, "columns": columns, "frames": placed, "episodes": numbered}
+
+
+def validate_training_set(spark: SparkSession, path: str) -> DataFrame:
+    """check, level, rows, bad, ok, details of every rule about the data set at a folder."""
+    return evaluate(export_tables(spark, path), EXPORT_RULES)

@@ -78,6 +78,8 @@ def test_export_merge_and_statistics(spark, tmp_path):
         assert r["data/chunk_index"] == chunk
         at += r["length"]
     assert len(list((tmp_path / "merged/data").iterdir())) == info["total_chunks"] == chunk + 1
+    report = {r["check"]: r for r in training.validate_training_set(spark, out).collect()}
+    assert len(report) == len(training.EXPORT_RULES) and all(r["ok"] for r in report.values()), [r for r in report.values() if not r["ok"]]
     # merged from the sets' statistics, equal to those of all frames
     stats = json.loads((tmp_path / "merged/meta/stats.json").read_text())
     for f, col in (("q", 2), ("x", 3)):
@@ -135,3 +137,28 @@ def test_rules(spark):
     assert (got["known"]["bad"], got["known"]["details"], got["known"]["level"]) == (1, ["2"], "warning")
     assert (got["some"]["ok"], got["none"]["ok"], got["none"]["rows"]) == (False, True, 0)
     assert not checks.passed(checks.evaluate({"frames": frames}, rules[:2])) and checks.passed(checks.evaluate({"frames": frames}, rules[1:2]))
+
+
+def test_export_rules_find_what_is_wrong(spark, tmp_path):
+    frames, eps = episodes_of(spark, 4, 6, "a")
+    at = tmp_path / "s"
+    training.export_training_set(frames, eps, ["q", "x"], "e", "t", f"file://{at}", chunk_size=8)
+    info, stats = (json.loads((at / f"meta/{n}.json").read_text()) for n in ("info", "stats"))
+    info |= {"codebase_version": "v2", "data_path": "data/file.parquet", "splits": None, "total_frames": 1, "total_videos": 2}
+    info["features"] |= {"camera": {"dtype": "video", "info": {"video.fps": 30}}, "lost": {"dtype": "float"}}
+    (at / "meta/info.json").write_text(json.dumps(info))
+    (at / "meta/stats.json").write_text(json.dumps({"q": {k: v for k, v in stats["q"].items() if k != "q01"}, "x": stats["x"]}))
+    (at / "meta/tasks.parquet").unlink()
+    chunk = sorted((at / "data").rglob("*.parquet"))[-1]
+    table = spark.read.parquet(str(chunk)).toPandas()
+    table.loc[0, "timestamp"] = 9.0
+    table.loc[len(table) - 1, "index"] += 3
+    table.to_parquet(chunk)
+    own = at / "meta/episodes/chunk-000/file-000.parquet"
+    rows = spark.read.parquet(str(own)).toPandas()
+    rows.loc[2, "dataset_from_index"] += 1
+    rows.drop(columns=["stats/x/std"]).to_parquet(own)
+    bad = {r["check"]: (r["bad"], r["details"]) for r in training.validate_training_set(spark, f"file://{at}").collect() if not r["ok"]}
+    assert set(bad) == {"layout", "info_version", "info_data_path", "info_splits", "info_total_frames", "stats_keys", "stats_complete", "video_facts", "columns", "index_range", "timestamps", "frame_places", "episode_starts", "episode_ends"}
+    assert bad["layout"] == (1, ["meta/tasks.parquet"]) and bad["stats_keys"] == (1, ["lost without statistics"]) and bad["columns"] == (1, ["stats/x/std"]) and bad["video_facts"] == (1, ["camera"])
+    assert bad["timestamps"][0] == 1 and bad["episode_starts"][0] == 1

@@ -44,9 +44,9 @@ def test_round_trip(source, tmp_path):
 def test_columns_and_filters_reach_the_reader(source, tmp_path):
     path = str(tmp_path / "logs")
     logs(source).write.format("mcap").mode("append").save(path)
-    few = source.read.format("mcap").schema("topic string, log_time long").load(path).filter("topic = '/human' and log_time >= 100 and log_time < 400")
+    few = source.read.format("mcap").option("pushdown", "true").schema("topic string, log_time long").load(path).filter("topic = '/human' and log_time >= 100 and log_time < 400")
     assert sorted(tuple(r) for r in few.collect()) == [("/human", i * 10) for i in range(10, 40, 2)]
-    reader = mcap.Reader({"path": path}, few.schema)
+    reader = mcap.FilteringReader({"path": path}, few.schema)
     from pyspark.sql.datasource import EqualTo, GreaterThan, StringContains
 
     other = StringContains(("topic",), "x")
