@@ -77,12 +77,47 @@ def percentile_normalise(df: DataFrame, value: str, keys: Keys, low: float = 0.0
     return df.withColumn(out, F.when(x.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), x)))).drop("_rank", "_known", "_lo", "_hi")
 
 
-def normalise(df: DataFrame, stats: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(x - mean) / scale per feature; scale is the deviation, or half the percentile range where that is near 0. stats: of `feature_stats`."""
+def _with_scales(df: DataFrame, stats: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Adds <feature>_mean and <feature>_scale; the scale is the deviation, or half the percentile range where that is near 0."""
     scale = F.when(F.col("std") > 1e-8, F.col("std")).otherwise(F.greatest((F.col("q99") - F.col("q01")) / 2, F.lit(1e-8)))
     one = stats.groupBy().pivot("feature", list(features)).agg(F.first("mean").alias("mean"), F.first(scale).alias("scale"))
-    df = df.crossJoin(F.broadcast(one))  # one row: the dataset's statistics
-    return df.select(*[c for c in df.columns if c not in features and not c.endswith(("_mean", "_scale"))], *((F.col(f) - F.col(f"{f}_mean")) / F.col(f"{f}_scale") for f in ()), *(((F.col(f) - F.col(f"{f}_mean")) / F.col(f"{f}_scale")).alias(f) for f in features))
+    return df.crossJoin(F.broadcast(one))  # one row: the dataset's statistics
+
+
+def normalise(df: DataFrame, stats: DataFrame, features: Sequence[str]) -> DataFrame:
+    """(x - mean) / scale per feature. stats: of `feature_stats`."""
+    kept = [c for c in df.columns if c not in features]
+    return _with_scales(df, stats, features).select(*kept, *(((F.col(f) - F.col(f"{f}_mean")) / F.col(f"{f}_scale")).alias(f) for f in features))
+
+
+def unnormalise(df: DataFrame, stats: DataFrame, features: Sequence[str]) -> DataFrame:
+    """x * scale + mean per feature: what `normalise` took away."""
+    kept = [c for c in df.columns if c not in features]
+    return _with_scales(df, stats, features).select(*kept, *((F.col(f) * F.col(f"{f}_scale") + F.col(f"{f}_mean")).alias(f) for f in features))
+
+
+def calibrated_travel(df: DataFrame, keys: Keys, order: str, wrist: Sequence[str], palm: Column, tracked: str, reference: float = 0.09, default: float = 0.1, cap: float = 0.15) -> DataFrame:
+    """Per key the scale that makes the mean palm `reference` long (tracked rows with a palm over 1e-4, else `default`), the wrist's range on each axis and the path of steps under `cap` between neighbouring tracked rows, all scaled."""
+    w = ordered(keys, order)
+    here = F.coalesce(F.col(tracked), F.lit(False))
+    mean = F.avg(F.when(here & (palm > 1e-4), palm)).over(whole(w))
+    df = df.withColumn("_scale", reference / F.coalesce(mean, F.lit(default)))
+    step = F.sqrt(sum(((F.col(c) - F.lag(c).over(w)) ** 2 for c in wrist), F.lit(0.0))) * F.col("_scale")
+    df = df.withColumn("_step", F.when(here & F.lag(here).over(w), step))
+    own = [F.when(here, F.col(c)) for c in wrist]
+    travel = [(F.coalesce(F.max(c) - F.min(c), F.lit(0.0)) * F.first("_scale")).alias(f"travel_{n}") for c, n in zip(own, wrist, strict=True)]
+    return df.groupBy(*keys).agg(F.first("_scale").alias("scale"), *travel, F.coalesce(F.sum(F.when(F.col("_step") < cap, F.col("_step"))), F.lit(0.0)).alias("path_length"))
+
+
+def retarget_summary(df: DataFrame, keys: Keys, reachable: str, fallback: str, collision: str, residual: str, solve_ms: str, method: str) -> DataFrame:
+    """Per key rows, reachable ones and their share, fallbacks, collisions, mean residual (nulls and NaN left out), mean time of rows that were solved or reached, and rows by method."""
+    n = F.count("*")
+    sums = df.groupBy(*keys).agg(
+        n.alias("frames"), F.count_if(reachable).alias("n_reachable"), share(F.count_if(reachable), n, 100.0).alias("pct_reachable"), F.count_if(fallback).alias("n_fallback"), F.count_if(collision).alias("n_collision"),
+        F.avg(F.nanvl(F.col(residual).cast("double"), F.lit(None).cast("double"))).alias("mean_residual"), F.avg(F.when(~F.col(fallback) | F.col(reachable), F.col(solve_ms))).alias("mean_solve_ms"),
+    )
+    by = df.filter(F.col(method).isNotNull()).groupBy(*keys, method).agg(F.count("*").alias("_n"))
+    return sums.join(by.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(method, "_n")))).alias("methods")), list(keys), "left")
 
 
 def episode_summary(df: DataFrame, keys: Keys) -> DataFrame:
@@ -131,10 +166,10 @@ def all_passed(checks: DataFrame, keys: Keys) -> DataFrame:
     return checks.groupBy(*keys).agg(F.count("*").alias("checks"), F.coalesce(F.every("passed"), F.lit(False)).alias("passed"))
 
 
-def exit_codes(stages: DataFrame, keys: Keys, status: str = "status") -> DataFrame:
-    """0 if all stages went well, 2 if one is degraded, 1 if one failed."""
+def exit_codes(stages: DataFrame, keys: Keys, status: str = "status", allow_partial: bool = False) -> DataFrame:
+    """0 if all stages went well, 2 if one is degraded, 1 if one failed; 2 for that too where parts are allowed."""
     rank = F.when(F.col(status) == "failed", 2).when(F.col(status) == "degraded", 1).otherwise(0)
-    return stages.groupBy(*keys).agg(F.element_at(F.array(F.lit(0), F.lit(2), F.lit(1)), F.max(rank) + 1).alias("exit_code"))
+    return stages.groupBy(*keys).agg(F.element_at(F.array(F.lit(0), F.lit(2), F.lit(2 if allow_partial else 1)), F.max(rank) + 1).alias("exit_code"))
 
 
 def jitter(df: DataFrame, keys: Keys, order: str, before: str, after: str) -> DataFrame:

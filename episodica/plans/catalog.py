@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import both_hands, dataset, delivery, extras, poses, scenes, segmentation, shapes, signals, streams, texts  # noqa: F401
+from . import both_hands, dataset, delivery, extras, poses, robots, scenes, segmentation, shapes, signals, streams, texts  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
