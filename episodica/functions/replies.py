@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from difflib import SequenceMatcher
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -101,25 +104,58 @@ def json_items(text: Column, item: str) -> Column:
 OBJECT_KEYS, PLACE_KEYS = ("name", "object", "label"), ("location", "location_description")
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """`then` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def fields(line: Column) -> Column:
+    """key, value pairs of a line that may be broken JSON: what stands before a colon or equals sign and what follows it, both without quotes, up to a comma, brace or closing quote."""
+
+    def pairs(piece: Column) -> Column:
+        parts = F.split(piece, "[:=]")
+        return F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.when(i < F.size(parts), F.struct(_bare(F.get(parts, i - 1)).alias("key"), _bare(F.array_join(F.slice(parts, i + 1, F.size(parts)), ":")).alias("value"))))
+
+    return F.filter(F.flatten(F.transform(F.split(line, "[,{}]"), pairs)), lambda p: p.isNotNull() & (p["value"] != ""))
+
+
+def _bare(text: Column) -> Column:
+    """The text within its first quotes, or up to one; without spaces about it."""
+    plain = F.trim(F.translate(text, "'\r", '"'))
+    return F.trim(F.substring_index(F.when(plain.startswith('"'), F.substr(plain, F.lit(2))).otherwise(plain), '"', 1))
+
+
 def field(line: Column, names: tuple[str, ...]) -> Column:
-    """The value of `name: value` or `name = value` in a line, quotes or not, up to a comma, quote or brace; null without one."""
-    quote = "[\"']?"
-    pattern = f"(?:{'|'.join(names)}){quote}\\s*[:=]\\s*{quote}([^\"'\\r\\n,}}]+)"
-    return F.nullif(F.trim(F.regexp_extract(line, pattern, 1)), F.lit(""))
+    """The value of the first field of a line whose key ends in one of the names; null without one."""
+    return named(fields(line), names)
+
+
+def named(pairs: Column, names: tuple[str, ...]) -> Column:
+    return F.get(F.filter(pairs, lambda p: reduce(or_, (p["key"].endswith(n) for n in names))), F.lit(0))["value"]
 
 
 def objects_of(text: Column) -> Column:
-    """Array of (name, place, touched) of a reply: from its JSON; if that has none, from lines that name a field; if there are none either, from lines with bullets."""
+    """Array of (name, place, touched) of a reply.
+
+    Every line is read for itself, as fields or as a bullet; JSON is preferred to fields and
+    fields to bullets, and all readings of the best kind count.
+    """
     item = "struct<" + ",".join(f"{k}:string" for k in (*OBJECT_KEYS, *PLACE_KEYS, "touched")) + ">"
-    row = lambda name, place, touched: F.struct(F.coalesce(name, F.lit("unknown")).alias("name"), F.coalesce(place, F.lit("unknown")).alias("place"), F.coalesce(touched, F.lit(False)).alias("touched"))
-    true = lambda c: F.lower(c).isin("true", "1")
+
+    def reading(kind: int, name: Column, place: Column, touched: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.coalesce(name, F.lit("unknown")).alias("name"), F.coalesce(place, F.lit("unknown")).alias("place"), F.coalesce(touched, F.lit(False)).alias("touched"))
+
+    def of_line(line: Column) -> Column:
+        of_fields = lambda got: let(named(got, OBJECT_KEYS), lambda name: F.when(name.isNotNull(), reading(2, name, named(got, PLACE_KEYS), yes(named(got, ("touched",))))))
+        of_bullet = let(bullet(line), lambda b: F.when(b["name"] != "", reading(3, b["name"], b["place"], b["touched"])))
+        return F.coalesce(let(fields(line), of_fields), of_bullet)
+
+    yes = lambda c: F.lower(c).isin("true", "1")
     first = lambda x, names: F.coalesce(*(x[k] for k in names))
-    parsed = F.transform(F.filter(json_items(text, item), lambda x: x.isNotNull()), lambda x: row(first(x, OBJECT_KEYS), first(x, PLACE_KEYS), true(x["touched"])))
-    lines = F.split(text, "\n")
-    fields = F.transform(F.filter(lines, lambda x: field(x, OBJECT_KEYS).isNotNull()), lambda x: row(field(x, OBJECT_KEYS), field(x, PLACE_KEYS), true(field(x, ("touched",)))))
-    bullets = F.filter(F.transform(lines, bullet), lambda b: b["name"] != "")
-    some = lambda a: F.when(F.size(a) > 0, a)
-    return F.coalesce(some(parsed), some(fields), bullets, F.array().cast("array<struct<name:string,place:string,touched:boolean>>"))
+    parsed = F.transform(F.filter(json_items(text, item), lambda x: x.isNotNull()), lambda x: reading(1, first(x, OBJECT_KEYS), first(x, PLACE_KEYS), yes(x["touched"])))
+    every = F.array_compact(F.concat(F.coalesce(parsed, F.array().cast("array<struct<kind:int,name:string,place:string,touched:boolean>>")), F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), of_line)))
+    best = lambda all_: let(F.array_min(F.transform(all_, lambda r: r["kind"])), lambda kind: F.filter(all_, lambda r: r["kind"] == kind))
+    return F.transform(let(every, best), lambda r: F.struct(r["name"].alias("name"), r["place"].alias("place"), r["touched"].alias("touched")))
 
 
 #: Words that tell an object in a segment's line; fixed values.
@@ -154,21 +190,39 @@ def segments_of(text: Column) -> Column:
         F.filter(json_items(text, item), lambda x: x.isNotNull()),
         lambda x: row(given(x["name"], "manipulate"), seconds(given(x["start_time"], "0.0")), seconds(given(x["end_time"], "10.0")), given(x["object_name"], "unknown"), F.lower(given(x["hand_used"], "right")), given(x["description"], "")),
     )
-    time = r"\d+[:.]\d+(?:\.\d+)?"
-    span = rf"({time})\s*[-~]\s*({time})\s*[:-]?\s*(\w+)\s*(.*)"
-
-    def line(x: Column) -> Column:
-        got = [F.trim(F.regexp_extract(x, span, k)) for k in (1, 2, 3, 4)]
-        rest = F.lower(got[3])
-        words = F.split(rest, r"\s+")
-        name = F.coalesce(object_after(words, PLACES), object_after(words, VERBS, ("up", "for", "down")), F.lit("unknown"))
-        hand = F.when(rest.contains("left"), "left").when(rest.contains("both"), "both").otherwise("right")
-        return row(got[2], seconds(got[0]), seconds(got[1]), name, hand, got[3])
-
-    spoken = F.transform(F.regexp_extract_all(text, F.lit(span), 0), line)
+    spoken = F.filter(F.transform(F.split(text, "\n"), lambda line: timed(line, row)), lambda x: x.isNotNull())
     return F.coalesce(F.when(F.size(parsed) > 0, parsed), spoken, F.array().cast("array<struct<verb:string,start:double,stop:double,object_name:string,hand:string,rest:string>>"))
 
 
+def is_clock(token: Column) -> Column:
+    """Whether a token is minutes and seconds, with a point or a colon between and perhaps a fraction."""
+    return F.translate(token, "0123456789", "").isin(":", ".", ":.", "..") & ~F.substr(token, F.lit(1), F.lit(1)).isin(":", ".") & ~F.substr(token, F.lit(-1)).isin(":", ".") & ~token.contains(":.") & ~token.contains("..")
+
+
+def timed(line: Column, row) -> Column:
+    """A segment of a line by its tokens: two clock times with a dash or tilde between, perhaps a colon or dash, a verb, and the rest; null without."""
+    apart = F.regexp_replace(F.regexp_replace(line, "(?<=[0-9])\\s*[~-]\\s*(?=[0-9])", " - "), "(?<=[0-9])\\s*[:-]\\s*(?=[A-Za-z_])", " - ")
+
+    def of_tokens(tokens: Column) -> Column:
+        at = lambda i: F.coalesce(F.try_element_at(tokens, i), F.lit(""))
+        starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(tokens), F.lit(1))), lambda i: (at(i + 1) == "-") & is_clock(at(i)) & is_clock(at(i + 2)))
+
+        def of_verb(i: Column, verb_at: Column, verb: Column) -> Column:
+            rest = F.trim(F.concat(F.substr(at(verb_at), F.length(verb) + 1), F.lit(" "), F.array_join(F.slice(tokens, verb_at + 1, F.size(tokens)), " ")))
+            return let(rest, lambda rest: F.when(i.isNotNull() & (verb != ""), of_rest(verb, at(i), at(i + 2), rest)))
+
+        place = lambda i: F.when(at(i + 3) == "-", i + 4).otherwise(i + 3)
+        return let(F.get(starts, F.lit(0)), lambda i: let(place(i), lambda k: let(F.regexp_extract(at(k), "^[A-Za-z0-9_]+", 0), lambda verb: of_verb(i, k, verb))))
+
+    def of_rest(verb: Column, start: Column, stop: Column, rest: Column) -> Column:
+        low = F.lower(rest)
+        name = let(F.split(low, " "), lambda words: F.coalesce(object_after(words, PLACES), object_after(words, VERBS, ("up", "for", "down")), F.lit("unknown")))
+        hand = F.when(low.contains("left"), "left").when(low.contains("both"), "both").otherwise("right")
+        return row(verb, seconds(start), seconds(stop), name, hand, rest)
+
+    return let(F.filter(F.split(apart, "\\s+"), lambda x: x != ""), of_tokens)
+
+
 def time_range(line: Column) -> Column:
     """start, stop, verb, rest of a line like `0:02.5 - 0:05 : pick_up the cup`."""
     pattern = r"^\s*([\d:.]+)\s*-\s*([\d:.]+)\s*:\s*(\w+)\s*(.*?)\s*$"

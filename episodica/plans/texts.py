@@ -88,6 +88,38 @@ def segment_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("doc_id", "s.verb", "s.start", "s.stop", "s.object_name", "s.hand")
 
 
+_WORDS = "list_filter(regexp_extract_all(text, '[A-Za-z]+'), lambda x: len(x) > 2)"
+
+
+def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with at least eight words of three plain letters or more, as w."""
+    d = table(spark, sf_dir, "documents").withColumn("w", F.filter(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), 0), lambda x: F.length(x) > 2))
+    return d.filter(F.size("w") >= 8)
+
+
+@query(f"with w as (select doc_id, {_WORDS} as w from documents) select doc_id, place + 1 as line, w[place + 1] as name, case when place = 2 then 'unknown' else w[place + 4] end as place, doc_id % 2 = 0 and place = 1 as touched from w, (select unnest(range(3)) as place) where len(w) >= 8")
+def broken_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects of replies in JSON that is cut off, in three ways to write a field, with words of the texts; a bullet beside fields doesn't count."""
+    w = lambda i: F.element_at("w", i)
+    lines = [
+        F.concat(F.lit('[{"name": "'), w(1), F.lit("\", 'location' : '"), w(4), F.lit("', ")),
+        F.concat(F.lit("  object = "), w(2), F.lit(", location_description: "), w(5), F.lit(", touched: "), F.when(F.col("doc_id") % 2 == 0, "TRUE").otherwise("0")),
+        F.concat(F.lit("so the label:"), w(3), F.lit("}, {")), F.concat(F.lit("- "), w(6), F.lit(": on "), w(7)),
+    ]
+    d = _words(spark, sf_dir).withColumn("reply", F.concat_ws("\n", *lines))
+    o = d.select("doc_id", F.posexplode(r.objects_of(F.col("reply"))).alias("i", "o"))
+    return o.select("doc_id", (F.col("i") + 1).cast("long").alias("line"), "o.name", "o.place", "o.touched")
+
+
+@query(f"with w as (select doc_id, {_WORDS} as w from documents) select doc_id, i as line, w[i + 1] as verb, case when i = 2 then 62.25 else i * 10.0 end::double as start, case when i = 2 then 65 else i * 10.0 + 5.5 end::double as stop, array_to_string(w[i + 2:i + 4], ' ') as rest from w, (select unnest(range(3)) as i) where len(w) >= 8")
+def spoken_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments of replies in prose with words of the texts: times with dashes, tildes and fractions, with and without what parts them from the verb."""
+    w = lambda i, n: F.array_join(F.slice("w", i, n), " ")
+    reply = F.concat(F.lit("Here is the list\n1. 0:00 - 0:05.5: "), w(1, 4), F.lit("\nthen 0:10~0:15.5 - "), w(2, 4), F.lit("\nand\n1:02.25 -1:05   "), w(3, 4), F.lit("\n0:99 and so on"))
+    s = _words(spark, sf_dir).select("doc_id", F.posexplode(r.segments_of(reply)).alias("i", "s"))
+    return s.select("doc_id", F.col("i").cast("long").alias("line"), "s.verb", "s.start", "s.stop", "s.rest")
+
+
 @query("select doc_id, case when doc_id % 3 = 0 then '' when doc_id % 3 = 1 then '2' else '2,3' end as missing, case when doc_id % 3 = 0 then lang end as second from documents")
 def numbered_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers that a reply of three numbered lines lacks; an empty line is none."""
