@@ -116,3 +116,20 @@ def last_of(df: DataFrame, keys: Keys, order: str) -> DataFrame:
 def first_of(df: DataFrame, keys: Keys, *order: str | Column) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+
+
+def joint_roles(joints: DataFrame, gripper: Column) -> DataFrame:
+    """Adds role and rest to a joint table: a moving joint for which `gripper` holds is the gripper's, another revolute one the arm's, rest being the middle of its range; all others have neither."""
+    moves = F.col("kind").isin("revolute", "prismatic")
+    role = F.when(moves & gripper, "gripper").when(F.col("kind") == "revolute", "arm")
+    return joints.withColumn("role", role).withColumn("rest", F.when(F.col("role") == "arm", (F.col("lower") + F.col("upper")) / 2))
+
+
+def robots_of(joints: DataFrame, keys: Keys, known: DataFrame) -> DataFrame:
+    """Per robot the joints of its arm and gripper, how wide that opens (the sum of its upper limits), and limits that differ from the known ones (keys, joint, lower, upper): by over 0.001 m for prismatic joints, 0.005 rad else, each bound by itself."""
+    told = known.select(*keys, "joint", F.col("lower").alias("_lower"), F.col("upper").alias("_upper"))
+    most = F.when(F.col("kind") == "prismatic", 0.001).otherwise(0.005)
+    off = sum((F.coalesce((F.abs(F.col(c) - F.col(f"_{c}")) > most).cast("int"), F.lit(0)) for c in ("lower", "upper")), F.lit(0))
+    both = joints.join(told, [*keys, "joint"], "left")
+    wide = F.coalesce(F.sum(F.when(F.col("role") == "gripper", F.col("upper"))), F.lit(0.0))
+    return both.groupBy(*keys).agg(F.count_if(F.col("role") == "arm").alias("arm_joints"), F.count_if(F.col("role") == "gripper").alias("gripper_joints"), wide.alias("opening"), F.sum(off).alias("warnings"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import both_hands, contacts, dataset, delivery, extras, findings, poses, robots, scenes, segmentation, shapes, signals, streams, texts  # noqa: F401
+from . import both_hands, contacts, dataset, delivery, documents, extras, findings, poses, robots, scenes, segmentation, shapes, signals, streams, texts  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

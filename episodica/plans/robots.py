@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import embodiment as em
 from ..functions import geometry as g
-from ..operators import stats
+from ..operators import joins, stats
 from .adapters import FEATURES, FRAMES, HANDS, features, frames, hands, table
 from .dataset import NAMES
 from .registry import query
@@ -101,3 +101,20 @@ def unnormalised_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = features(spark, sf_dir)
     s = stats.feature_stats(f, NAMES)
     return stats.unnormalise(stats.normalise(f, s, NAMES), s, NAMES).select(*KEYS, ORDER, *(F.round(n, 3).alias(n) for n in NAMES))
+
+
+_JOINT = "s_nationkey as robot, s_suppkey as joint, case s_suppkey % 5 when 0 then 'prismatic' when 4 then 'fixed' else 'revolute' end as kind, s_acctbal / 1000 as lower, s_acctbal / 500 + 0.04 as upper"
+_KNOWN = "s_nationkey as robot, s_suppkey as joint, s_acctbal / 1000 + case when s_suppkey % 3 = 0 then 0.002 else 0 end as lower, s_acctbal / 500 + case when s_suppkey % 4 = 0 then 0.05 else 0.0395 end as upper"
+
+
+@query(f"""with j as (select {_JOINT} from supplier), k as (select {_KNOWN} from supplier where s_suppkey % 7 <> 0), r as (select *, case when kind <> 'fixed' and (joint % 5 = 0 or joint % 10 = 1) then 'gripper' when kind = 'revolute' then 'arm' end as role from j),
+ o as (select r.*, case when kind = 'prismatic' then 0.001 else 0.005 end as most, k.lower as kl, k.upper as ku from r left join k using (robot, joint))
+select robot, coalesce(count_if(role = 'arm'), 0) as arm_joints, coalesce(count_if(role = 'gripper'), 0) as gripper_joints, round(coalesce(sum(upper) filter (role = 'gripper'), 0), 6) as opening, sum(coalesce((abs(lower - kl) > most)::int, 0) + coalesce((abs(upper - ku) > most)::int, 0))::bigint as warnings, round(sum((lower + upper) / 2) filter (role = 'arm'), 6) as rest_sum from o group by 1""")
+def robot_joints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as joints of their nation's robot."""
+    s = table(spark, sf_dir, "supplier")
+    j = s.selectExpr(*_JOINT.split(", "))
+    known = s.filter("s_suppkey % 7 <> 0").selectExpr(*_KNOWN.split(", "))
+    roles = joins.joint_roles(j, (F.col("joint") % 5 == 0) | (F.col("joint") % 10 == 1))
+    rest = roles.groupBy("robot").agg(F.round(F.sum("rest"), 6).alias("rest_sum"))
+    return joins.robots_of(roles, ["robot"], known).withColumn("opening", F.round("opening", 6)).join(rest, "robot")
