@@ -10,8 +10,8 @@ inside, at most one match each, and the longest suffix with a match decides.
 Edge cases: null or malformed urls have no host and are kept; null fetch times match
 nothing; of entries of one name and date a block wins; entries without a name, date
 or known action are left out; repeated captures give repeated results; an empty list
-keeps everything; host names are lower-cased, ports, user names and dots at the end cut
-off, those of entries too. Where the captures have a column named like one of the
+keeps everything; host names are lower-cased, ports, user names (up to the last @) and
+dots at the end cut off, those of entries too; an address in brackets is one host. Where the captures have a column named like one of the
 result's (host, rule, listed_on, action, kept), it stays, and the result's is called
 `list_host` and so on.
 """
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .shared import small, table, unused, written
 
 BROADCAST_ENTRIES = 200_000
-HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
+HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?(\[[^\]/?#@]+\]|[^/?#:@\[\]]+)"
 
 
 def host_of(url: Column) -> Column:
@@ -82,7 +82,7 @@ def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(captures_of(pages), entries_of(pages))
 
 
-_HOST_SQL = r"nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '\.+$', ''), '')"
+_HOST_SQL = r"nullif(regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?(\[[^\]/?#@]+\]|[^/?#:@\[\]]+)', 1)), '\.+$', ''), '')"
 ORACLE = f"""
 with cap as (
   select page_id, url, cast(date '2023-01-01' + cast((page_id * 7919) % 730 as integer) as date) as fetched_on, {_HOST_SQL} as host from pages
