@@ -34,8 +34,13 @@ from .shared import lean, semi_anti, table, unused, written
 WINDOW = 13
 #: Windows in one automaton, about 650 bytes each in every worker: 50 MB. A larger benchmark is scanned in several shards.
 SHARD_WINDOWS = 75_000
+#: Words of the windows of an automaton; longer windows make more shards.
+SHARD_WORDS = WINDOW * SHARD_WINDOWS
 #: Numbers of words, as characters of a string; behind them the one for all other words.
 _FIRST, _OTHER = 0x10000, 0x10FFFF
+#: Words that one character can number. Beyond, a word is two: the second one from `_SECOND` on, which no first one is, so a match begins with a word.
+_ONE_LETTER = _OTHER - _FIRST
+_SECOND, _SECONDS = 0x3000, 1024
 
 _ALNUM_BYTES = bytes(b or 0x20 for b in vec.ALNUM.tolist())
 
@@ -56,6 +61,7 @@ class Automaton:
         raw, offs = b"".join(k for k, _ in windows), np.cumsum([0, *(len(k) for k, _ in windows)])
         words = vec.find_words(np.frombuffer(raw, np.uint8), offs, vec.ALNUM)
         self.words = np.unique(words.hash)  # a word's number is its place here
+        self.width = 1 if len(self.words) <= _ONE_LETTER else 2
         letters = self.letters(words.hash)
         self.find = ahocorasick.Automaton()
         for i, (_, who) in enumerate(windows):
@@ -72,20 +78,24 @@ class Automaton:
         return bool(len(self.words)) and next(self.marks.iter(f" {b' '.join(words).decode('latin-1')} "), None) is not None
 
     def letters(self, hashes: np.ndarray) -> np.ndarray:
-        """The number of each word as a code point, one for all that stand in no window."""
-        at = np.minimum(np.searchsorted(self.words, hashes), max(0, len(self.words) - 1))
-        return np.where(self.words[at] == hashes, at + _FIRST, _OTHER).astype("<u4") if len(self.words) else np.full(len(hashes), _OTHER, "<u4")
+        """The number of each word as a row of code points, others for all that stand in no window."""
+        if not len(self.words):
+            return np.full((len(hashes), self.width), _OTHER, "<u4")
+        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        code = [at + _FIRST] if self.width == 1 else [at // _SECONDS + _FIRST, at % _SECONDS + _SECOND]
+        return np.where((self.words[at] == hashes)[:, None], np.stack(code, axis=1), _OTHER).astype("<u4")
 
     def scan(self, words: vec.Words) -> dict[int, tuple[list[tuple[int, int]], set[str]]]:
         """Of each row with hits: runs of its words that are hit, merged and in order, and the items found. One pass over all rows' words."""
         if not len(self.words) or not len(words.hash):
             return {}
         rows = len(words.first) - 1
-        text = np.full(len(words.hash) + rows, _OTHER, "<u4")  # a letter that no window has stands behind each row
+        text = np.full((len(words.hash) + rows, self.width), _OTHER, "<u4")  # a letter that no window has stands behind each row
         text[np.arange(len(words.hash)) + words.doc] = self.letters(words.hash)
         begin = words.first[:-1] + np.arange(rows)
         found: dict[int, tuple[list[tuple[int, int]], set[str]]] = {}
         for last, (n, who) in self.find.iter(text.tobytes().decode("utf-32-le")):
+            last //= self.width
             row = int(np.searchsorted(begin, last, "right")) - 1
             to = last - int(begin[row]) + 1
             spans, items = found.setdefault(row, ([], set()))
@@ -105,20 +115,21 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def windows_of(benchmark: DataFrame, window: int) -> DataFrame:
-    """Written: key (words joined by blanks), items (ids as text) of every distinct window."""
+    """Written: key (words joined by blanks), items (ids as text), n (its words) of every distinct window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, names = [], []
+            keys, names, sizes = [], [], []
             for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 words = normalise(text)
                 own = {b" ".join(words[i : i + window]) for i in range(max(1, len(words) - window + 1) if words else 0)}
                 keys += own
                 names += [item] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(names, pa.string())], ["key", "item"])
+                sizes += [min(window, len(words))] * len(own)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(names, pa.string()), pa.array(sizes, pa.int64())], ["key", "item", "n"])
 
-    found = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").filter("text is not null").mapInArrow(run, "key binary, item string")
-    return written(found.groupBy("key").agg(F.collect_set("item").alias("items")), "windows")
+    found = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").filter("text is not null").mapInArrow(run, "key binary, item string, n long")
+    return written(found.groupBy("key").agg(F.collect_set("item").alias("items"), F.first("n").alias("n")), "windows")
 
 
 _SCHEMA = "doc_id long, n_words long, runs array<struct<start:int,stop:int>>, items array<string>, spans array<struct<start:long,stop:long>>"
@@ -158,13 +169,14 @@ def scan(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_col:
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_windows: int = SHARD_WINDOWS) -> DataFrame:
     """Per row of `docs`: doc_id, n_words, n_hit, items, spans (code points of hit runs), contaminated.
 
-    The benchmark's windows are counted first. Up to `shard_windows` they are one
-    automaton and one scan; beyond, they are dealt by hash into shards of about that
-    size, every shard scans the texts, and runs are merged per row.
+    The benchmark's windows and their words are counted first. Up to `shard_windows` and
+    `SHARD_WORDS` they are one automaton and one scan; beyond, they are dealt by hash into
+    shards of about that size, every shard scans the texts, and runs are merged per row.
     """
     lean(docs.sparkSession)
     windows = windows_of(benchmark, window)
-    shards = -(-windows.count() // shard_windows) or 1
+    count, words = windows.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    shards = max(-(-count // shard_windows), -(-words // SHARD_WORDS), 1)
     if shards == 1:
         found = scan(docs, windows)
     else:  # each shard scans the distinct texts of a document; rows that repeat come back by their count
