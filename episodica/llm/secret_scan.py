@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -51,7 +52,7 @@ UUID = re.compile(r"[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}
 DIGEST_NAME = re.compile(r"(?:md5|sha-?(?:1|224|256|384|512)|digest|checksum|integrity|etag|commit|revision)\W{0,3}$", re.IGNORECASE)
 SEPARATORS = "/=_-"
 PART = re.compile(r"[^/=_-]+")
-IN_URL = re.compile(r"(?:://\S*|/)$")
+AFTER_SCHEME = re.compile(r"://\S*")
 DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
 ALL_HEX = re.compile(r"[0-9a-fA-F]+")
 
@@ -85,13 +86,28 @@ def base_spans(text: str) -> list[tuple[str, int, int, bool]]:
     return out
 
 
-def known_identifier(text: str, start: int, stop: int) -> bool:
+class Urls:
+    """Where a text has urls: looked up once for a text, and only if a place is asked for."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.spans: list[tuple[int, int]] | None = None
+
+    def hold(self, at: int) -> bool:
+        """Whether a url, however long, leads up to a place without a blank."""
+        if self.spans is None:
+            self.spans = [m.span() for m in AFTER_SCHEME.finditer(self.text)] if "://" in self.text else []
+        k = bisect_right(self.spans, (at - 3, len(self.text)))
+        return k > 0 and at <= self.spans[k - 1][1]
+
+
+def known_identifier(text: str, start: int, stop: int, urls: Urls) -> bool:
     """Digests that texts quote on purpose."""
     if not ALL_HEX.fullmatch(text, start, stop):
         return False
     if DIGEST_NAME.search(text[max(0, start - 16) : start]):
         return True
-    return stop - start in DIGEST_LENGTHS and (text[stop : stop + 1] == "/" or IN_URL.search(text[max(0, start - 2048) : start]) is not None)
+    return stop - start in DIGEST_LENGTHS and ("/" in (text[stop : stop + 1], text[max(0, start - 1) : start]) or urls.hold(start))
 
 
 def without_uuids(text: str, start: int, stop: int) -> Iterator[tuple[int, int]]:
@@ -128,7 +144,7 @@ def stretches(text: str, start: int, stop: int, test: Efficiency, ratio: float)
 
 
 def random_spans(text: str, taken: list[tuple[str, int, int, bool]], test: Efficiency, ratio: float) -> list[tuple[str, int, int, bool]]:
-    out = []
+    out, urls = [], Urls(text)
 
     def most(a: int, b: int) -> float:
         """The ratio up to which a part is random; 0 for one that is too short."""
@@ -147,7 +163,7 @@ def random_spans(text: str, taken: list[tuple[str, int, int, bool]], test: Effic
             if not most(a, b):
                 continue
             parts = stretches(text, a, b, test, ratio)
-            known = [p for p in parts if known_identifier(text, *p)]
+            known = [p for p in parts if known_identifier(text, *p, urls)]
             found = [p for p in parts if p not in known and passes(*p)]
             if not found and not known and passes(a, b):
                 found = [(a, b)]

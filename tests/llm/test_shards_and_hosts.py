@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from episodica.llm import decontaminate, url_lists, vec
+from episodica.llm import decontaminate, secret_scan, url_lists, vec
 
 
 def found_of(machine, text):
@@ -52,3 +52,13 @@ def test_long_windows_of_many_words(spark):
 )
 def test_hosts(spark, url, host):
     assert spark.createDataFrame([(url,)], "url string").select(url_lists.host_of(F.col("url"))).first()[0] == host
+
+
+@pytest.mark.parametrize(
+    ("before", "known"),
+    [("https://h.org/p", True), ("https://h.org/" + "p/" * 1500 + "x=", True), ("https://h.org/" + "p/" * 1500 + " x=", False), ("see https://h.org/a then b=", False), ("://", True), (":/ ", False), ("/", True), ("", False), ("https://a https://b?c=", True)],
+)
+def test_digests_in_urls_of_any_length(before, known):
+    digest = "9f86d081884c7d659a2feaa0c55ad015"
+    text = before + digest + " end"
+    assert secret_scan.known_identifier(text, len(before), len(before) + 32, secret_scan.Urls(text)) is known
