@@ -96,7 +96,7 @@ def test_queries_equal_sql(spark):
     import duckdb
 
     con, sf = duckdb.connect(), "/root/testdata/sf0.001"
-    for t in ("embeddings", "pages"):
+    for t in ("embeddings", "pages", "documents", "benchmark", "conversations"):
         con.sql(f"create view {t} as select * from '{sf}/{t}.parquet'")
     for name, sql in queries.ORACLES.items():
         df, rel = queries.QUERIES[name](spark, sf), con.sql(sql)
