@@ -10,6 +10,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def rounded(c: Column | str, to: int) -> Column:
+    """A double rounded as the SQL rounds: half away from zero after the scaling. Spark's own takes the shortest decimal text for the value, and so differs on halves."""
+    return F.round((F.col(c) if isinstance(c, str) else c) * 10.0**to) / 10.0**to
+
+
 def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users as episodes, their events in time order as frames. The window is by episode_id itself, so that later ones by it need no shuffle."""
     e = table(spark, sf_dir, "events").withColumnRenamed("user_id", "episode_id")

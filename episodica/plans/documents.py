@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources import readers
 from ..sources.shared import shared_folder
-from .adapters import FRAMES, HANDS, frames, hands
+from .adapters import FRAMES, HANDS, frames, hands, rounded
 from .registry import query
 
 _BITS = "array_join(transform(right_contact_detail.fingers, f -> case when f then '1' else '0' end), '')"
@@ -30,7 +30,7 @@ def episode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     episodes, read, _ = readers.read_episodes(spark, path, lines=True)
     grip, touch = F.col("right_grasp_detail"), F.col("right_contact_detail")
     read = read.select(
-        "episode_id", "frame_idx", F.col("right_contact").alias("contact"), touch["object_name"].alias("object_name"), F.round(touch["confidence"], 6).alias("confidence"), F.expr(_BITS).alias("fingers"), F.col("right_grasp").alias("grasp"),
+        "episode_id", "frame_idx", F.col("right_contact").alias("contact"), touch["object_name"].alias("object_name"), rounded(touch["confidence"], 6).alias("confidence"), F.expr(_BITS).alias("fingers"), F.col("right_grasp").alias("grasp"),
         grip["confidence"].alias("grasp_confidence"), grip["num_curled_fingers"].alias("curled"), "action_segment",
     )
     return read.join(episodes.select("episode_id", "target_robot"), "episode_id")
@@ -45,6 +45,6 @@ def flat_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "flat")
     h.select(F.to_json(F.struct(F.col("vec_id").cast("int").alias("frame_idx"), F.col("present").alias("left_hand_present"), kp.alias("left_hand_keypoints"), F.when(F.col("vec_id") % 3 != 0, "hook").alias("left_grasp_type")))).write.text(path)
     df = readers.read_flat_frames(spark, path, lines=True)
-    at = lambda axis, i: F.round(F.get(f"left_{axis}", F.lit(i)).cast("double"), 6)
+    at = lambda axis, i: rounded(F.get(f"left_{axis}", F.lit(i)).cast("double"), 6)
     g = F.col("left_grasp")
-    return df.select(F.col("frame_idx").cast("long").alias("vec_id"), F.col("left_hand_present").alias("present"), at("x", 4).alias("thumb_x"), at("z", 20).alias("tip_z"), F.col("left_confidence").alias("confidence"), g["type"].alias("grasp"), g["num_curled_fingers"].alias("curled"), F.round(g["thumb_index_distance"], 6).alias("distance"))
+    return df.select(F.col("frame_idx").cast("long").alias("vec_id"), F.col("left_hand_present").alias("present"), at("x", 4).alias("thumb_x"), at("z", 20).alias("tip_z"), F.col("left_confidence").alias("confidence"), g["type"].alias("grasp"), g["num_curled_fingers"].alias("curled"), rounded(g["thumb_index_distance"], 6).alias("distance"))
