@@ -139,13 +139,13 @@ def dedupe_preferring(df: DataFrame, keys: Keys, preferred: Column, order: str)
     return best.select(*keys, "_m.*")
 
 
-def hardware_audit(df: DataFrame, keys: Keys, order: str, value: str, residual_mm: str, collision: Column, limit_hit: Column, velocity: float, dt: float = 1 / 30) -> DataFrame:
+def hardware_audit(df: DataFrame, keys: Keys, order: str, value: str, residual_mm: str, collision: Column, limit_hit: Column, velocity: float, fps: float = 30.0) -> DataFrame:
     """Compliance, jerk, teleports, a score of 0 to 100 and a verdict per key."""
     w = ordered(keys, order)
     n = F.row_number().over(w)
-    df = df.withColumn("_v", (F.col(value) - F.lag(value).over(w)) / dt)
-    df = df.withColumn("_a", (F.col("_v") - F.lag("_v").over(w)) / dt)
-    df = df.withColumns({"_j": (F.col("_a") - F.lag("_a").over(w)) / dt, "_n": n})
+    df = df.withColumn("_v", (F.col(value) - F.lag(value).over(w)) * fps)
+    df = df.withColumn("_a", (F.col("_v") - F.lag("_v").over(w)) * fps)
+    df = df.withColumns({"_j": (F.col("_a") - F.lag("_a").over(w)) * fps, "_n": n})
     ok = lambda c, most: F.coalesce(100 * F.count_if(F.abs(c) <= most) / F.nullif(F.count(c), F.lit(0)), F.lit(100.0))
     agg = df.groupBy(*keys).agg(
         F.count("*").alias("frames"), F.coalesce(F.max(F.abs("_v")), F.lit(0.0)).alias("max_velocity"), ok(F.col("_v"), 1.02 * velocity).alias("velocity_pct"), F.coalesce(F.max(F.abs("_a")), F.lit(0.0)).alias("max_acceleration"),

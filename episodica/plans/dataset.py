@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import assembly as asm, joins, stats, timeseries as ts
 from ..operators.windows import mode_first_seen
-from .adapters import EPISODES, FEATURES, FRAMES, HANDS, episodes, features, frames, hands, table
+from .adapters import EPISODES, FEATURES, FRAMES, HANDS, episodes, features, frames, hands, rounded, table
 from .registry import query
 from .signals import KEYS, ORDER, _W
 
@@ -15,7 +15,7 @@ NAMES = ["quantity", "price", "discount", "tax"]
 
 
 def _round(df: DataFrame, *cols: str, to: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(c, to) for c in cols})
+    return df.withColumns({c: rounded(c, to) for c in cols})
 
 
 _STATS = f"wide as (unpivot (select {', '.join(f'{n}::double as {n}' for n in NAMES)} from features) on {', '.join(NAMES)} into name feature value v), st as (select feature, min(v) as min, max(v) as max, avg(v) as mean, stddev_pop(v) as std, count(v) as count, quantile_cont(v, 0.01) as q01, quantile_cont(v, 0.99) as q99 from wide group by 1)"

@@ -9,6 +9,21 @@ from episodica.operators import timeseries as ts
 from episodica.plans import adapters, catalog, extras
 
 
+def test_hardware_audit_rounds_as_its_sql(spark, tmp_path):
+    """The mean of 640 residuals ends in seven decimals, the last a five; values are steps of just the velocity that isn't a teleport."""
+    import duckdb
+
+    texts = lambda v: float(Decimal(repr(v)).quantize(Decimal("0.000001"), "ROUND_HALF_UP"))
+    total = next(t for t in range(20_001, 60_000, 2) if texts(t / 640) != np.floor(t / 640 * 1e6 + 0.5) / 1e6)
+    k = [total // 640 + (i < total % 640) for i in range(640)]
+    ev = pd.DataFrame({"event_id": range(640), "ts": pd.date_range("2024-01-01", periods=640, freq="s").astype("datetime64[us]"), "user_id": 1, "event_type": "view", "value": [10.07 + 62.5 * (i % 2) for i in range(640)], "props": [f'{{"k": {x}}}' for x in k]})
+    ev.to_parquet(tmp_path / "events.parquet", index=False)
+    got = catalog.QUERIES["hardware_audit"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.sql(f"create view events as select * from '{tmp_path}/events.parquet'")
+    assert tuple(got.first()) == con.sql(f"select {', '.join(got.columns)} from ({catalog.ORACLES['hardware_audit']})").fetchall()[0]
+
+
 def test_rounding_is_that_of_the_sql(spark):
     import duckdb
 
