@@ -320,12 +320,13 @@ def sanitize(df: DataFrame, value: str, ok: str, keys: Keys, order: str, low: fl
         x, good = pdf[value].to_numpy(float), pdf[ok].to_numpy(bool)
         beyond = (x < low - tolerance) | (x > high + tolerance)
         stays = ~good | beyond
-        q = np.where(good & beyond, 0.0, x)
+        q, late = np.where(good & beyond, 0.0, x), ~stays & np.isnan(x)
         for i in range(len(q)):
             if last is not None:
-                q[i] = last if stays[i] else np.clip(x[i], last - most, last + most)
+                way = x[i] - last  # compared itself: last + most may miss a value that is just so far
+                late[i] = not (stays[i] or abs(way) <= most)
+                q[i] = last if stays[i] else last + np.sign(way) * most if late[i] else x[i]
             last = q[i]
-        late = ~stays & (q != x)
         return {"q": q, "reachable": ~(stays | late), "reason": np.select([~good, beyond, late], ["input", "joint_limit", "joint_velocity"], "ok").astype(object)}, last
 
     return carry(placed(df, keys, order), keys, step, {"q": T.DoubleType(), "reachable": T.BooleanType(), "reason": T.StringType()}).drop("_place", "_left")

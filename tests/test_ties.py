@@ -9,6 +9,17 @@ from episodica.operators import timeseries as ts
 from episodica.plans import adapters, catalog, extras
 
 
+def test_sanitize_reaches_what_lies_just_at_the_way(spark):
+    """29.42 - 11.42 is 18.0, but 29.42 - 18.0 isn't 11.42."""
+    at = [(a / 100, b / 100) for a in range(2300, 7900) for b in (a - 1800,) if abs(b / 100 - a / 100) <= 18.0 and np.clip(b / 100, a / 100 - 18.0, a / 100 + 18.0) != b / 100]
+    assert at
+    a, b = at[0]
+    df = rows(spark, [a, b, 50.0], ok=[True, True, True])
+    got = ts.sanitize(df, "x", "ok", ["e"], "i", low=5.0, high=80.0, velocity=600.0).orderBy("i").collect()
+    assert [(r["q"], r["reachable"], r["reason"]) for r in got[:2]] == [(a, True, "ok"), (b, True, "ok")]
+    assert got[2]["reason"] == "joint_velocity" and got[2]["q"] == b + 18.0
+
+
 def test_hardware_audit_rounds_as_its_sql(spark, tmp_path):
     """The mean of 640 residuals ends in seven decimals, the last a five; values are steps of just the velocity that isn't a teleport."""
     import duckdb
