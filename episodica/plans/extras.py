@@ -142,14 +142,14 @@ _SIDE = f"case when least(abs(r.lw - f.value / 100), abs(r.rw - f.value / 100))
 
 @query(_recursion(f"{_GUESS} as side, case when f.k % 2 = 1 then f.value / 100 end as lw, case when f.k % 2 = 1 then null else f.value / 100 end as rw", f"{_SIDE}, case when {_SIDE} = 'left' then f.value / 100 else r.lw end, case when {_SIDE} = 'left' then r.rw else f.value / 100 end") + " select episode_id, frame_idx, side from run")
 def identity_continuity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The side of a single detection: that of the nearer last wrist, if nearer than a quarter; state runs along an episode."""
+    """The side of a single detection: that of the nearer last wrist (the right one if both are as near), if nearer than a quarter; state runs along an episode."""
 
     def step(last: dict[str, float] | None, pdf: pd.DataFrame) -> tuple[dict[str, np.ndarray], dict[str, float]]:
         last, side = dict(last or {}), []
         for x, guess in zip(pdf["value"] / 100, pdf["k"] % 2, strict=True):
             name = "left" if guess else "right"
             if len(last) == 2:
-                near = min(last, key=lambda s: abs(last[s] - x))
+                near = "left" if abs(last["left"] - x) < abs(last["right"] - x) else "right"
                 name = near if abs(last[near] - x) < 0.25 else name
             last[name] = x
             side.append(name)

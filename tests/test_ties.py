@@ -9,6 +9,11 @@ from episodica.operators import timeseries as ts
 from episodica.plans import adapters, catalog, extras
 
 
+def rows(spark, values, **more):
+    cols = list(more)
+    return spark.createDataFrame([(1, i, x, *(more[c][i] for c in cols)) for i, x in enumerate(values)], "e int, i int, x double" + "".join(f", {c} boolean" for c in cols))
+
+
 def test_sanitize_reaches_what_lies_just_at_the_way(spark):
     """29.42 - 11.42 is 18.0, but 29.42 - 18.0 isn't 11.42."""
     at = [(a / 100, b / 100) for a in range(2300, 7900) for b in (a - 1800,) if abs(b / 100 - a / 100) <= 18.0 and np.clip(b / 100, a / 100 - 18.0, a / 100 + 18.0) != b / 100]
@@ -20,6 +25,15 @@ def test_sanitize_reaches_what_lies_just_at_the_way(spark):
     assert got[2]["reason"] == "joint_velocity" and got[2]["q"] == b + 18.0
 
 
+def test_a_detection_as_near_to_both_wrists_is_the_right_one(spark, tmp_path):
+    """Wrists at 1.00 (left, first) and 1.25; 1.125 is as near to both."""
+    ev = pd.DataFrame({"event_id": range(3), "ts": pd.date_range("2024-01-01", periods=3, freq="s"), "user_id": 1, "event_type": "view", "value": [100.0, 125.0, 112.5], "props": ['{"k": 1}', '{"k": 2}', '{"k": 3}']})
+    ev["ts"] = ev["ts"].astype("datetime64[us]")
+    ev.to_parquet(tmp_path / "events.parquet", index=False)
+    got = [r["side"] for r in extras.identity_continuity(spark, str(tmp_path)).orderBy("frame_idx").collect()]
+    assert got == ["left", "right", "right"]
+
+
 def test_hardware_audit_rounds_as_its_sql(spark, tmp_path):
     """The mean of 640 residuals ends in seven decimals, the last a five; values are steps of just the velocity that isn't a teleport."""
     import duckdb
