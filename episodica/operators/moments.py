@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .stats import exact_quantiles
@@ -18,6 +18,24 @@ def moments(df: DataFrame, features: Sequence[str], by: Keys = ()) -> DataFrame:
     return wide.groupBy(*by, "feature").agg(F.count("v").alias("count"), F.avg("v").alias("mean"), (F.var_pop("v") * F.count("v")).alias("m2"), F.min("v").alias("min"), F.max("v").alias("max"))
 
 
+def wide_moments(df: DataFrame, features: Sequence[str], by: Keys, n: str) -> DataFrame:
+    """by, n (rows), and f/count, f/mean, f/m2, f/min, f/max, f/std of every feature f: a row per key by one shuffle of the table itself."""
+
+    def of(f: str) -> list[Column]:
+        v = F.col(f).cast("double")
+        parts = {"count": F.count(v), "mean": F.avg(v), "m2": F.var_pop(v) * F.count(v), "min": F.min(v), "max": F.max(v)}
+        return [c.alias(f"{f}/{a}") for a, c in parts.items()]
+
+    wide = df.groupBy(*by).agg(F.count("*").alias(n), *(c for f in features for c in of(f)))
+    return wide.withColumns({f"{f}/std": F.sqrt(F.col(f"`{f}/m2`") / F.nullif(F.col(f"`{f}/count`"), F.lit(0))) for f in features})
+
+
+def long_moments(wide: DataFrame, features: Sequence[str], by: Keys) -> DataFrame:
+    """Rows of `moments` from those of `wide_moments`."""
+    rows = F.array(*(F.struct(F.lit(f).alias("feature"), *(F.col(f"`{f}/{a}`").alias(a) for a in ("count", "mean", "m2", "min", "max", "std"))) for f in features))
+    return wide.select(*by, F.explode(rows).alias("_f")).select(*by, "_f.*")
+
+
 def merged(parts: DataFrame, by: Keys = ()) -> DataFrame:
     """Moments of the union of parts: each part's deviations, and its mean's from the common mean, count times. parts: rows of `moments`, more than one per by and feature."""
     on = [*by, "feature"]

@@ -31,10 +31,15 @@ def _merged(spark: SparkSession, sf_dir: str) -> str:
 
 def _merge(spark: SparkSession, sf_dir: str) -> str:
     """The data sets of all robots, written, found and merged; the folder of the merged one."""
-    base, rows, ep = shared_folder(spark, "sets"), features(spark, sf_dir).select("episode_id", "frame_idx", *NAMES), episodes(spark, sf_dir)
+    base, ep = shared_folder(spark, "sets"), episodes(spark, sf_dir).select("episode_id", "task", "robot")
+    rows = features(spark, sf_dir).select("episode_id", "frame_idx", *NAMES).join(ep.select("episode_id", "robot"), "episode_id")
+    for part, df in (("episodes", ep), ("frames", rows)):  # parted once: an export reads its own robot's alone
+        df.write.partitionBy("robot").parquet(f"{base}/parted/{part}")
+    of = lambda part, df: spark.read.schema(df.schema).parquet(f"{base}/parted/{part}")
+    ep, rows = of("episodes", ep), of("frames", rows)
     for robot in sorted(r[0] for r in ep.select("robot").distinct().collect()):
-        own = ep.filter(F.col("robot") == robot)
-        training.export_training_set(rows.join(own.select("episode_id"), "episode_id"), own.select("episode_id", "task"), NAMES, "episode_id", "frame_idx", f"{base}/in/{robot}", chunk_size=SIZE, extra={"robot_type": "arm"})
+        own = lambda df: df.filter(F.col("robot") == robot).drop("robot")  # noqa: B023, E731
+        training.export_training_set(own(rows), own(ep), NAMES, "episode_id", "frame_idx", f"{base}/in/{robot}", chunk_size=SIZE, extra={"robot_type": "arm"})
     training.merge_training_sets(spark, f"{base}/in", f"{base}/out", SIZE)
     return f"{base}/out"
 
@@ -47,7 +52,7 @@ _PLACED = f"""{EPISODES}, {FEATURES}, e as (select *, row_number() over (order b
 select episode_index, task, length, upto - length as from_index, upto as to_index, chunk_index, st.* exclude (episode_id) from k join st using (episode_id)""")
 def merged_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Look-up rows of the merged data set as they are read back: ranges, chunks, statistics of all features."""
-    _, ep, _ = training.read_training_sets(spark, _merged(spark, sf_dir))
+    _, ep = training.read_set_episodes(spark, _merged(spark, sf_dir))
     digits = {"min": None, "max": None, "mean": 5, "std": 3}
     stats = [(F.round(f"`stats/{f}/{a}`", d) if d else F.col(f"`stats/{f}/{a}`")).alias(f"{f}_{a}") for f in NAMES for a, d in digits.items()]
     return ep.select("episode_index", "task", "length", F.col("dataset_from_index").alias("from_index"), F.col("dataset_to_index").alias("to_index"), F.col("`data/chunk_index`").alias("chunk_index"), *stats)

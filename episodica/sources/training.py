@@ -12,8 +12,10 @@ source in two phases: tasks stage their files, the commit gives them their names
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -29,6 +31,10 @@ from ..operators import moments as mo
 from ..operators.checks import Rule, evaluate
 from .mcap import opened
 
+#: Frames that a task writes, about; of small chunks it takes many, since a task costs more than a file.
+WRITTEN = 20_000
+#: Tasks that list the folders of a data set. Spark's own choice is one for each folder.
+LISTERS = 32
 DATA_PATH = "data/chunk-{chunk_index:03d}/file-{file_index:03d}.parquet"
 
 
@@ -119,7 +125,8 @@ def write_training_set(frames: DataFrame, episodes: DataFrame, tasks: DataFrame,
         raise ValueError(f"{path} is a data set already")
     spark.dataSource.register(ChunkedParquet)
     n, total, chunks = episodes.agg(F.count("*"), F.sum("length"), F.max(F.col("data/chunk_index") + F.col("chunks"))).first()
-    frames.repartition(max(1, min(chunks or 1, 4096)), "chunk_index").sortWithinPartitions("chunk_index", "index").write.format("chunked_parquet").mode("append").option("place", "index").save(f"{path}/data")
+    writers = max(1, min(chunks or 1, -(-(total or 0) // WRITTEN), 4096))
+    frames.repartition(writers, "chunk_index").sortWithinPartitions("chunk_index", "index").write.format("chunked_parquet").mode("append").option("place", "index").save(f"{path}/data")
     rows = episodes.drop("chunks").withColumn("chunk_index", F.lit(0)).orderBy("episode_index")
     rows.write.format("chunked_parquet").mode("append").option("place", "episode_index").save(f"{path}/meta/episodes")
     counts.write.parquet(f"{path}/meta/values")
@@ -143,13 +150,45 @@ def plain(path: Column) -> Column:
     return F.regexp_replace(path, "^file:/+", "file:///")
 
 
+@contextmanager
+def listing(spark: SparkSession) -> Iterator[None]:
+    """Readers that are opened within list many folders in few tasks; the session's own setting comes back after."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    old = spark.conf.get(name)
+    spark.conf.set(name, str(LISTERS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
+def _holds(fs: pafs.FileSystem, folder: str) -> bool:
+    """Whether there is a Parquet file somewhere below."""
+    within = fs.get_file_info(pafs.FileSelector(folder, allow_not_found=True))
+    return any(f.type == pafs.FileType.File and f.base_name.endswith(".parquet") for f in within) or any(f.type == pafs.FileType.Directory and _holds(fs, f.path) for f in within)
+
+
+def _sets(fs: pafs.FileSystem, folder: str) -> Iterator[str]:
+    """Folders of data sets. The frames and episodes of one aren't walked, however many chunks they have."""
+    within = fs.get_file_info(pafs.FileSelector(folder, allow_not_found=True))
+    found = fs.get_file_info(f"{folder}/meta/info.json").type == pafs.FileType.File
+    if found and _holds(fs, f"{folder}/meta/episodes"):
+        yield folder
+    for f in within:
+        if f.type == pafs.FileType.Directory and not (found and f.base_name in ("data", "meta")):
+            yield from _sets(fs, f.path)
+
+
 def find_training_sets(spark: SparkSession, root: str) -> DataFrame:
-    """set (its folder), info (the document's text) of all data sets under a folder: those that have an info document and episodes, in order."""
-    of = lambda part: F.regexp_extract(plain(F.col("path")), f"^(.*)/meta/{part}", 1).alias("set")
-    listed = lambda glob: spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
-    infos = listed("info.json").select(of("info[.]json$"), F.col("content").cast("string").alias("info"))
-    episodes = listed("*.parquet").select(of("episodes/")).distinct()
-    return infos.filter("set <> ''").join(episodes, "set").orderBy("set")
+    """set (its folder), info (the document's text) of all data sets under a folder: those that have an info document and episodes, in order. Names of sets come to the driver."""
+    fs, at = opened(root)
+    at = at.rstrip("/")
+    base = re.sub("^file:/+", "file:///", root.rstrip("/") if ":" in root.split("/")[0] else f"file://{at}")
+    found = [base + path[len(at) :] for path in _sets(fs, at)]
+    if not found:
+        return spark.createDataFrame([], "set string, info string")
+    infos = spark.read.text([f"{s}/meta/info.json" for s in found], wholetext=True)
+    return infos.select(F.regexp_extract(plain(F.col("_metadata.file_path")), "^(.*)/meta/info[.]json$", 1).alias("set"), F.col("value").alias("info")).orderBy("set")
 
 
 def unwrapped(tasks: Column, kind: T.DataType) -> Column:
@@ -160,10 +199,26 @@ def unwrapped(tasks: Column, kind: T.DataType) -> Column:
 
 
 def read_training_sets(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """sets (set, info), episodes (set, task and more), frames (set and more) of all data sets under a folder.
+    """sets (set, info), episodes (set, task and more), frames (set and more) of all data sets under a folder; as of `read_set_episodes`."""
+    sets, known, episodes = _read(spark, root)
+    return sets, episodes, _part(spark, known, "data")
+
+
+def read_set_episodes(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """sets (set, info), episodes (set, task and more) of all data sets under a folder; chunks of frames aren't looked at.
 
     Features that don't agree in name and kind are refused.  Names of sets come to the driver.
     """
+    sets, _, episodes = _read(spark, root)
+    return sets, episodes
+
+
+def _part(spark: SparkSession, known: list[str], part: str) -> DataFrame:
+    with listing(spark):
+        return spark.read.option("recursiveFileLookup", True).parquet(*(f"{s}/{part}" for s in known)).withColumn("set", F.regexp_extract(plain(F.col("_metadata.file_path")), f"^(.*)/{part}/", 1))
+
+
+def _read(spark: SparkSession, root: str) -> tuple[DataFrame, list[str], DataFrame]:
     sets = find_training_sets(spark, root)
     known = sets.select("set", F.get_json_object("info", "$.features").alias("features")).collect()
     if not known:
@@ -172,11 +227,11 @@ def read_training_sets(spark: SparkSession, root: str) -> tuple[DataFrame, DataF
     for r, own in zip(known, kinds, strict=True):
         if own != kinds[0]:
             raise ValueError(f"features of {r['set']} differ from those of {known[0]['set']}: {sorted(set(own.items()) ^ set(kinds[0].items()))}")
-    at = lambda part: spark.read.option("recursiveFileLookup", True).parquet(*(f"{r['set']}/{part}" for r in known)).withColumn("set", F.regexp_extract(plain(F.col("_metadata.file_path")), f"^(.*)/{part}/", 1))
-    episodes = at("meta/episodes")
+    names = [r["set"] for r in known]
+    episodes = _part(spark, names, "meta/episodes")
     if "tasks" in episodes.columns:
         episodes = episodes.withColumn("task", unwrapped(F.col("tasks"), episodes.schema["tasks"].dataType)).drop("tasks")
-    return sets, episodes, at("data")
+    return sets, names, episodes
 
 
 def _kept(df: DataFrame, path: str) -> DataFrame:
@@ -193,11 +248,10 @@ def _clear(path: str) -> None:
 AGGREGATES = ("min", "max", "mean", "std", "count")
 
 
-def _lookup(episodes: DataFrame, per_episode: DataFrame | None, chunk_size: int, length: str = "length") -> DataFrame:
-    """Look-up rows: index range, first chunk and file, and the statistics of every feature. episodes: of `running_offsets`."""
+def _lookup(episodes: DataFrame, chunk_size: int, length: str = "length") -> DataFrame:
+    """Look-up rows: index range, first chunk and file, beside what the episodes have. episodes: of `running_offsets`."""
     chunks = asm.pack_chunks(episodes, "episode_index", length, chunk_size).withColumnRenamed("chunk_index", "data/chunk_index")
-    rows = episodes.withColumnsRenamed({"from_index": "dataset_from_index", "to_index": "dataset_to_index"}).join(chunks.select("episode_index", "data/chunk_index", "chunks"), "episode_index").withColumn("data/file_index", F.lit(0))
-    return rows if per_episode is None else rows.join(per_episode, "episode_index")
+    return episodes.withColumnsRenamed({"from_index": "dataset_from_index", "to_index": "dataset_to_index"}).join(chunks.select("episode_index", "data/chunk_index", "chunks"), "episode_index").withColumn("data/file_index", F.lit(0))
 
 
 def _stats_table(parts: DataFrame, counts: DataFrame) -> DataFrame:
@@ -217,14 +271,12 @@ def export_training_set(frames: DataFrame, episodes: DataFrame, features: list[s
 
     frames: key, order, features; episodes: key (numeric, gives the order), task.
     """
-    n = frames.groupBy(key).agg(F.count("*").alias("length"))
-    ep = asm.running_offsets(episodes.join(n, key), key)
+    wide = _kept(mo.wide_moments(frames, features, [key], "length"), f"{path}/_work/moments")
+    moments = mo.long_moments(wide, features, [key])
+    stats = [F.col(f"`{f}/{a}`").alias(f"stats/{f}/{a}") for f in features for a in AGGREGATES]
+    ep = _kept(asm.running_offsets(episodes.join(wide.select(key, "length", *stats), key), key), f"{path}/_work/episodes")
     codes = asm.first_seen_codes(ep, "task", "episode_index", "task_index")
-    moments = _kept(mo.deviations(mo.moments(frames, features, [key])), f"{path}/_work/moments")
-    wide = moments.groupBy(key).pivot("feature", features).agg(*(F.first(a).alias(a) for a in AGGREGATES))
-    wide = wide.select(key, *(F.col(f"`{f}_{a}`").alias(f"stats/{f}/{a}") for f in features for a in AGGREGATES))
-    rows = _lookup(ep, ep.select(key, "episode_index").join(wide, key).drop(key), chunk_size).join(codes.select("task", "task_index"), "task")
-    rows = _kept(rows, f"{path}/_work/rows")
+    rows = _kept(_lookup(ep, chunk_size).join(codes.select("task", "task_index"), "task"), f"{path}/_work/rows")
     place = F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1
     long = frames.withColumn("frame_index", place.cast("long")).join(rows.select(key, "episode_index", "dataset_from_index", "task_index", "length", F.col("data/chunk_index").alias("_c")), key)
     chunk = F.col("_c") + F.when(F.col("length") > chunk_size, F.floor(F.col("frame_index") / chunk_size)).otherwise(0)
@@ -252,7 +304,7 @@ def merge_training_sets(spark: SparkSession, root: str, path: str, chunk_size: i
     base = F.broadcast(spark.createDataFrame(offsets, "set string, _k int, _index long, _episode long"))  # a row per set
     episodes = episodes.join(base, "set").withColumn("episode_index", F.col("episode_index") + F.col("_episode"))
     episodes = episodes.withColumns({"from_index": F.col("dataset_from_index") + F.col("_index"), "to_index": F.col("dataset_to_index") + F.col("_index")}).drop("set", "_k", "_index", "_episode", "dataset_from_index", "dataset_to_index", "data/chunk_index", "data/file_index")
-    rows = _lookup(episodes, None, chunk_size)
+    rows = _lookup(episodes, chunk_size)
     codes = asm.first_seen_codes(rows, "task", "episode_index", "task_index")
     rows = _kept(rows.join(codes.select("task", "task_index"), "task"), f"{path}/_work/rows")
     per = rows.select("episode_index", F.col("task_index").cast("long").alias("_task"), "length", F.col("data/chunk_index").alias("_c"))
@@ -300,18 +352,20 @@ EXPORT_RULES = [
 
 def export_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The tables that `EXPORT_RULES` are about, of the data set at a folder; what is missing gives rows that say so."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.regexp_extract(plain(F.col("path")), r"((?:meta|data)/.*)$", 1).alias("name"))
-    files = spark.createDataFrame([(k, n) for k, n in enumerate((*REQUIRED_FILES, "data/"))], "place int, name string")
+    with listing(spark):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        frames = spark.read.option("recursiveFileLookup", True).parquet(f"{path}/data")
+        episodes = spark.read.option("recursiveFileLookup", True).parquet(f"{path}/meta/episodes")
+    listed = files.select(F.regexp_extract(plain(F.col("path")), r"((?:meta|data)/.*)$", 1).alias("name"))
+    required = spark.createDataFrame([(k, n) for k, n in enumerate((*REQUIRED_FILES, "data/"))], "place int, name string")
     there = listed.select(F.when(F.col("name").startswith("data/"), "data/").otherwise(F.col("name")).alias("name")).distinct().withColumn("_there", F.lit(True))
-    layout = files.join(there, "name", "left").select("place", "name", F.coalesce("_there", F.lit(False)).alias("present"))
+    layout = required.join(there, "name", "left").select("place", "name", F.coalesce("_there", F.lit(False)).alias("present"))
     text = lambda name: spark.read.text(f"{path}/meta/{name}", wholetext=True).first()[0]
     info, stats = json.loads(text("info.json")), json.loads(text("stats.json"))
     kinds = info.get("features", {})
     facts = lambda f: set(kinds.get(f, {}).get("info", {})) >= set(VIDEO_FACTS)
     rows = [(f, f in kinds, kinds.get(f, {}).get("dtype") == "video", f in stats, set(stats.get(f, {})) >= set(STATISTICS), facts(f)) for f in sorted({*kinds, *stats}) if f not in REQUIRED_COLUMNS or f in stats]
     features = spark.createDataFrame(rows, "feature string, in_features boolean, is_video boolean, in_stats boolean, stats_complete boolean, video_complete boolean")
-    frames = spark.read.option("recursiveFileLookup", True).parquet(f"{path}/data")
-    episodes = spark.read.option("recursiveFileLookup", True).parquet(f"{path}/meta/episodes")
     names = [(n, n in have) for have, need in ((frames.columns, REQUIRED_COLUMNS), (episodes.columns, (*REQUIRED_EPISODE_COLUMNS, *(f"stats/{f}/{a}" for f in stats for a in AGGREGATES)))) for n in need]
     columns = spark.createDataFrame([(k, n, h) for k, (n, h) in enumerate(names)], "place int, name string, present boolean")
     chunks = listed.filter("name like 'data/%'").select(F.regexp_extract("name", "^data/([^/]*)/", 1)).distinct().count()

@@ -162,3 +162,19 @@ def test_export_rules_find_what_is_wrong(spark, tmp_path):
     assert set(bad) == {"layout", "info_version", "info_data_path", "info_splits", "info_total_frames", "stats_keys", "stats_complete", "video_facts", "columns", "index_range", "timestamps", "frame_places", "episode_starts", "episode_ends"}
     assert bad["layout"] == (1, ["meta/tasks.parquet"]) and bad["stats_keys"] == (1, ["lost without statistics"]) and bad["columns"] == (1, ["stats/x/std"]) and bad["video_facts"] == (1, ["camera"])
     assert bad["timestamps"][0] == 1 and bad["episode_starts"][0] == 1
+
+
+def test_sets_are_found_without_walking_their_chunks(spark, tmp_path, monkeypatch):
+    """Folders that are looked into, and tasks that write, don't grow with the number of chunks."""
+    frames = spark.range(300).select(F.floor(F.col("id") / 3).alias("e"), (F.col("id") % 3).alias("t"), F.col("id").cast("double").alias("q"))
+    eps = spark.range(100).select(F.col("id").alias("e"), F.lit("a").alias("task"))
+    root = f"file://{tmp_path}/w"
+    info = training.export_training_set(frames, eps, ["q"], "e", "t", f"{root}/a/set", chunk_size=3)
+    assert info["total_chunks"] == 100 and len(list((tmp_path / "w/a/set/data").iterdir())) == 100
+    asked, real = [], training.pafs.FileSelector
+    monkeypatch.setattr(training.pafs, "FileSelector", lambda folder, **how: asked.append(folder) or real(folder, **how))
+    sets, eps = training.read_set_episodes(spark, root)
+    assert [r["set"] for r in sets.collect()] == [f"{root}/a/set"] and eps.count() == 100
+    assert not [f for f in asked if "/data" in f]
+    rows = training.read_training_sets(spark, root)[2]
+    assert rows.count() == 300 and [r[0] for r in rows.select("set").distinct().collect()] == [f"{root}/a/set"]
