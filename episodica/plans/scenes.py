@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as g
 from ..operators import masks, tracks
-from ..operators.windows import island, ordered
+from ..operators.windows import before, ordered
 from .adapters import BOXES, FRAMES, HANDS, boxes, frames, hands, table
 from .registry import query
 from .signals import KEYS, ORDER, _UPTO
@@ -64,11 +64,12 @@ _MASKS = {"seen": "present", "touched": "in_contact", "even": "k % 2 = 0"}
 
 def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three masks of every episode as runs of its frames: seen, touched, even."""
-    parts = []
-    for name, flag in _MASKS.items():
-        f = island(frames(spark, sf_dir).withColumn("on", F.expr(flag)), F.col("on"), ordered(KEYS, ORDER), "run").filter("on")
-        parts.append(f.groupBy(*KEYS, "run").agg(F.min(ORDER).cast("long").alias("start"), F.count("*").alias("length")).select(*KEYS, F.lit(name).alias("mask"), "start", "length"))
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    # one pass numbers the runs of all masks by the rows off so far, which are the same within a run
+    w, off = ordered(KEYS, ORDER), {m: F.when(F.expr(f), 0).otherwise(1) for m, f in _MASKS.items()}
+    f = frames(spark, sf_dir).select(*KEYS, ORDER, *(o.alias(m) for m, o in off.items())).withColumns({f"{m}_run": F.sum(m).over(before(w)) for m in _MASKS})
+    each = F.explode(F.array(*(F.struct(F.lit(m).alias("mask"), F.col(m).alias("off"), F.col(f"{m}_run").alias("run")) for m in _MASKS))).alias("_m")
+    on = f.select(*KEYS, ORDER, each).filter("_m.off = 0")
+    return on.groupBy(*KEYS, "_m.mask", "_m.run").agg(F.min(ORDER).cast("long").alias("start"), F.count("*").alias("length")).select(*KEYS, "mask", "start", "length")
 
 
 _FLAGS = f"{FRAMES}, flags as (" + " union all ".join(f"select episode_id, '{m}' as mask, frame_idx, {f} as flag from frames" for m, f in _MASKS.items()) + f"), runs as (select episode_id, mask, min(frame_idx)::bigint as start, count(*) as length from (select *, sum((not flag)::int) over (partition by episode_id, mask order by frame_idx rows unbounded preceding) as r from flags) where flag group by episode_id, mask, r)"
