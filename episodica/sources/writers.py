@@ -60,8 +60,9 @@ def message_log(frames: DataFrame, key: str, order: str, time: str, payload: Col
     return df.withColumn("part", F.floor(F.col("_place") / most)).groupBy(key, "part").applyInPandas(pack, f"{key} {kinds[key]}, part long, content binary, messages long")
 
 
-def read_message_log(logs: DataFrame, key: str) -> DataFrame:
-    """key, topic, nanoseconds, payload of every record; a log without its magic gives no rows."""
+def read_message_log(logs: DataFrame, key: str, most: int = 10_000) -> DataFrame:
+    """key, topic, nanoseconds, payload of every record; a log without its magic gives no rows. A task holds `most` records at once, however many logs come to it together."""
+    names = [key, "topic", "nanoseconds", "payload"]
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -76,7 +77,10 @@ def read_message_log(logs: DataFrame, key: str) -> DataFrame:
                     (m,) = struct.unpack_from("<H", raw, at + 4)
                     rows.append((k, raw[at + 6 : at + 6 + m].decode(), struct.unpack_from("<Q", raw, at + 6 + m)[0], raw[at + 14 + m : at + 4 + n].decode()))
                     at += 4 + n
-            yield pd.DataFrame(rows, columns=[key, "topic", "nanoseconds", "payload"])
+                    if len(rows) == most:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows = []
+            yield pd.DataFrame(rows, columns=names)
 
     kinds = dict(logs.dtypes)
     return logs.select(key, "content").mapInPandas(unpack, f"{key} {kinds[key]}, topic string, nanoseconds long, payload string")
