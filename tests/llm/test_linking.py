@@ -70,3 +70,44 @@ def test_bitmaps_never_part_linked_sets():
         x, y = np.unique(base[: 300 - int(rng.integers(0, 8))]), np.unique(base[int(rng.integers(0, 8)) :])
         a, b = (int.from_bytes(near.bitmap(s, 90), "little") for s in (x, y))
         assert (a ^ b).bit_count() <= len(np.setxor1d(x, y))
+
+
+@pytest.mark.parametrize("local", [500_000, 3])
+def test_few_edges_are_joined_in_one_task(spark, monkeypatch, local):
+    """Two tables for few edges, however long the chains; of more, the rounds give the same labels."""
+    rng, names = random.Random(8), []
+    order = rng.sample(range(60), 60)
+    pairs = [*zip(order, order[1:], strict=False), *((rng.randrange(100, 140), rng.randrange(100, 140)) for _ in range(25)), (200, 200)]
+    monkeypatch.setattr(near, "LOCAL", local, raising=False)
+    monkeypatch.setattr(near, "written", lambda df, name, write=near.written: names.append(name) or write(df, name))
+    root = union_find(201, pairs)
+    got = {r["node"]: r["label"] for r in near.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {x: root[x] for p in pairs for x in p if p[0] != p[1]}
+    assert (names == ["given", "labels"]) == (local > 3)
+    assert near.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_no_block_of_one_component_is_written(spark, monkeypatch):
+    """Near copies that all link with their pivot share many signatures, none of which is needed again."""
+    sizes, labels = [], []
+
+    def write(df, name, write=near.written):
+        out = write(df, name)
+        if name == "labels":
+            labels[:] = [out.collect()]
+        if name == "blocks" and labels:
+            of = {r["node"]: r["label"] for r in labels[0]}
+            blocks = {}
+            for r in out.filter("age = 0").collect():
+                blocks.setdefault(r["sig"], set()).add(of.get(r["node"], r["node"]))
+            sizes.extend(len(b) for b in blocks.values())
+        return out
+
+    monkeypatch.setattr(near, "SMALL", 3)
+    monkeypatch.setattr(near, "written", write)
+    rng = random.Random(9)
+    base = prose(rng, 200).split()
+    texts = [" ".join(base[: i % 7 * 9] + [f"edit{i % 7}"] + base[i % 7 * 9 + 1 : 150 + i]) for i in range(14)]
+    rows = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(documents(spark, texts)).collect()}
+    assert [rows[i] for i in range(len(texts))] == expected(texts)[0]
+    assert all(n > 1 for n in sizes)
