@@ -15,7 +15,7 @@ def rounded(c: Column | str, to: int) -> Column:
     return F.round((F.col(c) if isinstance(c, str) else c) * 10.0**to) / 10.0**to
 
 
-#: Events that a task of `frames` takes, about, where Spark's own number of partitions would give it more.
+#: Events that a task of `frames` takes, about, where Spark's own number of partitions, or of cores that it joins them for, would give it more.
 TASK_EVENTS = 100_000
 
 
@@ -23,7 +23,8 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users as episodes, their events in time order as frames. The window is by episode_id itself, so that later ones by it need no shuffle; since they all sort in its partitions, these become more, not larger, with the events."""
     e = table(spark, sf_dir, "events").withColumnRenamed("user_id", "episode_id")
     tasks = e.count() // TASK_EVENTS
-    if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
+    # Spark joins its partitions to about one a core while they are small, so their configured number is no bound
+    if tasks > min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism):
         e = e.select("episode_id", "ts", "event_id", "event_type", "value", "props").repartition(tasks, "episode_id")
     w = Window.partitionBy("episode_id").orderBy("ts", "event_id")
     k = F.get_json_object("props", "$.k").cast("int")

@@ -32,3 +32,15 @@ def test_logs_are_read_in_pieces(spark):
     assert sorted(r["payload"] for r in got.collect()) == sorted(f"{e}-{i}" for e in range(3) for i in range(25))
     sizes = got.select("payload").mapInPandas(lambda pdfs: (pd.DataFrame({"n": [len(p)]}) for p in pdfs), "n int").collect()
     assert sum(r["n"] for r in sizes) == 75
+
+
+def test_frames_are_bounded_where_partitions_outnumber_cores(spark, monkeypatch):
+    """Spark would join 200 small partitions to one a core."""
+    monkeypatch.setattr(adapters, "TASK_EVENTS", 50)
+    n = spark.read.parquet(f"{SF}/events.parquet").count() // 50
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        assert spark.sparkContext.defaultParallelism < n < 200 and adapters.frames(spark, SF).rdd.getNumPartitions() == n
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
