@@ -3,9 +3,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from episodica.llm import near, ngram_join
+from episodica.llm import near, ngram_join, vec
 
 from .helpers import ODD, documents, edited, family, prose, shingles, union_find
 
@@ -111,3 +112,34 @@ def test_no_block_of_one_component_is_written(spark, monkeypatch):
     rows = {r["doc_id"]: r["component_id"] for r in ngram_join.jaccard_components(documents(spark, texts)).collect()}
     assert [rows[i] for i in range(len(texts))] == expected(texts)[0]
     assert all(n > 1 for n in sizes)
+
+
+def test_a_family_with_a_wide_rim_takes_few_rounds(spark, monkeypatch):
+    """One block of near copies, many of them too far from any pivot: rows and rounds don't run away, and no link is lost."""
+    names, rows = [], []
+
+    def write(df, name, write=near.written):
+        out = write(df, name)
+        names.append(name)
+        rows.append(out.count() if name in ("blocks", "dealt") else 0)
+        return out
+
+    monkeypatch.setattr(near, "SMALL", 24)
+    monkeypatch.setattr(near, "written", write)
+    rng = random.Random(1)
+    base = prose(rng, 100)
+    texts = [edited(rng, base, min(14, int(rng.expovariate(0.5)))) for _ in range(120)]
+    sets = [shingles(t, 5) for t in texts]
+    root = union_find(len(sets), [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])])
+    raw, offs = vec.text_buffer(pa.array(texts))
+    own = list(vec.shingle_sets(vec.find_words(raw, offs, vec.SPACED, vec.SPACED_WORD), 5))
+    keys = [near.set_key(x) for x in own]
+    marks = {k: (k, len(x), bytearray(near.bitmap(x, 80))) for k, x in zip(keys, own, strict=True)}
+    labels = near.link(
+        spark.createDataFrame([(1, k, 0) for k in marks], "sig long, node long, r int"), spark.createDataFrame(list(marks.values()), "node long, n int, bits binary"),
+        spark.createDataFrame(list(zip(keys, texts, strict=True)), "node long, text string").dropDuplicates(["node"]), 5, 80,
+    )
+    got = {r["node"]: r["label"] for r in labels.collect()}
+    least = {c: min(k for k, r in zip(keys, root, strict=True) if r == c) for c in set(root)}
+    assert [got.get(k, k) for k in keys] == [least[c] for c in root]
+    assert names.count("sizes") <= 6 and sum(rows) <= 20 * len(texts)
