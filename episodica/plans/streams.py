@@ -51,21 +51,21 @@ FILE_ROWS = 100_000
 select user_id, ms, event_id, state, case when state then row_number() over (partition by user_id, sid, run, state order by ms, event_id) else 0 end as dwell, 'row' as what from r
 union all select user_id, ms + {HOLD_MS}, null, false, 0, 'ended' from (select * from r qualify row_number() over (partition by user_id, sid order by ms desc, event_id desc) = 1) where state""")
 def streaming_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Contacts of a stream whose files mix rows of up to an eighth of its span; the watermark waits for that long, so the rows are those of a batch."""
+    """Contacts of a stream whose files mix rows of up to an eighth of its span; the watermark waits for that long and for a slot, of which a trigger may bring a part, so the rows are those of a batch."""
     e = table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id", F.col("event_type").isin("click", "purchase").alias("yes"))
     low, high, n = e.agg(F.min(F.unix_millis("ts")), F.max(F.unix_millis("ts")), F.count("*")).first()
     if low is None:
         return spark.createDataFrame([], "user_id long, ms long, event_id long, state boolean, dwell int, what string")
     mixed, slots, base = max(1, (high - low) // 8), 6, shared_folder(spark, "stream")
     slot = F.floor((F.unix_millis("ts") - low + F.pmod(F.xxhash64("event_id"), F.lit(mixed))) * slots / (high - low + mixed + 1))
-    e = e.withColumn("slot", slot)
+    e, delay = e.withColumn("slot", slot), mixed + (high - low + mixed) // slots + 2
     files = max(4, n // (slots * FILE_ROWS))  # a slot is a trigger: their number doesn't grow with the rows
     for k in range(slots):
         e.filter(F.col("slot") == k).drop("slot").repartition(files).write.mode("append").parquet(f"{base}/in")
-    close = F.timestamp_millis(F.lit(high + HOLD_MS + 2 * mixed + 60_000))
+    close = F.timestamp_millis(F.lit(high + HOLD_MS + delay + 60_000))
     spark.range(1).select(F.lit(-1).cast("long").alias("user_id"), close.alias("ts"), F.lit(0).cast("long").alias("event_id"), F.lit(False).alias("yes")).write.mode("append").parquet(f"{base}/in")
     stream = spark.readStream.schema("user_id long, ts timestamp, event_id long, yes boolean").option("maxFilesPerTrigger", files).parquet(f"{base}/in")
-    out = ordered.ordered_contacts(stream, "user_id", "ts", "event_id", "yes", f"{mixed + 1} milliseconds", hold_ms=HOLD_MS)
+    out = ordered.ordered_contacts(stream, "user_id", "ts", "event_id", "yes", f"{delay} milliseconds", hold_ms=HOLD_MS, groups=max(ordered.GROUPS, n // FILE_ROWS))
     with ordered.rocksdb_state(spark):
         q = out.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").trigger(availableNow=True).start()
     q.awaitTermination()
