@@ -143,3 +143,15 @@ def test_a_family_with_a_wide_rim_takes_few_rounds(spark, monkeypatch):
     least = {c: min(k for k, r in zip(keys, root, strict=True) if r == c) for c in set(root)}
     assert [got.get(k, k) for k in keys] == [least[c] for c in root]
     assert names.count("sizes") <= 6 and sum(rows) <= 20 * len(texts)
+
+
+def test_marks_of_many_sets_are_those_of_each():
+    rng = np.random.default_rng(3)
+    rows = [rng.integers(0, 2**63, n, dtype=np.int64).astype(np.uint64) for n in (1, 2, 46, 300, 5_000)]
+    rows += [np.concatenate([rows[3], rows[3][:40]]), np.repeat(rows[0], 60), rows[3][::-1]]
+    first = np.concatenate([[0], np.cumsum([len(x) for x in rows])])
+    keys, n, bits = near.set_marks(np.concatenate(rows), first, 80)
+    sets = [np.unique(x) for x in rows]
+    assert keys.tolist() == [near.set_key(x) for x in sets] and n.tolist() == [len(x) for x in sets]
+    assert bits.to_pylist() == [near.bitmap(x, 80) for x in sets]
+    assert [len(x) for x in near.set_marks(np.zeros(0, np.uint64), np.zeros(1, np.int64), 80)] == [0, 0, 0]

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-from episodica.llm import decontaminate, personal_data, quality, repeats, secret_scan, spans, token_counts
+from episodica.llm import decontaminate, near, personal_data, quality, repeats, secret_scan, shared, spans, token_counts
 
 from .helpers import ODD, documents, prose, shingles, words_of
 
@@ -32,6 +32,34 @@ def test_repeats_catch_passages_and_spare_others(spark):
     assert repeats.repeats(documents(spark, texts).limit(0)).count() == 0
 
 
+def test_repeats_count_words_of_copies_only(spark):
+    rng = random.Random(6)
+    texts = [prose(rng, 60), " \n", " \n", prose(rng, 60)]
+    df = repeats.repeats(documents(spark, [*texts, texts[0]]))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" in plan and not [line for line in plan.splitlines() if "Filter" in line and "regexp_extract_all" in line]
+    assert [(r["doc_id"], r["keeper_id"], r["n_words"]) for r in df.collect()] == [(4, 0, 60)]
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_repeats_find_the_same_without_broadcasts(spark, monkeypatch, repeated):
+    rng = random.Random(8)
+    passage, para = prose(rng, 55), prose(rng, 60)
+    texts = [f"{prose(rng, 80)} {passage} {prose(rng, 30)}", f"{prose(rng, 11)} {passage} {prose(rng, 90)}", f"{prose(rng, 20)}\n{para}", f"{' '.join('new' if k == 30 else w for k, w in enumerate(para.split()))}\n{prose(rng, 70)}"]
+    df = documents(spark, [*texts, texts[1]])
+    df = df.union(df.filter("doc_id < 2")) if repeated else df
+    want = sorted(map(str, repeats.repeats(df).collect()))
+    assert {x.split("kind='")[1].split("'")[0] for x in want} == {"document", "paragraph", "passage"}
+    counted = []
+    for module in (repeats, shared, near):
+        monkeypatch.setattr(module, "small", lambda df, rows: False)
+    monkeypatch.setattr(repeats, "spread_join", lambda *args, join=repeats.spread_join, **given: counted.append("counts" in given) or join(*args, **given))
+    monkeypatch.setattr(shared, "HOT_ROWS", 1)
+    monkeypatch.setattr(repeats, "HOT_ROWS", 1)
+    assert sorted(map(str, repeats.repeats(df).collect())) == want
+    assert True in counted  # the runs aren't counted once more
+
+
 def test_repeats_equal_all_windows(spark):
     rng = random.Random(4)
     pool = [prose(rng, n) for n in (51, 60, 75, 49, 30)]
